@@ -1,0 +1 @@
+"""No operator of this engine keeps streaming state: every input is a landed batch table."""
