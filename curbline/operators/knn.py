@@ -39,7 +39,7 @@ class KnnModel:
 
     def scaled(self, df: DataFrame) -> list[Column]:
         return [
-            ((F.col(c).cast("double") - F.lit(m)) / F.lit(d)).alias(axis)
+            ((F.expr(c).cast("double") - F.lit(m)) / F.lit(d)).alias(axis)
             for c, m, d, axis in zip(self.features, self.means, self.deviations, self.axes)
         ]
 
@@ -53,10 +53,11 @@ def fit_knn(
     k_max: int,
     fold: str | None = None,
 ) -> KnnModel:
-    """Standard-scale the features (population deviation; 1 for a constant feature) and keep,
-    per identical feature vector and fold, the ``k_max`` rows with the smallest ids. That loses
+    """Standard-scale the features, given as column names or expressions (population deviation; 1
+    for a constant feature) and keep, per identical feature vector and fold, the ``k_max`` rows
+    with the smallest ids. That loses
     nothing: neighbours are ranked by distance and id, so no query can use more of them."""
-    numbers = [F.col(c).cast("double") for c in features]
+    numbers = [F.expr(c).cast("double") for c in features]
     stats = train.agg(
         F.count(F.lit(1)),
         *[F.avg(c) for c in numbers],

@@ -176,3 +176,14 @@ def semi_join_isin(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def anti_join_isin(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_anti")
+
+
+def rows_around_min(df: DataFrame, order: str, value: str, k: int) -> DataFrame:
+    """The row with the least ``value``, the k rows before it in ``order`` and the k-1 after.
+
+    Two top-k selections around the minimum; the table itself is not sorted as a whole.
+    """
+    least = df.agg(F.min_by(order, F.struct(value, order))).scalar()
+    before = df.where(F.col(order) < least).orderBy(F.col(order).desc()).limit(k)
+    after = df.where(F.col(order) >= least).orderBy(order).limit(k)
+    return before.unionByName(after)
