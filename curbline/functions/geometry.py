@@ -48,6 +48,27 @@ def _wkt_vertex(text: Column) -> Column:
     return vertex(ordinates[0], ordinates[1])
 
 
+def geometry_to_wkt(geometry: Column) -> Column:
+    """Text form for files: MULTILINESTRING, or POINT for a single vertex."""
+
+    def vertices(part: Column) -> Column:
+        return F.array_join(
+            F.transform(part, lambda v: F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string"))),
+            ", ",
+        )
+
+    body = F.array_join(
+        F.transform(geometry, lambda part: F.concat(F.lit("("), vertices(part), F.lit(")"))), ", "
+    )
+    single = (F.size(geometry) == 1) & (F.size(F.flatten(geometry)) == 1)
+    return (
+        F.when(geometry.isNull(), F.lit(None))
+        .when(F.size(geometry) == 0, "MULTILINESTRING EMPTY")
+        .when(single, F.concat(F.lit("POINT "), body))
+        .otherwise(F.concat(F.lit("MULTILINESTRING ("), body, F.lit(")")))
+    )
+
+
 def geometry_from_geojson(record: Column, *, is_text: bool = True) -> Column:
     """Decode a Point, LineString or MultiLineString record.
 
