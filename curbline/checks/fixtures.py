@@ -9,10 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from curbline.functions import geometry as geo
+from pyspark.sql import DataFrame, SparkSession
 
 HORIZON = (datetime(1995, 1, 1), datetime(2001, 9, 1))
 AS_OF = datetime(2001, 9, 1)
@@ -23,161 +20,151 @@ SQUARES_PER_ROW = 1024
 BLOCK = {"part": 2000, "orders": 15000, "events": 10000, "customer": 1500, "supplier": 100}
 
 
+# The columns used here, declared so that no file is opened to infer them.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "events": "event_id bigint",
+    "lineitem": "l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _coordinate(k: Column, a: int, b: int, m: int) -> Column:
+def _coordinate(k: str, a: int, b: int, m: int) -> str:
     """(k*k*a + k*b) mod m, reduced early so that large keys do not overflow."""
-    r = k % m
-    return ((r * r % m) * a + r * b) % m
+    return f"(({k} % {m}) * ({k} % {m}) % {m} * {a} + {k} % {m} * {b}) % {m}"
 
 
-def _origin(k: Column, block: int) -> tuple[Column, Column]:
-    square = F.floor(k / F.lit(block)).cast("long")
-    return (square % SQUARES_PER_ROW) * SQUARE, F.floor(square / SQUARES_PER_ROW).cast("long") * SQUARE
+def _origin(k: str, block: int) -> tuple[str, str]:
+    square = f"({k} div {block})"
+    return f"{square} % {SQUARES_PER_ROW} * {SQUARE}", f"{square} div {SQUARES_PER_ROW} * {SQUARE}"
 
 
-def _place(k: Column, block: int) -> tuple[Column, Column]:
+def _place(k: str, block: int) -> list[str]:
     ox, oy = _origin(k, block)
-    x = (ox + _coordinate(k, 13, 4099, 8009)).cast("double")
-    y = (oy + _coordinate(k, 29, 5003, 8011)).cast("double")
-    return x, y
+    return [
+        f"cast({ox} + {_coordinate(k, 13, 4099, 8009)} as double) as x",
+        f"cast({oy} + {_coordinate(k, 29, 5003, 8011)} as double) as y",
+    ]
 
 
-def _ends(k: Column) -> tuple[Column, Column, Column, Column]:
-    """Start and extent of a street."""
+def _ends(k: str) -> list[str]:
+    """Start sx, sy and extent dx, dy of a street."""
     ox, oy = _origin(k, BLOCK["part"])
-    x0 = (ox + _coordinate(k, 31, 7919, 8009)).cast("double")
-    y0 = (oy + _coordinate(k, 17, 6151, 8011)).cast("double")
-    dx = ((k * 37) % 601 - 300).cast("double")
-    dy = ((k * 53) % 601 - 300).cast("double")
-    return x0, y0, dx, dy
+    return [
+        f"cast({ox} + {_coordinate(k, 31, 7919, 8009)} as double) as sx",
+        f"cast({oy} + {_coordinate(k, 17, 6151, 8011)} as double) as sy",
+        f"cast({k} * 37 % 601 - 300 as double) as dx",
+        f"cast({k} * 53 % 601 - 300 as double) as dy",
+    ]
+
+
+def _line(x0: str, y0: str, x1: str, y1: str) -> str:
+    """A line of one part with two vertices."""
+    return f"array(array(struct({x0} as x, {y0} as y), struct({x1} as x, {y1} as y))) as geometry"
 
 
 def all_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every centreline row, before the street filter."""
-    part = _table(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    x0, y0, dx, dy = _ends(k)
-    post_type = (
-        F.when(F.col("p_type") == "ECONOMY", "AVE")
-        .when(F.col("p_type") == "PROMO", "BLVD")
-        .when(F.col("p_type") == "STANDARD", "ST")
-        .when(F.col("p_type") == "MEDIUM", "RD")
-        .when(F.col("p_type") == "SMALL", "ROAD")
-    )
-    return part.select(
-        k.alias("physicalid"),
-        geo.straight_line(x0, y0, x0 + dx, y0 + dy).alias("geometry"),
-        F.sqrt(dx * dx + dy * dy).alias("shape_leng"),
-        F.when(F.col("p_brand").isin("Brand#3", "Brand#13", "Brand#23"), "2").otherwise("1").alias("rw_type"),
-        F.when(k % 17 != 0, (F.col("p_size") % 40).cast("double")).alias("st_width"),
-        F.when(k % 5 == 0, (k % 3 + 1).cast("string")).alias("bike_lane"),
-        F.when(k % 3 == 0, "TF").when(k % 3 == 1, "TW").otherwise("FT").alias("trafdir"),
-        post_type.alias("post_type"),
-        F.when(F.col("p_brand") == "Brand#1", "AVE").alias("pre_type"),
-        F.when(k % 50 == 0, "BROADWAY").when(k % 50 == 1, "BOWERY").otherwise(F.col("p_name")).alias("st_name"),
+    return _table(spark, sf_dir, "part").selectExpr("*", *_ends("p_partkey")).selectExpr(
+        "p_partkey as physicalid",
+        _line("sx", "sy", "sx + dx", "sy + dy"),
+        "sqrt(dx * dx + dy * dy) as shape_leng",
+        "if(p_brand in ('Brand#3', 'Brand#13', 'Brand#23'), '2', '1') as rw_type",
+        "if(p_partkey % 17 <> 0, cast(p_size % 40 as double), null) as st_width",
+        "if(p_partkey % 5 = 0, cast(p_partkey % 3 + 1 as string), null) as bike_lane",
+        "case p_partkey % 3 when 0 then 'TF' when 1 then 'TW' else 'FT' end as trafdir",
+        "case p_type when 'ECONOMY' then 'AVE' when 'PROMO' then 'BLVD' when 'STANDARD' then 'ST' "
+        "when 'MEDIUM' then 'RD' when 'SMALL' then 'ROAD' end as post_type",
+        "if(p_brand = 'Brand#1', 'AVE', null) as pre_type",
+        "case p_partkey % 50 when 0 then 'BROADWAY' when 1 then 'BOWERY' else p_name end as st_name",
     )
 
 
 def crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    x, y = _place(k, BLOCK["orders"])
-    return orders.select(
-        k.alias("collision_id"),
-        F.col("o_orderdate").alias("crash_date"),
-        (k % 24).cast("int").alias("crash_hour"),
-        x.alias("x"),
-        y.alias("y"),
-        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey") % 3).alias("number_of_pedestrians_injured"),
-        (F.col("o_custkey") % 29 == 0).cast("long").alias("number_of_pedestrians_killed"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as collision_id",
+        "o_orderdate as crash_date",
+        "cast(o_orderkey % 24 as int) as crash_hour",
+        *_place("o_orderkey", BLOCK["orders"]),
+        "if(o_custkey % 11 <> 0, o_custkey % 3, null) as number_of_pedestrians_injured",
+        "cast(o_custkey % 29 = 0 as bigint) as number_of_pedestrians_killed",
     )
 
 
 def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crash records as they are delivered: text dates and times, coordinates partly missing."""
-    orders = _table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    located = k % 10 != 0
-    return orders.select(
-        k.alias("collision_id"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00.000")).alias("crash_date"),
-        F.concat((k % 24).cast("string"), F.lit(":"), F.lpad((k % 60).cast("string"), 2, "0")).alias("crash_time"),
-        F.when(located, F.lit(40.5) + ((k * 7919) % 4001) / F.lit(10000.0)).alias("latitude"),
-        F.when(located, F.lit(-74.25) + ((k * 6151) % 5503) / F.lit(10000.0)).alias("longitude"),
-        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey") % 3).alias("persons_injured"),
-        (F.col("o_custkey") % 29 == 0).cast("long").alias("persons_killed"),
-        F.col("o_orderpriority").alias("on_street_name"),
-        F.when(k % 4 != 0, F.col("o_orderstatus")).alias("cross_street_name"),
-        F.when(k % 3 == 1, "  ").when(k % 3 == 2, F.col("o_orderpriority")).alias("off_street_name"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as collision_id",
+        "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T00:00:00.000') as crash_date",
+        "concat(o_orderkey % 24, ':', lpad(cast(o_orderkey % 60 as string), 2, '0')) as crash_time",
+        "if(o_orderkey % 10 <> 0, 40.5D + (o_orderkey * 7919 % 4001) / 10000D, null) as latitude",
+        "if(o_orderkey % 10 <> 0, -74.25D + (o_orderkey * 6151 % 5503) / 10000D, null) as longitude",
+        "if(o_custkey % 11 <> 0, o_custkey % 3, null) as persons_injured",
+        "cast(o_custkey % 29 = 0 as bigint) as persons_killed",
+        "o_orderpriority as on_street_name",
+        "if(o_orderkey % 4 <> 0, o_orderstatus, null) as cross_street_name",
+        "case o_orderkey % 3 when 1 then '  ' when 2 then o_orderpriority end as off_street_name",
     )
 
 
 def speedhumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hump lines: a street lengthened by a tenth at both ends and shifted sideways."""
-    customer, part = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "part")
-    k = F.col("c_custkey")
-    x0, y0, dx, dy = _ends(k)
-    shift = k % 101 - 50
-    line = geo.straight_line(
-        x0 - dx / 10, y0 - dy / 10 + shift, x0 + dx + dx / 10, y0 + dy + dy / 10 + shift
-    )
+    owners = _table(spark, sf_dir, "customer").where("c_mktsegment in ('HOUSEHOLD', 'FURNITURE')")
+    parts = _table(spark, sf_dir, "part").selectExpr("p_partkey as c_custkey")
     return (
-        customer.where(F.col("c_mktsegment").isin("HOUSEHOLD", "FURNITURE"))
-        .join(part.select(F.col("p_partkey").alias("c_custkey")), "c_custkey")
-        .where((dx != 0) | (dy != 0))
-        .select(
-            k.alias("hump_id"),
-            line.alias("geometry"),
-            (k % 4 + 1).alias("humps"),
-            (F.sqrt(dx * dx + dy * dy) * F.lit(1.2)).alias("shape_leng"),
-            F.timestamp_add(
-                "DAY", ((k * 97) % 2400).cast("int"), F.lit(HORIZON[0]).cast("timestamp_ntz")
-            ).alias("date_insta"),
+        owners.join(parts, "c_custkey")
+        .selectExpr("c_custkey as hump_id", *_ends("c_custkey"), "c_custkey % 101 - 50 as shift")
+        .where("dx <> 0 or dy <> 0")
+        .selectExpr(
+            "hump_id",
+            _line("sx - dx / 10", "sy - dy / 10 + shift", "sx + dx + dx / 10", "sy + dy + dy / 10 + shift"),
+            "hump_id % 4 + 1 as humps",
+            "sqrt(dx * dx + dy * dy) * 1.2D as shape_leng",
+            "timestampadd(DAY, cast(hump_id * 97 % 2400 as int), timestamp_ntz'1995-01-01') as date_insta",
         )
     )
 
 
 def speedlimits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed-limit lines: the middle half of a street, shifted sideways."""
-    part = _table(spark, sf_dir, "part").where(F.col("p_type").isin("ECONOMY", "LARGE"))
-    k = F.col("p_partkey")
-    x0, y0, dx, dy = _ends(k)
-    shift = k % 101 - 50
-    return part.select(
-        k.alias("limit_id"),
-        geo.straight_line(
-            x0 + dx / 4, y0 + dy / 4 + shift, x0 + dx * 3 / 4, y0 + dy * 3 / 4 + shift
-        ).alias("geometry"),
-        (k % 4 * 5 + 20).cast("double").alias("postvz_sl"),
+    return (
+        _table(spark, sf_dir, "part")
+        .where("p_type in ('ECONOMY', 'LARGE')")
+        .selectExpr("p_partkey as limit_id", *_ends("p_partkey"), "p_partkey % 101 - 50 as shift")
+        .selectExpr(
+            "limit_id",
+            _line("sx + dx / 4", "sy + dy / 4 + shift", "sx + dx * 3 / 4", "sy + dy * 3 / 4 + shift"),
+            "cast(limit_id % 4 * 5 + 20 as double) as postvz_sl",
+        )
     )
 
 
 def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("event_id")
-    x, y = _place(k, BLOCK["events"])
-    return _table(spark, sf_dir, "events").select(k.alias("tree_id"), x.alias("x"), y.alias("y"))
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_id as tree_id", *_place("event_id", BLOCK["events"])
+    )
 
 
 def parking_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    x, y = _place(k, BLOCK["customer"])
-    return _table(spark, sf_dir, "customer").select(k.alias("meter_id"), x.alias("x"), y.alias("y"))
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as meter_id", *_place("c_custkey", BLOCK["customer"])
+    )
 
 
 def traffic_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("l_suppkey")
-    x, y = _place(k, BLOCK["supplier"])
-    return _table(spark, sf_dir, "lineitem").select(
-        k.alias("site_id"),
-        x.alias("x"),
-        y.alias("y"),
-        F.year("l_shipdate").alias("yr"),
-        F.month("l_shipdate").alias("m"),
-        F.day("l_shipdate").alias("d"),
-        F.col("l_quantity").alias("vol"),
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey as site_id",
+        *_place("l_suppkey", BLOCK["supplier"]),
+        "year(l_shipdate) as yr",
+        "month(l_shipdate) as m",
+        "day(l_shipdate) as d",
+        "l_quantity as vol",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from curbline.checks import fixtures as fx
 from curbline.checks.geometry_queries import streets
 from curbline.checks.registry import query
+from curbline.functions import geometry as geo
 from curbline.functions import transforms as tr
 from curbline.operators import aggregates as ag
 from curbline.operators import intervals as iv
@@ -357,7 +358,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     x = (F.col("s_nationkey") % 5).cast("double")
     rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        fx.geo.straight_line(x, F.lit(0.0), x + 1, F.lit(1.0)).alias("geometry"),
+        geo.straight_line(x, F.lit(0.0), x + 1, F.lit(1.0)).alias("geometry"),
         F.col("s_suppkey").cast("double").alias("humps"), F.col("s_name").alias("first"),
     )
     merged = ag.dedupe_by_geometry(rows, {"humps": "sum", "first": "min"})

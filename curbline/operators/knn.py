@@ -134,16 +134,21 @@ def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
     )
     # The k-th neighbour lies within the far corner of the neighbouring cells: 2*size per axis.
     bound = F.col("size") * F.lit(2 * math.sqrt(d) * (1 + 1e-9))
-    reach = math.ceil(2 * math.sqrt(d)) + 1
-    cells = search.select("*", F.inline(_offsets(d, reach)))
-    away = F.lit(0.0)
+    cells = search.withColumns({"bound": bound, "away": F.lit(0.0)})
     for i, axis in enumerate(axes):
-        index = F.floor(F.col(axis) / F.col("size")).cast("long") + F.col(f"o{i}")
-        cells = cells.withColumn(f"c{i}", index)
-        low = F.col(f"c{i}") * F.col("size")
-        gap = F.greatest(F.lit(0.0), low - F.col(axis), F.col(axis) - low - F.col("size"))
-        away = away + gap * gap
-    cells = cells.where(away <= bound * bound).select(*key, *cell)
+        # cells of this axis that the ball still reaches, given the distance along the others
+        left = "sqrt(greatest(bound * bound - away, 0D))"
+        cells = cells.withColumn(
+            f"c{i}",
+            F.expr(
+                f"explode(sequence(cast(floor(({axis} - {left}) / size) as bigint), "
+                f"cast(floor(({axis} + {left}) / size) as bigint)))"
+            ),
+        ).withColumn(
+            "away",
+            F.expr(f"away + pow(greatest(0D, c{i} * size - {axis}, {axis} - (c{i} + 1) * size), 2)"),
+        )
+    cells = cells.where("away <= bound * bound").select(*key, *cell)
     used = search.agg(F.max("level")).scalar()
     rows = listed.where(F.col("level") <= used).select(
         *cell, "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes]

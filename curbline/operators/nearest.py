@@ -18,6 +18,7 @@ from curbline.operators.spatial_join import (
     with_covering_cells,
     with_point_cell,
 )
+from curbline.session import settle
 
 _CELL = ["level", "cx", "cy"]
 
@@ -53,6 +54,7 @@ def nearest_join(
 
     ``sites`` should hold one row per place (aggregate measurements first).
     """
+    sites = settle(sites, "sites")
     sizes = _levels(lines, sites)
     listed = with_point_cell(_with_level(sites, sizes), "size").drop("size")
     around = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
@@ -69,11 +71,12 @@ def nearest_join(
         with_point_cell(_with_level(anchors, sizes), "size"), occupied, _CELL, ["_line"]
     )
     gap = F.sqrt((F.col("x") - F.col("site.x")) ** 2 + (F.col("y") - F.col("site.y")) ** 2)
-    search = (
+    search = settle(
         spread.join(copied, [*_CELL, "salt"])
         .groupBy("_line")
         .agg(F.min(F.struct("level", "size", gap.alias("bound"))).alias("s"))
-        .select("_line", "s.level", "s.size", F.greatest("s.bound", F.lit(float(buffer))).alias("bound"))
+        .select("_line", "s.level", "s.size", F.greatest("s.bound", F.lit(float(buffer))).alias("bound")),
+        "search",
     )
     pieces = geo.explode_segments(lines.select(F.col(line_id).alias("_line"), "geometry"))
     pieces = pieces.drop("part", "pos").join(search, "_line")
