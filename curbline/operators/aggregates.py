@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 AGGREGATES = {
@@ -104,23 +104,82 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def describe(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column.
+QUANTILE_BUCKETS = 1 << 16
+
 
-    ``exact`` quartiles interpolate linearly; Spark keeps a count per distinct value for them,
-    so a column with very many distinct values should use ``exact=False``.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """``column share value``: quantiles with linear interpolation between neighbours.
+
+    Built-in exact percentiles keep a count per distinct value in one task. Here the range of
+    each column is counted in a fixed number of buckets, and only the distinct values of the
+    buckets holding a wanted rank are ordered.
     """
-    quantile = F.percentile if exact else F.percentile_approx
+    long = df.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+        )
+    ).where(F.col("value").isNotNull())
+    range_ = long.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    bucket = F.expr(
+        f"least(cast(floor(coalesce(try_divide(value - low, high - low), 0) * {QUANTILE_BUCKETS}) as int), "
+        f"{QUANTILE_BUCKETS - 1})"
+    )
+    counted = (
+        long.groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(F.broadcast(range_), "column")  # one row per column
+        .select("column", "value", "n", bucket.alias("bucket"))
+    )
+    by_bucket = Window.partitionBy("column").orderBy("bucket")
+    buckets = (
+        counted.groupBy("column", "bucket")
+        .agg(F.sum("n").alias("n"))
+        .withColumns(
+            {
+                "before": F.sum("n").over(by_bucket) - F.col("n"),
+                "total": F.sum("n").over(Window.partitionBy("column")),
+            }
+        )
+    )
+    wanted = F.array(*[F.struct(F.lit(float(s)).alias("share")) for s in shares])
+    asked = (
+        buckets.select("*", F.inline(wanted))
+        .withColumn("position", F.col("share") * (F.col("total") - 1))
+        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+        .select("column", "bucket", "before", "share", "position", "rank")
+        .distinct()
+    )
+    in_bucket = Window.partitionBy("column", "bucket").orderBy("value")
+    ranked = (
+        counted.join(asked.select("column", "bucket", "before").distinct(), ["column", "bucket"])
+        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
+        .select("column", "bucket", "value", "n", "upto")
+    )
+    weight = F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(F.col("position") - F.col("rank")))
+    return (
+        asked.join(ranked, ["column", "bucket"])
+        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .groupBy("column", "share")
+        .agg(F.sum(F.col("value") * weight).alias("value"))
+    )
+
+
+def describe(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
+    """count, mean, std, min, quartiles and max, one row per column; ``exact=False`` estimates
+    the quartiles in the same pass as the rest."""
     measures = {
-        "count": lambda c: F.count(c),
+        "count": F.count,
         "mean": F.avg,
         "std": F.stddev_samp,
         "min": lambda c: F.min(c).cast("double"),
-        "q25": lambda c: quantile(c, F.lit(0.25)).cast("double"),
-        "q50": lambda c: quantile(c, F.lit(0.5)).cast("double"),
-        "q75": lambda c: quantile(c, F.lit(0.75)).cast("double"),
         "max": lambda c: F.max(c).cast("double"),
     }
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    if not exact:
+        measures |= {
+            n: lambda c, s=s: F.percentile_approx(c, F.lit(s)).cast("double") for n, s in quartiles.items()
+        }
     row = df.agg(
         *[
             F.struct(
@@ -130,7 +189,14 @@ def describe(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> Da
             for c in columns
         ]
     )
-    return row.select(F.inline(F.array(*columns)))
+    table = row.select(F.inline(F.array(*columns)))
+    if not exact:
+        return table
+    found = exact_quantiles(df, columns, list(quartiles.values()))
+    wide = found.groupBy("column").agg(
+        *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for n, s in quartiles.items()]
+    )
+    return table.join(wide, "column", "left")
 
 
 def histogram(

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from curbline.functions import geometry as geo
 from curbline.operators.spatial_join import (
+    points_near,
     spatial_pairs,
     spread_hot_keys,
     with_point_cell,
 )
 from curbline.session import settle
 
+SUB_CELLS = 8
+
 
 def street_ends(streets: DataFrame) -> DataFrame:
     """Distinct end points ``x``, ``y`` of the streets (closed rings have none)."""
@@ -85,40 +88,68 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return unsettled.isEmpty()
 
 
+def _touching_cells(ends: DataFrame, reach: float) -> DataFrame:
+    """(a, b) for neighbouring cells holding two ends nearer than ``reach``.
+
+    Each cell is cut into sub-cells, and only the bounding boxes of the sub-cells are paired: at
+    most a fixed number per cell, however many ends there are. Boxes wholly within reach decide a
+    pair of cells, boxes wholly out of reach decide nothing. Single ends are compared only for the
+    boxes in between, and only where no box has decided the cells yet.
+    """
+    boxes = settle(
+        ends.groupBy("cx", "cy", "node", "sub").agg(
+            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
+        ),
+        "boxes",
+    )
+    # Neighbours up to two cells away in one half plane, so that each pair of cells meets once.
+    offsets = [(i, j) for i in range(0, 3) for j in range(-2, 3) if i > 0 or j > 0]
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets])
+    moved = boxes.select(
+        *[F.col(c).alias(f"o_{c}") for c in ("node", "sub", "x0", "x1", "y0", "y1", "cx", "cy")],
+        F.inline(steps),
+    ).withColumns({"cx": F.col("o_cx") + F.col("i"), "cy": F.col("o_cy") + F.col("j")})
+    near = " + ".join(f"pow(greatest(0D, {c}0 - o_{c}1, o_{c}0 - {c}1), 2)" for c in "xy")
+    far = " + ".join(f"pow(greatest({c}1 - o_{c}0, o_{c}1 - {c}0), 2)" for c in "xy")
+    paired = boxes.join(moved, ["cx", "cy"]).selectExpr(
+        "node as a", "o_node as b", "sub", "o_sub", f"{near} as near", f"{far} as far"
+    )
+    open_pairs = settle(paired.where(F.col("near") < F.lit(reach * reach)), "box-pairs")
+    decided = open_pairs.where(F.col("far") < F.lit(reach * reach)).select("a", "b").distinct()
+    undecided = open_pairs.select("a", "b", "sub", "o_sub").join(decided, ["a", "b"], "left_anti")
+    one = ends.select(F.col("node").alias("a"), "sub", "x", "y")
+    other = ends.select(
+        F.col("node").alias("b"), F.col("sub").alias("o_sub"), F.col("x").alias("x2"), F.col("y").alias("y2")
+    )
+    gap = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2
+    compared = (
+        undecided.join(one, ["a", "sub"])
+        .join(other, ["b", "o_sub"])
+        .where(gap < F.lit(reach * reach))
+        .select("a", "b")
+    )
+    return decided.unionByName(compared).distinct()
+
+
 def intersection_components(streets: DataFrame, radius: float = 30.0) -> DataFrame:
     """(x, y, component) for every distinct street end.
 
     Two discs of radius r overlap when their centres are nearer than 2r. Cells with a diagonal
     just below 2r hold only connected ends, so a cell is one node of the graph and no pairs
-    are formed inside it; pairs are only looked for between neighbouring cells, and only until
-    the two cells are known to touch. A component is named by its smallest cell.
+    are formed inside it. A component is named by its smallest cell.
     """
     reach = 2.0 * radius
     side = reach / math.sqrt(2.0) * (1 - 1e-9)
+    sub = [
+        f"cast(least({SUB_CELLS - 1}, floor(({axis} / {side!r} - c{axis}) * {SUB_CELLS})) as int)" for axis in "xy"
+    ]
     ends = settle(
-        with_point_cell(street_ends(streets), side).withColumn("node", _cell_id("cx", "cy")),
+        with_point_cell(street_ends(streets), side).withColumns(
+            {"node": _cell_id("cx", "cy"), "sub": F.expr(f"{sub[0]} * {SUB_CELLS} + {sub[1]}")}
+        ),
         "ends",
     )
-    # Neighbours up to two cells away in one half plane, so that each pair of cells meets once.
-    offsets = [(i, j) for i in range(0, 3) for j in range(-2, 3) if i > 0 or j > 0]
-    shifted = ends.select(
-        F.col("x").alias("x2"),
-        F.col("y").alias("y2"),
-        F.col("node").alias("node2"),
-        F.col("cx").alias("cx2"),
-        F.col("cy").alias("cy2"),
-        F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets])),
-    ).select(
-        "x2", "y2", "node2", (F.col("cx2") + F.col("i")).alias("cx"), (F.col("cy2") + F.col("j")).alias("cy")
-    )
-    gap = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2
-    edges = (
-        ends.join(shifted, ["cx", "cy"])
-        .where(gap < F.lit(reach * reach))
-        .select(F.col("node").alias("a"), F.col("node2").alias("b"))
-        .distinct()
-    )
-    labels = connected_components(edges)
+    labels = connected_components(_touching_cells(ends, reach))
     return ends.join(labels, "node", "left").select(
         "x", "y", F.coalesce("component", "node").alias("component")
     )
@@ -153,20 +184,20 @@ def within_disc(
     points: DataFrame, discs: DataFrame, radius: float, *, point_id: str | list[str]
 ) -> DataFrame:
     """Pairs of points and discs (centre ``x``, ``y``) with the point strictly inside."""
-    centres = discs.select(
-        *[c for c in discs.columns if c not in ("x", "y")],
-        geo.straight_line(F.col("x"), F.col("y"), F.col("x"), F.col("y")).alias("geometry"),
-    )
-    return spatial_pairs(points, centres, radius, point_id=point_id)
+    return spatial_pairs(points, _discs(discs), radius, point_id=point_id)
+
+
+def _discs(centres: DataFrame) -> DataFrame:
+    """Centres as lines without length."""
+    x, y = F.col("x"), F.col("y")
+    return centres.withColumn("geometry", geo.straight_line(x, y, x, y)).drop("x", "y")
 
 
 def intersection_split(
     points: DataFrame, streets: DataFrame, radius: float, *, point_id: str
 ) -> tuple[DataFrame, DataFrame]:
     """(points inside any street-end disc, all other points)."""
-    inside = (
-        within_disc(points.select(point_id, "x", "y"), street_ends(streets), radius, point_id=point_id)
-        .select(point_id)
-        .distinct()
+    discs = _discs(street_ends(streets))
+    return tuple(
+        points_near(points, discs, radius, point_id=point_id, negate=negate) for negate in (False, True)
     )
-    return points.join(inside, point_id, "left_semi"), points.join(inside, point_id, "left_anti")

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.operators.spatial_join import line_within_buffer_pairs
+from curbline.operators.spatial_join import line_within_buffer_pairs, spread_hot_keys
 
 HORIZON = (datetime(2012, 7, 1), datetime(2024, 4, 1))
 SECONDS_PER_WEEK = 604800.0
@@ -90,16 +90,18 @@ def interval_join(
 ) -> DataFrame:
     """Number of events of the same key inside each row's interval; 0 where there is none.
 
-    Events are counted per key and time first, so a key with very many events does not carry
-    them all into the join.
+    Events are counted per key and time first; keys that still hold very many are spread.
     """
     counted = events.groupBy(key, event_time).agg(F.count(F.lit(1)).alias("_n"))
-    hits = F.when(in_interval(F.col(event_time)), F.col("_n"))
-    return (
-        rows.join(counted, key, "left")
+    bounds = rows.select(*dict.fromkeys([key, "after", "until", *keys]))
+    spread, copied = spread_hot_keys(counted, bounds, [key], [event_time])
+    hits = (
+        spread.join(copied, [key, "salt"])
+        .where(in_interval(F.col(event_time)))
         .groupBy(*keys)
-        .agg(F.coalesce(F.sum(hits), F.lit(0)).alias(name))
+        .agg(F.sum("_n").alias(name))
     )
+    return rows.select(*keys).distinct().join(hits, list(keys), "left").fillna({name: 0})
 
 
 def weeks_between(start: Column, end: Column) -> Column:

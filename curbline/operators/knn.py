@@ -17,9 +17,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.operators.spatial_join import spread_hot_keys
+from curbline.operators.spatial_join import grid_sizes, spread_hot_keys
+from curbline.session import settle
 
 WEIGHTS = ("uniform", "distance")
+CROWDED_CELL = 8
 
 
 @dataclass(frozen=True)
@@ -70,10 +72,7 @@ def fit_knn(
     means = tuple(float(v) for v in stats[1 : 1 + d])
     deviations = tuple(float(v) or 1.0 for v in stats[1 + d : 1 + 2 * d])
     span = max(max(float(r) / s for r, s in zip(stats[1 + 2 * d :], deviations)), 1e-6)
-    finest = span * (k_max / count) ** (1 / d) / 4
-    steps = max(math.ceil(math.log2(span / finest)), 0)
-    sizes = tuple(finest * 2**i for i in range(steps + 1))
-    model = KnnModel(train, tuple(features), means, deviations, sizes, k_max)
+    model = KnnModel(train, tuple(features), means, deviations, (), k_max)
     rows = train.select(
         F.col(row_id).alias("id"),
         F.col(target).cast("double").alias("y"),
@@ -81,8 +80,17 @@ def fit_knn(
         *model.scaled(train),
     )
     same = Window.partitionBy(*model.axes, "fold").orderBy("id")
-    kept = rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k_max).drop("n")
-    return KnnModel(kept, model.features, means, deviations, sizes, k_max)
+    kept = settle(
+        rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k_max).drop("n"), "knn-rows"
+    )
+
+    def fullest(size: float) -> int:
+        cells = [F.floor(F.col(a) / F.lit(size)).alias(a) for a in model.axes]
+        return kept.select(*cells).groupBy(*model.axes).count().agg(F.max("count")).first()[0]
+
+    finest = span * (k_max / count) ** (1 / d) / 4
+    sizes = grid_sizes(finest, span, fullest, CROWDED_CELL * k_max)
+    return KnnModel(kept, model.features, means, deviations, tuple(sizes), k_max)
 
 
 def _with_cells(df: DataFrame, model: KnnModel) -> DataFrame:

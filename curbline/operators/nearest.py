@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions import geometry as geo
 from curbline.operators.spatial_join import (
+    grid_sizes,
     spread_hot_keys,
     with_covering_cells,
     with_point_cell,
@@ -23,17 +24,23 @@ from curbline.session import settle
 _CELL = ["level", "cx", "cy"]
 
 
+CROWDED_CELL = 64
+
+
 def _levels(lines: DataFrame, sites: DataFrame) -> list[float]:
-    """Cell sizes: from about one site per cell up to one cell over everything."""
+    """Cell sizes: from a few sites per cell up to one cell over everything."""
     corners = lines.select(F.inline(F.flatten("geometry")))
     extent = corners.unionByName(sites.select("x", "y")).agg(
         F.max("x") - F.min("x"), F.max("y") - F.min("y")
     )
     width, height = (float(v or 0.0) for v in extent.first())
     span = max(width, height, 1.0)
-    finest = max(span / math.sqrt(max(sites.count(), 1)), 1.0)
-    steps = math.ceil(math.log2(span / finest)) if span > finest else 0
-    return [finest * 2**i for i in range(steps + 1)]
+
+    def fullest(size: float) -> int:
+        counts = with_point_cell(sites.select("x", "y"), size).groupBy("cx", "cy").count()
+        return counts.agg(F.max("count")).first()[0] or 0
+
+    return grid_sizes(span / math.sqrt(max(sites.count(), 1)), span, fullest, CROWDED_CELL)
 
 
 def _with_level(df: DataFrame, sizes: list[float]) -> DataFrame:

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbline.operators.spatial_join import spread_hot_keys
+
 # The street-name parts that mark a street type.
 AVENUE_SUFFIXES = ("AVE", "BLVD")
 AVENUE_PREFIX = "AVE"
@@ -142,7 +144,9 @@ def inner_join_suffixes(
 def replace_by_group_values(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Replace row attributes by their largest value per key."""
     largest = df.groupBy(key).agg(*[F.max(c).alias(c) for c in columns])
-    return df.drop(*columns).join(largest, key, "left")
+    kept = df.drop(*columns)
+    spread, copied = spread_hot_keys(kept, largest, [key], [c for c in kept.columns if c != key] or [key])
+    return spread.join(copied, [key, "salt"], "left").drop("salt")
 
 
 def densify(

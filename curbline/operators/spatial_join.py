@@ -13,6 +13,7 @@ salts, its segments are copied once per salt; the result does not depend on it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -127,10 +128,33 @@ def spread_hot_keys(
     return spread, copied
 
 
+def grid_sizes(finest: float, span: float, fullest, bound: int) -> list[float]:
+    """Cell sizes doubling from ``finest`` to ``span``. While ``fullest(size)``, the rows of the
+    fullest cell, exceeds ``bound``, the finest size is lowered: rows crowded in one spot get
+    levels of their own, down to a 2**40th of the span."""
+    floor_ = span * 2.0**-40
+    while finest > floor_ and fullest(finest) > bound:
+        finest = max(finest / 16, floor_)
+    steps = math.ceil(math.log2(span / finest)) if span > finest else 0
+    return [finest * 2**i for i in range(steps + 1)]
+
+
 def _as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _point_cells(
+    points: DataFrame, lines: DataFrame, radius: float, point_id: Sequence[str], closed: bool,
+    cell: float | None,
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides listed by (salted) cell, and the distance condition."""
+    size = cell or cell_size(radius)
+    pieces = with_covering_cells(geo.explode_segments(lines).drop("part", "pos"), size, radius)
+    spread, copied = spread_hot_keys(with_point_cell(points, size), pieces, _CELL, point_id)
+    gap, limit = geo.distance_squared("x", "y"), F.lit(radius * radius)
+    return spread, copied, (gap <= limit if closed else gap < limit)
+
+
 def spatial_pairs(
     points: DataFrame,
     lines: DataFrame,
@@ -147,24 +171,51 @@ def spatial_pairs(
     matches only when ``closed``. A point near several segments of one line is one pair: the
     grouping includes the cell, so it runs on the partitions of the join, without a shuffle.
     """
-    size = cell or cell_size(radius)
     line_columns = [c for c in lines.columns if c != "geometry"]
-    celled = with_point_cell(points, size)
-    pieces = with_covering_cells(
-        geo.explode_segments(lines).drop("part", "pos"), size, radius
-    )
-    spread, copied = spread_hot_keys(celled, pieces, _CELL, _as_list(point_id))
-    gap = geo.distance_squared("x", "y")
-    near = gap <= F.lit(radius * radius) if closed else gap < F.lit(radius * radius)
+    spread, copied, near = _point_cells(points, lines, radius, _as_list(point_id), closed, cell)
     return (
         spread.join(copied, _KEY)
         .where(near)
         .groupBy(*_KEY, *points.columns, *line_columns)
-        .agg(F.sqrt(F.min(gap)).alias("distance"))
+        .agg(F.sqrt(F.min(geo.distance_squared("x", "y"))).alias("distance"))
         .drop(*_KEY)
     )
 
 
+def points_near(
+    points: DataFrame,
+    lines: DataFrame,
+    radius: float,
+    *,
+    point_id: str | Sequence[str],
+    closed: bool = False,
+    negate: bool = False,
+    cell: float | None = None,
+) -> DataFrame:
+    """The points with any line nearer than ``radius`` (``negate``: with none).
+
+    A semi or anti join on the cell: a point is settled by its first match, no pairs are formed.
+    """
+    spread, copied, near = _point_cells(
+        points, lines.select("geometry"), radius, _as_list(point_id), closed, cell
+    )
+    other = copied.withColumnsRenamed({c: f"_{c}" for c in _KEY})
+    same = near
+    for c in _KEY:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return spread.join(other, same, "left_anti" if negate else "left_semi").drop(*_KEY)
+
+
+def _with_unmatched(matched: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """``matched`` and the ``rows`` without a match, as an outer join gives them.
+
+    An outer join on the key would gather all matches of one key in a task; here the matches stay
+    where they are and only the keys are compared.
+    """
+    bare = rows.join(matched.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(bare, allowMissingColumns=True)
+
+
 def _attach(
     points: DataFrame,
     lines: DataFrame,
@@ -177,20 +228,12 @@ def _attach(
 ) -> DataFrame:
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join type {how!r}")
-    if how == "inner":
-        return spatial_pairs(points, lines, radius, point_id=point_id, closed=closed, cell=cell)
+    pairs = spatial_pairs(points, lines, radius, point_id=point_id, closed=closed, cell=cell)
     if how == "right":
-        # keep every line: only its key takes part in the spatial join
-        pairs = spatial_pairs(
-            points, lines.select(line_id, "geometry"), radius,
-            point_id=point_id, closed=closed, cell=cell,
-        )
-        return lines.drop("geometry").join(pairs, line_id, "left")
-    pairs = spatial_pairs(
-        points.select(point_id, "x", "y"), lines, radius,
-        point_id=point_id, closed=closed, cell=cell,
-    )
-    return points.join(pairs.drop("x", "y"), point_id, "left")
+        return _with_unmatched(pairs, lines.drop("geometry"), line_id)
+    if how == "left":
+        return _with_unmatched(pairs, points, point_id)
+    return pairs
 
 
 def point_within_buffer_join(
@@ -374,14 +417,13 @@ def line_within_buffer_join(
         inner.select(inner_id, "geometry"), outer.select(outer_id, "geometry"), radius,
         inner_id=inner_id, outer_id=outer_id, cell=cell,
     )
+    if how not in ("inner", "left", "right"):
+        raise ValueError(f"unknown join type {how!r}")
     a, b = inner.drop("geometry"), outer.drop("geometry")
+    matched = pairs.join(a, inner_id).join(b, outer_id)
     if how == "inner":
-        return a.join(pairs, inner_id).join(b, outer_id)
-    if how == "left":
-        return a.join(pairs.join(b, outer_id), inner_id, "left")
-    if how == "right":
-        return b.join(pairs.join(a, inner_id), outer_id, "left")
-    raise ValueError(f"unknown join type {how!r}")
+        return matched
+    return _with_unmatched(matched, *((a, inner_id) if how == "left" else (b, outer_id)))
 
 
 def spatial_join_aggregate(
