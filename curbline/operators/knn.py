@@ -12,11 +12,12 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.operators.prep import fit_scaler
 from curbline.operators.spatial_join import grid_sizes, spread_hot_keys
 from curbline.session import settle
 
@@ -26,14 +27,17 @@ CROWDED_CELL = 8
 
 @dataclass(frozen=True)
 class KnnModel:
-    """Training rows with scaled features ``f0..``, plus the scaling and the grid."""
+    """Training rows with scaled features ``f0..``, the scaling, the range of the scaled rows and
+    the cell sizes of the grids."""
 
     rows: DataFrame
     features: tuple[str, ...]
     means: tuple[float, ...]
     deviations: tuple[float, ...]
-    sizes: tuple[float, ...]
     k_max: int
+    lows: tuple[float, ...] = ()
+    highs: tuple[float, ...] = ()
+    sizes: tuple[float, ...] = ()
 
     @property
     def axes(self) -> list[str]:
@@ -57,49 +61,45 @@ def fit_knn(
 ) -> KnnModel:
     """Standard-scale the features, given as column names or expressions (population deviation; 1
     for a constant feature) and keep, per identical feature vector and fold, the ``k_max`` rows
-    with the smallest ids. That loses
-    nothing: neighbours are ranked by distance and id, so no query can use more of them."""
-    numbers = [F.expr(c).cast("double") for c in features]
-    stats = train.agg(
-        F.count(F.lit(1)),
-        *[F.avg(c) for c in numbers],
-        *[F.stddev_pop(c) for c in numbers],
-        *[F.max(c) - F.min(c) for c in numbers],
-    ).first()
-    d, count = len(features), stats[0]
-    if count < k_max:
-        raise ValueError(f"{count} training rows cannot give {k_max} neighbours")
-    means = tuple(float(v) for v in stats[1 : 1 + d])
-    deviations = tuple(float(v) or 1.0 for v in stats[1 + d : 1 + 2 * d])
-    span = max(max(float(r) / s for r, s in zip(stats[1 + 2 * d :], deviations)), 1e-6)
-    model = KnnModel(train, tuple(features), means, deviations, (), k_max)
+    with the smallest ids. That loses nothing: neighbours are ranked by distance and id, so no
+    query can use more of them."""
+    d = len(features)
+    scaler = fit_scaler(train, features)
+    model = KnnModel(train, tuple(features), scaler.means, scaler.deviations, k_max)
     rows = train.select(
         F.col(row_id).alias("id"),
         F.col(target).cast("double").alias("y"),
         (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
         *model.scaled(train),
     )
+    per_fold = [r[1] for r in rows.groupBy("fold").count().collect()]
+    usable = sum(per_fold) - (max(per_fold) if fold else 0)
+    if usable < k_max:
+        raise ValueError(f"{usable} training rows cannot give {k_max} neighbours")
     same = Window.partitionBy(*model.axes, "fold").orderBy("id")
     kept = settle(
         rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k_max).drop("n"), "knn-rows"
     )
+    ends = kept.agg(*[F.min(a) for a in model.axes], *[F.max(a) for a in model.axes]).first()
+    lows, highs = tuple(ends[:d]), tuple(ends[d:])
+    span = max(max(h - l for l, h in zip(lows, highs)), 1e-6)
 
     def fullest(size: float) -> int:
         cells = [F.floor(F.col(a) / F.lit(size)).alias(a) for a in model.axes]
         return kept.select(*cells).groupBy(*model.axes).count().agg(F.max("count")).first()[0]
 
-    finest = span * (k_max / count) ** (1 / d) / 4
+    finest = span * (k_max / sum(per_fold)) ** (1 / d) / 4
     sizes = grid_sizes(finest, span, fullest, CROWDED_CELL * k_max)
-    return KnnModel(kept, model.features, means, deviations, tuple(sizes), k_max)
+    return replace(model, rows=kept, lows=lows, highs=highs, sizes=tuple(sizes))
 
 
-def _with_cells(df: DataFrame, model: KnnModel) -> DataFrame:
+def _with_cells(df: DataFrame, model: KnnModel, columns: Sequence[str]) -> DataFrame:
     levels = F.array(
         *[F.struct(F.lit(i).alias("level"), F.lit(s).alias("size")) for i, s in enumerate(model.sizes)]
     )
     listed = df.select("*", F.inline(levels))
     return listed.withColumns(
-        {f"c{i}": F.floor(F.col(a) / F.col("size")).cast("long") for i, a in enumerate(model.axes)}
+        {f"c{i}": F.floor(F.col(c) / F.col("size")).cast("long") for i, c in enumerate(columns)}
     )
 
 
@@ -115,11 +115,24 @@ def _offsets(d: int, reach: int) -> Column:
 def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
     """``f0.. fold rank distance y``: the ``k_max`` nearest training rows of every distinct
     query vector, ranked by distance and id. ``queries`` has ``f0..`` and ``fold``; rows of the
-    query's own fold are not neighbours (fold -2 meets every row)."""
+    query's own fold are not neighbours (fold -2 meets every row).
+
+    A query outside the range of the training rows is searched from the nearest point of that
+    range, ``away`` from it.
+    """
     axes, d = model.axes, len(model.axes)
     cell = ["level", *[f"c{i}" for i in range(d)]]
-    vectors = queries.select(*axes, "fold").distinct()
-    listed = _with_cells(model.rows, model).drop("size")
+    key = [*axes, "fold"]
+    entry = [f"g{i}" for i in range(d)]
+    vectors = queries.select(*key).distinct().withColumns(
+        {
+            g: F.greatest(F.lit(low), F.least(F.lit(high), F.col(a)))
+            for g, a, low, high in zip(entry, axes, model.lows, model.highs)
+        }
+    )
+    off = " + ".join(f"pow({a} - {g}, 2)" for a, g in zip(axes, entry))
+    vectors = vectors.withColumn("away", F.expr(f"sqrt({off})"))
+    listed = _with_cells(model.rows, model, axes).drop("size")
 
     # rows per cell neighbourhood and fold
     per_cell = listed.groupBy(*cell, F.col("fold").alias("row_fold")).agg(F.count(F.lit(1)).alias("n"))
@@ -128,48 +141,54 @@ def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
         .groupBy("level", *[(F.col(f"c{i}") + F.col(f"o{i}")).alias(f"c{i}") for i in range(d)], "row_fold")
         .agg(F.sum("n").alias("n"))
     )
-    key = [*axes, "fold"]
-    spread, copied = spread_hot_keys(_with_cells(vectors, model), around, cell, key)
-    search = (
+    top = len(model.sizes) - 1
+    # cells much smaller than the way to the range would only be many
+    coarse = _with_cells(vectors, model, entry).where(
+        (F.col("size") * 4 >= F.col("away")) | (F.col("level") == top)
+    )
+    spread, copied = spread_hot_keys(coarse, around, cell, key)
+    search = settle(
         spread.join(copied, [*cell, "salt"])
         .where(F.col("row_fold") != F.col("fold"))
-        .groupBy(*key, "level", "size")
+        .groupBy(*key, *entry, "away", "level", "size")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= model.k_max)
-        .groupBy(*key)
+        .groupBy(*key, *entry, "away")
         .agg(F.min(F.struct("level", "size")).alias("s"))
-        .select(*key, "s.*")
+        .select(*key, *entry, "away", "s.*"),
+        "knn-search",
+    )
+    # From its entry point, k rows lie within the far corners of the neighbouring cells (2*size
+    # per axis). Seen from outside a convex range, whatever is nearer than away + reach lies within
+    # sqrt(reach^2 + 2*away*reach) of the entry point.
+    reach = f"(size * {2 * math.sqrt(d) * (1 + 1e-9)!r})"
+    cells = search.withColumns(
+        {"bound2": F.expr(f"{reach} * {reach} + 2 * away * {reach}"), "used2": F.lit(0.0)}
     )
-    # The k-th neighbour lies within the far corner of the neighbouring cells: 2*size per axis.
-    bound = F.col("size") * F.lit(2 * math.sqrt(d) * (1 + 1e-9))
-    cells = search.withColumns({"bound": bound, "away": F.lit(0.0)})
-    for i, axis in enumerate(axes):
+    for i, (g, low, high) in enumerate(zip(entry, model.lows, model.highs)):
         # cells of this axis that the ball still reaches, given the distance along the others
-        left = "sqrt(greatest(bound * bound - away, 0D))"
+        left = "sqrt(greatest(bound2 - used2, 0D))"
         cells = cells.withColumn(
             f"c{i}",
             F.expr(
-                f"explode(sequence(cast(floor(({axis} - {left}) / size) as bigint), "
-                f"cast(floor(({axis} + {left}) / size) as bigint)))"
+                f"explode(sequence(cast(floor(greatest({g} - {left}, {low!r}D) / size) as bigint), "
+                f"cast(floor(least({g} + {left}, {high!r}D) / size) as bigint)))"
             ),
         ).withColumn(
-            "away",
-            F.expr(f"away + pow(greatest(0D, c{i} * size - {axis}, {axis} - (c{i} + 1) * size), 2)"),
+            "used2", F.expr(f"used2 + pow(greatest(0D, c{i} * size - {g}, {g} - (c{i} + 1) * size), 2)")
         )
-    cells = cells.where("away <= bound * bound").select(*key, *cell)
+    cells = cells.where("used2 <= bound2").select(*key, *cell)
     used = search.agg(F.max("level")).scalar()
     rows = listed.where(F.col("level") <= used).select(
         *cell, "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes]
     )
     spread, copied = spread_hot_keys(rows, cells, cell, ["id"])
-    square = F.lit(0.0)
-    for axis in axes:
-        square = square + (F.col(axis) - F.col(f"r_{axis}")) * (F.col(axis) - F.col(f"r_{axis}"))
+    square = " + ".join(f"({a} - r_{a}) * ({a} - r_{a})" for a in axes)
     near = Window.partitionBy(*key).orderBy("distance", "id")
     return (
         spread.join(copied, [*cell, "salt"])
         .where(F.col("row_fold") != F.col("fold"))
-        .select(*key, "id", "y", F.sqrt(square).alias("distance"))
+        .select(*key, "id", "y", F.expr(f"sqrt({square})").alias("distance"))
         .withColumn("rank", F.row_number().over(near))
         .where(F.col("rank") <= model.k_max)
     )

@@ -237,7 +237,7 @@ def save_model(model: PipelineModel | knn.KnnModel, folder: str, kind: str, spar
         model.rows.write.mode("overwrite").parquet(f"{path}/rows")
         meta = {
             "features": model.features, "means": model.means, "deviations": model.deviations,
-            "sizes": model.sizes, "k_max": model.k_max,
+            "lows": model.lows, "highs": model.highs, "sizes": model.sizes, "k_max": model.k_max,
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
             "overwrite"
@@ -252,11 +252,8 @@ def load_model(folder: str, kind: str, spark: SparkSession) -> PipelineModel | k
     if KIND_ALIASES.get(kind, kind) != "knn":
         return PipelineModel.load(path)
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    return knn.KnnModel(
-        rows=spark.read.parquet(f"{path}/rows"),
-        features=tuple(meta["features"]), means=tuple(meta["means"]),
-        deviations=tuple(meta["deviations"]), sizes=tuple(meta["sizes"]), k_max=meta["k_max"],
-    )
+    fields = {n: tuple(v) if isinstance(v, list) else v for n, v in meta.items()}
+    return knn.KnnModel(rows=spark.read.parquet(f"{path}/rows"), **fields)
 
 
 def model_path(folder: str, kind: str) -> str:
