@@ -248,7 +248,9 @@ def _(spark, sf_dir):
     return rounded(dataset(spark, sf_dir).drop("geometry"))
 
 
-HASH = "((({id}) % 2147483647) * 1103515245 + {seed}) % 2147483647"
+_X = "(((({id}) % 2147483647) * 1103515245 + {seed}) % 2147483647)"
+_SQUARE = f"({_X} * {_X} % 2147483647)"
+HASH = f"({_SQUARE} * {_SQUARE} % 2147483647) * {_X} % 2147483647"
 _RANKED = (
     "SELECT *, row_number() OVER (ORDER BY "
     + HASH.format(id="physicalid * 2 + CAST(has_humps AS BIGINT)", seed=316203477)

@@ -14,16 +14,19 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed values of the hash, which any SQL engine can repeat: h = (id * MULTIPLIER + seed) mod PRIME.
+# Fixed values of the hash, which any SQL engine can repeat with 64-bit integers:
+# h = ((id * MULTIPLIER + seed) mod PRIME) ** 5 mod PRIME. The fifth power permutes the
+# residues of this prime, so keys below it never collide, and breaks up runs of keys.
 PRIME = 2147483647
 MULTIPLIER = 1103515245
 BUCKET_BITS = 15
 DEFAULT_SEED = 42
 
 
-def portable_hash(row_id: str | Column, seed: int = DEFAULT_SEED) -> Column:
-    key = F.col(row_id) if isinstance(row_id, str) else row_id
-    return (F.pmod(key, F.lit(PRIME)) * F.lit(MULTIPLIER) + F.lit(seed)) % F.lit(PRIME)
+def portable_hash(row_id: str, seed: int = DEFAULT_SEED) -> Column:
+    x = f"((pmod({row_id}, {PRIME}) * {MULTIPLIER} + {seed}) % {PRIME})"
+    square = f"({x} * {x} % {PRIME})"
+    return F.expr(f"({square} * {square} % {PRIME}) * {x} % {PRIME}")
 
 
 def _position(row_id: str, seed: int) -> Column:
@@ -32,6 +35,18 @@ def _position(row_id: str, seed: int) -> Column:
     )
 
 
+def _join_strata(
+    left: DataFrame, right: DataFrame, strata: Sequence[str], keys: Sequence[str] = (), how: str = "inner"
+) -> DataFrame:
+    """Join on the strata, where NULL is a stratum like any other, and on ``keys``."""
+    columns = [*strata, *keys]
+    other = right.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return left.join(other, same, how).drop(*[f"_{c}" for c in columns])
+
+
 def _cutoffs(
     df: DataFrame, row_id: str, seed: int, ranks: Sequence[str], strata: Sequence[str] = ()
 ) -> DataFrame:
@@ -61,7 +76,7 @@ def _cutoffs(
     )
     inside = Window.partitionBy(*strata, "bucket", "i").orderBy("p")
     hits = (
-        hashed.join(bounds, [*strata, "bucket"])
+        _join_strata(hashed, bounds, strata, ["bucket"])
         .withColumn("n", F.row_number().over(inside))
         .where(F.col("n") == F.col("place"))
     )
@@ -91,14 +106,8 @@ def with_test_flag(
     position = _position(row_id, seed)
     if not strata:
         return df.withColumn(name, F.coalesce(position <= cut.select("c0").scalar(), F.lit(False)))
-    renamed = cut.withColumnsRenamed({s: f"_{s}" for s in strata})
-    same = F.lit(True)
-    for s in strata:
-        same = same & F.col(s).eqNullSafe(F.col(f"_{s}"))
-    flagged = df.join(renamed, same, "left")
-    return flagged.withColumn(name, F.coalesce(position <= F.col("c0"), F.lit(False))).drop(
-        "c0", *[f"_{s}" for s in strata]
-    )
+    flagged = _join_strata(df, cut, strata, how="left")
+    return flagged.withColumn(name, F.coalesce(position <= F.col("c0"), F.lit(False))).drop("c0")
 
 
 def train_test_split(df: DataFrame, row_id: str, **options) -> tuple[DataFrame, DataFrame]:
