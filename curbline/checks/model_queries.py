@@ -305,14 +305,25 @@ def _scored(spark, sf_dir):
     return model_table(spark, sf_dir).withColumn("prediction", F.col("shape_leng") * 0.001)
 
 
-@query("evaluate_mse_mae_r2", model_sql("""
-    SELECT has_humps, round(avg(pow(collision_rate - prediction, 2)), 6) AS mse,
-           round(avg(abs(collision_rate - prediction)), 6) AS mae,
-           round(1 - sum(pow(collision_rate - prediction, 2)) / sum(pow(collision_rate - mean, 2)), 6) AS r2
-    FROM (SELECT *, avg(collision_rate) OVER (PARTITION BY has_humps) AS mean FROM scored) GROUP BY 1""", scored=_SCORED))
-def _(spark, sf_dir):
-    scores = stats.evaluate(_scored(spark, sf_dir), LABEL, keys=["has_humps"])
-    return rounded(scores, {"mse": 6, "mae": 6, "r2": 6})
+_METRICS = {
+    "mse": "avg(pow(collision_rate - prediction, 2))",
+    "mae": "avg(abs(collision_rate - prediction))",
+    "r2": "1 - sum(pow(collision_rate - prediction, 2)) / sum(pow(collision_rate - mean, 2))",
+}
+
+
+def _metric(name):
+    sql = f"SELECT has_humps, round({_METRICS[name]}, 6) AS {name} FROM " \
+          "(SELECT *, avg(collision_rate) OVER (PARTITION BY has_humps) AS mean FROM scored) GROUP BY 1"
+
+    @query(name, model_sql(sql, scored=_SCORED))
+    def run(spark, sf_dir):
+        scores = stats.evaluate(_scored(spark, sf_dir), LABEL, keys=["has_humps"])
+        return rounded(scores.select("has_humps", name), {name: 6})
+
+
+for _name in _METRICS:
+    _metric(_name)
 
 
 @query("residuals", model_sql("SELECT row_id, round(prediction - collision_rate, 6) AS residual FROM scored", scored=_SCORED))

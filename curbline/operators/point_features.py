@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from curbline.operators.intersections import intersection_weights, within_disc
 from curbline.operators.intervals import in_interval
 from curbline.operators.spatial_join import spatial_pairs
+from curbline.session import settle
 
 METHODS = ("uniform", "weighted", "binary", "value")
 OPERATIONS = ("sum", "max", "mean")
@@ -96,7 +97,8 @@ def _places(feature: PointFeature) -> tuple[DataFrame, list[str]]:
             F.max("_w").alias("top"),
         )
     )
-    return rows, keys
+    # Stored, because both the count per cell and the join read it: the features are scanned once.
+    return settle(rows, "places"), keys
 
 
 def _weigh(feature: PointFeature, places: DataFrame, key: list[str], streets: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def crashes_by_street_hour(
     ``crashes`` has ``datetime``. ``count_missing_month`` lets streets without crashes add one to
     the number of months, as a distinct count over all rows would.
     """
-    places = crashes.groupBy("x", "y", "datetime").agg(F.count(F.lit(1)).alias("n"))
+    places = settle(crashes.groupBy("x", "y", "datetime").agg(F.count(F.lit(1)).alias("n")), "places")
     found = settle(
         spatial_pairs(
             places, profile.select("physicalid", "geometry"), radius,

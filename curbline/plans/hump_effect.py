@@ -67,7 +67,8 @@ def hump_road_crashes(
         summed("number_of_pedestrians_injured").alias("injured"),
         summed("number_of_pedestrians_killed").alias("killed"),
     )
-    roads = hump_roads(streets, humps, radius)
+    places = settle(places, "places")
+    roads = settle(hump_roads(streets, humps, radius), "hump-roads")
     found = settle(
         spatial_pairs(places, roads, radius, point_id=["x", "y", "crash_date"])
         .groupBy(*ROAD, "hump_lines", "crash_date")
