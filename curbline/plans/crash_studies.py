@@ -16,7 +16,7 @@ from curbline.operators.relational import (
     unlocated_injury_filter,
 )
 from curbline.operators.spatial_join import spatial_join_aggregate, spatial_pairs
-from curbline.plans.layers import load_street_lines
+from curbline.plans.layers import load_street_lines, with_street_key
 from curbline.session import settle
 
 HOURLY_ATTRIBUTES = ("rw_type", "bike_lane", "shape_leng", "trafdir", "st_width")
@@ -27,20 +27,22 @@ def street_profile(
 ) -> DataFrame:
     """Streets, one per geometry, with the mean speed limit (missing ones take the most frequent
     limit found) and the number of humps among the centroids in their buffers."""
-    lines = drop_duplicates_first(
-        streets.select("physicalid", *HOURLY_ATTRIBUTES, "geometry"), ["geometry"], ["physicalid"]
+    lines = with_street_key(
+        drop_duplicates_first(
+            streets.select("physicalid", *HOURLY_ATTRIBUTES, "geometry"), ["geometry"], ["physicalid"]
+        )
     )
-    keyed = lines.select("physicalid", "geometry")
+    keyed = lines.select("street", "geometry")
     near_limits = settle(
         spatial_pairs(limits, keyed, radius, point_id="limit_id", closed=True), "street-limits"
     )
     usual = mode_value(near_limits, "postvz_sl")
-    limit = group_agg_named(near_limits, ["physicalid"], {"postvz_sl": "mean"})
+    limit = group_agg_named(near_limits, ["street"], {"postvz_sl": "mean"})
     near_humps = spatial_pairs(humps, keyed, radius, point_id="hump_id", closed=True)
-    hump = group_agg_named(near_humps, ["physicalid"], {"humps": "sum"})
+    hump = group_agg_named(near_humps, ["street"], {"humps": "sum"})
     return (
-        lines.join(limit, "physicalid", "left")
-        .join(hump, "physicalid", "left")
+        lines.join(limit, "street", "left")
+        .join(hump, "street", "left")
         .withColumns(
             {
                 "postvz_sl": F.coalesce("postvz_sl", usual.cast("double")),
@@ -62,22 +64,22 @@ def crashes_by_street_hour(
     places = settle(crashes.groupBy("x", "y", "datetime").agg(F.count(F.lit(1)).alias("n")), "places")
     found = settle(
         spatial_pairs(
-            places, profile.select("physicalid", "geometry"), radius,
+            places, profile.select("street", "geometry"), radius,
             point_id=["x", "y", "datetime"], closed=True,
         )
-        .groupBy("physicalid", "datetime")
+        .groupBy("street", "datetime")
         .agg(F.sum("n").alias("n")),
         "street-crashes",
     )
-    hourly = found.groupBy("physicalid", F.hour("datetime").alias("hour")).agg(F.sum("n").alias("n"))
-    joined = profile.drop("geometry").join(hourly, "physicalid", "left")
+    hourly = found.groupBy("street", F.hour("datetime").alias("hour")).agg(F.sum("n").alias("n"))
+    joined = profile.drop("geometry").join(hourly, "street", "left")
     months = distinct_month_count(found, "datetime").scalar()
     if count_missing_month:
         bare = joined.agg(F.max(F.col("n").isNull().cast("long"))).scalar()
         months = months + bare
     return joined.withColumn(
         "crashes", F.try_divide(F.coalesce("n", F.lit(0)), months.cast("double"))
-    ).drop("n")
+    ).drop("n", "street")
 
 
 def mid_block_crashes(
@@ -95,24 +97,24 @@ def mid_block_crashes(
     ``humps`` (centroids) adds the humps and earliest installation of the street, ``limits`` its
     mean limit, ``trees`` the number of trees.
     """
-    lines = load_street_lines(streets, ["shape_leng", "st_width"])
+    lines = with_street_key(load_street_lines(streets, ["shape_leng", "st_width"]))
     _, between = intersection_split(crashes, lines, radius, point_id="collision_id")
     described = lines
     wanted = ["collision_id", "x", "y", "datetime", *extra_columns, "physicalid", "shape_leng", "st_width"]
     if humps is not None:
         described = spatial_join_aggregate(
             described, humps, radius, {"humps": "sum", "date_insta": "min"},
-            street_id="physicalid", point_id="hump_id",
+            street_id="street", point_id="hump_id",
         )
         wanted += ["humps", "date_insta"]
     if limits is not None:
         described = spatial_join_aggregate(
-            described, limits, radius, {"postvz_sl": "mean"}, street_id="physicalid", point_id="limit_id"
+            described, limits, radius, {"postvz_sl": "mean"}, street_id="street", point_id="limit_id"
         )
         wanted.append("postvz_sl")
     if trees is not None:
         counted = spatial_join_aggregate(
-            described, trees, radius, {"tree_id": "count"}, street_id="physicalid", point_id="tree_id"
+            described, trees, radius, {"tree_id": "count"}, street_id="street", point_id="tree_id"
         )
         described = counted.withColumnRenamed("tree_id", "trees")
         wanted.append("trees")

@@ -15,23 +15,28 @@ from curbline.operators.relational import (
     densify,
     inner_join_suffixes,
     margin_window_filter,
+    replace_by_group_values,
 )
 from curbline.operators.spatial_join import line_within_buffer_pairs, spatial_pairs
+from curbline.plans.layers import with_street_key
 from curbline.session import settle
 
 ROAD = ["physicalid", "humps", "shape_leng", "road_leng", "date_insta"]
 
 
 def hump_roads(streets: DataFrame, humps: DataFrame, radius: float = 25.0) -> DataFrame:
-    """Streets lying in a hump line's buffer, with the largest hump attributes per street and the
-    number of hump lines around it."""
+    """Street rows lying in a hump line's buffer, with the largest hump attributes and the number
+    of hump lines around them."""
+    rows = with_street_key(
+        streets.select("physicalid", "geometry", F.col("shape_leng").cast("double").alias("road_leng"))
+    )
     inside = line_within_buffer_pairs(
-        streets.select("physicalid", "geometry"), humps.select("hump_id", "geometry"), radius,
-        inner_id="physicalid", outer_id="hump_id",
+        rows.select("street", "geometry"), humps.select("hump_id", "geometry"), radius,
+        inner_id="street", outer_id="hump_id",
     )
     around = (
         inside.join(humps.select("hump_id", "humps", "shape_leng", "date_insta"), "hump_id")
-        .groupBy("physicalid")
+        .groupBy("street")
         .agg(
             F.count(F.lit(1)).alias("hump_lines"),
             F.max("humps").cast("double").alias("humps"),
@@ -39,9 +44,10 @@ def hump_roads(streets: DataFrame, humps: DataFrame, radius: float = 25.0) -> Da
             F.max("date_insta").alias("date_insta"),
         )
     )
-    return streets.select(
-        "physicalid", "geometry", F.col("shape_leng").cast("double").alias("road_leng")
-    ).join(around, "physicalid")
+    return rows.join(around, "street")
+
+
+COUNTS = ["n", "n_walked", "injured", "killed"]
 
 
 def hump_road_crashes(
@@ -49,9 +55,10 @@ def hump_road_crashes(
 ) -> DataFrame:
     """Crash counts per hump street and crash date, with ``first_crash`` and ``after_humps``.
 
-    A crash counts once per hump line around its street. Crashes at the same place and day are
-    combined before they are joined to the streets; only streets with humps are searched. Humps
-    installed within a year of the first crash or of ``as_of`` are left out.
+    A crash counts once per street row and hump line around it. Crashes at the same place and
+    day are combined before they are joined to the streets; only streets with humps are searched.
+    Attributes are the largest per street. Humps installed within a year of the first crash or
+    of ``as_of`` are left out.
     """
     people = pedestrians_involved(
         F.col("number_of_pedestrians_injured"), F.col("number_of_pedestrians_killed")
@@ -71,11 +78,13 @@ def hump_road_crashes(
     roads = settle(hump_roads(streets, humps, radius), "hump-roads")
     found = settle(
         spatial_pairs(places, roads, radius, point_id=["x", "y", "crash_date"])
-        .groupBy(*ROAD, "hump_lines", "crash_date")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "n_walked", "injured", "killed")]),
+        .groupBy(*ROAD, "crash_date")
+        .agg(*[F.sum(F.col(c) * F.col("hump_lines")).alias(c) for c in COUNTS]),
         "hump-crashes",
     )
-    dated = found.withColumn("first_crash", scalar_min(found, "crash_date"))
+    dated = replace_by_group_values(found, "physicalid", ROAD[1:]).withColumn(
+        "first_crash", scalar_min(found, "crash_date")
+    )
     kept = margin_window_filter(dated, "date_insta", first_event=F.col("first_crash"), as_of=as_of)
     return kept.withColumn("after_humps", F.col("date_insta") < F.col("crash_date"))
 
@@ -96,19 +105,18 @@ def crashes_per_road(found: DataFrame, *, as_of: datetime, pedestrians: bool = F
 
     ``pedestrians`` keeps crashes in which pedestrians were hurt and adds their numbers.
     """
-    lines = F.col("hump_lines")
     if pedestrians:
         rows = found.where(F.col("n_walked") > 0)
         measures = {
-            "number_of_pedestrians_injured": F.sum(F.col("injured") * lines),
-            "number_of_pedestrians_killed": F.sum(F.col("killed") * lines),
-            "pedestrians_involved": F.sum((F.col("injured") + F.col("killed")) * lines),
-            "collisions": F.sum(F.col("n_walked") * lines),
+            "number_of_pedestrians_injured": F.sum("injured"),
+            "number_of_pedestrians_killed": F.sum("killed"),
+            "pedestrians_involved": F.sum(F.col("injured") + F.col("killed")),
+            "collisions": F.sum("n_walked"),
         }
         rated = ["collisions", "pedestrians_involved"]
     else:
         rows, rated = found, ["collisions"]
-        measures = {"collisions": F.sum(F.col("n") * lines)}
+        measures = {"collisions": F.sum("n")}
     counts = rows.groupBy(*ROAD, "after_humps").agg(
         F.max("first_crash").alias("first_crash"), *[m.alias(n) for n, m in measures.items()]
     )

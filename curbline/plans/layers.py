@@ -33,6 +33,12 @@ def load_crash_points(
     return located.withColumn("datetime", moment).drop("crash_date", "crash_time")
 
 
+def with_street_key(streets: DataFrame, name: str = "street") -> DataFrame:
+    """Add a key of the street row. ``physicalid`` is not one: raw street tables repeat it for
+    rows of different geometry."""
+    return streets.withColumn(name, F.struct("physicalid", F.xxhash64("geometry").alias("shape")))
+
+
 def load_street_lines(streets: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Streets proper (road type 1) with the wanted columns, one row per geometry."""
     wanted = list(dict.fromkeys([*columns, "physicalid", "geometry"]))
