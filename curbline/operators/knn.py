@@ -158,12 +158,14 @@ def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
         .select(*key, *entry, "away", "s.*"),
         "knn-search",
     )
-    # From its entry point, k rows lie within the far corners of the neighbouring cells (2*size
-    # per axis). Seen from outside a convex range, whatever is nearer than away + reach lies within
+    # From its entry point, k rows lie no farther than the far corner of the neighbouring cells.
+    # Seen from outside a convex range, whatever is nearer than away + reach lies within
     # sqrt(reach^2 + 2*away*reach) of the entry point.
-    reach = f"(size * {2 * math.sqrt(d) * (1 + 1e-9)!r})"
-    cells = search.withColumns(
-        {"bound2": F.expr(f"{reach} * {reach} + 2 * away * {reach}"), "used2": F.lit(0.0)}
+    corner = " + ".join(
+        f"pow(greatest({g} - (floor({g} / size) - 1) * size, (floor({g} / size) + 2) * size - {g}), 2)" for g in entry
+    )
+    cells = search.withColumn("reach", F.expr(f"sqrt({corner}) * (1 + 1e-9)")).withColumns(
+        {"bound2": F.expr("reach * reach + 2 * away * reach"), "used2": F.lit(0.0)}
     )
     for i, (g, low, high) in enumerate(zip(entry, model.lows, model.highs)):
         # cells of this axis that the ball still reaches, given the distance along the others
