@@ -4,7 +4,10 @@ A bare distance condition plans as a nested loop. Here every segment is listed u
 cells its r-neighbourhood touches, every point under its own cell, and the join runs on the
 cell, so it is a hash or sort-merge join with the exact distance as residual condition.
 
-Skew: cells holding very many points are split. The number of points per cell is counted
+Size: the listed segments are counted. Few enough, they are broadcast and the points are not
+shuffled at all; otherwise both sides are shuffled by cell.
+
+Skew: cells holding very many points are then split. The number of points per cell is counted
 first (combined on the map side); the ``MAX_HOT_KEYS`` fullest cells above ``HOT_KEY_ROWS``
 points get salts. That list has a fixed bound, so it may be broadcast, and every cell not on
 it holds less than ``1/MAX_HOT_KEYS`` of the points. Points of a hot cell are spread over the
@@ -24,6 +27,8 @@ from curbline.functions import geometry as geo
 HOT_KEY_ROWS = 200_000
 MAX_HOT_KEYS = 10_000
 MAX_SALTS = 4096
+# About 20 MB of cell entries.
+BROADCAST_ROWS = 250_000
 CELLS_PER_RADIUS = 4.0
 # Feet by which a neighbourhood is widened when it is listed under cells and when lines are
 # tested for containment, so that rounding cannot lose a pair lying exactly at the radius.
@@ -110,7 +115,10 @@ def spread_hot_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``salt`` to both sides of a join: rows of ``many`` with a hot key are spread over the
     salts, the rows of ``few`` are copied to each. Join on ``[*key, "salt"]``. ``counts`` may
-    supply the rows ``n`` of ``many`` per key where they are known already."""
+    supply the rows ``n`` of ``many`` per key where they are known already.
+
+    The join is asked to be a sort-merge join: ``few`` is often an exploded table, whose size the
+    planner underestimates, and must not be broadcast on that estimate."""
     if counts is None:
         counts = many.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     hot = F.broadcast(hot_keys(counts, key))
@@ -125,7 +133,19 @@ def spread_hot_keys(
         .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("salts")
     )
-    return spread, copied
+    return spread, copied.hint("merge")
+
+
+def broadcast_or_spread(
+    many: DataFrame, few: DataFrame, key: Sequence[str], salt_by: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``salt``. If ``few``, counted up to the limit, has at most
+    ``BROADCAST_ROWS`` rows it is broadcast and ``many`` needs neither shuffle nor salts; beyond
+    that both are shuffled with hot keys spread."""
+    if few.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return spread_hot_keys(many, few, key, salt_by)
+    zero = F.lit(0)
+    return many.withColumn("salt", zero), F.broadcast(few.withColumn("salt", zero))
 
 
 def grid_sizes(finest: float, span: float, fullest, bound: int) -> list[float]:
@@ -150,7 +170,7 @@ def _point_cells(
     """Both sides listed by (salted) cell, and the distance condition."""
     size = cell or cell_size(radius)
     pieces = with_covering_cells(geo.explode_segments(lines).drop("part", "pos"), size, radius)
-    spread, copied = spread_hot_keys(with_point_cell(points, size), pieces, _CELL, point_id)
+    spread, copied = broadcast_or_spread(with_point_cell(points, size), pieces, _CELL, point_id)
     gap, limit = geo.distance_squared("x", "y"), F.lit(radius * radius)
     return spread, copied, (gap <= limit if closed else gap < limit)
 
@@ -363,7 +383,7 @@ def line_within_buffer_pairs(
             "wy": F.coalesce(F.try_divide(dy, F.col("length")), F.lit(0.0)),
         }
     )
-    spread, copied = spread_hot_keys(a, b, _CELL, ["_inner", "part", "pos"])
+    spread, copied = broadcast_or_spread(a, b, _CELL, ["_inner", "part", "pos"])
     segment = ["_inner", "_outer", "_total", "part", "pos"]
     # Segments far apart in a cell are dropped by their bounding boxes. Those near each other
     # without common stretch keep a NULL range, which adds nothing below; filtering on the range

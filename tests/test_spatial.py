@@ -62,6 +62,7 @@ def test_pairs_match_brute_force_for_any_cell(spark, scene, cell):
 def test_pairs_do_not_depend_on_salting(spark, scene, monkeypatch):
     lines, pts = scene
     monkeypatch.setattr(spatial_join, "HOT_KEY_ROWS", 3)
+    monkeypatch.setattr(spatial_join, "BROADCAST_ROWS", 10)
     found = spatial_join.spatial_pairs(points(spark, pts), line(spark, lines), 30.0, point_id="pid", cell=400.0)
     assert sorted((r.pid, r.id) for r in found.collect()) == expected_pairs(scene, 30.0)
 
@@ -102,8 +103,10 @@ def test_outer_joins_keep_the_unmatched(spark):
         run("cross")
 
 
-def test_semi_and_anti(spark, scene):
+@pytest.mark.parametrize("limit", [0, 250_000])
+def test_semi_and_anti(spark, scene, monkeypatch, limit):
     lines, pts = scene
+    monkeypatch.setattr(spatial_join, "BROADCAST_ROWS", limit)
     near = {i for i, _ in expected_pairs(scene, 30.0)}
     table, geometry = points(spark, pts), line(spark, lines)
     inside = spatial_join.points_near(table, geometry, 30.0, point_id="pid")
@@ -112,8 +115,10 @@ def test_semi_and_anti(spark, scene):
     assert {r.pid for r in outside.collect()} == {i for i, _, _ in pts} - near
 
 
-def test_no_nested_loops_in_plans(spark, scene):
+@pytest.mark.parametrize("limit, join", [(0, "SortMergeJoin"), (250_000, "BroadcastHashJoin [cx")])
+def test_no_nested_loops_in_plans(spark, scene, monkeypatch, limit, join):
     lines, pts = scene
+    monkeypatch.setattr(spatial_join, "BROADCAST_ROWS", limit)
     table, geometry = points(spark, pts), line(spark, lines)
     plans = [
         spatial_join.spatial_pairs(table, geometry, 30.0, point_id="pid"),
@@ -124,7 +129,7 @@ def test_no_nested_loops_in_plans(spark, scene):
     ]
     for df in plans:
         text = df._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in text and "Cartesian" not in text
+        assert "NestedLoop" not in text and "Cartesian" not in text and join in text
 
 
 def covered(inner, outer, r, steps=400):
@@ -154,7 +159,9 @@ def test_line_cover_needs_more_than_vertices(spark):
     assert sorted((r.id, r.oid) for r in pairs) == [(2, 2), (3, 3)]
 
 
-def test_line_cover_against_sampling(spark):
+@pytest.mark.parametrize("limit", [0, 250_000])
+def test_line_cover_against_sampling(spark, monkeypatch, limit):
+    monkeypatch.setattr(spatial_join, "BROADCAST_ROWS", limit)
     rng = random.Random(3)
     outer = random_lines(rng, 25, 300.0)
     inner = []
