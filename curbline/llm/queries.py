@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbline.llm.common import table
 from curbline.llm.exact_dedup import exact_duplicates
+from curbline.llm.language_id import identify_languages
 from curbline.llm.line_dedup import line_digest
+from curbline.llm.secret_scan import secret_digest
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +21,19 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
