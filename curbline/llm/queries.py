@@ -10,6 +10,7 @@ from curbline.llm.common import table
 from curbline.llm.exact_dedup import exact_duplicates
 from curbline.llm.language_id import identify_languages
 from curbline.llm.line_dedup import line_digest
+from curbline.llm.packing import pack_documents, piece_digest
 from curbline.llm.secret_scan import secret_digest
 
 
@@ -17,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(pack_documents(table(spark, sf_dir, "documents")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
