@@ -12,12 +12,21 @@ from curbline.llm.language_id import identify_languages
 from curbline.llm.line_dedup import line_digest
 from curbline.llm.packing import pack_documents, piece_digest
 from curbline.llm.secret_scan import secret_digest
+from curbline.llm.url_filter import Rule, judge_urls
+
+RULES = [
+    Rule("net/", "block"), Rule("example.net/en/", "allow"), Rule("example.com/de/", "block"), Rule("org/fr/", "allow"),
+]
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(pack_documents(table(spark, sf_dir, "documents")))
 
@@ -36,6 +45,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_url_filter": op2_url_filter,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op9_language_id": op9_language_id,
