@@ -112,7 +112,6 @@ def _open_pairs(listed: DataFrame, components: DataFrame, done: DataFrame) -> Da
     return pairs.select(F.col("node").alias("a"), "b").distinct().join(done, ["a", "b"], "left_anti")
 
 
-@F.pandas_udf("boolean")
 def _may_be_similar(left: pd.Series, right: pd.Series) -> pd.Series:
     """Union-sketch estimate: common values among the smallest of the union. A sketch that is not full is a set."""
     out = []
@@ -132,7 +131,6 @@ def _may_be_similar(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-@F.pandas_udf("boolean")
 def _is_similar(left: pd.Series, right: pd.Series) -> pd.Series:
     """Exact: 100 * intersection >= PERCENT * union of the full sets."""
     out = []
@@ -151,7 +149,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
     sketch = classes.select("node", "sketch")
     near = settle(
         pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
-        .where(_may_be_similar("sketch_a", "sketch_b")).select("a", "b"),
+        .where(F.pandas_udf(_may_be_similar, "boolean")("sketch_a", "sketch_b")).select("a", "b"),
         "near",
     )
     wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -161,7 +159,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
     texts = settle(texts.groupBy("id", F.xxhash64("text").alias("version")).agg(F.first("text").alias("text")).drop("version"), "texts")
     return settle(
         near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        .where(_is_similar("text_a", "text_b")).select("a", "b").distinct(),
+        .where(F.pandas_udf(_is_similar, "boolean")("text_a", "text_b")).select("a", "b").distinct(),
         "links",
     )
 

@@ -10,6 +10,7 @@ from curbline.llm.common import table
 from curbline.llm.exact_dedup import exact_duplicates
 from curbline.llm.language_id import identify_languages
 from curbline.llm.line_dedup import line_digest
+from curbline.llm.mixing import Mix
 from curbline.llm.near_dedup import near_duplicates
 from curbline.llm.packing import pack_documents, piece_digest
 from curbline.llm.secret_scan import secret_digest
@@ -40,6 +41,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Mix(table(spark, sf_dir, "documents")).taken()
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
