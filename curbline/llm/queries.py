@@ -13,6 +13,7 @@ from curbline.llm.line_dedup import line_digest
 from curbline.llm.mixing import Mix
 from curbline.llm.near_dedup import near_duplicates
 from curbline.llm.packing import pack_documents, piece_digest
+from curbline.llm.personal_data import personal_data_digest
 from curbline.llm.secret_scan import secret_digest
 from curbline.llm.url_filter import Rule, judge_urls
 
@@ -29,6 +30,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(pack_documents(table(spark, sf_dir, "documents")))
 
@@ -56,6 +61,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_personal_data": op3_personal_data,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_near_dedup": op7_near_dedup,
