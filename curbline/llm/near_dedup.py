@@ -192,3 +192,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
         component.eqNullSafe(F.col("id")).alias("kept"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one document of each group. The identifiers are hashed, the texts not sorted."""
+    kept = settle(
+        near_duplicates(docs, id_column, text_column).where("kept").select(F.col(id_column).alias("kept_id")).distinct(),
+        "kept",
+    )
+    return docs.join(kept.hint("shuffle_hash"), docs[id_column].eqNullSafe(kept["kept_id"]), "left_semi")

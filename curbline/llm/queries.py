@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from curbline.llm.code_search import nearest_by_sign
 from curbline.llm.common import table
 from curbline.llm.exact_dedup import exact_duplicates
 from curbline.llm.language_id import identify_languages
@@ -42,6 +44,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_by_sign(table(spark, sf_dir, "embeddings"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -64,10 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_code_search": op6_code_search,
     "op7_near_dedup": op7_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
@@ -100,4 +108,18 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op6_code_search": r"""
+        WITH c AS (
+            SELECT vec_id, CAST(array_to_string(list_transform(embedding[1:64],
+                       lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), '') AS BIT) AS code
+            FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+        p AS (
+            SELECT q.vec_id AS query_id, r.vec_id, bit_count(xor(q.code, r.code)) AS distance
+            FROM c AS q, c AS r WHERE q.vec_id % 20 = 0),
+        n AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM p)
+        SELECT query_id, rank, vec_id, distance FROM n WHERE rank <= 10
+    """,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
