@@ -39,7 +39,8 @@ PERCENT = 75
 
 
 def _sketches(docs: DataFrame, id_column: str, text_column: str, words: int) -> DataFrame:
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,13 +53,13 @@ def _sketches(docs: DataFrame, id_column: str, text_column: str, words: int) ->
                 ends.append(ends[-1] + len(kept[-1]))
             values = pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
-                ["id", "n", "f1", "f2", "sketch"],
+                ["id", "version", "n", "f1", "f2", "sketch"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"id {kind}, n long, f1 long, f2 long, sketch array<long>")
+    return rows.mapInArrow(sketch, f"id {kind}, version long, n long, f1 long, f2 long, sketch array<long>")
 
 
 def shared_least(n: Column) -> Column:
@@ -164,8 +165,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
     )
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: identifier, n_shingles, component_id, kept."""
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """One row per row of ``docs``: id, version (the hash of its text), n, component, kept."""
     sketches = settle(_sketches(docs, id_column, text_column, WORDS), "sketches")
     classes = settle(
         sketches.where("n > 0 AND id IS NOT NULL").groupBy("f1", "f2")
@@ -189,15 +190,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     found = sketches.drop("sketch").join(named, ["f1", "f2"], "left")
     component = F.when((F.col("n") > 0), F.col("component")).otherwise(F.col("id"))
     return found.select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        component.eqNullSafe(F.col("id")).alias("kept"),
+        "id", "version", "n", component.alias("component"), component.eqNullSafe(F.col("id")).alias("kept")
+    )
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per row of ``docs``: identifier, n_shingles, component_id, kept."""
+    return _grouped(docs, id_column, text_column).select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group. The identifiers are hashed, the texts not sorted."""
     kept = settle(
-        near_duplicates(docs, id_column, text_column).where("kept").select(F.col(id_column).alias("kept_id")).distinct(),
+        _grouped(docs, id_column, text_column).where("kept")
+        .select(F.col("id").alias("kept_id"), F.col("version").alias("kept_version")).distinct(),
         "kept",
     )
-    return docs.join(kept.hint("shuffle_hash"), docs[id_column].eqNullSafe(kept["kept_id"]), "left_semi")
+    version = F.xxhash64(F.coalesce(docs[text_column].cast("string"), F.lit("")))
+    same = docs[id_column].eqNullSafe(kept["kept_id"]) & (version == kept["kept_version"])
+    return docs.join(kept.hint("shuffle_hash"), same, "left_semi")
