@@ -171,7 +171,8 @@ def model_table(spark, sf_dir):
     """Stored once per session, as the studies read the stored street table."""
     def build():
         table = sd.with_row_id(dataset(spark, sf_dir))
-        lines = table.where(~F.col("has_humps")).select("physicalid", "geometry")
+        # a street may only have a row after its humps: one line per street, whatever its flag
+        lines = table.select("physicalid", "geometry").dropDuplicates(["physicalid"])
         volumes = nearest_join(
             lines, volume_sites(fx.traffic_volumes(spark, sf_dir)), line_id="physicalid", site_id="site_id", buffer=25.0
         ).select("physicalid", F.col("vol").alias("traffic_volume"))
@@ -196,7 +197,7 @@ MODEL_CTES = {
     **DATASET_CTES,
     "sites": SITES_SQL,
     "bare": "SELECT physicalid, x0, y0, x1, y1 FROM streets WHERE physicalid IN "
-            "(SELECT physicalid FROM dataset WHERE NOT has_humps)",
+            "(SELECT physicalid FROM dataset)",
     "near_sites": f"SELECT s.physicalid, p.vol, row_number() OVER (PARTITION BY s.physicalid ORDER BY "
                   f"greatest(0, sqrt({fx.sql_distance_squared('p', 's')}) - 25), p.site_id) AS n FROM bare s CROSS JOIN sites p",
     "keyed": "SELECT d.* REPLACE (v.vol AS traffic_volume, true AS has_volume_meas), "

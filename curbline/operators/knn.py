@@ -1,10 +1,11 @@
-"""K-nearest-neighbour regression, exact, as grid joins instead of all query-row pairs.
+"""K-nearest-neighbour regression, exact, as descents through a tree of grid cells.
 
-Rows are listed in a pyramid of grids over the scaled features, each level twice as coarse as
-the one before. A query uses the finest level at which its cell and the cells around it hold
-at least k rows; those bound the distance of the k-th neighbour, and only cells within that
-bound are joined. Neighbours are ranked once for the largest k; running sums over the rank
-give the prediction for every smaller k.
+Rows are listed in a pyramid of grids over the scaled features, each level twice as coarse as the one
+before; a cell with few rows is a leaf, the others are split. Every query descends from the top: the cells
+it holds, each with the box of its rows, bound the distance of the k-th neighbour from above, and cells that
+begin beyond that bound are dropped before the rest is split. Only the rows of the leaves left at the
+end are compared, a small multiple of k wherever the query and the rows lie. Neighbours are ranked once for the
+largest k; running sums over the rank give the prediction for every smaller k.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from curbline.session import settle
 
 WEIGHTS = ("uniform", "distance")
 CROWDED_CELL = 8
+LEAST_LEAF = 8
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,7 @@ def fit_knn(
     """Standard-scale the features, given as column names or expressions (population deviation; 1
     for a constant feature) and keep, per identical feature vector and fold, the ``k_max`` rows
     with the smallest ids. That loses nothing: neighbours are ranked by distance and id, so no
-    query can use more of them."""
+    query can use more of them. Rows without a number for every feature and the target are refused."""
     d = len(features)
     scaler = fit_scaler(train, features)
     model = KnnModel(train, tuple(features), scaler.means, scaler.deviations, k_max)
@@ -72,8 +74,12 @@ def fit_knn(
         (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
         *model.scaled(train),
     )
-    per_fold = [r[1] for r in rows.groupBy("fold").count().collect()]
-    usable = sum(per_fold) - (max(per_fold) if fold else 0)
+    whole = _complete([*model.axes, "y"])
+    counts = rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_if(~whole).alias("bad")).collect()
+    if incomplete := sum(r["bad"] for r in counts):
+        raise ValueError(f"{incomplete} training rows have no number for some feature or {target!r}; fill or drop them first")
+    per_fold = [r["n"] for r in counts]
+    usable = sum(per_fold) - (max(per_fold) if fold and per_fold else 0)
     if usable < k_max:
         raise ValueError(f"{usable} training rows cannot give {k_max} neighbours")
     same = Window.partitionBy(*model.axes, "fold").orderBy("id")
@@ -103,88 +109,100 @@ def _with_cells(df: DataFrame, model: KnnModel, columns: Sequence[str]) -> DataF
     )
 
 
-def _offsets(d: int, reach: int) -> Column:
-    return F.array(
-        *[
-            F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(offset)])
-            for offset in itertools.product(range(-reach, reach + 1), repeat=d)
-        ]
-    )
+def _complete(columns: Sequence[str]) -> Column:
+    """No value is missing or not a number."""
+    test = F.lit(True)
+    for c in columns:
+        test = test & F.col(c).isNotNull() & ~F.isnan(c)
+    return test
 
 
-def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
-    """``f0.. fold rank distance y``: the ``k_max`` nearest training rows of every distinct
-    query vector, ranked by distance and id. ``queries`` has ``f0..`` and ``fold``; rows of the
-    query's own fold are not neighbours (fold -2 meets every row).
-
-    A query outside the range of the training rows is searched from the nearest point of that
-    range, ``away`` from it.
-    """
-    axes, d = model.axes, len(model.axes)
-    cell = ["level", *[f"c{i}" for i in range(d)]]
-    key = [*axes, "fold"]
-    entry = [f"g{i}" for i in range(d)]
-    vectors = queries.select(*key).distinct().withColumns(
-        {
-            g: F.greatest(F.lit(low), F.least(F.lit(high), F.col(a)))
-            for g, a, low, high in zip(entry, axes, model.lows, model.highs)
-        }
-    )
-    off = " + ".join(f"pow({a} - {g}, 2)" for a, g in zip(axes, entry))
-    vectors = vectors.withColumn("away", F.expr(f"sqrt({off})"))
+def _tree(model: KnnModel) -> tuple[DataFrame, DataFrame]:
+    """Nodes (level, cell, total, rows per fold, the box of the rows, is it a leaf) and the rows by their leaf."""
+    axes, top = model.axes, len(model.sizes) - 1
+    cell = ["level", *[f"c{i}" for i in range(len(axes))]]
     listed = _with_cells(model.rows, model, axes).drop("size")
-
-    # rows per cell neighbourhood and fold
-    per_cell = listed.groupBy(*cell, F.col("fold").alias("row_fold")).agg(F.count(F.lit(1)).alias("n"))
-    around = (
-        per_cell.select("*", F.inline(_offsets(d, 1)))
-        .groupBy("level", *[(F.col(f"c{i}") + F.col(f"o{i}")).alias(f"c{i}") for i in range(d)], "row_fold")
-        .agg(F.sum("n").alias("n"))
-    )
-    top = len(model.sizes) - 1
-    # cells much smaller than the way to the range would only be many
-    coarse = _with_cells(vectors, model, entry).where(
-        (F.col("size") * 4 >= F.col("away")) | (F.col("level") == top)
-    )
-    spread, copied = spread_hot_keys(coarse, around, cell, key)
-    search = settle(
-        spread.join(copied, [*cell, "salt"])
-        .where(F.col("row_fold") != F.col("fold"))
-        .groupBy(*key, *entry, "away", "level", "size")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= model.k_max)
-        .groupBy(*key, *entry, "away")
-        .agg(F.min(F.struct("level", "size")).alias("s"))
-        .select(*key, *entry, "away", "s.*"),
-        "knn-search",
-    )
-    # From its entry point, k rows lie no farther than the far corner of the neighbouring cells.
-    # Seen from outside a convex range, whatever is nearer than away + reach lies within
-    # sqrt(reach^2 + 2*away*reach) of the entry point.
-    corner = " + ".join(
-        f"pow(greatest({g} - (floor({g} / size) - 1) * size, (floor({g} / size) + 2) * size - {g}), 2)" for g in entry
+    ends = [f(a).alias(f"{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))]
+    bounds = [e for a in axes for e in (F.min(f"lo_{a}").alias(f"lo_{a}"), F.max(f"hi_{a}").alias(f"hi_{a}"))]
+    nodes = settle(
+        listed.groupBy(*cell, "fold").agg(F.count(F.lit(1)).alias("n"), *ends)
+        .groupBy(*cell).agg(
+            F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias("folds"), *bounds
+        )
+        .withColumn("leaf", (F.col("total") <= max(LEAST_LEAF, model.k_max // 4)) | (F.col("level") == 0)),
+        "knn-nodes",
     )
-    cells = search.withColumn("reach", F.expr(f"sqrt({corner}) * (1 + 1e-9)")).withColumns(
-        {"bound2": F.expr("reach * reach + 2 * away * reach"), "used2": F.lit(0.0)}
+    # what lies below a leaf is not part of the tree
+    up = [F.col("level") + 1, *[F.shiftright(c, 1) for c in cell[1:]]]
+    split = nodes.where(~F.col("leaf")).select(*[F.col(c).alias(f"p_{c}") for c in cell])
+    parent = F.lit(True)
+    for mine, c in zip(up, cell):
+        parent = parent & (mine == F.col(f"p_{c}"))
+    tree = settle(
+        nodes.where(F.col("level") == top).unionByName(nodes.where(F.col("level") < top).join(split, parent, "left_semi")),
+        "knn-tree",
     )
-    for i, (g, low, high) in enumerate(zip(entry, model.lows, model.highs)):
-        # cells of this axis that the ball still reaches, given the distance along the others
-        left = "sqrt(greatest(bound2 - used2, 0D))"
-        cells = cells.withColumn(
-            f"c{i}",
-            F.expr(
-                f"explode(sequence(cast(floor(greatest({g} - {left}, {low!r}D) / size) as bigint), "
-                f"cast(floor(least({g} + {left}, {high!r}D) / size) as bigint)))"
-            ),
-        ).withColumn(
-            "used2", F.expr(f"used2 + pow(greatest(0D, c{i} * size - {g}, {g} - (c{i} + 1) * size), 2)")
-        )
-    cells = cells.where("used2 <= bound2").select(*key, *cell)
-    used = search.agg(F.max("level")).scalar()
-    rows = listed.where(F.col("level") <= used).select(
+    leaves = tree.where("leaf").select(*cell)
+    rows = listed.join(leaves, cell).select(
         *cell, "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes]
     )
-    spread, copied = spread_hot_keys(rows, cells, cell, ["id"])
+    return tree, settle(rows, "knn-leaves")
+
+
+def nearby_leaves(model: KnnModel, vectors: DataFrame, tree: DataFrame) -> DataFrame:
+    """(query vector, fold, cell, n): the leaves that may hold one of the ``k_max`` nearest rows."""
+    axes, d = model.axes, len(model.axes)
+    cell, key = ["level", *[f"c{i}" for i in range(d)]], [*model.axes, "fold"]
+    top, size = len(model.sizes) - 1, model.sizes[-1]
+    ranges = [range(math.floor(lo / size), math.floor(hi / size) + 1) for lo, hi in zip(model.lows, model.highs)]
+    corners = list(itertools.product(*ranges))  # the top cells are at least as wide as the rows spread: at most 2 an axis
+    wanted = vectors.select(*key, F.lit(top).alias("level"), F.inline(F.array(*[
+        F.struct(*[F.lit(c).cast("long").alias(f"c{i}") for i, c in enumerate(corner)]) for corner in corners
+    ])))
+    steps = F.array(*[
+        F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(o)]) for o in itertools.product((0, 1), repeat=d)
+    ])
+    near2 = " + ".join(f"pow(greatest(0D, lo_{a} - {a}, {a} - hi_{a}), 2)" for a in axes)
+    far2 = " + ".join(f"pow(greatest(abs({a} - lo_{a}), abs({a} - hi_{a})), 2)" for a in axes)
+    by_far = Window.partitionBy(*key).orderBy("far2").rowsBetween(Window.unboundedPreceding, 0)
+    columns = [*key, *cell, "n", "near2", "far2", "leaf"]
+    held = None
+    for _ in model.sizes:
+        spread, copied = spread_hot_keys(wanted, tree, cell, key)
+        found = spread.join(copied, [*cell, "salt"]).withColumns({
+            "n": F.col("total") - F.coalesce(F.col("folds")[F.col("fold")], F.lit(0)),
+            "near2": F.expr(near2), "far2": F.expr(far2),
+        }).where("n > 0").select(*columns)
+        if held is not None:
+            found = found.unionByName(held.where("leaf"))
+        enough = F.when(F.sum("n").over(by_far) >= model.k_max, F.col("far2"))
+        bound = F.min("enough").over(Window.partitionBy(*key))
+        held = settle(
+            found.withColumn("enough", enough).withColumn("bound", bound)
+            .where("bound IS NULL OR near2 <= bound * (1 + 1e-9D)").select(*columns),
+            "knn-held",
+        )
+        inner = held.where(~F.col("leaf"))
+        if inner.isEmpty():
+            break
+        wanted = inner.select(*key, (F.col("level") - 1).alias("level"), *cell[1:], F.inline(steps)).select(
+            *key, "level", *[(F.col(f"c{i}") * 2 + F.col(f"o{i}")).alias(f"c{i}") for i in range(d)]
+        )
+    return held.select(*key, *cell, "n")
+
+
+def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
+    """``f0.. fold rank distance y``: the ``k_max`` nearest training rows of every distinct
+    query vector, ranked by distance and id. ``queries`` has ``f0..`` and ``fold``; rows of the
+    query's own fold are not neighbours (fold -2 meets every row). Vectors with a missing
+    number have no neighbours.
+    """
+    axes = model.axes
+    key, cell = [*axes, "fold"], ["level", *[f"c{i}" for i in range(len(axes))]]
+    tree, rows = _tree(model)
+    vectors = queries.select(*key).where(_complete(axes)).distinct()
+    leaves = nearby_leaves(model, vectors, tree)
+    spread, copied = spread_hot_keys(leaves.drop("n"), rows, cell, key)
     square = " + ".join(f"({a} - r_{a}) * ({a} - r_{a})" for a in axes)
     near = Window.partitionBy(*key).orderBy("distance", "id")
     return (
@@ -207,7 +225,7 @@ def knn_predict(
 ) -> DataFrame:
     """``query_id k weights prediction``. With ``distance`` weights a neighbour counts 1/distance;
     neighbours at distance 0, if any, take all the weight. Equal query vectors are searched
-    once."""
+    once. A query with a missing number gets NULL predictions."""
     ks = sorted(set(ks or [model.k_max]))
     unknown = set(weights) - set(WEIGHTS)
     if unknown or ks[-1] > model.k_max:
@@ -237,5 +255,10 @@ def knn_predict(
         F.struct(F.lit(w).alias("weights"), F.col(w).alias("prediction")) for w in weights
     ]
     predicted = sums.select(*key, F.col("rank").alias("k"), F.inline(F.array(*schemes)))
-    spread, copied = spread_hot_keys(asked, predicted, key, [query_id])
-    return spread.join(copied, [*key, "salt"]).select(query_id, "k", "weights", "prediction")
+    spread, copied = spread_hot_keys(asked.where(_complete(axes)), predicted, key, [query_id])
+    answered = spread.join(copied, [*key, "salt"]).select(query_id, "k", "weights", "prediction")
+    blanks = F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(w).alias("weights"), F.lit(None).cast("double").alias("prediction"))
+        for k in ks for w in weights
+    ])
+    return answered.unionByName(asked.where(~_complete(axes)).select(query_id, F.inline(blanks)))

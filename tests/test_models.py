@@ -116,6 +116,37 @@ def test_knn_matches_brute_force(spark, folds):
         assert r.prediction == pytest.approx(want[r.id, r.k, r.weights], rel=1e-6)
 
 
+@pytest.mark.parametrize("where", ["inside", "outside", "clustered", "between clusters"])
+def test_knn_compares_a_small_multiple_of_k_rows(spark, where):
+    rng, k = np.random.default_rng(5), 25
+    spots = np.array([[0.0, 0, 0], [1, 1, 1]])
+    rows = rng.uniform(0, 1, (8000, 3))
+    if where in ("clustered", "between clusters"):
+        rows[400:] = spots[rng.integers(0, 2, 7600)] + rng.normal(0, 1e-4, (7600, 3))
+    asked = {
+        "inside": rng.uniform(0, 1, (50, 3)), "outside": rng.uniform(0, 1, (50, 3)) + [20, -20, 3],
+        "clustered": rows[-50:] + 1e-5, "between clusters": rng.uniform(0.3, 0.7, (50, 3)),
+    }[where]
+    table = spark.createDataFrame([(i, *map(float, r), float(i % 10)) for i, r in enumerate(rows)], "id long, a double, b double, c double, y double")
+    queries = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(asked)], "id long, a double, b double, c double")
+    fitted = knn.fit_knn(table, ["a", "b", "c"], "y", row_id="id", k_max=k)
+    vectors = queries.select(*fitted.scaled(queries)).selectExpr("*", "-2 as fold").distinct()
+    tree, _ = knn._tree(fitted)
+    counts = knn.nearby_leaves(fitted, vectors, tree).groupBy("f0", "f1", "f2").sum("n").toPandas()["sum(n)"]
+    assert len(counts) == 50 and counts.min() >= k and counts.mean() < 20 * k, counts.describe()
+
+
+def test_knn_keeps_queries_and_refuses_rows_with_missing_numbers(spark, table):
+    fitted = knn.fit_knn(table, ["a", "b"], "y", row_id="id", k_max=5)
+    asked = spark.createDataFrame([(1, 0.5, None), (2, 0.5, float("nan")), (3, 0.5, 0.5)], "id long, a double, b double")
+    got = {(r.id, r.k, r.weights): r.prediction for r in knn.knn_predict(fitted, asked, query_id="id", ks=[2, 5]).collect()}
+    assert len(got) == 12
+    assert all((v is None) == (q != 3) for (q, _, _), v in got.items())
+    holes = table.withColumn("a", F.when(F.col("id") > 3, F.col("a")))
+    with pytest.raises(ValueError, match="3 training rows|4 training rows"):
+        knn.fit_knn(holes, ["a", "b"], "y", row_id="id", k_max=5)
+
+
 def test_knn_refuses_too_many_neighbours(spark, table):
     with pytest.raises(ValueError):
         knn.fit_knn(table, ["a"], "y", row_id="id", k_max=330, fold="fold")
