@@ -532,7 +532,7 @@ def _(spark, sf_dir):
 
 @query("hourly_crash_model")
 def _(spark, sf_dir):
-    return mo.hourly_crash_model(hourly_table(spark, sf_dir))
+    return mo.hourly_crash_model(hourly_table(spark, sf_dir, keep_key=True))
 
 
 @query("predict_hump_effect", fx.with_layers(

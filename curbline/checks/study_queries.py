@@ -219,12 +219,12 @@ def _(spark, sf_dir):
     return rounded(hourly_table(spark, sf_dir), {"shape_leng": 6, "postvz_sl": 6, "crashes": 6})
 
 
-def hourly_table(spark, sf_dir):
+def hourly_table(spark, sf_dir, keep_key=False):
     humps, crashes = _hourly_points(spark, sf_dir)
     profile = settle(
         cs.street_profile(fx.all_streets(spark, sf_dir), limit_points(spark, sf_dir), humps), "profile"
     )
-    return cs.crashes_by_street_hour(profile, crashes)
+    return cs.crashes_by_street_hour(profile, crashes, keep_key=keep_key)
 
 
 @query("mid_block_crashes", fx.with_layers(

@@ -80,10 +80,9 @@ def _(spark, sf_dir):
 
 
 @query("before_after_left_join", """
-    SELECT o_custkey, round(max(CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END), 4) AS price_before,
-           round(max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 4) AS price_after
-    FROM orders GROUP BY 1
-    HAVING bool_or(o_orderstatus = 'F') AND bool_or(o_orderstatus <> 'F')""")
+    SELECT b.o_custkey, round(b.o_totalprice, 4) AS price_before, round(a.o_totalprice, 4) AS price_after
+    FROM orders b JOIN orders a ON a.o_custkey = b.o_custkey
+    WHERE b.o_orderstatus <> 'F' AND a.o_orderstatus = 'F'""")
 def _(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("done", F.col("o_orderstatus") == "F")
     pairs = rel.before_after_left_join(

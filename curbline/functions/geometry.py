@@ -104,19 +104,20 @@ def is_empty(geometry: Column) -> Column:
 
 
 def segments(geometry: Column) -> Column:
-    """All straight segments as ``array<struct<part,pos,x0,y0,x1,y1>>``."""
+    """All straight segments as ``array<struct<part,pos,x0,y0,x1,y1>>``. A part of one vertex is a
+    segment of length zero, so that points take part in joins as lines do."""
     return F.flatten(
         F.transform(
             geometry,
             lambda part, i: F.transform(
-                F.slice(part, F.lit(1), F.greatest(F.size(part) - 1, F.lit(0))),
+                F.slice(part, F.lit(1), F.greatest(F.size(part) - 1, F.lit(1))),
                 lambda v, j: F.struct(
                     i.alias("part"),
                     j.alias("pos"),
                     v["x"].alias("x0"),
                     v["y"].alias("y0"),
-                    F.get(part, j + 1)["x"].alias("x1"),
-                    F.get(part, j + 1)["y"].alias("y1"),
+                    F.coalesce(F.get(part, j + 1)["x"], v["x"]).alias("x1"),
+                    F.coalesce(F.get(part, j + 1)["y"], v["y"]).alias("y1"),
                 ),
             ),
         )

@@ -38,8 +38,8 @@ def hump_ratio_features(df: DataFrame) -> DataFrame:
     )
 
 
-def feature_preprocessor(df: DataFrame) -> DataFrame:
-    """The five features of the hump-effect model, other columns dropped but the key."""
+def feature_preprocessor(df: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    """The five features of the hump-effect model, other columns dropped but the key and ``keep``."""
     ratios = hump_ratio_features(df)
     return ratios.select(
         "physicalid",
@@ -48,6 +48,7 @@ def feature_preprocessor(df: DataFrame) -> DataFrame:
         "trees_per_leng",
         "trees_per_vol",
         "speed_limit",
+        *keep,
     )
 
 

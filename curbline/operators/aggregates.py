@@ -3,6 +3,7 @@ a sum of nothing is 0, a mean or extreme of nothing is missing, NULL group keys
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,65 +105,66 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-QUANTILE_BUCKETS = 1 << 16
+QUANTILE_BUCKETS = 1 << 12
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
     """``column share value``: quantiles with linear interpolation between neighbours.
 
-    Built-in exact percentiles keep a count per distinct value in one task. Here the range of
-    each column is counted in a fixed number of buckets, and only the distinct values of the
-    buckets holding a wanted rank are ordered.
+    Built-in exact percentiles keep a count per distinct value in one task. Here the range that
+    holds a wanted rank is counted in a fixed number of buckets, combined on the map side, and the
+    bucket with the rank becomes the next range, with its least and largest value as ends, until
+    it holds a single value. Nothing is sorted or gathered, however uneven the values are.
     """
     long = df.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
         )
     ).where(F.col("value").isNotNull())
-    range_ = long.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    bucket = F.expr(
-        f"least(cast(floor(coalesce(try_divide(value - low, high - low), 0) * {QUANTILE_BUCKETS}) as int), "
-        f"{QUANTILE_BUCKETS - 1})"
-    )
-    counted = (
-        long.groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(F.broadcast(range_), "column")  # one row per column
-        .select("column", "value", "n", bucket.alias("bucket"))
-    )
-    by_bucket = Window.partitionBy("column").orderBy("bucket")
-    buckets = (
-        counted.groupBy("column", "bucket")
-        .agg(F.sum("n").alias("n"))
-        .withColumns(
-            {
-                "before": F.sum("n").over(by_bucket) - F.col("n"),
-                "total": F.sum("n").over(Window.partitionBy("column")),
-            }
-        )
+    ends = long.groupBy("column").agg(F.min("value"), F.max("value"), F.count(F.lit(1))).collect()
+    wanted = {}  # (column, rank): range and the number of values before it
+    for column, low, high, n in ends:
+        for share in shares:
+            for rank in (math.floor(share * (n - 1)), math.ceil(share * (n - 1))):
+                wanted[column, rank] = (low, high, 0)
+    while ranges := sorted({(c, *w) for (c, _), w in wanted.items() if w[0] < w[1]}):
+        buckets = _counted_buckets(long, ranges)
+        for (column, rank), (low, high, before) in wanted.items():
+            for least, largest, n in buckets.get((column, low, high, before), ()):
+                if rank < before + n:
+                    wanted[column, rank] = (least, largest, before)
+                    break
+                before += n
+    rows = []
+    for column, _, _, n in ends:
+        for share in shares:
+            at = share * (n - 1)
+            low, high = (wanted[column, r][0] for r in (math.floor(at), math.ceil(at)))
+            rows.append((column, float(share), low + (high - low) * (at - math.floor(at)) if high > low else low))
+    return df.sparkSession.createDataFrame(rows, "column string, share double, value double")
+
+
+def _counted_buckets(long: DataFrame, ranges: list[tuple]) -> dict[tuple, list[tuple]]:
+    """Per range its buckets in order, as (least value, largest value, number of values). Two ranges a
+    wanted share at most, so their buckets are few."""
+    spark = long.sparkSession
+    table = spark.createDataFrame(
+        [(i, *r[:3]) for i, r in enumerate(ranges)], "range int, in_column string, low double, high double"
     )
-    wanted = F.array(*[F.struct(F.lit(float(s)).alias("share")) for s in shares])
-    asked = (
-        buckets.select("*", F.inline(wanted))
-        .withColumn("position", F.col("share") * (F.col("total") - 1))
-        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select("column", "bucket", "before", "share", "position", "rank")
-        .distinct()
+    held = long.join(
+        F.broadcast(table),
+        (F.col("column") == F.col("in_column")) & F.col("value").between(F.col("low"), F.col("high")),
     )
-    in_bucket = Window.partitionBy("column", "bucket").orderBy("value")
-    ranked = (
-        counted.join(asked.select("column", "bucket", "before").distinct(), ["column", "bucket"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
-        .select("column", "bucket", "value", "n", "upto")
+    bucket = F.expr(
+        f"least(cast(floor((value / 2 - low / 2) / (high / 2 - low / 2) * {QUANTILE_BUCKETS}) as int), {QUANTILE_BUCKETS - 1})"
     )
-    weight = F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(F.col("position") - F.col("rank")))
-    return (
-        asked.join(ranked, ["column", "bucket"])
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        .groupBy("column", "share")
-        .agg(F.sum(F.col("value") * weight).alias("value"))
+    counted = held.groupBy("range", bucket.alias("bucket")).agg(
+        F.min("value").alias("least"), F.max("value").alias("largest"), F.count(F.lit(1)).alias("n")
     )
+    found: dict[tuple, list[tuple]] = {}
+    for row in sorted(counted.collect(), key=lambda r: (r["range"], r["bucket"])):
+        found.setdefault(ranges[row["range"]], []).append((row["least"], row["largest"], row["n"]))
+    return found
 
 
 def describe(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:

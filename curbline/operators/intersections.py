@@ -25,7 +25,7 @@ def street_ends(streets: DataFrame) -> DataFrame:
     return ends.distinct()
 
 
-def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for an undirected graph given as ``a``, ``b``; the component is its
     smallest node.
 
@@ -41,9 +41,7 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
         .distinct(),
         "edges",
     )
-    for _ in range(max_rounds):
-        if _is_star_forest(edges):
-            break
+    while not _is_star_forest(edges):  # logarithmically many rounds
         # large star: every larger neighbour is linked to the smallest neighbour or the node
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         star = both.groupBy("a").agg(
@@ -66,8 +64,6 @@ def connected_components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame
             .distinct()
         )
         edges = settle(small, "edges")
-    else:
-        raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
@@ -193,6 +189,11 @@ def _discs(centres: DataFrame) -> DataFrame:
     return centres.withColumn("geometry", geo.straight_line(x, y, x, y)).drop("x", "y")
 
 
+def away_from_intersections(points: DataFrame, streets: DataFrame, radius: float, *, point_id: str) -> DataFrame:
+    """The points outside every street-end disc."""
+    return points_near(points, _discs(street_ends(streets)), radius, point_id=point_id, negate=True)
+
+
 def intersection_split(
     points: DataFrame, streets: DataFrame, radius: float, *, point_id: str
 ) -> tuple[DataFrame, DataFrame]:

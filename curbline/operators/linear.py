@@ -84,8 +84,8 @@ class _Moments:
                 new = np.sign(rest) * max(abs(rest) - alpha, 0.0) / gram[j, j]
                 largest, w[j] = max(largest, abs(new - w[j])), new
             if largest <= tolerance * max(1e-12, float(np.max(np.abs(w)))):
-                break
-        return w
+                return w
+        raise RuntimeError(f"lasso with alpha {alpha} did not converge")
 
 
 def cross_val_linear(

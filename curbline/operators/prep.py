@@ -57,12 +57,13 @@ def fit_scaler(train: DataFrame, columns: Sequence[str]) -> Scaler:
     )
 
 
-def categories_of(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a categorical column; refuses a column that is not one."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1)
-    values = [r[0] for r in rows.collect()]
-    if len(values) > MAX_CATEGORIES:
-        raise ValueError(f"column {column!r} has more than {MAX_CATEGORIES} values")
+def categories_of(df: DataFrame, column: str, most: int | None = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct values of a categorical column; refuses one of more than ``most`` values (None:
+    any number), as each of them becomes a column."""
+    found = df.where(F.col(column).isNotNull()).select(column).distinct()
+    values = [r[0] for r in (found if most is None else found.limit(most + 1)).collect()]
+    if most is not None and len(values) > most:
+        raise ValueError(f"column {column!r} has more than {most} values")
     return sorted(values)
 
 
@@ -80,9 +81,9 @@ def one_hot_fixed(df: DataFrame, categories: dict[str, Sequence[str]]) -> DataFr
     )
 
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """As ``one_hot_fixed`` with the categories found in the table."""
-    return one_hot_fixed(df, {c: categories_of(df, c) for c in columns})
+def one_hot(df: DataFrame, columns: Sequence[str], *, most: int | None = MAX_CATEGORIES) -> DataFrame:
+    """As ``one_hot_fixed`` with the categories found in the table, at most ``most`` a column."""
+    return one_hot_fixed(df, {c: categories_of(df, c, most) for c in columns})
 
 
 def quadratic_expressions(columns: Sequence[str]) -> dict[str, str]:

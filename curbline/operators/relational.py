@@ -158,12 +158,18 @@ def densify(
 
 
 def before_after_left_join(
-    df: DataFrame, key: str, flag: str, value: str, names: tuple[str, str]
+    df: DataFrame, key: str, flag: str, value: str, names: tuple[str, str], *, unique: bool = False
 ) -> DataFrame:
-    """Per key the value of the row without and with the flag; incomplete pairs are dropped.
+    """Per key the value of every row without the flag with that of every row with it; incomplete
+    pairs are dropped.
 
-    One conditional aggregate in place of a self-join: the table is read and shuffled once.
+    ``unique`` promises at most one row per key and flag. Then one conditional aggregate takes the
+    place of the self-join, and the table is read and shuffled once.
     """
+    if not unique:
+        before = df.where(~F.col(flag)).select(key, F.col(value).alias(names[0])).dropna()
+        after = df.where(F.col(flag)).select(key, F.col(value).alias(names[1])).dropna()
+        return before.join(after, key)
     return (
         df.groupBy(key)
         .agg(

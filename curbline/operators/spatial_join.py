@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.functions import geometry as geo
+from curbline.session import settle
 
 HOT_KEY_ROWS = 200_000
 MAX_HOT_KEYS = 10_000
@@ -232,6 +233,7 @@ def _with_unmatched(matched: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     An outer join on the key would gather all matches of one key in a task; here the matches stay
     where they are and only the keys are compared.
     """
+    matched = settle(matched, "matched")  # read twice: as result and for its keys
     bare = rows.join(matched.select(key).distinct(), key, "left_anti")
     return matched.unionByName(bare, allowMissingColumns=True)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.operators.aggregates import distinct_month_count, group_agg_named, mode_value
-from curbline.operators.intersections import intersection_split
+from curbline.operators.intersections import away_from_intersections
 from curbline.operators.relational import (
     cross_street_rows,
     drop_duplicates_first,
@@ -53,13 +53,15 @@ def street_profile(
 
 
 def crashes_by_street_hour(
-    profile: DataFrame, crashes: DataFrame, radius: float = 32.0, *, count_missing_month: bool = False
+    profile: DataFrame, crashes: DataFrame, radius: float = 32.0, *, count_missing_month: bool = False,
+    keep_key: bool = False,
 ) -> DataFrame:
     """Average monthly crashes per street and hour of day; a street without any crash has one row
     without hour.
 
     ``crashes`` has ``datetime``. ``count_missing_month`` lets streets without crashes add one to
-    the number of months, as a distinct count over all rows would.
+    the number of months, as a distinct count over all rows would. ``keep_key`` keeps the key of
+    the street row as ``street``.
     """
     places = settle(crashes.groupBy("x", "y", "datetime").agg(F.count(F.lit(1)).alias("n")), "places")
     found = settle(
@@ -79,7 +81,7 @@ def crashes_by_street_hour(
         months = months + bare
     return joined.withColumn(
         "crashes", F.try_divide(F.coalesce("n", F.lit(0)), months.cast("double"))
-    ).drop("n", "street")
+    ).drop("n", *([] if keep_key else ["street"]))
 
 
 def mid_block_crashes(
@@ -97,8 +99,8 @@ def mid_block_crashes(
     ``humps`` (centroids) adds the humps and earliest installation of the street, ``limits`` its
     mean limit, ``trees`` the number of trees.
     """
-    lines = with_street_key(load_street_lines(streets, ["shape_leng", "st_width"]))
-    _, between = intersection_split(crashes, lines, radius, point_id="collision_id")
+    lines = settle(with_street_key(load_street_lines(streets, ["shape_leng", "st_width"])), "streets")
+    between = away_from_intersections(crashes, lines, radius, point_id="collision_id")
     described = lines
     wanted = ["collision_id", "x", "y", "datetime", *extra_columns, "physicalid", "shape_leng", "st_width"]
     if humps is not None:

@@ -153,7 +153,7 @@ def hump_effect_from_dataset(dataset: DataFrame, *, scale: float = 1000.0) -> Da
     scaled = dataset.withColumn("rate", F.col("collision_rate_per_length") * F.lit(scale))
     return before_after_left_join(
         scaled, "physicalid", "has_humps", "rate",
-        ("collisions_per_week_before", "collisions_per_week_after"),
+        ("collisions_per_week_before", "collisions_per_week_after"), unique=True,
     )
 
 

@@ -127,10 +127,10 @@ def hourly_features(hourly: DataFrame) -> dict[str, str]:
 
 def hourly_crash_model(hourly: DataFrame, *, label: str = "crashes", seed: int = 42) -> DataFrame:
     """Least squares on crashes per street and hour against the mean: cross-validated MSE on the
-    training part and MSE on the hold-out part. ``hourly`` needs ``physicalid``; rows with a
-    missing number are left out."""
+    training part and MSE on the hold-out part. ``hourly`` needs ``street``, the key of the street
+    row, since raw streets repeat ``physicalid``; rows with a missing number are left out."""
     keyed = hourly.dropna(subset=["shape_leng", "st_width", "postvz_sl", label]).withColumn(
-        "row_id", F.col("physicalid") * 25 + F.coalesce("hour", F.lit(24))
+        "row_id", F.xxhash64("street", F.coalesce("hour", F.lit(24)))
     )
     train, test = train_test_split(settle(keyed, "hourly"), "row_id", seed=seed)
     train = settle(with_fold(train, "row_id", seed=seed), "hourly-train")
@@ -157,9 +157,7 @@ HUMP_EFFECT_FEATURES = (
 
 def fit_hump_effect(augmented: DataFrame, features: Sequence[str] = HUMP_EFFECT_FEATURES) -> PipelineModel:
     """Least squares of the rate after on the features of the streets with humps."""
-    prepared = feature_preprocessor(augmented).join(
-        augmented.select("physicalid", "collisions_per_week_after"), "physicalid"
-    )
+    prepared = feature_preprocessor(augmented, keep=["collisions_per_week_after"])
     return models.fit_linear(
         prepared.dropna(), "collisions_per_week_after", {c: f"cast({c} as double)" for c in features}
     )

@@ -246,3 +246,20 @@ def test_intersection_split_partitions_the_points(spark, scene):
     inside, outside = intersections.intersection_split(table, line(spark, lines), 30.0, point_id="pid")
     assert inside.count() + outside.count() == len(pts)
     assert inside.select("pid").intersect(outside.select("pid")).isEmpty()
+
+
+def test_point_geometries_take_part_in_joins(spark):
+    spots = spark.createDataFrame([(1, [[(0.0, 0.0)]]), (2, [[(50.0, 0.0)], [(0.0, 30.0), (0.0, 40.0)]])],
+                                  "lid int, geometry array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 50.5, 0.0), (3, 1.0, 35.0), (4, 25.0, 0.0)], "pid int, x double, y double")
+    pairs = spatial_join.point_within_buffer_join(points, spots, 2.0, point_id="pid", line_id="lid")
+    assert sorted((r.pid, r.lid) for r in pairs.collect()) == [(1, 1), (2, 2), (3, 2)]
+
+
+def test_outer_joins_evaluate_the_cell_join_once(spark):
+    spots = spark.createDataFrame([(1, [[(0.0, 0.0), (9.0, 0.0)]])], "lid int, geometry array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 500.0, 0.0)], "pid int, x double, y double")
+    joined = spatial_join.point_within_buffer_join(points, spots, 2.0, point_id="pid", line_id="lid", how="left")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan.split("LeftAnti")[0]
+    assert sorted((r.pid, r.lid) for r in joined.collect()) == [(1, 1), (2, None)]

@@ -120,3 +120,29 @@ def test_spread_join_keeps_every_row(spark, monkeypatch):
 def test_rows_around_min(spark):
     df = spark.range(100).selectExpr("id", "abs(id - 37) as v")
     assert [r.id for r in relational.rows_around_min(df, "id", "v", 3).orderBy("id").collect()] == [34, 35, 36, 37, 38, 39]
+
+
+def test_before_after_join_keeps_every_pair_of_a_repeated_key(spark):
+    rows = [(1, False, 1.0), (1, False, 2.0), (1, True, 10.0), (1, True, 20.0), (2, False, 3.0), (3, True, None), (3, False, 1.0)]
+    df = spark.createDataFrame(rows, "key int, flag boolean, value double")
+    pairs = relational.before_after_left_join(df, "key", "flag", "value", ("before", "after"))
+    assert sorted(map(tuple, pairs.collect())) == [(1, b, a) for b in (1.0, 2.0) for a in (10.0, 20.0)]
+    single = df.where("value IN (1, 10) AND key = 1")
+    assert relational.before_after_left_join(single, "key", "flag", "value", ("before", "after"), unique=True).collect() == [(1, 1.0, 10.0)]
+
+
+def test_quantiles_next_to_an_outlier(spark):
+    values = [float(v) for v in np.random.default_rng(3).normal(0, 1, 5000)] + [1e300, -1e300, 1e300]
+    df = spark.createDataFrame([(v, 7.0) for v in values], "a double, b double")
+    shares = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r.column, r.share): r.value for r in aggregates.exact_quantiles(df, ["a", "b"], shares).collect()}
+    for share in shares:
+        assert got["a", share] == pytest.approx(np.quantile(values, share), rel=1e-12)
+        assert got["b", share] == 7.0
+
+
+def test_one_hot_limit_is_the_callers(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(12)], "c string")
+    with pytest.raises(ValueError):
+        prep.one_hot(df, ["c"], most=10)
+    assert len(prep.one_hot(df, ["c"], most=None).columns) == 12
