@@ -18,11 +18,13 @@ from curbline.checks.registry import query
 from curbline.checks.study_queries import (
     AUGMENTATION_CTES,
     AUGMENTATION_LAYERS,
+    HOURLY_CTES,
     augmented,
     hourly_table,
 )
 from curbline.functions import transforms as tr
 from curbline.operators import knn, linear, models, prep, splits, stats
+from curbline.operators import relational as rel
 from curbline.operators.nearest import nearest_join
 from curbline.plans import hump_effect as he
 from curbline.plans import modelling as mo
@@ -399,6 +401,65 @@ def _(spark, sf_dir):
     return mo.predict(models.fit_quadratic(train, LABEL), test, label=LABEL)
 
 
+def moments(fitted, rows, label, features):
+    """``feature n moment``: the mean of residual times scaled feature, zero where least squares are met."""
+    scaled = dict(zip(features, prep.fit_scaler(rows, list(features.values())).expressions()))
+    residual = F.col("prediction") - F.col(label)
+    entries = [
+        F.struct(F.lit(n).alias("feature"), F.count(F.lit(1)).alias("n"),
+                 (F.round(F.avg(residual * F.expr(e)), 4) + 0.0).alias("moment"))
+        for n, e in {"1": "1D", **scaled}.items()
+    ]
+    return fitted.transform(rows).agg(F.array(*entries).alias("m")).select(F.inline("m"))
+
+
+def _zero_moments(features, rows: str) -> str:
+    names = ", ".join(f"('{n}')" for n in ["1", *features])
+    return f"SELECT feature, (SELECT count(*) FROM {rows}) AS n, 0.0::DOUBLE AS moment FROM (VALUES {names}) t(feature)"
+
+
+@query("linear_regression_moments", model_sql(_zero_moments(models.LINEAR_FEATURES, "train")))
+def _(spark, sf_dir):
+    """All features of the study; the residuals are orthogonal to each of them."""
+    train, _ = train_and_test(spark, sf_dir)
+    return moments(models.fit_linear(train, LABEL), train, LABEL, models.LINEAR_FEATURES)
+
+
+@query("quadratic_regression_moments", model_sql(_zero_moments(models.quadratic_terms(models.LINEAR_FEATURES), "train")))
+def _(spark, sf_dir):
+    train, _ = train_and_test(spark, sf_dir)
+    terms = models.quadratic_terms(models.LINEAR_FEATURES)
+    return moments(models.fit_quadratic(train, LABEL), train, LABEL, terms)
+
+
+@query("lasso_path_optimality", model_sql(
+    "SELECT i AS step, (SELECT count(*) FROM model) AS n, 0.0::DOUBLE AS violation FROM range(0, 300) t(i)"))
+def _(spark, sf_dir):
+    """All features, 300 alphas: how far each fit is from the conditions of the optimum. The mean product of residual
+    and scaled feature is the alpha, with the coefficient's sign, or within it where the coefficient is 0."""
+    table = model_table(spark, sf_dir)
+    features, alphas = list(models.LINEAR_FEATURES.values()), np.linspace(1e-11, 1e-5, 300)
+    path = linear.lasso_path(table, features, mo.LABEL, "fold", alphas).collect()
+    scaled = prep.fit_scaler(table, features).expressions()
+    zs = [f"z{i}" for i in range(len(features))]
+    mean = table.agg(F.avg(mo.LABEL)).scalar()
+    rows = table.select((F.col(mo.LABEL) - mean).alias("y"), *[F.expr(e).alias(z) for e, z in zip(scaled, zs)])
+    fits = spark.createDataFrame(
+        [(i, float(r[0]), [float(w) for w in r[1 : len(features) + 1]]) for i, r in enumerate(path)],
+        "step long, alpha double, w array<double>",
+    )
+    fitted = sum((F.col(z) * F.col("w")[i] for i, z in enumerate(zs)), F.lit(0.0))
+    sums = rows.join(F.broadcast(fits)).withColumn("e", F.col("y") - fitted).groupBy("step").agg(
+        F.first("alpha").alias("alpha"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n"),
+        *[F.avg(F.col("e") * F.col(z)).alias(z) for z in zs],
+    )
+    gaps = [
+        F.when(F.col("w")[i] == 0, F.greatest(F.abs(z) - F.col("alpha"), F.lit(0.0)))
+        .otherwise(F.abs(F.col(z) - F.signum(F.col("w")[i]) * F.col("alpha"))) for i, z in enumerate(zs)
+    ]
+    return sums.select("step", "n", (F.round(F.greatest(*gaps), 9) + 0.0).alias("violation"))
+
+
 # --- nearest neighbours
 
 _KNN_COLUMNS = ("st_width", "shape_leng", "traffic_volume")
@@ -450,14 +511,35 @@ def _(spark, sf_dir):
     return rounded(table.select("k", "weights", "val_mse"), {"val_mse": 6})
 
 
-@query("cv_results_table")
+_SIDE = "SELECT n AS k, weights, avg(mse) AS mse FROM (SELECT n, weights, {fold} AS fold, avg(pow(truth - prediction, 2)) AS mse " \
+        "FROM {table} WHERE n % 10 = 5 GROUP BY 1, 2, 3) GROUP BY 1, 2"
+_SEEN_CTES = {
+    # every row is asked once for each fold it does not belong to, and finds the rows outside that fold
+    "skq": "SELECT q.row_id * 5 + f.fold AS row_id, f.fold, q.y, q.f0, q.f1, q.f2 FROM kq q JOIN (SELECT DISTINCT fold FROM model) f "
+           "ON f.fold <> q.fold",
+    **{
+        {"kp": "skp", "kr": "skr", "ks": "sks", "predicted": "seen"}[name]:
+            text.replace("FROM kq q", "FROM skq q").replace("FROM kp", "FROM skp").replace("FROM kr", "FROM skr").replace("FROM ks", "FROM sks")
+        for name, text in _knn_ctes("model", "model", "q.fold <> t.fold", 495).items() if name in ("kp", "kr", "ks", "predicted")
+    },
+    "val": _SIDE.format(fold="fold", table="predicted"),
+    "fitted": _SIDE.format(fold="fold", table="seen"),
+}
+
+
+@query("cv_results_table", model_sql(
+    "SELECT CAST(v.k AS INTEGER) AS k, " + ", ".join(
+        f"round(max(CASE WHEN weights = '{w}' THEN {t}.mse END), 6) AS {w}_{n}_mse" for w in knn.WEIGHTS for n, t in (("val", "v"), ("train", "t"))
+    ) + " FROM val v JOIN fitted t USING (k, weights) GROUP BY 1",
+    **{**_knn_ctes("model", "model", "q.fold <> t.fold", 495), **_SEEN_CTES}))
 def _(spark, sf_dir):
     table = models.grid_search_knn(
-        model_table(spark, sf_dir), LABEL, row_id="row_id", fold="fold", ks=[5, 15, 25, 35, 45], train_scores=True
+        model_table(spark, sf_dir), LABEL, row_id="row_id", fold="fold", ks=_KS, train_scores=True
     )
-    return table.groupBy("k").pivot("weights", list(knn.WEIGHTS)).agg(
+    wide = table.groupBy("k").pivot("weights", list(knn.WEIGHTS)).agg(
         F.first("val_mse").alias("val_mse"), F.first("train_mse").alias("train_mse")
     )
+    return rounded(wide, {f"{w}_{n}_mse": 6 for w in knn.WEIGHTS for n in ("val", "train")})
 
 
 # --- trees, searches, comparisons
@@ -477,20 +559,64 @@ def _(spark, sf_dir):
 @query("feature_importances")
 def _(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)
-    fitted = models.fit_trees(train, models.random_forest(LABEL, trees=20))
+    fitted = models.fit_trees(train, models.random_forest(LABEL, trees=100))
     return models.feature_importances(fitted, models.RAW_FEATURES, spark)
 
 
 @query("grid_search")
 def _(spark, sf_dir):
-    _, table = models.grid_search(
-        model_table(spark, sf_dir), LABEL, models.random_forest(LABEL, max_depth=5),
-        {"numTrees": [5, 10], "minInstancesPerNode": [5, 10]}, fold="fold", train_scores=True,
+    """The forest search of the study but for its 500 trees, which take minutes; ``forest_search`` has them."""
+    search = models.grid_search(
+        model_table(spark, sf_dir), LABEL, models.random_forest(LABEL),
+        {**models.FOREST_GRID, "numTrees": models.FOREST_GRID["numTrees"][:1]}, fold="fold", train_scores=True,
+    )
+    return search.results.orderBy("val_mse")
+
+
+# A tree of depth 1 on a flag is the mean per flag, whatever grows it.
+_FLAG = {"has_humps": "cast(has_humps as double)", "constant": "1D"}
+_FLAG_MEANS = "SELECT has_humps, avg(collision_rate) AS mean FROM train GROUP BY 1"
+
+
+def _stump(name, estimator):
+    @query(name, model_sql("SELECT row_id, round(mean, 6) AS prediction FROM test JOIN flags USING (has_humps)", flags=_FLAG_MEANS))
+    def run(spark, sf_dir):
+        train, test = train_and_test(spark, sf_dir)
+        fitted = models.fit_trees(train, estimator(), _FLAG)
+        return rounded(fitted.transform(test).select("row_id", "prediction"), {"prediction": 6})
+
+
+_stump("random_forest_stump", lambda: models.random_forest(LABEL, trees=1, max_depth=1, bootstrap=False))
+_stump("gradient_boosting_stump", lambda: models.boosted_trees(LABEL, trees=2, max_depth=1))
+
+
+@query("feature_importances_stump", model_sql(
+    "SELECT 'has_humps' AS feature, 1.0::DOUBLE AS importance, count(*) AS n FROM train UNION ALL SELECT 'constant', 0.0, count(*) FROM train"))
+def _(spark, sf_dir):
+    train, _ = train_and_test(spark, sf_dir)
+    fitted = models.fit_trees(train, models.random_forest(LABEL, trees=1, max_depth=1, bootstrap=False), _FLAG)
+    return models.feature_importances(fitted, _FLAG, spark).withColumn("n", F.lit(train.count()).cast("long"))
+
+
+@query("grid_search_stump", model_sql("""
+    SELECT depth AS "maxDepth", round(avg(val), 6) AS val_mse, round(avg(seen), 6) AS train_mse FROM (
+        SELECT depth, left_out, avg(CASE WHEN fold = left_out THEN pow(collision_rate - guess, 2) END) AS val,
+               avg(CASE WHEN fold <> left_out THEN pow(collision_rate - guess, 2) END) AS seen
+        FROM guesses GROUP BY 1, 2) GROUP BY 1""",
+    folds5="SELECT DISTINCT fold AS left_out FROM model",
+    by_flag="SELECT left_out, has_humps, avg(collision_rate) AS mean FROM folds5 JOIN model ON fold <> left_out GROUP BY 1, 2",
+    overall="SELECT left_out, avg(collision_rate) AS mean FROM folds5 JOIN model ON fold <> left_out GROUP BY 1",
+    guesses="SELECT 1.0::DOUBLE AS depth, left_out, fold, collision_rate, mean AS guess FROM model JOIN by_flag USING (has_humps) "
+            "UNION ALL SELECT 0.0, left_out, fold, collision_rate, mean FROM model CROSS JOIN overall"))
+def _(spark, sf_dir):
+    search = models.grid_search(
+        model_table(spark, sf_dir), LABEL, models.random_forest(LABEL, trees=1, bootstrap=False), {"maxDepth": [0, 1]}, fold="fold",
+        features=_FLAG, train_scores=True,
     )
-    return table.orderBy("val_mse")
+    return rounded(search.results, {"val_mse": 6, "train_mse": 6})
 
 
-_SUITE = mo.SuiteSettings(forest_trees=20, forest_depth=8, boosting_trees=10, boosting_depth=4)
+_SUITE = mo.SuiteSettings()
 
 
 @query("model_training_suite")
@@ -509,8 +635,9 @@ def _(spark, sf_dir):
 
 @query("model_comparison")
 def _(spark, sf_dir):
-    train, test = train_and_test(spark, sf_dir)
-    return mo.model_leaderboard(mo.train_suite(train, settings=_SUITE), test)
+    """From the table to the leaderboard in one plan: split, five models trained, stored, loaded and scored."""
+    table = model_table(spark, sf_dir).drop("is_test", "fold")
+    return mo.train_and_compare(table, scratch_path(spark, "models"), settings=_SUITE)[1]
 
 
 @query("model_leaderboard", model_sql("""
@@ -518,14 +645,18 @@ def _(spark, sf_dir):
         SELECT 'baseline' AS model, round(avg(pow(collision_rate - (SELECT avg(collision_rate) FROM train), 2)), 6) AS mse FROM test
         UNION ALL SELECT 'linear', round(avg(pow(collision_rate - b - s * shape_leng, 2)), 6) FROM test, (
             SELECT regr_slope(collision_rate, shape_leng) AS s, regr_intercept(collision_rate, shape_leng) AS b FROM train)
-        UNION ALL SELECT 'knn', round(avg(pow(truth - prediction, 2)), 6) FROM predicted WHERE n = 25 AND weights = 'distance')""",
-    **_knn_ctes("train", "test", "true", 25)))
+        UNION ALL SELECT 'knn', round(avg(pow(truth - prediction, 2)), 6) FROM predicted WHERE n = 25 AND weights = 'distance'
+        UNION ALL SELECT kind, round(avg(pow(collision_rate - mean, 2)), 6)
+        FROM test JOIN flags USING (has_humps), (VALUES ('random_forest'), ('boosting')) t(kind) GROUP BY 1)""",
+    **_knn_ctes("train", "test", "true", 25), flags=_FLAG_MEANS))
 def _(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
     fitted = {
         "baseline": models.fit_mean(train, LABEL),
         "linear": models.fit_linear(train, LABEL, {"shape_leng": "shape_leng"}),
         "knn": knn.fit_knn(train, models.KNN_FEATURES, LABEL, row_id="row_id", k_max=25),
+        "random_forest": models.fit_trees(train, models.random_forest(LABEL, trees=1, max_depth=1, bootstrap=False), _FLAG),
+        "boosting": models.fit_trees(train, models.boosted_trees(LABEL, trees=2, max_depth=1), _FLAG),
     }
     return rounded(mo.model_leaderboard(fitted, test, label=LABEL), {"mse": 6})
 
@@ -535,6 +666,22 @@ def _(spark, sf_dir):
     return mo.hourly_crash_model(hourly_table(spark, sf_dir, keep_key=True))
 
 
+@query("hourly_crash_model_fit", fx.with_layers("all_streets speedlimits speedhumps crashes", """
+    SELECT count(*) AS n, 5 + count(DISTINCT rw_type) + count(DISTINCT bike_lane) + count(DISTINCT trafdir) AS features,
+           0.0::DOUBLE AS largest_moment
+    FROM all_streets s JOIN lines g ON g.physicalid = s.physicalid LEFT JOIN hourly c ON c.physicalid = s.physicalid
+    WHERE shape_leng IS NOT NULL AND st_width IS NOT NULL""",
+    **HOURLY_CTES))
+def _(spark, sf_dir):
+    """The hourly model on all rows: none of its features has anything left to explain."""
+    rows = hourly_table(spark, sf_dir).dropna(subset=["shape_leng", "st_width", "postvz_sl", "crashes"])
+    rows = materialize(spark, "hourly", lambda: rows, parameters={"sf_dir": sf_dir, "session": spark.sparkContext.applicationId})
+    features = mo.hourly_features(rows)
+    found = moments(models.fit_linear(rows, "crashes", features), rows, "crashes", features)
+    return found.agg(
+        F.max("n").alias("n"), F.lit(len(features)).cast("long").alias("features"), F.max(F.abs("moment")).alias("largest_moment"))
+
+
 @query("predict_hump_effect", fx.with_layers(
     DATASET_LAYERS, """
     SELECT d.physicalid, round(d.collision_rate_per_length * 1000, 6) AS rate,
@@ -560,6 +707,95 @@ def _(spark, sf_dir):
     return fitted.transform(tr.feature_preprocessor(table)).select("physicalid", "prediction")
 
 
+_HUMP_ROWS = """SELECT physicalid, collisions_per_week_before AS x, collisions_per_week_after AS y FROM augmented
+    WHERE collisions_per_week_before IS NOT NULL AND collisions_per_week_after IS NOT NULL AND tree_count IS NOT NULL
+      AND road_leng <> 0 AND vol IS NOT NULL AND speed_limit IS NOT NULL"""
+_HUMP_HASH = HASH.format(id="physicalid", seed=42)
+
+
+def hump_sql(body: str, **ctes: str) -> str:
+    return fx.with_layers(AUGMENTATION_LAYERS, body, **AUGMENTATION_CTES, hump_rows=_HUMP_ROWS, **ctes)
+
+
+def augmented_once(spark, sf_dir):
+    return materialize(
+        spark, "augmented", lambda: augmented(spark, sf_dir),
+        parameters={"sf_dir": sf_dir, "session": spark.sparkContext.applicationId},
+    )
+
+
+@query("hump_effect_model_moments", hump_sql(_zero_moments(mo.HUMP_EFFECT_FEATURES, "hump_rows")))
+def _(spark, sf_dir):
+    table = augmented_once(spark, sf_dir)
+    rows, features = mo.hump_effect_rows(table), {c: f"cast({c} as double)" for c in mo.HUMP_EFFECT_FEATURES}
+    return moments(mo.fit_hump_effect(table), rows, mo.HUMP_EFFECT_LABEL, features)
+
+
+@query("hump_effect_holdout")
+def _(spark, sf_dir):
+    return mo.hump_effect_holdout(augmented_once(spark, sf_dir))
+
+
+@query("hump_effect_holdout_line", hump_sql("""
+    SELECT 'line' AS model, round(avg(pow(y - b - s * x, 2)), 6) AS mse,
+           round(1 - sum(pow(y - b - s * x, 2)) / (var_pop(y) * count(*)), 6) AS r2
+    FROM parted, (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS b FROM parted WHERE NOT is_test) WHERE is_test""",
+    parted=f"SELECT *, row_number() OVER (ORDER BY {_HUMP_HASH}, physicalid) <= ceil(count(*) OVER () * 0.2) AS is_test FROM hump_rows"))
+def _(spark, sf_dir):
+    line = {"line": mo.HUMP_EFFECT_MODELS["line"]}
+    return rounded(mo.hump_effect_holdout(augmented_once(spark, sf_dir), line), {"mse": 6, "r2": 6})
+
+
+@query("hump_effect_cv")
+def _(spark, sf_dir):
+    return mo.hump_effect_cv(augmented_once(spark, sf_dir))
+
+
+_HUMP_FOLDS = f"SELECT *, CAST(ntile(5) OVER (ORDER BY {_HUMP_HASH}, physicalid) - 1 AS INTEGER) AS fold FROM hump_rows"
+
+
+@query("hump_effect_cv_line", hump_sql("""
+    SELECT 'line' AS model, a.fold, round(avg(pow(a.y - m.b - m.s * a.x, 2)), 6) AS mse,
+           round(1 - sum(pow(a.y - m.b - m.s * a.x, 2)) / (var_pop(a.y) * count(*)), 6) AS r2
+    FROM folded a JOIN (SELECT f.fold, regr_slope(b.y, b.x) AS s, regr_intercept(b.y, b.x) AS b
+                        FROM (SELECT DISTINCT fold FROM folded) f JOIN folded b ON b.fold <> f.fold GROUP BY 1) m
+      ON m.fold = a.fold GROUP BY 2""", folded=_HUMP_FOLDS))
+def _(spark, sf_dir):
+    line = {"line": mo.HUMP_EFFECT_MODELS["line"]}
+    return rounded(mo.hump_effect_cv(augmented_once(spark, sf_dir), line), {"mse": 6, "r2": 6})
+
+
+# The alphas of the hump study.
+_HUMP_ALPHAS = np.linspace(0.000001, 0.01, 1000)
+
+
+@query("hump_lasso_path")
+def _(spark, sf_dir):
+    """Five features, 1,000 alphas: the best row and the ten on either side of it."""
+    path = mo.hump_lasso_path(augmented_once(spark, sf_dir), _HUMP_ALPHAS)
+    return rel.rows_around_min(path, "alpha", "val_mse", 10)
+
+
+@query("hump_lasso_path_line", hump_sql("""
+    SELECT f.i AS step, round(f.w, 6) AS w, round(e.mse, 6) AS train_mse, round(v.mse, 6) AS val_mse
+    FROM fits f JOIN errors e ON e.i = f.i AND e.fold = -1
+    JOIN (SELECT i, avg(mse) AS mse FROM errors WHERE fold >= 0 GROUP BY 1) v ON v.i = f.i
+    WHERE f.fold = -1""",
+    folded=_HUMP_FOLDS,
+    parts="SELECT DISTINCT fold FROM folded UNION ALL SELECT -1",
+    m="SELECT p.fold, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, covar_pop(x, y) / stddev_pop(x) AS c "
+      "FROM parts p JOIN folded t ON t.fold <> p.fold GROUP BY 1",
+    alphas="SELECT i, 0.000001 + i * (0.01 - 0.000001) / 999 AS alpha FROM range(0, 1000) t(i)",
+    fits="SELECT *, sign(c) * greatest(abs(c) - alpha, 0) AS w FROM m, alphas",
+    errors="SELECT f.i, f.fold, avg(pow(t.y - f.my - f.w * (t.x - f.mx) / f.sx, 2)) AS mse "
+           "FROM fits f JOIN folded t ON (f.fold = -1 OR t.fold = f.fold) GROUP BY 1, 2"))
+def _(spark, sf_dir):
+    path = mo.hump_lasso_path(augmented_once(spark, sf_dir), _HUMP_ALPHAS, mo.HUMP_EFFECT_MODELS["line"])
+    step = F.round((F.col("alpha") - 0.000001) / ((0.01 - 0.000001) / 999)).cast("long")
+    named = path.select(step.alias("step"), F.col("w_collisions_per_week_before").alias("w"), "train_mse", "val_mse")
+    return rounded(named, {"w": 6, "train_mse": 6, "val_mse": 6})
+
+
 def legacy_table(spark, sf_dir):
     """Streets with the columns the older cleaning expects."""
     k = F.col("physicalid")

@@ -191,7 +191,7 @@ def _hourly_points(spark, sf_dir):
     return centres, crashes
 
 
-_HOURLY_CTES = {
+HOURLY_CTES = {
     "limit_points": "SELECT limit_id, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y, postvz_sl FROM speedlimits",
     "hump_points": "SELECT hump_id, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y, humps, date_insta FROM speedhumps",
     "timed": "SELECT collision_id, x, y, crash_date + to_hours(crash_hour) AS datetime FROM crashes",
@@ -214,7 +214,7 @@ _HOURLY_CTES = {
     FROM all_streets s JOIN lines g ON g.physicalid = s.physicalid
     LEFT JOIN (SELECT physicalid, avg(postvz_sl) AS postvz_sl FROM limit_pairs GROUP BY 1) l ON l.physicalid = s.physicalid
     LEFT JOIN (SELECT physicalid, sum(humps) AS humps FROM hump_pairs GROUP BY 1) h ON h.physicalid = s.physicalid
-    LEFT JOIN hourly c ON c.physicalid = s.physicalid""", **_HOURLY_CTES))
+    LEFT JOIN hourly c ON c.physicalid = s.physicalid""", **HOURLY_CTES))
 def _(spark, sf_dir):
     return rounded(hourly_table(spark, sf_dir), {"shape_leng": 6, "postvz_sl": 6, "crashes": 6})
 
@@ -238,7 +238,7 @@ def hourly_table(spark, sf_dir, keep_key=False):
       ON l.physicalid = p.physicalid
     LEFT JOIN (SELECT physicalid, count(*) AS n FROM tree_pairs GROUP BY 1) t ON t.physicalid = p.physicalid
     WHERE p.collision_id NOT IN (SELECT collision_id FROM at_ends)""",
-    **{**_HOURLY_CTES,
+    **{**HOURLY_CTES,
        "lines": "SELECT min(physicalid) AS physicalid, x0, y0, x1, y1 FROM all_streets WHERE rw_type = '1' "
                 "GROUP BY x0, y0, x1, y1",
        "tree_pairs": sql_near("trees", "lines", 32.0, "<="),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,12 +104,12 @@ def quadratic_terms(features: dict[str, str]) -> dict[str, str]:
     return terms
 
 
-def random_forest(label: str, *, trees: int = 100, min_split: int = 10, max_depth: int = 10, seed: int = 42):
-    """Forest over all features. A node needs ``min_split`` rows to be split, which Spark only
-    knows as a least size of the children: half of it."""
+def random_forest(label: str, *, trees: int = 100, min_leaf: int = 5, max_depth: int = 30, bootstrap: bool = True, seed: int = 42):
+    """Forest over all features; every child of a split keeps ``min_leaf`` rows. The depth is Spark's
+    greatest unless told otherwise. Without ``bootstrap`` every tree sees all rows."""
     return RandomForestRegressor(
-        labelCol=label, numTrees=trees, minInstancesPerNode=max(1, min_split // 2),
-        maxDepth=max_depth, featureSubsetStrategy="all", seed=seed,
+        labelCol=label, numTrees=trees, minInstancesPerNode=min_leaf,
+        maxDepth=max_depth, featureSubsetStrategy="all", bootstrap=bootstrap, seed=seed,
     )
 
 
@@ -153,6 +155,23 @@ def cross_val_score(
     return evaluate(scored, label, keys=[fold])
 
 
+# The grids of the regression study. It asks for a least node size of 10, 20 or 50 rows to split; as
+# Spark only knows a least size of the children, half of it is used.
+FOREST_GRID = {"numTrees": [50, 100, 500], "minInstancesPerNode": [5, 10, 25]}
+BOOSTING_GRID = {
+    "maxIter": [400, 500, 800, 1000], "maxDepth": [1, 5, 10, 20], "stepSize": [0.1, 0.05, 0.01, 0.001, 0.0001],
+}
+
+
+@dataclass(frozen=True)
+class Search:
+    """The best combination by cross-validated MSE, and the model refitted with it on all rows."""
+
+    best: dict[str, float]
+    best_model: PipelineModel
+    results: DataFrame
+
+
 def grid_search(
     train: DataFrame,
     label: str,
@@ -160,37 +179,64 @@ def grid_search(
     grid: dict[str, Sequence],
     *,
     fold: str,
-    folds: int = 5,
     features: dict[str, str] = RAW_FEATURES,
     parallelism: int = 4,
     train_scores: bool = False,
-) -> tuple[CrossValidatorModel, DataFrame]:
+) -> Search:
     """All combinations of the grid by cross-validated MSE; the best one refitted on ``train``.
 
-    Returns the fitted search and the table of results, one row per combination.
+    ``results`` has one row per combination. Each fit is scored on both of its parts in one job and then
+    let go, so that at most ``parallelism`` models are held, however large the grid is.
     """
-    stages = [*_prepare(list(features.values())), estimator]
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
-    evaluator = RegressionEvaluator(labelCol=label, metricName="mse")
-    search = CrossValidator(
-        estimator=Pipeline(stages=stages), estimatorParamMaps=builder.build(), evaluator=evaluator,
-        numFolds=folds, foldCol=fold, parallelism=parallelism, collectSubModels=train_scores,
-    ).fit(train)
+    expressions = list(features.values())
+    folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect()]
+    combinations = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+    def fit(rows: DataFrame, params: dict) -> PipelineModel:
+        tuned = estimator.copy({estimator.getParam(n): v for n, v in params.items()})
+        return _fit([*_prepare(expressions), tuned], rows)
+
+    def scored(task: tuple[int, int]) -> tuple[float, float | None]:
+        left_out = folds[task[1]]
+        model = fit(train.where(F.col(fold) != left_out), combinations[task[0]])
+        rows = train if train_scores else train.where(F.col(fold) == left_out)
+        errors = (
+            model.transform(rows).groupBy((F.col(fold) == left_out).alias("held"))
+            .agg(F.avg((F.col(label) - F.col("prediction")) ** 2).alias("mse")).collect()
+        )
+        by_part = {r["held"]: r["mse"] for r in errors}
+        return by_part[True], by_part.get(False)
+
+    tasks = list(itertools.product(range(len(combinations)), range(len(folds))))
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        scores = dict(zip(tasks, pool.map(inheritable_thread_target(train.sparkSession)(scored), tasks, chunksize=1)))
     rows = []
-    for i, params in enumerate(search.getEstimatorParamMaps()):
-        named = {p.name: float(v) for p, v in params.items()}
-        train_mse = None
-        if train_scores:
-            scores = [
-                evaluator.evaluate(search.subModels[f][i].transform(train.where(F.col(fold) != f)))
-                for f in range(folds)
-            ]
-            train_mse = sum(scores) / folds
-        rows.append((*[named[n] for n in grid], float(search.avgMetrics[i]), train_mse))
+    for i, params in enumerate(combinations):
+        val, seen = zip(*[scores[i, f] for f in range(len(folds))])
+        train_mse = sum(seen) / len(seen) if train_scores else None
+        rows.append((*map(float, params.values()), sum(val) / len(val), train_mse))
     schema = ", ".join(f"{n} double" for n in grid) + ", val_mse double, train_mse double"
-    return search, train.sparkSession.createDataFrame(rows, schema)
+    best = combinations[min(range(len(rows)), key=lambda i: rows[i][len(grid)])]
+    return Search(best, fit(train, best), train.sparkSession.createDataFrame(rows, schema))
+
+
+def forest_search(train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = FOREST_GRID, **options) -> Search:
+    """The forest search of the study, with train scores."""
+    return grid_search(train, label, random_forest(label), grid, fold=fold, train_scores=True, **options)
+
+
+def boosting_search(train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = BOOSTING_GRID, **options) -> Search:
+    """The boosting search of the study, with train scores."""
+    return grid_search(train, label, boosted_trees(label), grid, fold=fold, train_scores=True, **options)
+
+
+def best_knn(
+    train: DataFrame, label: str, results: DataFrame, *, row_id: str, features: Sequence[str] = KNN_FEATURES
+) -> tuple[dict, knn.KnnModel]:
+    """The best k and weighting of a ``grid_search_knn`` table, and the model for them on all rows."""
+    best = results.orderBy("val_mse", "k", "weights").first()
+    chosen = {"k": int(best["k"]), "weights": best["weights"]}
+    return chosen, knn.fit_knn(train, features, label, row_id=row_id, k_max=chosen["k"])
 
 
 def grid_search_knn(

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from curbline.functions.transforms import feature_preprocessor, log1p_columns, per_tree_ratios
 from curbline.operators import knn, models
-from curbline.operators.linear import cross_val_linear
+from curbline.operators.linear import cross_val_linear, lasso_path
 from curbline.operators.prep import categories_of, fit_impute_mean
 from curbline.operators.relational import is_present_flag, positive_flag, street_type_flags
 from curbline.operators.splits import stratified_split, train_test_split, with_fold
-from curbline.operators.stats import mse
+from curbline.operators.stats import evaluate, mse
 from curbline.session import settle
 
 LABEL = "collision_rate_per_length"
@@ -28,8 +28,8 @@ class SuiteSettings:
     k: int = 25
     knn_weights: str = "distance"
     forest_trees: int = 100
-    forest_min_split: int = 10
-    forest_depth: int = 10
+    forest_min_leaf: int = 5
+    forest_depth: int = 30
     boosting_trees: int = 100
     boosting_depth: int = 5
     boosting_rate: float = 0.1
@@ -46,7 +46,7 @@ def train_suite(
     """The five kinds of models, fitted on the same rows."""
     s = settings
     forest = models.random_forest(
-        label, trees=s.forest_trees, min_split=s.forest_min_split, max_depth=s.forest_depth
+        label, trees=s.forest_trees, min_leaf=s.forest_min_leaf, max_depth=s.forest_depth
     )
     boosted = models.boosted_trees(
         label, trees=s.boosting_trees, max_depth=s.boosting_depth, rate=s.boosting_rate
@@ -84,6 +84,21 @@ def model_leaderboard(
     return scores.orderBy("mse")
 
 
+def train_and_compare(
+    dataset: DataFrame, folder: str, *, row_id: str = "row_id", label: str = LABEL, seed: int = 42,
+    settings: SuiteSettings = SuiteSettings(),
+) -> tuple[dict[str, PipelineModel | knn.KnnModel], DataFrame]:
+    """From the street table to the leaderboard: streets with a volume are split, the five models are
+    trained on the larger part, stored in ``folder``, loaded again and scored on the smaller part."""
+    spark = dataset.sparkSession
+    train, test = train_test_split(settle(with_volume(dataset), "with-volume"), row_id, seed=seed)
+    loaded = {}
+    for kind, model in train_suite(settle(train, "train"), row_id=row_id, label=label, settings=settings).items():
+        models.save_model(model, folder, kind, spark)
+        loaded[kind] = models.load_model(folder, kind, spark)
+    return loaded, model_leaderboard(loaded, settle(test, "test"), row_id=row_id, label=label, weights=settings.knn_weights)
+
+
 def legacy_cleaning(
     dataset: DataFrame, *, row_id: str, strata: str = "percentile", seed: int = 42
 ) -> DataFrame:
@@ -130,7 +145,7 @@ def hourly_crash_model(hourly: DataFrame, *, label: str = "crashes", seed: int =
     training part and MSE on the hold-out part. ``hourly`` needs ``street``, the key of the street
     row, since raw streets repeat ``physicalid``; rows with a missing number are left out."""
     keyed = hourly.dropna(subset=["shape_leng", "st_width", "postvz_sl", label]).withColumn(
-        "row_id", F.xxhash64("street", F.coalesce("hour", F.lit(24)))
+        "row_id", F.pmod(F.xxhash64("street", F.coalesce("hour", F.lit(24))), F.lit(1 << 53))
     )
     train, test = train_test_split(settle(keyed, "hourly"), "row_id", seed=seed)
     train = settle(with_fold(train, "row_id", seed=seed), "hourly-train")
@@ -155,12 +170,58 @@ HUMP_EFFECT_FEATURES = (
 )
 
 
+HUMP_EFFECT_LABEL = "collisions_per_week_after"
+#: The models of the hump effect: the line on the rate before, and all five features.
+HUMP_EFFECT_MODELS = {"line": HUMP_EFFECT_FEATURES[:1], "five_features": HUMP_EFFECT_FEATURES}
+
+
+def hump_effect_rows(augmented: DataFrame) -> DataFrame:
+    """The features and the rate after of the streets with humps, complete rows only."""
+    return feature_preprocessor(augmented, keep=[HUMP_EFFECT_LABEL]).dropna()
+
+
+def _as_numbers(features: Sequence[str]) -> dict[str, str]:
+    return {c: f"cast({c} as double)" for c in features}
+
+
 def fit_hump_effect(augmented: DataFrame, features: Sequence[str] = HUMP_EFFECT_FEATURES) -> PipelineModel:
     """Least squares of the rate after on the features of the streets with humps."""
-    prepared = feature_preprocessor(augmented, keep=["collisions_per_week_after"])
-    return models.fit_linear(
-        prepared.dropna(), "collisions_per_week_after", {c: f"cast({c} as double)" for c in features}
-    )
+    return models.fit_linear(hump_effect_rows(augmented), HUMP_EFFECT_LABEL, _as_numbers(features))
+
+
+def hump_effect_holdout(
+    augmented: DataFrame, kinds: dict[str, Sequence[str]] = HUMP_EFFECT_MODELS, *, seed: int = 42
+) -> DataFrame:
+    """Hold-out ``mse`` and ``r2`` of each model, fitted on 80 % of the streets."""
+    train, test = train_test_split(settle(hump_effect_rows(augmented), "hump-rows"), "physicalid", seed=seed)
+    scores = None
+    for name, features in kinds.items():
+        fitted = models.fit_linear(train, HUMP_EFFECT_LABEL, _as_numbers(features))
+        row = evaluate(fitted.transform(test), HUMP_EFFECT_LABEL).select(F.lit(name).alias("model"), "mse", "r2")
+        scores = row if scores is None else scores.unionByName(row)
+    return scores
+
+
+def hump_effect_cv(
+    augmented: DataFrame, kinds: dict[str, Sequence[str]] = HUMP_EFFECT_MODELS, *, seed: int = 42
+) -> DataFrame:
+    """Cross-validated ``mse`` and ``r2`` per model and fold, one pass per model."""
+    rows = settle(with_fold(hump_effect_rows(augmented), "physicalid", seed=seed), "hump-folds")
+    scores = None
+    for name, features in kinds.items():
+        part = cross_val_linear(rows, list(_as_numbers(features).values()), HUMP_EFFECT_LABEL, "fold")
+        part = part.withColumn("model", F.lit(name))
+        scores = part if scores is None else scores.unionByName(part)
+    return scores
+
+
+def hump_lasso_path(
+    augmented: DataFrame, alphas: Sequence[float], features: Sequence[str] = HUMP_EFFECT_FEATURES, *, seed: int = 42
+) -> DataFrame:
+    """The lasso path of the hump effect; ``rows_around_min`` gives its best row and the rows around it."""
+    rows = settle(with_fold(hump_effect_rows(augmented), "physicalid", seed=seed), "hump-folds")
+    path = lasso_path(rows, list(_as_numbers(features).values()), HUMP_EFFECT_LABEL, "fold", alphas)
+    return path.toDF("alpha", *[f"w_{f}" for f in features], *path.columns[-4:])
 
 
 def predict_hump_effect(pairs: DataFrame, streets: DataFrame, rate: str) -> DataFrame:

@@ -157,11 +157,13 @@ def test_knn_refuses_too_many_neighbours(spark, table):
 
 def test_trees_searches_and_stored_models(spark, table):
     features = {"a": "a", "b": "b", "c": "c"}
-    search, results = models.grid_search(
+    search = models.grid_search(
         table, "y", models.random_forest("y", max_depth=4), {"numTrees": [3, 6]}, fold="fold", features=features,
         train_scores=True,
     )
-    rows = results.collect()
+    rows = search.results.collect()
+    assert search.best["numTrees"] == int(min(rows, key=lambda r: r.val_mse).numTrees)
+    assert search.best_model.transform(table).count() == 400
     assert len(rows) == 2 and all(r.train_mse < r.val_mse * 2 for r in rows)
     folder = scratch_path(spark, "models")
     forest = models.fit_trees(table, models.boosted_trees("y", trees=3), features)
