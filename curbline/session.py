@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_GROUP: ContextVar[str | None] = ContextVar("settled_group", default=None)
+_SETTLED: dict[tuple[str, str], list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,5 +45,35 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     pruning, and its file sizes let the planner choose broadcast or shuffle joins.
     """
     path = scratch_path(df.sparkSession, name)
+    if group := _GROUP.get():
+        _SETTLED.setdefault((df.sparkSession.sparkContext.applicationId, group), []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled_as(group: str) -> Iterator[None]:
+    """Tables settled within belong to ``group`` and go with ``release``; others stay until the shared
+    folder is emptied."""
+    token = _GROUP.set(group)
+    try:
+        yield
+    finally:
+        _GROUP.reset(token)
+
+
+def release(spark: SparkSession, group: str, *, keep_for: DataFrame | None = None) -> None:
+    """Delete the settled tables of ``group``, but for those that ``keep_for`` reads. Nothing else that
+    reads them may be evaluated afterwards."""
+    key = (spark.sparkContext.applicationId, group)
+    paths = _SETTLED.pop(key, [])
+    names = {p: p.rsplit("/", 1)[-1] for p in paths}
+    read = set()
+    if paths and keep_for is not None:
+        read = {folder for file in keep_for.inputFiles() for folder in file.split("/")[-2:-1]}
+    _SETTLED[key] = [p for p in paths if names[p] in read]
+    for path in paths:
+        if names[path] in read:
+            continue
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
