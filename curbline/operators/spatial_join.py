@@ -28,8 +28,9 @@ from curbline.session import settle
 HOT_KEY_ROWS = 200_000
 MAX_HOT_KEYS = 10_000
 MAX_SALTS = 4096
-# About 20 MB of cell entries.
+# Limits of a broadcast side: rows, and their size as text, names included.
 BROADCAST_ROWS = 250_000
+BROADCAST_BYTES = 64 << 20
 CELLS_PER_RADIUS = 4.0
 # Feet by which a neighbourhood is widened when it is listed under cells and when lines are
 # tested for containment, so that rounding cannot lose a pair lying exactly at the radius.
@@ -140,10 +141,13 @@ def spread_hot_keys(
 def broadcast_or_spread(
     many: DataFrame, few: DataFrame, key: Sequence[str], salt_by: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``salt``. If ``few``, counted up to the limit, has at most
-    ``BROADCAST_ROWS`` rows it is broadcast and ``many`` needs neither shuffle nor salts; beyond
-    that both are shuffled with hot keys spread."""
-    if few.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+    """Both sides with ``salt``. If ``few``, measured up to the limits, has at most ``BROADCAST_ROWS``
+    rows and ``BROADCAST_BYTES`` with all the columns it carries, it is broadcast and ``many`` needs
+    neither shuffle nor salts; beyond that both are shuffled with hot keys spread."""
+    rows, size = few.limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    ).first()
+    if rows > BROADCAST_ROWS or (size or 0) > BROADCAST_BYTES:
         return spread_hot_keys(many, few, key, salt_by)
     zero = F.lit(0)
     return many.withColumn("salt", zero), F.broadcast(few.withColumn("salt", zero))

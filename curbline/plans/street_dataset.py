@@ -26,6 +26,7 @@ from curbline.operators.spatial_join import line_within_buffer_pairs
 from curbline.operators.splits import train_test_split
 from curbline.session import settle
 
+# Columns of the street layer, as the dataset names them.
 STREET_COLUMNS = (
     "physicalid", "geometry", "bike_lane", "st_width", "shape_leng", "post_type", "pre_type", "st_name",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_RUN_FOLDERS: set[str] = set()
 _GROUP: ContextVar[str | None] = ContextVar("settled_group", default=None)
 _SETTLED: dict[tuple[str, str], list[str]] = {}
 
@@ -33,8 +35,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder, which goes when the driver exits."""
+    folder = f"{shared_dir(spark)}/curbline-{spark.sparkContext.applicationId}"
+    if folder not in _RUN_FOLDERS:
+        _RUN_FOLDERS.add(folder)
+        atexit.register(_delete, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the shared file system has this path."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def _delete(folder: str) -> None:
+    """Remove a folder of the shared file system, if the session is still there to do it."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -73,7 +93,5 @@ def release(spark: SparkSession, group: str, *, keep_for: DataFrame | None = Non
         read = {folder for file in keep_for.inputFiles() for folder in file.split("/")[-2:-1]}
     _SETTLED[key] = [p for p in paths if names[p] in read]
     for path in paths:
-        if names[path] in read:
-            continue
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if names[path] not in read:
+            _delete(path)

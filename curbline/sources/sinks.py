@@ -6,12 +6,11 @@ import hashlib
 import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.functions.geometry import GEOMETRY_TYPE, geometry_to_wkt
-from curbline.session import shared_dir
+from curbline.session import exists, shared_dir
 
 
 def sink_csv(df: DataFrame, path: str) -> str:
@@ -50,10 +49,8 @@ def materialize(
     built with another."""
     key = hashlib.sha256(json.dumps(parameters or {}, sort_keys=True, default=str).encode()).hexdigest()
     path = f"{(folder or shared_dir(spark)).rstrip('/')}/{name}-{key[:16]}"
-    if not force:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            pass  # not stored yet, or the run storing it did not finish
+    # without the marker it was not stored yet, or the run storing it did not finish
+    if not force and exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path)
     sink_table(build(), path)
     return spark.read.parquet(path)
