@@ -6,9 +6,12 @@
    for small sets, whose sketch is the set; else but for a chance below 1e-8). So when each sketch leaves out
    its ``shared_least - 1`` most frequent values, such a pair still meets in the list of another one. Values
    from passages that many documents share are frequent, and drop out.
-3. Every member of a list is compared with the list's first member of about its size. The links found are
-   contracted to components, and then members of different components that share a list are compared. A large
-   group of near copies is thus settled with a number of pairs in proportion to its size.
+3. Every member of a list is compared with the list's most central member of about its size, the one whose
+   sketch is the most common. The links found are contracted to components. A large group of near copies is
+   thus settled with a number of pairs in proportion to its size.
+   What is left are lists with members of different components. Their members meet again on their full sets:
+   two sets that share nothing but common shingles can only be similar if neither has too many rarer ones, so
+   each is listed under its rarest shingles, and the position of a shared one bounds the overlap.
 4. A comparison estimates the similarity from the smallest values of the union of both sketches, and pairs
    that may reach the threshold are confirmed on their full sets, made from their texts again.
 
@@ -74,23 +77,24 @@ def _sizes_fit(a: str, b: str) -> Column:
 
 
 def _listed(classes: DataFrame) -> DataFrame:
-    """(v, node, n): each sketch value that the node is listed under and that another class has, too."""
+    """(v, node, n, common): each sketch value that the node is listed under and that another class has, too.
+    ``common`` adds up how often the values of the node's sketch occur."""
     entries = classes.select("node", "n", F.explode("sketch").alias("v"))
     counts = entries.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = entries.join(counts, "v")
     own = Window.partitionBy("node")
     size = F.least(F.col("n"), F.lit(SKETCH).cast("long"))
     place = F.row_number().over(own.orderBy("c", "v")) + size - F.count(F.lit(1)).over(own)
-    return shared.withColumn("place", place).where(
+    return shared.withColumns({"place": place, "common": F.sum("c").over(own)}).where(
         F.col("place") <= size - shared_least(F.col("n")) + 1
-    ).select("v", "node", "n")
+    ).select("v", "node", "n", "common")
 
 
 def _first_pairs(listed: DataFrame) -> DataFrame:
-    """(a, b): every member of a list with the first one of about its size."""
+    """(a, b): every member of a list with the most central one of about its size."""
     banded = listed.withColumn("band", F.floor(F.log("n") / F.lit(math.log(100 / PERCENT))))
     heads = banded.groupBy("v", "band").agg(
-        F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("members")
+        F.min(F.struct((-F.col("common")).alias("rank"), "node", "n")).alias("head"), F.count(F.lit(1)).alias("members")
     ).where("members > 1")
     return (
         banded.join(heads, ["v", "band"])
@@ -100,17 +104,71 @@ def _first_pairs(listed: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(listed: DataFrame, components: DataFrame, done: DataFrame) -> DataFrame:
-    """(a, b), a > b: members of a list that are in different components and were not compared."""
-    labelled = listed.join(components.withColumnRenamed("component", "c"), "node", "left").select(
-        "v", "node", "n", F.coalesce("c", "node").alias("label"))
-    mixed_lists = labelled.groupBy("v").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    rest = settle(labelled.join(mixed_lists.select("v"), "v", "left_semi"), "open")
-    other = rest.select("v", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    pairs = rest.join(other, "v").where(
-        (F.col("node") > F.col("b")) & (F.col("label") != F.col("other")) & _sizes_fit("n", "m")
-    )
-    return pairs.select(F.col("node").alias("a"), "b").distinct().join(done, ["a", "b"], "left_anti")
+def _labelled(listed: DataFrame, components: DataFrame) -> DataFrame:
+    """Entries of the lists whose members are in different components, with their component as label."""
+    named = listed.join(components.withColumnRenamed("component", "c"), "node", "left").withColumn(
+        "label", F.coalesce("c", "node")).drop("c")
+    several = named.groupBy("v").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
+    return named.join(several.select("v"), "v", "left_semi")
+
+
+def _full_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(node, n, v): all shingles of the nodes, from their texts."""
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    rows = rows.join(nodes.select(F.col("node").alias("id")), "id", "left_semi").select("text")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                sets = list(column_sets(batch.column(0).slice(at, 128)))
+                one, two = ([int(mixed(s, k).sum(dtype=np.uint64).astype(np.int64)) for s in sets] for k in (11, 12))
+                ends = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])], pa.int32())
+                values = pa.array(np.concatenate(sets).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(ends, values)],
+                    ["f1", "f2", "shingles"],
+                )
+
+    sets = rows.mapInArrow(whole, "f1 long, f2 long, shingles array<long>")
+    own = classes.select("f1", "f2", "node", "n").join(nodes, "node", "left_semi")
+    one = sets.join(own, ["f1", "f2"]).groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    return settle(one, "sets").select("node", "n", F.explode("shingles").alias("v"))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    """The least overlap of similar sets of these sizes."""
+    return F.ceil((a + b) * F.lit(PERCENT) / F.lit(100 + PERCENT)).cast("long")
+
+
+def _open_pairs(
+    listed: DataFrame, components: DataFrame, done: DataFrame, classes: DataFrame, docs: DataFrame,
+    id_column: str, text_column: str,
+) -> DataFrame:
+    """(a, b): members of a list that are in different components, may be similar and were not compared."""
+    nodes = settle(_labelled(listed, components).select("node").distinct(), "open")
+    sets = _full_sets(docs, nodes, classes, id_column, text_column)
+    counts = sets.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    own = Window.partitionBy("node")
+    rarest_first = F.row_number().over(own.orderBy("c", "v")) + F.col("n") - F.count(F.lit(1)).over(own)
+    smallest = F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100)).cast("long")
+    entries = sets.join(counts, "v").withColumn("place", rarest_first).where(
+        F.col("place") <= F.col("n") - smallest + 1).select("v", "node", "n", "place")
+    entries = settle(_labelled(entries, components), "rare")
+    # a member whose shingle comes too late for the smallest set in the list finds nothing there
+    least = entries.groupBy("v").agg(F.min("n").alias("least"))
+    may = F.col("n") - F.col("place") + 1 >= _overlap(F.col("n"), F.greatest("least", smallest))
+    entries = entries.join(least, "v").where(may).drop("least")
+    # the fullest component of a list is met by the others' members; its own members need not meet
+    by_label = entries.groupBy("v", "label").agg(F.count(F.lit(1)).alias("members"))
+    main = by_label.groupBy("v").agg(F.max(F.struct("members", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
+    left = entries.join(main, "v").where(F.col("label") != F.col("main"))
+    right = entries.select("v", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("place").alias("at"))
+    bound = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1 >= _overlap(F.col("n"), F.col("m"))
+    once = (F.col("other") == F.col("main")) | (F.col("node") > F.col("b"))
+    pairs = left.join(right, "v").where(
+        (F.col("label") != F.col("other")) & once & bound & _sizes_fit("n", "m")).select(F.col("node").alias("a"), "b")
+    tested = done.unionAll(done.select("b", "a"))
+    return pairs.distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def _may_be_similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -181,7 +239,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     several = versions.groupBy("id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     links = settle(links.unionAll(versions.join(several, "id").select("id", "node").distinct()), "links")
     components = connected_components(links)
-    more = _confirmed(_open_pairs(listed, components, first), classes, docs, id_column, text_column)
+    more = _confirmed(_open_pairs(listed, components, first, classes, docs, id_column, text_column), classes, docs, id_column, text_column)
     if not more.isEmpty():
         components = connected_components(links.unionAll(more))
     components = components.withColumnRenamed("node", "c_node")
