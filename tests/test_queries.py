@@ -14,9 +14,12 @@ QUICK = [
     "parse_date_time", "drop_duplicates_first", "stratified_split", "kfold", "standard_scale", "legacy_cleaning",
     "crash_location_gaps", "load_hump_centroids", "hump_effect_pedestrians", "crashes_by_street_hour",
     "mid_block_crashes", "point_feature_split_by_date", "street_collision_dataset",
+    "before_after_left_join", "residuals", "knn_regression", "model_leaderboard", "quadratic_regression_moments",
+    "lasso_path_optimality", "random_forest_stump", "gradient_boosting_stump", "grid_search_stump",
+    "hump_effect_model_moments", "hump_effect_holdout_line", "hump_effect_cv_line",
 ]
 # asks for more neighbours than the smallest data set has rows
-NEEDS_MORE_ROWS = {"knn_grid_search"}
+NEEDS_MORE_ROWS = {"knn_grid_search", "cv_results_table"}
 
 
 def selected():
