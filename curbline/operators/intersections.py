@@ -89,8 +89,9 @@ def _touching_cells(ends: DataFrame, reach: float) -> DataFrame:
 
     Each cell is cut into sub-cells, and only the bounding boxes of the sub-cells are paired: at
     most a fixed number per cell, however many ends there are. Boxes wholly within reach decide a
-    pair of cells, boxes wholly out of reach decide nothing. Single ends are compared only for the
-    boxes in between, and only where no box has decided the cells yet.
+    pair of cells, boxes wholly out of reach decide nothing. The boxes in between are cut again, for
+    the cells that no box has decided yet, until single ends remain; the ends of two boxes are never
+    all compared.
     """
     boxes = settle(
         ends.groupBy("cx", "cy", "node", "sub").agg(
@@ -111,20 +112,36 @@ def _touching_cells(ends: DataFrame, reach: float) -> DataFrame:
         "node as a", "o_node as b", "sub", "o_sub", f"{near} as near", f"{far} as far"
     )
     open_pairs = settle(paired.where(F.col("near") < F.lit(reach * reach)), "box-pairs")
-    decided = open_pairs.where(F.col("far") < F.lit(reach * reach)).select("a", "b").distinct()
-    undecided = open_pairs.select("a", "b", "sub", "o_sub").join(decided, ["a", "b"], "left_anti")
-    one = ends.select(F.col("node").alias("a"), "sub", "x", "y")
-    other = ends.select(
-        F.col("node").alias("b"), F.col("sub").alias("o_sub"), F.col("x").alias("x2"), F.col("y").alias("y2")
-    )
-    gap = (F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2
-    compared = (
-        undecided.join(one, ["a", "sub"])
-        .join(other, ["b", "o_sub"])
-        .where(gap < F.lit(reach * reach))
-        .select("a", "b")
-    )
-    return decided.unionByName(compared).distinct()
+    decided, undecided = _decided(open_pairs, reach)
+    points, step = ends.select("node", "sub", "x", "y"), reach / math.sqrt(2.0) / SUB_CELLS
+    while not undecided.isEmpty():
+        step /= SUB_CELLS
+        points = points.withColumn(
+            "part", F.struct(*[F.floor(F.col(c) / F.lit(step)).alias(f"p{c}") for c in "xy"]))
+        boxes = settle(
+            points.groupBy("node", "sub", "part").agg(
+                F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
+            ),
+            "boxes",
+        )
+        columns = ("node", "sub", "part", "x0", "x1", "y0", "y1")
+        here = boxes.select(F.col("node").alias("a"), *columns[1:])
+        there = boxes.select(F.col("node").alias("b"), *[F.col(c).alias(f"o_{c}") for c in columns[1:]])
+        paired = undecided.join(here, ["a", "sub"]).join(there, ["b", "o_sub"]).selectExpr(
+            "a", "b", "part as sub", "o_part as o_sub", f"{near} as near", f"{far} as far"
+        )
+        open_pairs = settle(paired.where(F.col("near") < F.lit(reach * reach)), "box-pairs")
+        now, undecided = _decided(open_pairs, reach)
+        decided = settle(decided.unionByName(now), "decided")
+        points = points.select("node", F.col("part").alias("sub"), "x", "y")
+    return decided.distinct()
+
+
+def _decided(open_pairs: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes that some pair of boxes decides, and the pairs of boxes of all other nodes."""
+    decided = settle(open_pairs.where(F.col("far") < F.lit(reach * reach)).select("a", "b").distinct(), "decided")
+    rest = open_pairs.where(F.col("far") >= F.lit(reach * reach)).select("a", "b", "sub", "o_sub")
+    return decided, settle(rest.join(decided, ["a", "b"], "left_anti"), "undecided")
 
 
 def intersection_components(streets: DataFrame, radius: float = 30.0) -> DataFrame:

@@ -234,6 +234,22 @@ def test_components_match_union_find(spark, extent):
     assert sorted(map(sorted, groups.values())) == components_by_union(ends, 60.0)
 
 
+@pytest.mark.parametrize("apart", [57.0, 59.9, 60.5])
+def test_components_of_crowded_ends(spark, apart):
+    rng = random.Random(int(apart * 10))
+    spots = [(0.0, 0.0), (apart, 0.0), (apart + 300, 5.0)]
+    rows = [
+        (i, [[tuple(c + rng.random() * 2 for c in rng.choice(spots)), tuple(c + rng.random() * 2 for c in rng.choice(spots))]])
+        for i in range(250)
+    ]
+    labelled = intersections.intersection_components(line(spark, rows), 30.0).collect()
+    groups = {}
+    for r in labelled:
+        groups.setdefault(r.component, set()).add((r.x, r.y))
+    ends = sorted({v for _, parts in rows for v in parts[0]})
+    assert sorted(map(sorted, groups.values())) == components_by_union(ends, 60.0)
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     rows = intersections.connected_components(edges).collect()
