@@ -8,6 +8,8 @@ An empty table passes through all stages; nulls and repeated rows are dealt with
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.llm.common import table
@@ -16,32 +18,52 @@ from curbline.llm.language_id import fit_language_model, keep_known_languages
 from curbline.llm.mixing import mixed_documents
 from curbline.llm.near_dedup import drop_near_duplicates
 from curbline.llm.packing import pack_documents, piece_digest
-from curbline.session import settle
+from curbline.session import release, settle, settled_as
+
+#: Intermediate tables of a stage; they go when the next stage starts, as the stage's result is written by then.
+WITHIN = "corpus-stage"
 
 #: A text is rejected when no learned language reaches this score; the share of each of four by chance is 0.25.
 LEAST_SCORE = 0.3
 
 
+def stage(function):
+    """A stage that first lets go what the stage before has stored on its way."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, WITHIN, keep_for=docs)
+        with settled_as(WITHIN):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and texts that look like no learned language."""
     return keep_known_languages(docs, fit_language_model(docs), least_score=LEAST_SCORE)
 
 
+@stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return drop_exact_duplicates(docs)
 
 
+@stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts."""
     return drop_near_duplicates(docs)
 
 
+@stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as far, as the mix takes their words."""
     return mixed_documents(docs, length_column="n_chars")
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
     return piece_digest(pack_documents(docs))
@@ -60,7 +82,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+    docs, stored = table(spark, sf_dir, "documents"), None
+    for name, function in STAGES[:-1]:
+        result = function(spark, docs, sf_dir)
+        with settled_as(f"corpus-{name}"):
+            docs = settle(result, name)
+        if stored:
+            release(spark, stored)  # the input of the stage just written
+        stored = f"corpus-{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -249,22 +249,20 @@ def mixed_documents(
     """The mix as documents with the columns of ``docs``: a row for each pass that takes words of a document, its text
     being those words (the whole text where the pass takes them all). ``length_column`` is set to its length."""
     mix = Mix(docs, id_column=id_column, text_column=text_column, source_column=source_column, **settings)
-    keys = ["number", "id", "version"]
+    keys = ["number", "key", "version"]  # without nulls, so that grouping and join share one shuffle of the texts
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias("key")
     numbers = F.broadcast(mix._table([(s.number, s.source) for s in mix.shares], "number int, known string"))
     text = F.col(text_column).cast("string")
     rows = (
-        docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"),
+        docs.select(F.struct("*").alias("row"), key(id_column),
                     F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
                     F.col(source_column).cast("string").alias("source"))
         .join(numbers, F.col("source").eqNullSafe(F.col("known")))
         .groupBy(*keys).agg(F.first("row").alias("row"))  # repeated rows: one of them, the pieces tell how often
     )
-    pieces = mix.pieces().groupBy(*keys, "copy", "pass").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    pieces = pieces.toDF("p_number", "p_id", "p_version", "copy", "pass", "spans")
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"p_{c}"))
-    joined = rows.join(pieces, same).withColumn("cut", F.pandas_udf(_words_of, "string")(F.col(f"row.`{text_column}`"), F.col("spans")))
+    pieces = mix.pieces().groupBy("number", key("id"), "version", "copy", "pass").agg(
+        F.collect_list(F.struct("first", "last")).alias("spans"))
+    joined = rows.join(pieces, keys).withColumn("cut", F.pandas_udf(_words_of, "string")(F.col(f"row.`{text_column}`"), F.col("spans")))
     changed = {text_column: F.col("cut")} | ({length_column: F.length("cut")} if length_column else {})
     return joined.select(*[
         (changed[c].cast(docs.schema[c].dataType) if c in changed else F.col(f"row.`{c}`")).alias(c) for c in docs.columns
