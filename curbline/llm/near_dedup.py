@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.llm.common import small_batches
 from curbline.llm.shingles import WORDS, column_sets, mixed
 from curbline.operators.intersections import connected_components
 from curbline.session import settle
@@ -79,9 +80,9 @@ def _sizes_fit(a: str, b: str) -> Column:
 def _listed(classes: DataFrame) -> DataFrame:
     """(v, node, n, common): each sketch value that the node is listed under and that another class has, too.
     ``common`` adds up how often the values of the node's sketch occur."""
-    entries = classes.select("node", "n", F.explode("sketch").alias("v"))
+    entries = classes.select("node", F.explode("sketch").alias("v"))
     counts = entries.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = entries.join(counts, "v")
+    shared = entries.join(counts, "v").join(classes.select("node", "n"), "node")
     own = Window.partitionBy("node")
     size = F.least(F.col("n"), F.lit(SKETCH).cast("long"))
     place = F.row_number().over(own.orderBy("c", "v")) + size - F.count(F.lit(1)).over(own)
@@ -108,6 +109,7 @@ def _labelled(listed: DataFrame, components: DataFrame) -> DataFrame:
     """Entries of the lists whose members are in different components, with their component as label."""
     named = listed.join(components.withColumnRenamed("component", "c"), "node", "left").withColumn(
         "label", F.coalesce("c", "node")).drop("c")
+    named = settle(named, "labelled")
     several = named.groupBy("v").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
     return named.join(several.select("v"), "v", "left_semi")
 
@@ -153,7 +155,7 @@ def _open_pairs(
     smallest = F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100)).cast("long")
     entries = sets.join(counts, "v").withColumn("place", rarest_first).where(
         F.col("place") <= F.col("n") - smallest + 1).select("v", "node", "n", "place")
-    entries = settle(_labelled(entries, components), "rare")
+    entries = settle(_labelled(settle(entries, "rare"), components), "rare-open")
     # a member whose shingle comes too late for the smallest set in the list finds nothing there
     least = entries.groupBy("v").agg(F.min("n").alias("least"))
     may = F.col("n") - F.col("place") + 1 >= _overlap(F.col("n"), F.greatest("least", smallest))
@@ -225,6 +227,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """One row per row of ``docs``: id, version (the hash of its text), n, component, kept."""
+    with small_batches(docs.sparkSession):  # all that runs Python is settled within
+        return _settled_groups(docs, id_column, text_column)
+
+
+def _settled_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     sketches = settle(_sketches(docs, id_column, text_column, WORDS), "sketches")
     classes = settle(
         sketches.where("n > 0 AND id IS NOT NULL").groupBy("f1", "f2")
