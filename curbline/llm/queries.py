@@ -29,7 +29,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), RULES)
+    return judge_urls(table(spark, sf_dir, "pages"), RULES, inherit=True)
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

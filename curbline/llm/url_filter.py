@@ -10,7 +10,10 @@ Rules name a host with its subdomains and a path prefix. URLs that no rule fits
    merged while a two-sided test of their shares finds no difference (``z``). Branches without any label
    are merged among themselves.
 4. A template is rejected when its purity, (good + strength * prior) / (labelled + strength) with the share of
-   good URLs among all labelled ones as prior, is below ``least_purity``.
+   good URLs among all labelled ones as prior, is below ``least_purity``. With ``inherit`` the prior of a
+   template is the purity of the node above it, from all URLs by way of the parent domains (each with the
+   hosts at and below it) and the host down to the template, so a template without labels has that of its nearest
+   ancestor with some. Hosts of more than 253 characters are no domain names and have no parent domains.
 
 The tree is built on the distinct (host, segments) with their counts, combined on the map side, so a host
 with a third of all URLs is as large there as its number of different paths. The verdicts are joined back
@@ -32,6 +35,7 @@ from curbline.llm.common import hot_limit, lower_ascii
 from curbline.session import settle
 
 DEPTH, MAX_CHILDREN, Z, STRENGTH, LEAST_PURITY = 6, 50, 1.96, 2.0, 0.5
+HOST_LENGTH = 253  # of a domain name
 
 
 @dataclass(frozen=True)
@@ -79,6 +83,7 @@ def template_purity(
     max_children: int = MAX_CHILDREN,
     z: float = Z,
     strength: float = STRENGTH,
+    inherit: bool = False,
 ) -> DataFrame:
     """``leaves``: distinct (host, segments) with labelled and good counts. Adds template and purity."""
     rows = leaves.withColumn("template", F.array().cast("array<string>"))
@@ -89,10 +94,41 @@ def template_purity(
     sums = leaves.agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good")).first()
     prior = sums.good / sums.labelled if sums.labelled else 1.0
     by_template = rows.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
+    if inherit:
+        return rows.join(_inherited(settle(by_template, "sums"), prior, strength), ["host", "template"])
     purity = (F.col("g") + F.lit(strength * prior)) / (F.col("l") + F.lit(strength))
     return rows.join(by_template.select("host", "template", purity.alias("purity")), ["host", "template"])
 
 
+def _inherited(by_template: DataFrame, prior: float, strength: float) -> DataFrame:
+    """Host, template and the purity smoothed level by level; a node without labels has that of the one above."""
+    sums = [F.sum("l").alias("l"), F.sum("g").alias("g")]
+
+    def labelled_path(rows: DataFrame, key: list[str], node: list[str], asked: Column | None = None) -> DataFrame:
+        """Of each key the counts of its nodes that hold labels, from the top down; nodes not asked only count."""
+        labelled = rows.groupBy(*node).agg(*sums).where(F.col("l") > 0)
+        return rows.drop("l", "g").where(F.lit(True) if asked is None else asked).join(labelled, node).groupBy(*key).agg(
+            F.array_sort(F.collect_list(F.struct("level", "l", "g"))).alias("path"))
+
+    def smoothed(start: Column) -> Column:
+        down = F.aggregate("path", start, lambda above, n: (n["g"] + F.lit(strength) * above) / (n["l"] + F.lit(strength)))
+        return F.coalesce(down, start)
+
+    hosts = by_template.groupBy("host").agg(*sums)
+    parts = F.split("host", r"\.")
+    domains = F.when(F.length("host") <= HOST_LENGTH, F.transform(  # com, example.com, ... and the host itself
+        F.sequence(F.size(parts), F.lit(1)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")))
+    domains = labelled_path(
+        hosts.select("host", "l", "g", F.posexplode(domains).alias("level", "domain")), ["host"], ["domain"],
+        F.col("domain") != F.col("host"))
+    hosts = hosts.select("host").join(domains, "host", "left").select("host", smoothed(F.lit(float(prior))).alias("above"))
+    prefixes = F.transform(F.sequence(F.lit(0), F.size("template")), lambda i: F.slice("template", F.lit(1), i))
+    nodes = labelled_path(
+        by_template.select("*", F.posexplode(prefixes).alias("level", "prefix")), ["host", "template"], ["host", "prefix"])
+    return by_template.select("host", "template").join(nodes, ["host", "template"], "left").join(hosts, "host").select(
+        "host", "template", smoothed(F.col("above")).alias("purity"))
+
+
 def _grow(rows: DataFrame, level: int, max_children: int, z: float) -> DataFrame:
     """Append to each template the generalised segment of this level."""
     node = ["host", "template"]

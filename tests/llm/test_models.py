@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from curbline.llm import code_search, language_id, mixing, packing, url_filter
+from curbline.llm import code_search, language_id, mixing, packing, queries, url_filter
 from curbline.llm.queries import RULES
 from tests.llm.helpers import WORD, awkward, components, documents, prose
 
@@ -311,6 +311,50 @@ def test_url_verdicts_equal_brute_force(spark, labelled, max_children):
     assert url_filter.judge_urls(pages.limit(0), RULES).collect() == []
 
 
+def inherited_purity(by_template, prior, strength=2.0):
+    """by_template: (host, template) to (labelled, good)."""
+    out = {}
+    for host, template in by_template:
+        parts = host.split(".")
+        domains = [".".join(parts[i:]) for i in range(len(parts) - 1, 0, -1)] if len(host) <= 253 else []
+        nodes = [lambda h, t, d=d: len(h) <= 253 and (h == d or h.endswith("." + d)) for d in domains]
+        nodes += [lambda h, t, k=k: h == host and t[:k] == template[:k] for k in range(len(template) + 1)]
+        purity = prior
+        for inside in nodes:
+            counts = [v for (h, t), v in by_template.items() if inside(h, t)]
+            labelled, good = (sum(v[i] for v in counts) for i in (0, 1))
+            purity = (good + strength * purity) / (labelled + strength)
+        out[host, template] = purity
+    return out
+
+
+def test_purity_is_inherited_level_by_level(spark):
+    rng = random.Random(7)
+    leaves = {}
+    for host in ["a.b.com", "b.com", "x.b.com", "c.com", "y.org", "org", "", "z.c.com.", "q." * 125 + "io", "q." * 126 + "io"]:
+        for _ in range(12):
+            segments = tuple(rng.choice("uvw") for _ in range(rng.randrange(4)))
+            labelled = rng.choice([0, 0, 0, 1, 9])
+            leaves[host, segments] = (labelled, rng.randint(0, labelled))
+    table = spark.createDataFrame([(*k, *v) for k, v in leaves.items()], "host string, segments array<string>, labelled long, good long")
+    found = url_filter.template_purity(table, inherit=True).collect()
+    assert len(found) == len(leaves)
+    sums = defaultdict(lambda: (0, 0))
+    for r in found:
+        labelled, good = sums[r.host, tuple(r.template)]
+        sums[r.host, tuple(r.template)] = (labelled + r.labelled, good + r.good)
+    prior = sum(v[1] for v in leaves.values()) / sum(v[0] for v in leaves.values())
+    want = inherited_purity(sums, prior)
+    assert all(math.isclose(r.purity, want[r.host, tuple(r.template)], abs_tol=1e-12) for r in found)
+
+
+def test_templates_next_to_rules_get_their_verdict(spark, tmp_path):
+    urls = ["http://a.example.com/de/1", "http://a.example.com/en/1", "http://new.example.com/en/1", "http://b.org/fr/1", "http://b.org/en/1", "http://c.org/"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: r.verdict for r in queries.op2_url_filter(spark, str(tmp_path)).collect()}
+    assert found == {0: "block", 1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
+
+
 # ---- codes ----------------------------------------------------------------------------------------------------------
 
 
