@@ -13,6 +13,8 @@ Tokens are those of the byte-level vocabulary, plus one end token a document. Th
 looks ahead only where white space follows white space; texts without that are split by a rule without
 look-ahead, which gives the same pieces faster.
 
+The names of the vocabulary's special tokens, where a text holds them, are read as those tokens.
+
 Defined cases: a null text counts as empty, and an empty document is its end token. Repeated rows and null
 identifiers are packed like others. An empty table gives no pieces. Other columns are not read.
 """
@@ -21,9 +23,11 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
+import os
 import sys
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -42,16 +46,20 @@ _OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in
 
 
 @lru_cache(maxsize=2)
-def _encoders(vocabulary: str | None) -> tuple[Callable[[str], list[int]], Callable[[str], list[int]]]:
-    """For any text, and for texts without neighbouring white space."""
+def _encoders(vocabulary: str | None):
+    """Encodings for any text, and for texts without neighbouring white space."""
     import public_tokenizers
     import tiktoken
 
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    special, beside = {}, os.path.splitext(path)[0] + ".json"
+    if os.path.exists(beside):
+        with open(beside, encoding="utf-8") as file:
+            special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     full, plain = (
-        tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         for name, pattern in (("full", public_tokenizers.PATTERN), ("plain", PLAIN_PATTERN))
     )
     return full, plain
@@ -63,10 +71,14 @@ def _neighbouring_spaces(text: str) -> bool:
     return pairs or any(space in text for space in _OTHER_SPACES)
 
 
-def token_ids(text: str, vocabulary: str | None = None) -> bytes:
-    """Ids of a text as little-endian 32-bit integers."""
+def token_ids(text: str, vocabulary: str | None = None, special: bool = False) -> bytes:
+    """Ids of a text as little-endian 32-bit integers. With ``special``, names of special tokens are those tokens."""
     full, plain = _encoders(vocabulary)
-    ids = array("I", (full if _neighbouring_spaces(text) else plain)(text))
+    encoding = full if _neighbouring_spaces(text) else plain
+    if special and any(name in text for name in encoding.special_tokens_set):
+        ids = array("I", encoding.encode(text, allowed_special="all"))
+    else:
+        ids = array("I", encoding.encode_ordinary(text))
     if sys.byteorder == "big":
         ids.byteswap()
     return ids.tobytes()
@@ -132,7 +144,8 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces: identifier, start, length, ids (little-endian 32-bit integers), doc_tokens, sequence_id, offset.
 
-    ``vocabulary`` is the path of the ranks file, by default that of the installed public tokenizers.
+    ``vocabulary`` is the path of the ranks file, by default that of the installed public tokenizers. Special tokens
+    are the added tokens of the .json file of the same name beside it, if there is one.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     end = END.to_bytes(4, "little")
@@ -161,7 +174,7 @@ def pack_documents(
         for batch in batches:
             for row in range(batch.num_rows):
                 keys.append(batch.column(0).slice(row, 1))
-                ids.append(token_ids(batch.column(1)[row].as_py(), vocabulary) + end)
+                ids.append(token_ids(batch.column(1)[row].as_py(), vocabulary, special=True) + end)
                 held += len(ids[-1]) // 4
                 if held >= BLOCK_TOKENS:
                     yield close()

@@ -90,6 +90,21 @@ def test_tokens_equal_the_tokenizer(text):
     assert packing.token_ids(text) + packing.END.to_bytes(4, "little") == reference_ids(text)
 
 
+def test_special_tokens_are_packed_as_the_tokenizer_reads_them(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a  <|endoftext|>  b\n\n", "x\n<|endoftext|><|endoftext|>\ny <|endoftext", "no\u3000<|endoftext|>\x85z", "it's", " <|endoftext|>s"]
+    found = packing.pack_documents(documents(spark, list(enumerate(texts)))).collect()
+    ids = defaultdict(list)
+    for r in sorted(found, key=lambda r: r.start):
+        ids[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    for i, text in enumerate(texts):
+        want = reference.encode(text, add_special_tokens=False).ids
+        assert ids[i] == want + [packing.END] and want.count(50256) == text.count("<|endoftext|>")
+
+
 def check_packing(pieces, texts):
     own = defaultdict(list)
     for r in pieces:
