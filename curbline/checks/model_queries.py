@@ -547,13 +547,13 @@ def _(spark, sf_dir):
 @query("random_forest")
 def _(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
-    return mo.predict(models.fit_trees(train, models.random_forest(LABEL, trees=50)), test, label=LABEL)
+    return mo.predict(models.fit_trees(train, models.random_forest(LABEL)), test, label=LABEL)
 
 
 @query("gradient_boosting")
 def _(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
-    return mo.predict(models.fit_trees(train, models.boosted_trees(LABEL, trees=20)), test, label=LABEL)
+    return mo.predict(models.fit_trees(train, models.boosted_trees(LABEL)), test, label=LABEL)
 
 
 @query("feature_importances")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from curbline.checks import model_queries, registry
 from curbline.functions.transforms import strip_name_prefix
 from curbline.operators import knn, linear, models, splits
 from curbline.plans import modelling
@@ -181,6 +182,28 @@ def test_trees_searches_and_stored_models(spark, table):
     assert importances.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def test_boosting_and_forest_search(spark, table):
+    features = {"a": "a", "b": "b"}
+    for search, grid in ((models.boosting_search, {"maxIter": [1, 4], "maxDepth": [1, 3], "stepSize": [0.5]}),
+                         (models.forest_search, {"numTrees": [1, 3], "minInstancesPerNode": [5, 60]})):
+        found = search(table, "y", fold="fold", grid=grid, features=features)
+        rows = found.results.collect()
+        assert len(rows) == 4 and all(r.train_mse > 0 for r in rows)
+        best = min(rows, key=lambda r: r.val_mse)
+        assert found.best == {name: best[name] for name in grid} and found.best_model.transform(table).count() == 400
+    assert max(models.BOOSTING_GRID["maxIter"]) == 1000 and max(models.FOREST_GRID["numTrees"]) == 500
+
+
+def test_boosting_query_fits_whole_models(spark, table, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(model_queries, "train_and_test", lambda *_: (table, table))
+    monkeypatch.setattr(models, "fit_trees", lambda train, estimator: fitted.append(estimator))
+    monkeypatch.setattr(modelling, "predict", lambda *_, **__: table)
+    for name in ("gradient_boosting", "random_forest"):
+        registry.QUERIES[name](spark, "")
+    assert fitted[0].getMaxIter() >= 100 and fitted[1].getNumTrees() >= 100
+
+
 def test_materialize_builds_once_per_parameters(spark):
     folder, built = scratch_path(spark, "stored"), []
 
