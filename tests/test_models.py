@@ -204,6 +204,19 @@ def test_boosting_query_fits_whole_models(spark, table, monkeypatch):
     assert fitted[0].getMaxIter() >= 100 and fitted[1].getNumTrees() >= 100
 
 
+def test_grid_search_query_asks_for_the_whole_grid(spark, table, monkeypatch):
+    asked = []
+
+    def search(train, label, estimator, grid, **options):
+        asked.append((grid, options["train_scores"]))
+        return models.Search({}, None, spark.createDataFrame([(1.0,)], "val_mse double"))
+
+    monkeypatch.setattr(model_queries, "model_table", lambda *_: table)
+    monkeypatch.setattr(models, "grid_search", search)
+    registry.QUERIES["grid_search"](spark, "")
+    assert asked == [({"numTrees": [50, 100, 500], "minInstancesPerNode": [5, 10, 25]}, True)]
+
+
 def test_materialize_builds_once_per_parameters(spark):
     folder, built = scratch_path(spark, "stored"), []
 
