@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 LENGTH, END, BLOCK_TOKENS = 2048, 1, 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024  # the cost of a token, and of a pair of tokens that attend to each other
-FIT_TRIES = 16
 
 
 #: The vocabulary's splitting rule for texts in which no two characters of white space are neighbours.
@@ -90,6 +89,40 @@ def capacities(tokens: int, length: int = LENGTH) -> list[int]:
     return [length] * full + [1 << bit for bit in reversed(range(rest.bit_length())) if rest >> bit & 1]
 
 
+class OpenSequences:
+    """Sequences as (cost, number) by remaining room, under a tree of the least cost over room."""
+
+    def __init__(self, length: int):
+        self.base = 1 << length.bit_length()
+        self.least = [(float("inf"), -1, 0)] * (2 * self.base)  # cost, number, room
+        self.heaps: list[list[tuple[float, int, int]]] = [[] for _ in range(length + 1)]
+
+    def add(self, room: int, entry: tuple[float, int]) -> None:
+        heapq.heappush(self.heaps[room], (*entry, room))
+        self._refresh(room)
+
+    def take(self, size: int) -> tuple[int, tuple[float, int]]:
+        """Remove the cheapest with room for ``size``, or, where none has it, the cheapest of all."""
+        best, low, high = self.least[0], self.base + size, 2 * self.base
+        while low < high:
+            if low & 1:
+                best = min(best, self.least[low])
+                low += 1
+            low, high = low >> 1, high >> 1
+        if best[1] < 0:
+            best = self.least[1]
+        spent, number, room = heapq.heappop(self.heaps[best[2]])
+        self._refresh(room)
+        return room, (spent, number)
+
+    def _refresh(self, room: int) -> None:
+        at = self.base + room
+        self.least[at] = self.heaps[room][0] if self.heaps[room] else self.least[0]
+        while at > 1:
+            at >>= 1
+            self.least[at] = min(self.least[2 * at], self.least[2 * at + 1])
+
+
 def assign(
     sizes: list[int], length: int = LENGTH, linear: float = LINEAR, quadratic: float = QUADRATIC
 ) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -106,29 +139,17 @@ def assign(
     used = [0] * len(room)
     cost = lambda size: size * (linear + quadratic * size)
     # a short sequence starts with the cost of the tokens it lacks, so that it is not filled first
-    heap = [(cost(length - r), i) for i, r in enumerate(room)]
-    heapq.heapify(heap)
+    queue = OpenSequences(length)
+    for i, r in enumerate(room):
+        queue.add(r, (cost(length - r), i))
     for size, doc, start in rest:
-        passed = []
-        while heap and len(passed) < FIT_TRIES:
-            entry = heapq.heappop(heap)
-            if room[entry[1]] - used[entry[1]] >= size:
-                passed.insert(0, entry)  # the cheapest with room for the whole document
-                break
-            passed.append(entry)
-        at = 0
         while size:
-            if at == len(passed):
-                passed.append(heapq.heappop(heap))
-            spent, i = passed[at]
-            part = min(size, room[i] - used[i])
+            space, (spent, i) = queue.take(size)
+            part = min(size, space)
             pieces.append((doc, start, part, sequences + i, used[i]))
             used[i], size, start = used[i] + part, size - part, start + part
-            passed[at] = (spent + cost(part), i)
-            at += 1
-        for entry in passed:
-            if used[entry[1]] < room[entry[1]]:
-                heapq.heappush(heap, entry)
+            if part < space:
+                queue.add(space - part, (spent + cost(part), i))
     return pieces, sequences + len(room)
 
 

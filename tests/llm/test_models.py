@@ -158,6 +158,27 @@ def test_assignment_covers_every_token_and_balances_cost():
     assert max(shared) < whole and np.std(shared) < 0.25 * np.mean(shared)
 
 
+def test_documents_are_cut_only_where_none_has_room():
+    rng = random.Random(4)
+    for length in (1, 7, 64):
+        sizes = [rng.randint(1, length * 2) for _ in range(400)] + [1] * 30
+        rest = sorted((-(s % length), d) for d, s in enumerate(sizes) if s % length)
+        first = sum(s // length for s in sizes)
+        cost = lambda n: n * (1.0 + n / 1024)
+        room = packing.capacities(-sum(s for s, _ in rest), length)
+        spent, want = [cost(length - r) for r in room], []
+        for size, doc in rest:
+            size = -size
+            while size:
+                among = [i for i, r in enumerate(room) if r >= size] or [i for i, r in enumerate(room) if r]
+                i = min(among, key=lambda i: (spent[i], i))
+                part = min(size, room[i])
+                want.append((doc, part, first + i))
+                room[i], spent[i], size = room[i] - part, spent[i] + cost(part), size - part
+        found = [(d, n, s) for d, _, n, s, _ in packing.assign(sizes, length)[0] if s >= first]
+        assert found == want and not any(room)
+
+
 # ---- mixing ---------------------------------------------------------------------------------------------------------
 
 
