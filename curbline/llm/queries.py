@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from curbline.llm.byte_bpe import byte_bpe_digest
 from curbline.llm.code_search import nearest_by_sign
 from curbline.llm.common import table
 from curbline.llm.exact_dedup import exact_duplicates
+from curbline.llm.fill_in_middle import fill_in_middle_digest
 from curbline.llm.language_id import identify_languages
 from curbline.llm.line_dedup import line_digest
 from curbline.llm.mixing import Mix
@@ -17,6 +19,7 @@ from curbline.llm.near_dedup import near_duplicates
 from curbline.llm.packing import pack_documents, piece_digest
 from curbline.llm.personal_data import personal_data_digest
 from curbline.llm.secret_scan import secret_digest
+from curbline.llm.token_alignment import alignment_digest
 from curbline.llm.url_filter import Rule, judge_urls
 
 RULES = [
@@ -64,6 +67,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_url_filter": op2_url_filter,
@@ -75,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_byte_bpe": op13_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -120,6 +138,31 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM p)
         SELECT query_id, rank, vec_id, distance FROM n WHERE rank <= 10
     """,
+    "op11_fill_in_middle": """
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+            FROM documents),
+        h AS (
+            SELECT doc_id, text, n, CAST('0x' || hex[1:8] AS UBIGINT) % (n + 1) AS u1,
+                   CAST('0x' || hex[9:16] AS UBIGINT) % (n + 1) AS u2,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR CAST('0x' || hex[17:24] AS UBIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST('0x' || hex[25:32] AS UBIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM t),
+        p AS (
+            SELECT *, substring(text, 1, CAST(least(u1, u2) AS BIGINT)) AS prefix,
+                   substring(text, CAST(least(u1, u2) + 1 AS BIGINT), CAST(greatest(u1, u2) - least(u1, u2) AS BIGINT)) AS middle,
+                   substring(text, CAST(greatest(u1, u2) + 1 AS BIGINT)) AS suffix
+            FROM h)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                               WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+        FROM p
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -14,4 +14,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14)) and "pipeline" in QUERIES
