@@ -15,6 +15,7 @@ from curbline.checks.feature_queries import (
 )
 from curbline.checks.geometry_queries import SITES_SQL
 from curbline.checks.registry import query
+from curbline.checks.solver_sql import least_squares_ctes, scores_sql
 from curbline.checks.study_queries import (
     AUGMENTATION_CTES,
     AUGMENTATION_LAYERS,
@@ -233,7 +234,7 @@ def _(spark, sf_dir):
 
 @query("cross_val_score", model_sql("""
     SELECT a.fold, round(avg(pow(a.collision_rate - m.mean, 2)), 6) AS mse, round(avg(abs(a.collision_rate - m.mean)), 6) AS mae,
-           round(1 - sum(pow(a.collision_rate - m.mean, 2)) / (var_pop(a.collision_rate) * count(*)), 6) AS r2
+           round(1 - sum(pow(a.collision_rate - m.mean, 2)) / nullif(var_pop(a.collision_rate) * count(*), 0), 6) AS r2
     FROM model a JOIN (SELECT f.fold, avg(b.collision_rate) AS mean FROM (SELECT DISTINCT fold FROM model) f
                        JOIN model b ON b.fold <> f.fold GROUP BY 1) m ON m.fold = a.fold GROUP BY 1"""))
 def _(spark, sf_dir):
@@ -245,7 +246,7 @@ def _(spark, sf_dir):
 
 @query("cross_val_linear", model_sql("""
     SELECT a.fold, round(avg(pow(a.collision_rate - m.b - m.s * a.shape_leng, 2)), 6) AS mse,
-           round(1 - sum(pow(a.collision_rate - m.b - m.s * a.shape_leng, 2)) / (var_pop(a.collision_rate) * count(*)), 6) AS r2
+           round(1 - sum(pow(a.collision_rate - m.b - m.s * a.shape_leng, 2)) / nullif(var_pop(a.collision_rate) * count(*), 0), 6) AS r2
     FROM model a JOIN (SELECT f.fold, regr_slope(b.collision_rate, b.shape_leng) AS s,
                               regr_intercept(b.collision_rate, b.shape_leng) AS b
                        FROM (SELECT DISTINCT fold FROM model) f JOIN model b ON b.fold <> f.fold GROUP BY 1) m
@@ -255,6 +256,36 @@ def _(spark, sf_dir):
     return rounded(scores, {"mse": 6, "r2": 6})
 
 
+#: The features of the linear models as SQL reads them.
+_LINEAR_SQL = {n: e.replace("log1p(", "ln(1 + ").replace("cast(", "CAST(") for n, e in models.LINEAR_FEATURES.items()}
+
+
+@query("cross_val_linear_all", model_sql(
+    scores_sql("ls_scored"), **least_squares_ctes("model", "row_id", _LINEAR_SQL, "collision_rate")))
+def _(spark, sf_dir):
+    """Cross-validation of the linear pipeline with all features of the study."""
+    features = list(models.LINEAR_FEATURES.values())
+    scores = linear.cross_val_linear(model_table(spark, sf_dir), features, LABEL, "fold")
+    return rounded(scores, {"mse": 6, "r2": 6})
+
+
+@query("cross_val_quadratic", model_sql(
+    scores_sql("ls_scored", 5), **least_squares_ctes("model", "row_id", models.quadratic_terms(_LINEAR_SQL), "collision_rate")))
+def _(spark, sf_dir):
+    """Cross-validation of the pipeline with all monomials of degree 1 and 2."""
+    features = list(models.quadratic_terms(models.LINEAR_FEATURES).values())
+    scores = linear.cross_val_linear(model_table(spark, sf_dir), features, LABEL, "fold")
+    return rounded(scores, {"mse": 5, "r2": 5})
+
+
+@query("linear_regression_all", model_sql(
+    "SELECT k AS row_id, round(prediction, 6) AS prediction FROM ls_scored WHERE g = 1",
+    **least_squares_ctes("model", "row_id", _LINEAR_SQL, "collision_rate", "is_test")))
+def _(spark, sf_dir):
+    train, test = train_and_test(spark, sf_dir)
+    return rounded(models.fit_linear(train, LABEL).transform(test).select("row_id", "prediction"), {"prediction": 6})
+
+
 _TWO = {"log_leng": "log1p(shape_leng)", "trees": "n_trees"}
 _TWO_CTES = {
     "z": "SELECT *, ln(1 + shape_leng) AS u, n_trees AS v FROM train",
@@ -311,7 +342,7 @@ def _scored(spark, sf_dir):
 _METRICS = {
     "mse": "avg(pow(collision_rate - prediction, 2))",
     "mae": "avg(abs(collision_rate - prediction))",
-    "r2": "1 - sum(pow(collision_rate - prediction, 2)) / sum(pow(collision_rate - mean, 2))",
+    "r2": "1 - sum(pow(collision_rate - prediction, 2)) / nullif(sum(pow(collision_rate - mean, 2)), 0)",
 }
 
 
@@ -432,20 +463,14 @@ def _(spark, sf_dir):
     return moments(models.fit_quadratic(train, LABEL), train, LABEL, terms)
 
 
-@query("lasso_path_optimality", model_sql(
-    "SELECT i AS step, (SELECT count(*) FROM model) AS n, 0.0::DOUBLE AS violation FROM range(0, 300) t(i)"))
-def _(spark, sf_dir):
-    """All features, 300 alphas: how far each fit is from the conditions of the optimum. The mean product of residual
-    and scaled feature is the alpha, with the coefficient's sign, or within it where the coefficient is 0."""
-    table = model_table(spark, sf_dir)
-    features, alphas = list(models.LINEAR_FEATURES.values()), np.linspace(1e-11, 1e-5, 300)
-    path = linear.lasso_path(table, features, mo.LABEL, "fold", alphas).collect()
+def optimality(table, features, label, path):
+    """``step n violation``: how far each fit of a lasso path is from the conditions of the optimum."""
     scaled = prep.fit_scaler(table, features).expressions()
     zs = [f"z{i}" for i in range(len(features))]
-    mean = table.agg(F.avg(mo.LABEL)).scalar()
-    rows = table.select((F.col(mo.LABEL) - mean).alias("y"), *[F.expr(e).alias(z) for e, z in zip(scaled, zs)])
-    fits = spark.createDataFrame(
-        [(i, float(r[0]), [float(w) for w in r[1 : len(features) + 1]]) for i, r in enumerate(path)],
+    mean = table.agg(F.avg(label)).scalar()
+    rows = table.select((F.col(label) - mean).alias("y"), *[F.expr(e).alias(z) for e, z in zip(scaled, zs)])
+    fits = table.sparkSession.createDataFrame(
+        [(i, float(r[0]), [float(w) for w in r[1 : len(features) + 1]]) for i, r in enumerate(path.collect())],
         "step long, alpha double, w array<double>",
     )
     fitted = sum((F.col(z) * F.col("w")[i] for i, z in enumerate(zs)), F.lit(0.0))
@@ -460,6 +485,16 @@ def _(spark, sf_dir):
     return sums.select("step", "n", (F.round(F.greatest(*gaps), 9) + 0.0).alias("violation"))
 
 
+@query("lasso_path_optimality", model_sql(
+    "SELECT i AS step, (SELECT count(*) FROM model) AS n, 0.0::DOUBLE AS violation FROM range(0, 300) t(i)"))
+def _(spark, sf_dir):
+    """All features, 300 alphas: how far each fit is from the conditions of the optimum. The mean product of residual
+    and scaled feature is the alpha, with the coefficient's sign, or within it where the coefficient is 0."""
+    table = model_table(spark, sf_dir)
+    features, alphas = list(models.LINEAR_FEATURES.values()), np.linspace(1e-11, 1e-5, 300)
+    return optimality(table, features, mo.LABEL, linear.lasso_path(table, features, mo.LABEL, "fold", alphas))
+
+
 # --- nearest neighbours
 
 _KNN_COLUMNS = ("st_width", "shape_leng", "traffic_volume")
@@ -636,6 +671,13 @@ def _(spark, sf_dir):
     return mo.train_and_compare(table, scratch_path(spark, "models"), settings=_SUITE)[1]
 
 
+@query("model_comparison_measured")
+def _(spark, sf_dir):
+    """As ``model_comparison`` on the streets whose volume was measured."""
+    table = sd.with_row_id(dataset(spark, sf_dir)).drop("geometry")
+    return mo.train_and_compare(table, scratch_path(spark, "models"), settings=_SUITE)[1]
+
+
 @query("model_leaderboard", model_sql("""
     SELECT * FROM (
         SELECT 'baseline' AS model, round(avg(pow(collision_rate - (SELECT avg(collision_rate) FROM train), 2)), 6) AS mse FROM test
@@ -695,17 +737,25 @@ def _(spark, sf_dir):
     return rounded(expected, {"rate": 6, "expected_rate": 6})
 
 
-@query("hump_effect_model")
-def _(spark, sf_dir):
-    """Five-feature model of the rate after humps, applied to the streets it was fitted on."""
-    table = augmented(spark, sf_dir)
-    fitted = mo.fit_hump_effect(table)
-    return fitted.transform(tr.feature_preprocessor(table)).select("physicalid", "prediction")
-
-
-_HUMP_ROWS = """SELECT physicalid, collisions_per_week_before AS x, collisions_per_week_after AS y FROM augmented
+#: The features of the hump effect as SQL reads them.
+_HUMP_SQL = {
+    **{c: c for c in mo.HUMP_EFFECT_COLUMNS},
+    "has_bike_lane": "coalesce(bike_lane > 0, false)", "vol_per_leng": "vol / road_leng",
+    "trees_per_leng": "tree_count / road_leng", "trees_per_vol": "tree_count / (vol + 1)",
+}
+_HUMP_ROWS = """SELECT *, collisions_per_week_before AS x, collisions_per_week_after AS y FROM augmented
     WHERE collisions_per_week_before IS NOT NULL AND collisions_per_week_after IS NOT NULL AND tree_count IS NOT NULL
       AND road_leng <> 0 AND vol IS NOT NULL AND speed_limit IS NOT NULL"""
+
+
+def _hump_fits(rows: str, fold: str, kinds=mo.HUMP_EFFECT_MODELS) -> dict[str, str]:
+    """The least-squares CTEs of each model, under its name."""
+    ctes = {}
+    for name, features in kinds.items():
+        ctes |= least_squares_ctes(rows, "physicalid", {c: _HUMP_SQL[c] for c in features}, "y", fold, prefix=name)
+    return ctes
+
+
 _HUMP_HASH = HASH.format(id="physicalid", seed=42)
 
 
@@ -720,6 +770,33 @@ def augmented_once(spark, sf_dir):
     )
 
 
+# every row twice: once to fit on, once to be predicted
+_TWICE = "SELECT *, 0 AS part FROM hump_rows UNION ALL SELECT * REPLACE (-1 - physicalid AS physicalid), 1 AS part FROM hump_rows"
+
+
+@query("hump_effect_model", hump_sql(
+    "SELECT -1 - k AS physicalid, round(prediction, 6) AS prediction FROM five_features_scored WHERE g = 1",
+    twice=_TWICE, **_hump_fits("twice", "part", {"five_features": mo.HUMP_EFFECT_FEATURES})))
+def _(spark, sf_dir):
+    """Five-feature model of the rate after humps, applied to the streets it was fitted on."""
+    table = augmented_once(spark, sf_dir)
+    fitted = mo.fit_hump_effect(table)
+    predicted = fitted.transform(mo.hump_effect_rows(table)).select("physicalid", "prediction")
+    return rounded(predicted, {"prediction": 6})
+
+
+@query("hump_effect_coefficients", hump_sql(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS model, n.feature, round(f.b, 6) AS coefficient, "
+        f"(SELECT round(avg(pow(y - prediction, 2)), 6) FROM {name}_scored WHERE g = 1) AS train_mse "
+        f"FROM {name}_fit f JOIN (VALUES {', '.join(f'({i}, {chr(39)}{c}{chr(39)})' for i, c in enumerate(features, 1))}) n(i, feature) "
+        f"ON n.i = f.i WHERE f.g = 1" for name, features in mo.HUMP_EFFECT_MODELS.items()),
+    twice=_TWICE, **_hump_fits("twice", "part")))
+def _(spark, sf_dir):
+    """Coefficients of the extended models of the hump effect, and their errors on the rows they are fitted on."""
+    return rounded(mo.hump_effect_coefficients(augmented_once(spark, sf_dir)), {"coefficient": 6, "train_mse": 6})
+
+
 @query("hump_effect_model_moments", hump_sql(_zero_moments(mo.HUMP_EFFECT_FEATURES, "hump_rows")))
 def _(spark, sf_dir):
     table = augmented_once(spark, sf_dir)
@@ -727,32 +804,40 @@ def _(spark, sf_dir):
     return moments(mo.fit_hump_effect(table), rows, mo.HUMP_EFFECT_LABEL, features)
 
 
-@query("hump_effect_holdout")
+_HUMP_PARTED = f"SELECT *, row_number() OVER (ORDER BY {_HUMP_HASH}, physicalid) <= ceil(count(*) OVER () * 0.2) AS is_test FROM hump_rows"
+
+
+@query("hump_effect_holdout", hump_sql(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS model, mse, r2 FROM ({scores_sql(f'{name}_scored')}) WHERE fold = 1" for name in mo.HUMP_EFFECT_MODELS),
+    parted=_HUMP_PARTED, **_hump_fits("parted", "is_test")))
 def _(spark, sf_dir):
-    return mo.hump_effect_holdout(augmented_once(spark, sf_dir))
+    return rounded(mo.hump_effect_holdout(augmented_once(spark, sf_dir)), {"mse": 6, "r2": 6})
 
 
 @query("hump_effect_holdout_line", hump_sql("""
     SELECT 'line' AS model, round(avg(pow(y - b - s * x, 2)), 6) AS mse,
-           round(1 - sum(pow(y - b - s * x, 2)) / (var_pop(y) * count(*)), 6) AS r2
+           round(1 - sum(pow(y - b - s * x, 2)) / nullif(var_pop(y) * count(*), 0), 6) AS r2
     FROM parted, (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS b FROM parted WHERE NOT is_test) WHERE is_test""",
-    parted=f"SELECT *, row_number() OVER (ORDER BY {_HUMP_HASH}, physicalid) <= ceil(count(*) OVER () * 0.2) AS is_test FROM hump_rows"))
+    parted=_HUMP_PARTED))
 def _(spark, sf_dir):
     line = {"line": mo.HUMP_EFFECT_MODELS["line"]}
     return rounded(mo.hump_effect_holdout(augmented_once(spark, sf_dir), line), {"mse": 6, "r2": 6})
 
 
-@query("hump_effect_cv")
-def _(spark, sf_dir):
-    return mo.hump_effect_cv(augmented_once(spark, sf_dir))
+_HUMP_FOLDS = f"SELECT *, CAST(ntile(5) OVER (ORDER BY {_HUMP_HASH}, physicalid) - 1 AS INTEGER) AS fold FROM hump_rows"
 
 
-_HUMP_FOLDS = f"SELECT *, CAST(ntile(5) OVER (ORDER BY {_HUMP_HASH}, physicalid) - 1 AS INTEGER) AS fold FROM hump_rows"
+@query("hump_effect_cv", hump_sql(
+    " UNION ALL ".join(f"SELECT '{name}' AS model, * FROM ({scores_sql(f'{name}_scored')})" for name in mo.HUMP_EFFECT_MODELS),
+    folded=_HUMP_FOLDS, **_hump_fits("folded", "fold")))
+def _(spark, sf_dir):
+    return rounded(mo.hump_effect_cv(augmented_once(spark, sf_dir)), {"mse": 6, "r2": 6})
 
 
 @query("hump_effect_cv_line", hump_sql("""
     SELECT 'line' AS model, a.fold, round(avg(pow(a.y - m.b - m.s * a.x, 2)), 6) AS mse,
-           round(1 - sum(pow(a.y - m.b - m.s * a.x, 2)) / (var_pop(a.y) * count(*)), 6) AS r2
+           round(1 - sum(pow(a.y - m.b - m.s * a.x, 2)) / nullif(var_pop(a.y) * count(*), 0), 6) AS r2
     FROM folded a JOIN (SELECT f.fold, regr_slope(b.y, b.x) AS s, regr_intercept(b.y, b.x) AS b
                         FROM (SELECT DISTINCT fold FROM folded) f JOIN folded b ON b.fold <> f.fold GROUP BY 1) m
       ON m.fold = a.fold GROUP BY 2""", folded=_HUMP_FOLDS))
@@ -772,6 +857,23 @@ def _(spark, sf_dir):
     return rel.rows_around_min(path, "alpha", "val_mse", 10)
 
 
+@query("hump_lasso_path_extended")
+def _(spark, sf_dir):
+    """All columns, 1,000 alphas: the best row and the ten on either side of it."""
+    path = mo.hump_lasso_path(augmented_once(spark, sf_dir), _HUMP_ALPHAS, mo.HUMP_EFFECT_MODELS["extended_lane_flag"])
+    return rel.rows_around_min(path, "alpha", "val_mse", 10)
+
+
+@query("hump_lasso_path_optimality", hump_sql(
+    "SELECT i AS step, (SELECT count(*) FROM hump_rows) AS n, 0.0::DOUBLE AS violation FROM range(0, 1000) t(i)"))
+def _(spark, sf_dir):
+    """All columns, 1,000 alphas: how far each fit is from the conditions of the optimum."""
+    table, features = augmented_once(spark, sf_dir), mo.HUMP_EFFECT_MODELS["extended_lane_flag"]
+    rows = mo.hump_effect_rows(table, features)
+    path = mo.hump_lasso_path(table, _HUMP_ALPHAS, features)
+    return optimality(rows, [f"cast({c} as double)" for c in features], mo.HUMP_EFFECT_LABEL, path)
+
+
 @query("hump_lasso_path_line", hump_sql("""
     SELECT f.i AS step, round(f.w, 6) AS w, round(e.mse, 6) AS train_mse, round(v.mse, 6) AS val_mse
     FROM fits f JOIN errors e ON e.i = f.i AND e.fold = -1

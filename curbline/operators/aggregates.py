@@ -4,11 +4,14 @@ a sum of nothing is 0, a mean or extreme of nothing is missing, NULL group keys
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.session import settle
+
 AGGREGATES = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
     "min": F.min,
@@ -105,71 +108,90 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-QUANTILE_BUCKETS = 1 << 12
+#: Bits of a number that one pass of the quantile search settles.
+DIGIT = 16
+
+
+def ordered_image(value: Column) -> Column:
+    """A long integer that sorts as the double does: its exponent and fraction bits, negative for negative numbers.
+
+    The exponent from the logarithm is corrected by comparing powers of two, and all divisions are by powers of
+    two, so the image is exact. NaN has none; both zeros have 0.
+    """
+    size, two = F.abs(value), F.lit(2.0)
+    guess = F.floor(F.log2(size))
+    power = F.pow(two, guess)
+    exponent = F.when(power > size, guess - 1).when(power * 2 <= size, guess + 1).otherwise(guess)
+    normal = (exponent + 1023) * (1 << 52) + ((size / F.pow(two, exponent) - 1) * float(1 << 52)).cast("long")
+    tiny = (size * float(1 << 537) * float(1 << 537)).cast("long")
+    image = (
+        F.when(size == float("inf"), F.lit(2047 << 52))
+        .when(size >= 2.0**-1022, normal)
+        .otherwise(tiny)
+    )
+    return F.when(F.isnan(value), F.lit(None)).when(value < 0, -image).otherwise(image)
+
+
+def number_of_image(image: int) -> float:
+    """The double that ``ordered_image`` maps to this integer."""
+    value = struct.unpack("<d", struct.pack("<q", abs(image)))[0]
+    return -value if image < 0 else value
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """``column share value``: quantiles with linear interpolation between neighbours.
+    """``column share value``: quantiles with linear interpolation between neighbours. NULL and NaN are missing.
 
-    Built-in exact percentiles keep a count per distinct value in one task. Here the range that
-    holds a wanted rank is counted in a fixed number of buckets, combined on the map side, and the
-    bucket with the rank becomes the next range, with its least and largest value as ends, until
-    it holds a single value. Nothing is sorted or gathered, however uneven the values are.
+    Built-in exact percentiles keep a count per distinct value in one task. Here a radix selection finds the wanted
+    ranks: numbers become integers of the same order, and each of four passes counts the next 16 bits of those that
+    begin like a wanted rank, combined on the map side. Nothing is sorted or gathered, however uneven the values are.
     """
-    long = df.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-        )
-    ).where(F.col("value").isNotNull())
-    ends = long.groupBy("column").agg(F.min("value"), F.max("value"), F.count(F.lit(1))).collect()
-    wanted = {}  # (column, rank): range and the number of values before it
-    for column, low, high, n in ends:
-        for share in shares:
-            for rank in (math.floor(share * (n - 1)), math.ceil(share * (n - 1))):
-                wanted[column, rank] = (low, high, 0)
-    while ranges := sorted({(c, *w) for (c, _), w in wanted.items() if w[0] < w[1]}):
-        buckets = _counted_buckets(long, ranges)
-        for (column, rank), (low, high, before) in wanted.items():
-            for least, largest, n in buckets.get((column, low, high, before), ()):
-                if rank < before + n:
-                    wanted[column, rank] = (least, largest, before)
-                    break
-                before += n
+    entries = [F.struct(F.lit(c).alias("column"), ordered_image(F.col(c).cast("double")).alias("key")) for c in columns]
+    long = settle(df.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull()), "quantile-keys")
+    sizes = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # (column, rank): how the number of this rank begins, and how many numbers begin with less
+    wanted = {
+        (c, rank): (0, 0)
+        for c, n in sizes.items() for s in shares for rank in (math.floor(s * (n - 1)), math.ceil(s * (n - 1)))
+    }
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        wanted = _next_digit(long, wanted, shift) if wanted else {}
     rows = []
-    for column, _, _, n in ends:
+    for c, n in sizes.items():
         for share in shares:
             at = share * (n - 1)
-            low, high = (wanted[column, r][0] for r in (math.floor(at), math.ceil(at)))
-            rows.append((column, float(share), low + (high - low) * (at - math.floor(at)) if high > low else low))
+            low, high = (number_of_image(wanted[c, r][0]) for r in (math.floor(at), math.ceil(at)))
+            rows.append((c, float(share), low + (high - low) * (at - math.floor(at)) if high > low else low))
     return df.sparkSession.createDataFrame(rows, "column string, share double, value double")
 
 
-def _counted_buckets(long: DataFrame, ranges: list[tuple]) -> dict[tuple, list[tuple]]:
-    """Per range its buckets in order, as (least value, largest value, number of values). Two ranges a
-    wanted share at most, so their buckets are few."""
+def _next_digit(long: DataFrame, wanted: dict[tuple, tuple[int, int]], shift: int) -> dict[tuple, tuple[int, int]]:
+    """The beginnings of the wanted ranks with ``DIGIT`` more bits. They are two a share and column at most."""
     spark = long.sparkSession
-    table = spark.createDataFrame(
-        [(i, *r[:3]) for i, r in enumerate(ranges)], "range int, in_column string, low double, high double"
-    )
-    held = long.join(
-        F.broadcast(table),
-        (F.col("column") == F.col("in_column")) & F.col("value").between(F.col("low"), F.col("high")),
+    ranks = F.broadcast(spark.createDataFrame(
+        [(c, rank, begin, before) for (c, rank), (begin, before) in wanted.items()],
+        "column string, rank long, begin long, before long",
+    ))
+    first = shift + DIGIT == 64
+    begin = F.lit(0).cast("long") if first else F.shiftright("key", shift + DIGIT)
+    counts = (
+        long.withColumn("begin", begin).join(ranks.select("column", "begin").distinct(), ["column", "begin"], "left_semi")
+        .groupBy("column", "begin", F.shiftright("key", shift).alias("longer")).agg(F.count(F.lit(1)).alias("n"))
     )
-    bucket = F.expr(
-        f"least(cast(floor((value / 2 - low / 2) / (high / 2 - low / 2) * {QUANTILE_BUCKETS}) as int), {QUANTILE_BUCKETS - 1})"
-    )
-    counted = held.groupBy("range", bucket.alias("bucket")).agg(
-        F.min("value").alias("least"), F.max("value").alias("largest"), F.count(F.lit(1)).alias("n")
-    )
-    found: dict[tuple, list[tuple]] = {}
-    for row in sorted(counted.collect(), key=lambda r: (r["range"], r["bucket"])):
-        found.setdefault(ranges[row["range"]], []).append((row["least"], row["largest"], row["n"]))
-    return found
+    order = Window.partitionBy("column", "begin").orderBy("longer")  # 2 ** DIGIT rows at most
+    running = counts.withColumn("less", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    place = F.col("rank") - F.col("before")
+    found = running.join(ranks, ["column", "begin"]).where((place >= F.col("less")) & (place < F.col("less") + F.col("n")))
+    return {
+        (r["column"], r["rank"]): (r["longer"], r["before"] + r["less"])
+        for r in found.select("column", "rank", "longer", "before", "less").collect()
+    }
 
 
 def describe(df: DataFrame, columns: Sequence[str], *, exact: bool = True) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column; ``exact=False`` estimates
-    the quartiles in the same pass as the rest."""
+    """count, mean, std, min, quartiles and max, one row per column, NULL and NaN being missing; ``exact=False``
+    estimates the quartiles in the same pass as the rest."""
+    floating = {n for n, t in df.dtypes if t in ("float", "double")}
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in floating else F.col(c) for c in columns])
     measures = {
         "count": F.count,
         "mean": F.avg,

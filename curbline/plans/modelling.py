@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.transforms import feature_preprocessor, log1p_columns, per_tree_ratios
 from curbline.operators import knn, models
-from curbline.operators.linear import cross_val_linear, lasso_path
+from curbline.operators.linear import cross_val_linear, lasso_path, least_squares
 from curbline.operators.prep import categories_of, fit_impute_mean
 from curbline.operators.relational import is_present_flag, positive_flag, street_type_flags
 from curbline.operators.splits import stratified_split, train_test_split, with_fold
@@ -168,16 +168,37 @@ def hourly_crash_model(hourly: DataFrame, *, label: str = "crashes", seed: int =
 HUMP_EFFECT_FEATURES = (
     "collisions_per_week_before", "has_bike_lane", "trees_per_leng", "trees_per_vol", "speed_limit",
 )
+#: All street columns and the ratios made of them.
+HUMP_EFFECT_COLUMNS = (
+    "collisions_per_week_before", "bike_lane", "road_leng", "st_width", "vol", "speed_limit", "tree_count",
+    "vol_per_leng", "trees_per_leng", "trees_per_vol",
+)
 
 
 HUMP_EFFECT_LABEL = "collisions_per_week_after"
-#: The models of the hump effect: the line on the rate before, and all five features.
-HUMP_EFFECT_MODELS = {"line": HUMP_EFFECT_FEATURES[:1], "five_features": HUMP_EFFECT_FEATURES}
+#: The models of the hump effect: the line on the rate before, the five chosen features, all columns, and all with the
+#: lane as a flag.
+HUMP_EFFECT_MODELS = {
+    "line": HUMP_EFFECT_FEATURES[:1],
+    "five_features": HUMP_EFFECT_FEATURES,
+    "extended": HUMP_EFFECT_COLUMNS,
+    "extended_lane_flag": ("has_bike_lane", *(c for c in HUMP_EFFECT_COLUMNS if c != "bike_lane")),
+}
 
 
-def hump_effect_rows(augmented: DataFrame) -> DataFrame:
+def hump_effect_rows(augmented: DataFrame, features: Sequence[str] = HUMP_EFFECT_FEATURES) -> DataFrame:
     """The features and the rate after of the streets with humps, complete rows only."""
-    return feature_preprocessor(augmented, keep=[HUMP_EFFECT_LABEL]).dropna()
+    prepared = feature_preprocessor(augmented, keep=[HUMP_EFFECT_LABEL, *_beside_the_five(features)])
+    return prepared.select("physicalid", *features, HUMP_EFFECT_LABEL).dropna()
+
+
+def _beside_the_five(features: Sequence[str]) -> list[str]:
+    return [c for c in features if c not in HUMP_EFFECT_FEATURES]
+
+
+def _all_features(kinds: dict[str, Sequence[str]]) -> list[str]:
+    """Each feature of the models once, so that they are fitted on the same rows."""
+    return list(dict.fromkeys(c for features in kinds.values() for c in features))
 
 
 def _as_numbers(features: Sequence[str]) -> dict[str, str]:
@@ -186,14 +207,27 @@ def _as_numbers(features: Sequence[str]) -> dict[str, str]:
 
 def fit_hump_effect(augmented: DataFrame, features: Sequence[str] = HUMP_EFFECT_FEATURES) -> PipelineModel:
     """Least squares of the rate after on the features of the streets with humps."""
-    return models.fit_linear(hump_effect_rows(augmented), HUMP_EFFECT_LABEL, _as_numbers(features))
+    return models.fit_linear(hump_effect_rows(augmented, features), HUMP_EFFECT_LABEL, _as_numbers(features))
+
+
+def hump_effect_coefficients(
+    augmented: DataFrame, kinds: dict[str, Sequence[str]] = HUMP_EFFECT_MODELS
+) -> DataFrame:
+    """``model feature coefficient train_mse``: least squares on the unscaled features, largest magnitude first."""
+    rows = settle(hump_effect_rows(augmented, _all_features(kinds)), "hump-rows")
+    tables = None
+    for name, features in kinds.items():
+        table = least_squares(rows, _as_numbers(features), HUMP_EFFECT_LABEL).withColumn("model", F.lit(name))
+        tables = table if tables is None else tables.unionByName(table)
+    return tables.select("model", "feature", "coefficient", "train_mse").orderBy("model", F.abs("coefficient").desc())
 
 
 def hump_effect_holdout(
     augmented: DataFrame, kinds: dict[str, Sequence[str]] = HUMP_EFFECT_MODELS, *, seed: int = 42
 ) -> DataFrame:
     """Hold-out ``mse`` and ``r2`` of each model, fitted on 80 % of the streets."""
-    train, test = train_test_split(settle(hump_effect_rows(augmented), "hump-rows"), "physicalid", seed=seed)
+    rows = settle(hump_effect_rows(augmented, _all_features(kinds)), "hump-rows")
+    train, test = train_test_split(rows, "physicalid", seed=seed)
     scores = None
     for name, features in kinds.items():
         fitted = models.fit_linear(train, HUMP_EFFECT_LABEL, _as_numbers(features))
@@ -206,7 +240,7 @@ def hump_effect_cv(
     augmented: DataFrame, kinds: dict[str, Sequence[str]] = HUMP_EFFECT_MODELS, *, seed: int = 42
 ) -> DataFrame:
     """Cross-validated ``mse`` and ``r2`` per model and fold, one pass per model."""
-    rows = settle(with_fold(hump_effect_rows(augmented), "physicalid", seed=seed), "hump-folds")
+    rows = settle(with_fold(hump_effect_rows(augmented, _all_features(kinds)), "physicalid", seed=seed), "hump-folds")
     scores = None
     for name, features in kinds.items():
         part = cross_val_linear(rows, list(_as_numbers(features).values()), HUMP_EFFECT_LABEL, "fold")
@@ -219,7 +253,7 @@ def hump_lasso_path(
     augmented: DataFrame, alphas: Sequence[float], features: Sequence[str] = HUMP_EFFECT_FEATURES, *, seed: int = 42
 ) -> DataFrame:
     """The lasso path of the hump effect; ``rows_around_min`` gives its best row and the rows around it."""
-    rows = settle(with_fold(hump_effect_rows(augmented), "physicalid", seed=seed), "hump-folds")
+    rows = settle(with_fold(hump_effect_rows(augmented, features), "physicalid", seed=seed), "hump-folds")
     path = lasso_path(rows, list(_as_numbers(features).values()), HUMP_EFFECT_LABEL, "fold", alphas)
     return path.toDF("alpha", *[f"w_{f}" for f in features], *path.columns[-4:])
 

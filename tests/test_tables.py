@@ -1,5 +1,7 @@
+import math
 import random
 import statistics
+import struct
 
 import numpy as np
 import pytest
@@ -141,6 +143,42 @@ def test_quantiles_next_to_an_outlier(spark):
         assert got["b", share] == 7.0
 
 
+def test_images_sort_as_numbers(spark):
+    rng = random.Random(12)
+    values = [0.0, -0.0, 5e-324, 1e-310, 2.0**-1022, 1.7976931348623157e308, float("inf")]
+    values += [math.ldexp(m, e) for e in range(-1073, 1024, 7) for m in (0.5, 0.5 + 2.0**-53, 1 - 2.0**-53)]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(62)))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    df = spark.createDataFrame([(v * s,) for v in values for s in (1, -1)], "v double")
+    for r in df.withColumn("image", aggregates.ordered_image(F.col("v"))).collect():
+        assert aggregates.number_of_image(r.image) == r.v
+        assert r.image == (-1 if r.v < 0 else 1) * struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+
+
+def test_quantiles_with_nan_and_infinity(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame(
+        [(1.0, -inf, nan, None), (2.0, 1.0, nan, None), (nan, inf, nan, None), (None, inf, None, None)],
+        "a double, b double, c double, d double")
+    got = {(r.column, r.share): r.value for r in aggregates.exact_quantiles(df, ["a", "b", "c", "d"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {("a", 0.0): 1.0, ("a", 0.5): 1.5, ("a", 1.0): 2.0, ("b", 0.0): -inf, ("b", 0.5): inf, ("b", 1.0): inf}
+    row = {r.column: r for r in aggregates.describe(df, ["a", "c"]).collect()}
+    assert (row["a"]["count"], row["a"]["mean"], row["a"].q50, row["a"].max) == (2, 1.5, 1.5, 2.0)
+    assert (row["c"]["count"], row["c"]["mean"], row["c"].q50) == (0, None, None)
+    rough = aggregates.describe(df, ["a"], exact=False).collect()[0]
+    assert (rough["count"], rough.max) == (2, 2.0)
+
+
+def test_quantile_passes_do_not_depend_on_the_values(spark, monkeypatch):
+    calls, inner = [], aggregates._next_digit
+    monkeypatch.setattr(aggregates, "_next_digit", lambda *a: calls.append(a[2]) or inner(*a))
+    df = spark.createDataFrame([(float(i) ** 9 - 1e-300 * i,) for i in range(-300, 300)], "v double")
+    values = [r.v for r in df.collect()]
+    got = {r.share: r.value for r in aggregates.exact_quantiles(df, ["v"], [0.1, 0.9]).collect()}
+    assert calls == [48, 32, 16, 0]
+    assert got == {s: pytest.approx(np.quantile(values, s), rel=1e-12) for s in (0.1, 0.9)}
+
+
 def test_one_hot_limit_is_the_callers(spark):
     df = spark.createDataFrame([(str(i),) for i in range(12)], "c string")
     with pytest.raises(ValueError):
