@@ -26,6 +26,7 @@ from curbline.checks.study_queries import (
 from curbline.functions import transforms as tr
 from curbline.operators import knn, linear, models, prep, splits, stats
 from curbline.operators import relational as rel
+from curbline.operators.ensembles import fit_forest
 from curbline.operators.nearest import nearest_join
 from curbline.plans import hump_effect as he
 from curbline.plans import modelling as mo
@@ -582,7 +583,7 @@ def _(spark, sf_dir):
 @query("random_forest")
 def _(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
-    return mo.predict(models.fit_trees(train, models.random_forest(LABEL)), test, label=LABEL)
+    return mo.predict(fit_forest(train, LABEL, models.RAW_FEATURES), test, label=LABEL)
 
 
 @query("gradient_boosting")
@@ -594,8 +595,7 @@ def _(spark, sf_dir):
 @query("feature_importances")
 def _(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)
-    fitted = models.fit_trees(train, models.random_forest(LABEL, trees=100))
-    return models.feature_importances(fitted, models.RAW_FEATURES, spark)
+    return models.feature_importances(fit_forest(train, LABEL, models.RAW_FEATURES), models.RAW_FEATURES, spark)
 
 
 @query("grid_search")

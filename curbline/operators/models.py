@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.operators import knn
-from curbline.operators.prep import fit_scaler
+from curbline.operators.ensembles import StoredForest, boosting_scores, fit_forest, forest_scores
+from curbline.operators.prep import INPUT, fit_scaler, vector_stages
 from curbline.operators.stats import evaluate
+from curbline.session import exists
 
 MODEL_KINDS = ("baseline", "linear", "knn", "random_forest", "boosting")
 # the boosted trees go by this name too
@@ -43,22 +46,9 @@ LINEAR_FEATURES: dict[str, str] = {
 }
 KNN_FEATURES = ("log1p(st_width)", "log1p(shape_leng)", "log1p(traffic_volume)")
 
-_INPUT, _VECTOR = "__THIS__", "features"
-
-
-def _prepare(expressions: Sequence[str]) -> list:
-    """Stages computing the expressions into one vector column."""
-    names = [f"_x{i}" for i in range(len(expressions))]
-    columns = ", ".join(f"{e} AS {n}" for e, n in zip(expressions, names))
-    return [
-        SQLTransformer(statement=f"SELECT *, {columns} FROM {_INPUT}"),
-        VectorAssembler(inputCols=names, outputCol=_VECTOR),
-    ]
-
-
 def _scaled(train: DataFrame, features: dict[str, str]) -> list:
-    """As ``_prepare`` with every feature standard-scaled on ``train`` (population deviation)."""
-    return _prepare(fit_scaler(train, list(features.values())).expressions())
+    """As ``vector_stages`` with every feature standard-scaled on ``train`` (population deviation)."""
+    return vector_stages(fit_scaler(train, list(features.values())).expressions())
 
 
 def _fit(stages: list, train: DataFrame) -> PipelineModel:
@@ -68,7 +58,7 @@ def _fit(stages: list, train: DataFrame) -> PipelineModel:
 def fit_mean(train: DataFrame, label: str) -> PipelineModel:
     """Predicts the training mean everywhere."""
     mean = float(train.agg(F.avg(label)).first()[0])
-    statement = f"SELECT *, {mean!r}D AS prediction FROM {_INPUT}"
+    statement = f"SELECT *, {mean!r}D AS prediction FROM {INPUT}"
     return PipelineModel(stages=[SQLTransformer(statement=statement)])
 
 
@@ -119,7 +109,7 @@ def boosted_trees(label: str, *, trees: int = 100, max_depth: int = 5, rate: flo
 
 def fit_trees(train: DataFrame, estimator, features: dict[str, str] = RAW_FEATURES) -> PipelineModel:
     """Fit a forest or boosted trees on unscaled features."""
-    return _fit([*_prepare(list(features.values())), estimator], train)
+    return _fit([*vector_stages(list(features.values())), estimator], train)
 
 
 def coefficient_table(model: PipelineModel, features: dict[str, str], spark: SparkSession) -> DataFrame:
@@ -131,8 +121,9 @@ def coefficient_table(model: PipelineModel, features: dict[str, str], spark: Spa
     )
 
 
-def feature_importances(model: PipelineModel, features: dict[str, str], spark: SparkSession) -> DataFrame:
-    values = model.stages[-1].featureImportances.toArray()
+def feature_importances(model: PipelineModel | StoredForest, features: dict[str, str], spark: SparkSession) -> DataFrame:
+    stored = isinstance(model, StoredForest)
+    values = model.importances() if stored else model.stages[-1].featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(features, values)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc()
@@ -168,10 +159,26 @@ class Search:
     """The best combination by cross-validated MSE, and the model refitted with it on all rows."""
 
     best: dict[str, float]
-    best_model: PipelineModel
+    best_model: PipelineModel | StoredForest
     results: DataFrame
 
 
+def _search(
+    spark: SparkSession, grid: dict[str, Sequence], scores: Callable[[dict], list[dict[bool, float]]],
+    refit: Callable[[dict], PipelineModel | StoredForest], train_scores: bool = True,
+) -> Search:
+    """The table of a search from the errors of each combination's folds, and the best one refitted."""
+    rows = []
+    for params in (dict(zip(grid, values)) for values in itertools.product(*grid.values())):
+        parts = scores(params)
+        val, seen = (sum(p.get(held, 0.0) for p in parts) / len(parts) for held in (True, False))
+        rows.append((params, val, seen if train_scores else None))
+    best = min(rows, key=lambda r: r[1])[0]
+    schema = ", ".join(f"{n} double" for n in grid) + ", val_mse double, train_mse double"
+    table = [(*map(float, params.values()), val, seen) for params, val, seen in rows]
+    return Search(best, refit(best), spark.createDataFrame(table, schema))
+
+
 def grid_search(
     train: DataFrame,
     label: str,
@@ -194,9 +201,9 @@ def grid_search(
 
     def fit(rows: DataFrame, params: dict) -> PipelineModel:
         tuned = estimator.copy({estimator.getParam(n): v for n, v in params.items()})
-        return _fit([*_prepare(expressions), tuned], rows)
+        return _fit([*vector_stages(expressions), tuned], rows)
 
-    def scored(task: tuple[int, int]) -> tuple[float, float | None]:
+    def scored(task: tuple[int, int]) -> dict[bool, float]:
         left_out = folds[task[1]]
         model = fit(train.where(F.col(fold) != left_out), combinations[task[0]])
         rows = train if train_scores else train.where(F.col(fold) == left_out)
@@ -204,30 +211,52 @@ def grid_search(
             model.transform(rows).groupBy((F.col(fold) == left_out).alias("held"))
             .agg(F.avg((F.col(label) - F.col("prediction")) ** 2).alias("mse")).collect()
         )
-        by_part = {r["held"]: r["mse"] for r in errors}
-        return by_part[True], by_part.get(False)
+        return {r["held"]: r["mse"] for r in errors}
 
     tasks = list(itertools.product(range(len(combinations)), range(len(folds))))
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        scores = dict(zip(tasks, pool.map(inheritable_thread_target(train.sparkSession)(scored), tasks, chunksize=1)))
-    rows = []
-    for i, params in enumerate(combinations):
-        val, seen = zip(*[scores[i, f] for f in range(len(folds))])
-        train_mse = sum(seen) / len(seen) if train_scores else None
-        rows.append((*map(float, params.values()), sum(val) / len(val), train_mse))
-    schema = ", ".join(f"{n} double" for n in grid) + ", val_mse double, train_mse double"
-    best = combinations[min(range(len(rows)), key=lambda i: rows[i][len(grid)])]
-    return Search(best, fit(train, best), train.sparkSession.createDataFrame(rows, schema))
+        found = dict(zip(tasks, pool.map(inheritable_thread_target(train.sparkSession)(scored), tasks, chunksize=1)))
+    return _search(
+        train.sparkSession, grid,
+        lambda params: [found[combinations.index(params), f] for f in range(len(folds))],
+        lambda params: fit(train, params), train_scores,
+    )
 
 
-def forest_search(train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = FOREST_GRID, **options) -> Search:
-    """The forest search of the study, with train scores."""
-    return grid_search(train, label, random_forest(label), grid, fold=fold, train_scores=True, **options)
+def forest_search(
+    train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = FOREST_GRID,
+    features: dict[str, str] = RAW_FEATURES, **options,
+) -> Search:
+    """The forest search of the study, with train scores. One forest per least leaf size and fold is fitted; smaller
+    ones are its first parts."""
+    trees, leaves = grid["numTrees"], grid["minInstancesPerNode"]
+    part = math.gcd(*trees)
+    options = {"part": max(d for d in range(1, min(part, 50) + 1) if part % d == 0), **options}
+    found = forest_scores(train, label, features, fold=fold, trees=trees, min_leaf=leaves, **options)
+    folds = sorted({key[-1] for key in found})
+    return _search(
+        train.sparkSession, grid,
+        lambda p: [found[p["numTrees"], p["minInstancesPerNode"], f] for f in folds],
+        lambda p: fit_forest(train, label, features, trees=p["numTrees"], min_leaf=p["minInstancesPerNode"], **options),
+    )
 
 
-def boosting_search(train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = BOOSTING_GRID, **options) -> Search:
-    """The boosting search of the study, with train scores."""
-    return grid_search(train, label, boosted_trees(label), grid, fold=fold, train_scores=True, **options)
+def boosting_search(
+    train: DataFrame, label: str, *, fold: str, grid: dict[str, Sequence] = BOOSTING_GRID,
+    features: dict[str, str] = RAW_FEATURES, **options,
+) -> Search:
+    """The boosting search of the study, with train scores. One ensemble per depth, rate and fold is fitted; smaller
+    ones are its first trees."""
+    found = boosting_scores(
+        train, label, features, fold=fold, trees=grid["maxIter"], max_depth=grid["maxDepth"], rate=grid["stepSize"], **options
+    )
+    folds = sorted({key[-1] for key in found})
+    return _search(
+        train.sparkSession, grid,
+        lambda p: [found[p["maxIter"], p["maxDepth"], p["stepSize"], f] for f in folds],
+        lambda p: fit_trees(
+            train, boosted_trees(label, trees=p["maxIter"], max_depth=p["maxDepth"], rate=p["stepSize"]), features),
+    )
 
 
 def best_knn(
@@ -277,9 +306,11 @@ def grid_search_knn(
     return table.join(scores(seen, "train_mse"), ["k", "weights"])
 
 
-def save_model(model: PipelineModel | knn.KnnModel, folder: str, kind: str, spark: SparkSession) -> str:
+def save_model(model: PipelineModel | StoredForest | knn.KnnModel, folder: str, kind: str, spark: SparkSession) -> str:
     path = model_path(folder, kind)
-    if isinstance(model, knn.KnnModel):
+    if isinstance(model, StoredForest):
+        model.save(path, spark)
+    elif isinstance(model, knn.KnnModel):
         model.rows.write.mode("overwrite").parquet(f"{path}/rows")
         meta = {
             "features": model.features, "means": model.means, "deviations": model.deviations,
@@ -293,8 +324,10 @@ def save_model(model: PipelineModel | knn.KnnModel, folder: str, kind: str, spar
     return path
 
 
-def load_model(folder: str, kind: str, spark: SparkSession) -> PipelineModel | knn.KnnModel:
+def load_model(folder: str, kind: str, spark: SparkSession) -> PipelineModel | StoredForest | knn.KnnModel:
     path = model_path(folder, kind)
+    if KIND_ALIASES.get(kind, kind) == "random_forest" and exists(spark, f"{path}/meta"):
+        return StoredForest.load(path, spark)  # else a forest fitted as one
     if KIND_ALIASES.get(kind, kind) != "knn":
         return PipelineModel.load(path)
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])

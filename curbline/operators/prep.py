@@ -5,12 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Imputer, ImputerModel
+from pyspark.ml.feature import Imputer, ImputerModel, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_CATEGORIES = 1000
 
+#: How a transformer's statement names its input, and the vector column that models read.
+INPUT, VECTOR = "__THIS__", "features"
+
+
+def vector_stages(expressions: Sequence[str]) -> list:
+    """Stages computing the expressions into one vector column."""
+    names = [f"_x{i}" for i in range(len(expressions))]
+    columns = ", ".join(f"{e} AS {n}" for e, n in zip(expressions, names))
+    return [
+        SQLTransformer(statement=f"SELECT *, {columns} FROM {INPUT}"),
+        VectorAssembler(inputCols=names, outputCol=VECTOR),
+    ]
+
 
 def fit_impute_mean(
     train: DataFrame, columns: Sequence[str], *, missing_value: float | None = None

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from curbline.functions.transforms import feature_preprocessor, log1p_columns, per_tree_ratios
 from curbline.operators import knn, models
+from curbline.operators.ensembles import StoredForest, fit_forest
 from curbline.operators.linear import cross_val_linear, lasso_path, least_squares
 from curbline.operators.prep import categories_of, fit_impute_mean
 from curbline.operators.relational import is_present_flag, positive_flag, street_type_flags
+from curbline.operators.sparse_linear import cross_val_categories, fit_categories
 from curbline.operators.splits import stratified_split, train_test_split, with_fold
 from curbline.operators.stats import evaluate, mse
 from curbline.session import settle
 
+FittedModel = PipelineModel | StoredForest | knn.KnnModel
+
 LABEL = "collision_rate_per_length"
 DEFAULT_SPEED_LIMIT = 25.0
 DEFAULT_HOUR = 16
@@ -42,12 +46,9 @@ def with_volume(dataset: DataFrame) -> DataFrame:
 
 def train_suite(
     train: DataFrame, *, row_id: str = "row_id", label: str = LABEL, settings: SuiteSettings = SuiteSettings()
-) -> dict[str, PipelineModel | knn.KnnModel]:
+) -> dict[str, FittedModel]:
     """The five kinds of models, fitted on the same rows."""
     s = settings
-    forest = models.random_forest(
-        label, trees=s.forest_trees, min_leaf=s.forest_min_leaf, max_depth=s.forest_depth
-    )
     boosted = models.boosted_trees(
         label, trees=s.boosting_trees, max_depth=s.boosting_depth, rate=s.boosting_rate
     )
@@ -55,13 +56,15 @@ def train_suite(
         "baseline": models.fit_mean(train, label),
         "linear": models.fit_linear(train, label),
         "knn": knn.fit_knn(train, models.KNN_FEATURES, label, row_id=row_id, k_max=s.k),
-        "random_forest": models.fit_trees(train, forest),
+        "random_forest": fit_forest(
+            train, label, models.RAW_FEATURES, trees=s.forest_trees, min_leaf=s.forest_min_leaf, max_depth=s.forest_depth
+        ),
         "boosting": models.fit_trees(train, boosted),
     }
 
 
 def predict(
-    model: PipelineModel | knn.KnnModel, df: DataFrame, *, row_id: str = "row_id", label: str = LABEL,
+    model: FittedModel, df: DataFrame, *, row_id: str = "row_id", label: str = LABEL,
     weights: str = "distance",
 ) -> DataFrame:
     """``row_id``, label and ``prediction`` of any of the models."""
@@ -72,7 +75,7 @@ def predict(
 
 
 def model_leaderboard(
-    fitted: dict[str, PipelineModel | knn.KnnModel], test: DataFrame, *, row_id: str = "row_id", label: str = LABEL,
+    fitted: dict[str, FittedModel], test: DataFrame, *, row_id: str = "row_id", label: str = LABEL,
     weights: str = "distance",
 ) -> DataFrame:
     """Hold-out MSE per model, best first."""
@@ -87,7 +90,7 @@ def model_leaderboard(
 def train_and_compare(
     dataset: DataFrame, folder: str, *, row_id: str = "row_id", label: str = LABEL, seed: int = 42,
     settings: SuiteSettings = SuiteSettings(),
-) -> tuple[dict[str, PipelineModel | knn.KnnModel], DataFrame]:
+) -> tuple[dict[str, FittedModel], DataFrame]:
     """From the street table to the leaderboard: streets with a volume are split, the five models are
     trained on the larger part, stored in ``folder``, loaded again and scored on the smaller part."""
     spark = dataset.sparkSession
@@ -125,16 +128,20 @@ def legacy_cleaning(
     )
 
 
-def hourly_features(hourly: DataFrame) -> dict[str, str]:
+HOURLY_NUMBERS = {
+    "hour": f"cast(coalesce(hour, {DEFAULT_HOUR}) as double)",
+    "humps": "coalesce(humps, 0D)",
+    **{c: f"cast({c} as double)" for c in ("shape_leng", "st_width", "postvz_sl")},
+}
+HOURLY_CATEGORIES = ("rw_type", "bike_lane", "trafdir")
+
+
+def hourly_features(hourly: DataFrame, most: int | None = None) -> dict[str, str]:
     """Name to expression: numbers with their fills, one indicator per road type, lane and
-    direction."""
-    features = {
-        "hour": f"cast(coalesce(hour, {DEFAULT_HOUR}) as double)",
-        "humps": "coalesce(humps, 0D)",
-        **{c: f"cast({c} as double)" for c in ("shape_leng", "st_width", "postvz_sl")},
-    }
-    for column in ("rw_type", "bike_lane", "trafdir"):
-        for value in categories_of(hourly, column):
+    direction. ``most`` refuses categories of more values; ``hourly_crash_model`` makes no indicators."""
+    features = dict(HOURLY_NUMBERS)
+    for column in HOURLY_CATEGORIES:
+        for value in categories_of(hourly, column, most):
             quoted = str(value).replace("'", "''")
             features[f"{column}_{value}"] = f"if({column} <=> '{quoted}', 1D, 0D)"
     return features
@@ -143,19 +150,20 @@ def hourly_features(hourly: DataFrame) -> dict[str, str]:
 def hourly_crash_model(hourly: DataFrame, *, label: str = "crashes", seed: int = 42) -> DataFrame:
     """Least squares on crashes per street and hour against the mean: cross-validated MSE on the
     training part and MSE on the hold-out part. ``hourly`` needs ``street``, the key of the street
-    row, since raw streets repeat ``physicalid``; rows with a missing number are left out."""
+    row, since raw streets repeat ``physicalid``; rows with a missing number are left out. Road type, lane and
+    direction may have any number of values."""
     keyed = hourly.dropna(subset=["shape_leng", "st_width", "postvz_sl", label]).withColumn(
         "row_id", F.pmod(F.xxhash64("street", F.coalesce("hour", F.lit(24))), F.lit(1 << 53))
     )
     train, test = train_test_split(settle(keyed, "hourly"), "row_id", seed=seed)
     train = settle(with_fold(train, "row_id", seed=seed), "hourly-train")
-    features = hourly_features(train)
+    numbers = list(HOURLY_NUMBERS.values())
     baseline_cv = models.cross_val_score(train, label, "fold", lambda df: models.fit_mean(df, label))
-    linear_cv = cross_val_linear(train, list(features.values()), label, "fold")
+    linear_cv = cross_val_categories(train, numbers, HOURLY_CATEGORIES, label, "fold")
     rows = None
     for name, cv, model in (
         ("baseline", baseline_cv, models.fit_mean(train, label)),
-        ("linear", linear_cv, models.fit_linear(train, label, features)),
+        ("linear", linear_cv, fit_categories(train, numbers, HOURLY_CATEGORIES, label)),
     ):
         held_out = model.transform(test).agg(mse(label).alias("test_mse"))
         row = cv.agg(F.avg("mse").alias("cv_mse")).join(held_out).select(

@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from curbline.checks import model_queries, registry
 from curbline.functions.transforms import strip_name_prefix
-from curbline.operators import knn, linear, models, splits
+from curbline.operators import ensembles, knn, linear, models, sparse_linear, splits
 from curbline.plans import modelling
 from curbline.session import scratch_path
 from curbline.sources import sinks
@@ -194,27 +195,153 @@ def test_boosting_and_forest_search(spark, table):
     assert max(models.BOOSTING_GRID["maxIter"]) == 1000 and max(models.FOREST_GRID["numTrees"]) == 500
 
 
-def test_boosting_query_fits_whole_models(spark, table, monkeypatch):
-    fitted = []
+def test_tree_queries_fit_whole_models(spark, table, monkeypatch):
+    boosted, forests = [], []
     monkeypatch.setattr(model_queries, "train_and_test", lambda *_: (table, table))
-    monkeypatch.setattr(models, "fit_trees", lambda train, estimator: fitted.append(estimator))
+    monkeypatch.setattr(models, "fit_trees", lambda train, estimator: boosted.append(estimator))
+    monkeypatch.setattr(model_queries, "fit_forest", lambda *_, **options: forests.append(options))
     monkeypatch.setattr(modelling, "predict", lambda *_, **__: table)
     for name in ("gradient_boosting", "random_forest"):
         registry.QUERIES[name](spark, "")
-    assert fitted[0].getMaxIter() >= 100 and fitted[1].getNumTrees() >= 100
+    defaults = inspect.signature(ensembles.fit_forest).parameters
+    assert boosted[0].getMaxIter() >= 100
+    assert forests[0].get("trees", defaults["trees"].default) >= 100 and defaults["max_depth"].default == 30
 
 
 def test_grid_search_query_asks_for_the_whole_grid(spark, table, monkeypatch):
     asked = []
 
-    def search(train, label, estimator, grid, **options):
-        asked.append((grid, options["train_scores"]))
-        return models.Search({}, None, spark.createDataFrame([(1.0,)], "val_mse double"))
+    def scores(train, label, features, *, fold, trees, min_leaf, part, parallelism=4):
+        asked.append((list(trees), list(min_leaf), part))
+        return {(t, m, f): {True: 1.0 * t + m, False: 1.0} for t in trees for m in min_leaf for f in range(5)}
 
     monkeypatch.setattr(model_queries, "model_table", lambda *_: table)
-    monkeypatch.setattr(models, "grid_search", search)
-    registry.QUERIES["grid_search"](spark, "")
-    assert asked == [({"numTrees": [50, 100, 500], "minInstancesPerNode": [5, 10, 25]}, True)]
+    monkeypatch.setattr(models, "forest_scores", scores)
+    monkeypatch.setattr(models, "fit_forest", lambda *_, **options: options)
+    found = registry.QUERIES["grid_search"](spark, "").collect()
+    assert asked == [([50, 100, 500], [5, 10, 25], 50)]
+    assert len(found) == 9 and all(r.train_mse == 1.0 for r in found)
+
+
+FEATURES = {"a": "a", "b": "b"}
+
+
+def test_prefixes_of_a_forest_are_separate_fits(table):
+    options = {"part": 2, "max_depth": 5, "min_leaf": 5}
+    whole = ensembles.fit_forest(table, "y", FEATURES, trees=6, **options)
+    small = ensembles.fit_forest(table, "y", FEATURES, trees=4, **options)
+    predictions = [
+        [r.prediction for r in forest.transform(table).orderBy("id").collect()] for forest in (whole.first(4), small, whole)
+    ]
+    assert predictions[0] == predictions[1] != predictions[2]
+    with pytest.raises(ValueError):
+        whole.first(3)
+    assert ensembles.part_sizes(7, 3) == [3, 3, 1]
+
+
+def test_a_stored_forest_is_the_mean_of_its_parts(spark, table):
+    forest = ensembles.fit_forest(table, "y", FEATURES, trees=5, part=2, max_depth=4)
+    parts = [ensembles.StoredForest((p,), (n,), forest.expressions) for p, n in zip(forest.paths, forest.trees)]
+    each = [[r.prediction for r in p.transform(table).orderBy("id").collect()] for p in parts]
+    whole = forest.transform(table)
+    assert whole.columns == [*table.columns, "prediction"]
+    got = [r.prediction for r in whole.orderBy("id").collect()]
+    assert got == pytest.approx(np.average(each, axis=0, weights=[2, 2, 1]))
+    folder = scratch_path(spark, "models")
+    models.save_model(forest, folder, "random_forest", spark)
+    loaded = models.load_model(folder, "random_forest", spark)
+    assert [r.prediction for r in loaded.transform(table).orderBy("id").collect()] == got
+    importances = models.feature_importances(loaded, FEATURES, spark).collect()
+    assert sum(r.importance for r in importances) == pytest.approx(1.0) and importances[0].feature == "a"
+    as_one = models.fit_trees(table, models.random_forest("y", trees=2, max_depth=2), FEATURES)
+    models.save_model(as_one, folder := scratch_path(spark, "models"), "random_forest", spark)
+    assert models.load_model(folder, "random_forest", spark).transform(table).count() == 400
+
+
+def test_forest_search_scores_are_those_of_separate_fits(table):
+    found = ensembles.forest_scores(
+        table, "y", FEATURES, fold="fold", trees=[2, 4], min_leaf=[5, 40], max_depth=6, part=2)
+    assert len(found) == 2 * 2 * 5
+    for trees, least, fold in ((2, 5, 0), (4, 40, 3), (4, 5, 1)):
+        model = ensembles.fit_forest(
+            table.where(F.col("fold") != fold), "y", FEATURES, trees=trees, min_leaf=least, max_depth=6, part=2)
+        error = F.avg((F.col("y") - F.col("prediction")) ** 2)
+        scored = model.transform(table).groupBy((F.col("fold") == fold).alias("held")).agg(error.alias("mse"))
+        assert found[trees, least, fold] == {r.held: pytest.approx(r.mse) for r in scored.collect()}
+
+
+def test_boosting_search_scores_are_those_of_separate_fits(table):
+    found = ensembles.boosting_scores(
+        table, "y", FEATURES, fold="fold", trees=[1, 3, 6], max_depth=[2], rate=[0.5, 0.1])
+    assert len(found) == 3 * 2 * 5
+    rows = ensembles.training_rows(table, "y", FEATURES, ["fold"])
+    for trees, rate, fold in ((1, 0.5, 0), (3, 0.1, 2), (6, 0.5, 4)):
+        model = models.boosted_trees("label", trees=trees, max_depth=2, rate=rate).fit(rows.where(F.col("fold") != fold))
+        scored = model.transform(rows).groupBy((F.col("fold") == fold).alias("held")).agg(
+            F.avg((F.col("label") - F.col("prediction")) ** 2).alias("mse"))
+        assert found[trees, 2, rate, fold] == {r.held: pytest.approx(r.mse) for r in scored.collect()}
+
+
+def test_cross_products_are_one_aggregate(spark, table):
+    columns = ["a", "b", "c", "a * b", "a * a"]
+    got = linear.cross_products(table, columns, "y", "fold")
+    x, y, fold = arrays(table)
+    z = np.c_[x, x[:, 0] * x[:, 1], x[:, 0] ** 2, y]
+    z = np.c_[np.ones(len(z)), z - z.mean(axis=0)]
+    for f in range(5):
+        assert got[f] == pytest.approx(z[fold == f].T @ z[fold == f])
+    holes = table.withColumn("a", F.when(F.col("id") > 10, F.col("a")))
+    assert sum(m[0, 0] for m in linear.cross_products(holes, ["a", "b"], "y", "fold").values()) == 389
+    assert linear.cross_products(table.limit(0), ["a"], "y") == {}
+
+
+def test_no_r2_for_a_constant_label(table):
+    flat = table.withColumn("y", F.when(F.col("fold") == 1, 0.1).otherwise(F.col("y")))
+    scores = {r.fold: r.r2 for r in linear.cross_val_linear(flat, ["a", "b"], "y", "fold").collect()}
+    assert scores[1] is None and None not in [scores[f] for f in (0, 2, 3, 4)]
+    path = linear.lasso_path(flat, ["a", "b"], "y", "fold", [0.1]).first()
+    assert path.val_r2 is None and path.train_r2 > 0
+
+
+def test_categories_of_thousands_of_values(spark):
+    rng = np.random.default_rng(4)
+    n, values = 20000, 5000
+    one, two = rng.integers(0, values, n), rng.integers(0, 7, n)
+    x = rng.normal(size=(n, 2)) + 50
+    y = x @ [2.0, -1.0] + rng.normal(size=values)[one] + 0.3 * two + 0.1 * rng.normal(size=n)
+    rows = [(i, *map(float, v), f"v{a}", int(b) if i % 50 else None, float(t), i % 3) for i, (v, a, b, t) in enumerate(zip(x, one, two, y))]
+    df = spark.createDataFrame(rows, "id long, p double, q double, one string, two int, y double, fold int")
+    present = np.arange(n) % 50 != 0
+    fold = np.arange(n) % 3
+    # the shares of each value taken out of numbers and label leave a small dense problem
+    def reduced(train):
+        z = np.c_[x - x.mean(axis=0), *[(two == k) & present for k in range(7)]].astype(float)
+        counts = np.bincount(one[train], minlength=values)
+        mean = lambda v: np.bincount(one[train], v[train], values) / np.maximum(counts, 1)
+        parts = np.array([mean(c) for c in z.T]).T
+        w = np.linalg.lstsq((z - parts[one])[train], (y - mean(y)[one])[train], rcond=None)[0]
+        return z, w, mean(y) - parts @ w, counts
+    model = sparse_linear.fit_categories(df, ["p", "q"], ["one", "two"], "y")
+    z, w, own, _ = reduced(np.ones(n, bool))
+    got = np.array([r.prediction for r in model.transform(df).orderBy("id").collect()])
+    assert got == pytest.approx(z @ w + own[one], abs=1e-6)
+    scores = {r.fold: r.mse for r in sparse_linear.cross_val_categories(df, ["p", "q"], ["one", "two"], "y", "fold").collect()}
+    for f in range(3):
+        z, w, own, counts = reduced(fold != f)
+        assert (counts[one[fold == f]] > 0).mean() > 0.9
+        known = (fold == f) & (counts[one] > 0)
+        if known.sum() == (fold == f).sum():
+            assert scores[f] == pytest.approx(((y - z @ w - own[one])[known] ** 2).mean(), rel=1e-6)
+        assert np.isfinite(scores[f])
+
+
+def test_categories_equal_indicators(spark, table):
+    coded = table.withColumns({"k": F.col("id") % 7, "m": F.when(F.col("id") % 5 > 0, (F.col("id") % 3).cast("string"))})
+    indicators = [f"if(k = {i}, 1D, 0D)" for i in range(7)] + [f"if(m <=> '{i}', 1D, 0D)" for i in range(3)]
+    sparse = {r.fold: (r.mse, r.r2) for r in sparse_linear.cross_val_categories(coded, ["a", "b"], ["k", "m"], "y", "fold").collect()}
+    dense = {r.fold: (r.mse, r.r2) for r in linear.cross_val_linear(coded, ["a", "b", *indicators], "y", "fold").collect()}
+    assert sparse == {f: pytest.approx(v, rel=1e-7) for f, v in dense.items()}
+    assert sparse_linear.fit_categories(coded.limit(0), ["a"], ["k"], "y").transform(coded).count() == 400
 
 
 def test_materialize_builds_once_per_parameters(spark):
