@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.llm.common import small_batches
+from curbline.llm.common import hot_limit, small_batches
 from curbline.llm.shingles import WORDS, column_sets, mixed
 from curbline.operators.intersections import connected_components
 from curbline.session import settle
@@ -91,6 +91,20 @@ def _listed(classes: DataFrame) -> DataFrame:
     ).select("v", "node", "n", "common")
 
 
+def _with_lists(entries: DataFrame, lists: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Entries joined with a row for each list, which has its number of ``members``.
+
+    Lists above the hot limit are fewer than twice the partitions. They are sent to the entries, so that a crowded
+    list is not gathered in one task; the others are joined by key.
+    """
+    limit = hot_limit(entries.count(), entries.sparkSession)
+    lists = settle(lists, "lists")
+    hot, others = lists.where(F.col("members") > limit), lists.where(F.col("members") <= limit)
+    crowded = entries.join(F.broadcast(hot), keys, how)
+    rest = entries.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(others, keys, how)
+    return crowded.unionByName(rest).drop("members")
+
+
 def _first_pairs(listed: DataFrame) -> DataFrame:
     """(a, b): every member of a list with the most central one of about its size."""
     banded = listed.withColumn("band", F.floor(F.log("n") / F.lit(math.log(100 / PERCENT))))
@@ -98,7 +112,7 @@ def _first_pairs(listed: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("common")).alias("rank"), "node", "n")).alias("head"), F.count(F.lit(1)).alias("members")
     ).where("members > 1")
     return (
-        banded.join(heads, ["v", "band"])
+        _with_lists(banded, heads, ["v", "band"])
         .select(F.col("node").alias("a"), F.col("head.node").alias("b"), "n", F.col("head.n").alias("m"))
         .where((F.col("a") != F.col("b")) & _sizes_fit("n", "m"))
         .select("a", "b").distinct()
@@ -110,8 +124,8 @@ def _labelled(listed: DataFrame, components: DataFrame) -> DataFrame:
     named = listed.join(components.withColumnRenamed("component", "c"), "node", "left").withColumn(
         "label", F.coalesce("c", "node")).drop("c")
     named = settle(named, "labelled")
-    several = named.groupBy("v").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    return named.join(several.select("v"), "v", "left_semi")
+    several = named.groupBy("v").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("members"))
+    return _with_lists(named, several.where("l < h").select("v", "members"), ["v"], "left_semi")
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -157,13 +171,14 @@ def _open_pairs(
         F.col("place") <= F.col("n") - smallest + 1).select("v", "node", "n", "place")
     entries = settle(_labelled(settle(entries, "rare"), components), "rare-open")
     # a member whose shingle comes too late for the smallest set in the list finds nothing there
-    least = entries.groupBy("v").agg(F.min("n").alias("least"))
+    least = entries.groupBy("v").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("members"))
     may = F.col("n") - F.col("place") + 1 >= _overlap(F.col("n"), F.greatest("least", smallest))
-    entries = entries.join(least, "v").where(may).drop("least")
+    entries = settle(_with_lists(entries, least, ["v"]).where(may).drop("least"), "may")
     # the fullest component of a list is met by the others' members; its own members need not meet
     by_label = entries.groupBy("v", "label").agg(F.count(F.lit(1)).alias("members"))
-    main = by_label.groupBy("v").agg(F.max(F.struct("members", "label")).alias("m")).select("v", F.col("m.label").alias("main"))
-    left = entries.join(main, "v").where(F.col("label") != F.col("main"))
+    main = by_label.groupBy("v").agg(F.max(F.struct("members", "label")).alias("m"), F.sum("members").alias("members")).select(
+        "v", F.col("m.label").alias("main"), "members")
+    left = _with_lists(entries, main, ["v"]).where(F.col("label") != F.col("main"))
     right = entries.select("v", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("place").alias("at"))
     bound = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1 >= _overlap(F.col("n"), F.col("m"))
     once = (F.col("other") == F.col("main")) | (F.col("node") > F.col("b"))
@@ -205,22 +220,30 @@ def _is_similar(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=bool)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The pairs that are links."""
+def _confirmed(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str, repeated: bool
+) -> DataFrame:
+    """The pairs that are links. ``repeated``: some rows repeat identifier and text, and one of them is enough."""
     sketch = classes.select("node", "sketch")
     near = settle(
         pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
         .where(F.pandas_udf(_may_be_similar, "boolean")("sketch_a", "sketch_b")).select("a", "b"),
         "near",
     )
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(
-        F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
-    ).join(wanted, "id", "left_semi")
-    texts = settle(texts.groupBy("id", F.xxhash64("text").alias("version")).agg(F.first("text").alias("text")).drop("version"), "texts")
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_column).alias("id"), text.alias("text"))
+    # both joins read the same exchange of the texts by identifier; only members are sent on, to their head
+    members = texts.join(near.withColumnRenamed("a", "id"), "id")
+    heads = texts.join(near.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
+    if repeated:
+        one = F.xxhash64("text").alias("version")
+        members = members.groupBy("id", "b", one).agg(F.first("text").alias("text"))
+        heads = heads.groupBy("id", one).agg(F.first("text").alias("text"))
+    members = members.select(F.col("id").alias("a"), "b", F.col("text").alias("text_a"))
+    heads = heads.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return settle(
-        near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        .where(F.pandas_udf(_is_similar, "boolean")("text_a", "text_b")).select("a", "b").distinct(),
+        members.join(heads, "b").where(F.pandas_udf(_is_similar, "boolean")("text_a", "text_b"))
+        .select("a", "b").distinct(),
         "links",
     )
 
@@ -240,13 +263,16 @@ def _settled_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFr
     )
     listed = settle(_listed(classes), "listed")
     first = settle(_first_pairs(listed), "pairs")
-    links = _confirmed(first, classes, docs, id_column, text_column)
+    rows = sketches.where("id IS NOT NULL").groupBy("id", "version").agg(F.count(F.lit(1)).alias("c"))
+    repeated = not rows.where("c > 1").isEmpty()
+    links = _confirmed(first, classes, docs, id_column, text_column, repeated)
     # rows that share an identifier but not their set are versions of one document
     versions = sketches.where("n > 0 AND id IS NOT NULL").join(classes.select("f1", "f2", "node"), ["f1", "f2"])
     several = versions.groupBy("id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     links = settle(links.unionAll(versions.join(several, "id").select("id", "node").distinct()), "links")
     components = connected_components(links)
-    more = _confirmed(_open_pairs(listed, components, first, classes, docs, id_column, text_column), classes, docs, id_column, text_column)
+    more = _open_pairs(listed, components, first, classes, docs, id_column, text_column)
+    more = _confirmed(more, classes, docs, id_column, text_column, repeated)
     if not more.isEmpty():
         components = connected_components(links.unionAll(more))
     components = components.withColumnRenamed("node", "c_node")
