@@ -15,7 +15,7 @@ from curbline.checks.feature_queries import (
 )
 from curbline.checks.geometry_queries import SITES_SQL
 from curbline.checks.registry import query
-from curbline.checks.solver_sql import least_squares_ctes, scores_sql
+from curbline.checks.solver_sql import feature_ctes, least_squares_ctes, scores_sql, tree_ctes
 from curbline.checks.study_queries import (
     AUGMENTATION_CTES,
     AUGMENTATION_LAYERS,
@@ -629,6 +629,57 @@ def _(spark, sf_dir):
     return models.feature_importances(fitted, _FLAG, spark).withColumn("n", F.lit(train.count()).cast("long"))
 
 
+# Trees of depth 2 on features of few values: every split can be tried.
+_FEW_VALUES = {
+    "has_humps": "cast(has_humps as double)", "is_av": "cast(is_av as double)",
+    "trees": "cast(least(n_trees, 4) as double)", "limit": "cast(floor(speed_limit / 5) as double)",
+    "length": "cast(floor(least(shape_leng, 1000) / 100) as double)",
+}
+_TREE_CTES = {
+    **feature_ctes("model", "row_id", _FEW_VALUES, "is_test"),
+    "target": "SELECT row_id AS k, collision_rate AS y FROM train",
+    **tree_ctes("one", "target", 2, 5),
+}
+
+
+@query("random_forest_depth2", model_sql(
+    "SELECT k AS row_id, round(prediction, 6) AS prediction FROM one_tree JOIN test ON row_id = k", **_TREE_CTES))
+def _(spark, sf_dir):
+    train, test = train_and_test(spark, sf_dir)
+    fitted = fit_forest(train, LABEL, _FEW_VALUES, trees=1, max_depth=2, min_leaf=5, bootstrap=False)
+    return rounded(fitted.transform(test).select("row_id", "prediction"), {"prediction": 6})
+
+
+@query("feature_importances_depth2", model_sql(
+    "SELECT name AS feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM one_splits), 6) AS importance FROM (VALUES "
+    + ", ".join(f"({i}, '{n}')" for i, n in enumerate(_FEW_VALUES)) + ") names(f, name) LEFT JOIN one_splits USING (f) GROUP BY 1",
+    **_TREE_CTES))
+def _(spark, sf_dir):
+    train, _ = train_and_test(spark, sf_dir)
+    fitted = fit_forest(train, LABEL, _FEW_VALUES, trees=1, max_depth=2, min_leaf=5, bootstrap=False)
+    return rounded(models.feature_importances(fitted, _FEW_VALUES, spark), {"importance": 6})
+
+
+@query("gradient_boosting_depth2", model_sql(
+    "SELECT row_id, round(a.prediction + 0.1 * b.prediction + 0.1 * c.prediction, 6) AS prediction FROM test "
+    "JOIN first_tree a ON a.k = row_id JOIN second_tree b ON b.k = row_id JOIN third_tree c ON c.k = row_id",
+    **{
+        **feature_ctes("model", "row_id", _FEW_VALUES, "is_test"),
+        "target": "SELECT row_id AS k, collision_rate AS y FROM train",
+        **tree_ctes("first", "target", 2, 1),
+        # the next tree is grown on the slope of the squared error
+        "rest": "SELECT k, 2 * (y - prediction) AS y FROM target JOIN first_tree USING (k)",
+        **tree_ctes("second", "rest", 2, 1),
+        "rest2": "SELECT t.k, 2 * (t.y - a.prediction - 0.1 * b.prediction) AS y FROM target t JOIN first_tree a ON a.k = t.k "
+                 "JOIN second_tree b ON b.k = t.k",
+        **tree_ctes("third", "rest2", 2, 1),
+    }))
+def _(spark, sf_dir):
+    train, test = train_and_test(spark, sf_dir)
+    fitted = models.fit_trees(train, models.boosted_trees(LABEL, trees=3, max_depth=2), _FEW_VALUES)
+    return rounded(fitted.transform(test).select("row_id", "prediction"), {"prediction": 6})
+
+
 @query("grid_search_stump", model_sql("""
     SELECT depth AS "maxDepth", round(avg(val), 6) AS val_mse, round(avg(seen), 6) AS train_mse FROM (
         SELECT depth, left_out, avg(CASE WHEN fold = left_out THEN pow(collision_rate - guess, 2) END) AS val,

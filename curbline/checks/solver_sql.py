@@ -1,4 +1,4 @@
-"""Least squares in SQL: normal equations per left-out fold, solved by elimination in a recursive query."""
+"""Models in SQL: least squares by elimination in a recursive query, and regression trees by trying every split."""
 
 from __future__ import annotations
 
@@ -56,3 +56,46 @@ def scores_sql(scored: str, digits: int = 6) -> str:
         f"SELECT g AS fold, round(avg(pow(y - prediction, 2)), {digits}) AS mse, "
         f"round(1 - sum(pow(y - prediction, 2)) / nullif(var_pop(y) * count(*), 0), {digits}) AS r2 FROM {scored} GROUP BY 1"
     )
+
+
+def feature_ctes(rows: str, key: str, features: dict[str, str], held: str) -> dict[str, str]:
+    """``tree_x``: key, held and every feature's number and value; ``tree_t``: the thresholds between the values of
+    the rows that are not held out."""
+    values = ", ".join(f"CAST({e} AS DOUBLE)" for e in features.values())
+    return {
+        "tree_x": f"SELECT {key} AS k, {held} AS held, unnest([{values}]) AS v, unnest(range(0, {len(features)})) AS f FROM {rows}",
+        "tree_t": "SELECT f, (v + next) / 2 AS t FROM (SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS next "
+                  "FROM (SELECT DISTINCT f, v FROM tree_x WHERE NOT held)) WHERE next IS NOT NULL",
+    }
+
+
+def tree_ctes(prefix: str, target: str, depth: int, min_leaf: int) -> dict[str, str]:
+    """CTEs of one tree grown on ``target`` (k, y; the rows not held out) over ``feature_ctes``: ``<prefix>_splits``
+    with node, feature and the squares removed, and ``<prefix>_tree`` with the prediction of every row.
+
+    The best split removes the most squares; of equal ones the first feature's lowest threshold is taken, each child
+    keeps ``min_leaf`` rows, and nodes without such a split are leaves.
+    """
+    ctes = {f"{prefix}_n0": "SELECT DISTINCT k, 1 AS node FROM tree_x"}
+    for level in range(1, depth + 1):
+        before, splits = f"{prefix}_n{level - 1}", f"{prefix}_s{level}"
+        ctes |= {
+            f"{prefix}_c{level}":
+                f"SELECT n.node, t.f, t.t, count(*) AS n, sum(y.y) AS s, count(*) FILTER (x.v <= t.t) AS nl, "
+                f"coalesce(sum(y.y) FILTER (x.v <= t.t), 0) AS sl FROM {before} n JOIN {target} y ON y.k = n.k "
+                f"JOIN tree_x x ON x.k = n.k JOIN tree_t t ON t.f = x.f GROUP BY 1, 2, 3",
+            f"{prefix}_g{level}":
+                f"SELECT node, f, t, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain "
+                f"FROM {prefix}_c{level} WHERE nl >= {min_leaf} AND n - nl >= {min_leaf}",
+            splits: f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, f, t) AS place "
+                    f"FROM {prefix}_g{level}) WHERE place = 1 AND gain > 1e-12",
+            f"{prefix}_n{level}":
+                f"SELECT n.k, CASE WHEN s.node IS NULL THEN n.node ELSE 2 * n.node + CAST(x.v > s.t AS INTEGER) END AS node "
+                f"FROM {before} n LEFT JOIN {splits} s ON s.node = n.node LEFT JOIN tree_x x ON x.k = n.k AND x.f = s.f",
+        }
+    last = f"{prefix}_n{depth}"
+    return ctes | {
+        f"{prefix}_splits": " UNION ALL ".join(f"SELECT node, f, gain FROM {prefix}_s{i}" for i in range(1, depth + 1)),
+        f"{prefix}_tree": f"SELECT n.k, m.mean AS prediction FROM {last} n JOIN (SELECT n.node, avg(y.y) AS mean "
+                          f"FROM {last} n JOIN {target} y ON y.k = n.k GROUP BY 1) m ON m.node = n.node",
+    }

@@ -1,45 +1,47 @@
-"""K-nearest-neighbour regression, exact, as descents through a tree of grid cells.
-
-Rows are listed in a pyramid of grids over the scaled features, each level twice as coarse as the one
-before; a cell with few rows is a leaf, the others are split. Every query descends from the top: the cells
-it holds, each with the box of its rows, bound the distance of the k-th neighbour from above, and cells that
-begin beyond that bound are dropped before the rest is split. Only the rows of the leaves left at the
-end are compared, a small multiple of k wherever the query and the rows lie. Neighbours are ranked once for the
-largest k; running sums over the rank give the prediction for every smaller k.
+"""K-nearest-neighbour regression, exact, through a k-d tree that fits on the driver.
+
+The tree's cuts are medians of a sample of the rows, and every row is assigned once to its leaf. Leaves keep the box and
+the number of their own rows, so the search is exact wherever the sample's medians lie. A query descends from the top:
+the nodes it holds bound the distance of the k-th neighbour from above, and nodes that begin beyond that bound are
+dropped before the rest is split. Only rows of the leaves left at the end meet the query, in a join by leaf: a small
+multiple of k wherever the query and the rows lie, as long as ``MOST_LEAVES`` leaves are enough. Neighbours
+are ranked once for the largest k; running sums over the rank give the prediction for every smaller k.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbline.operators.prep import fit_scaler
-from curbline.operators.spatial_join import grid_sizes, spread_hot_keys
+from curbline.operators.spatial_join import spread_hot_keys
 from curbline.session import settle
 
 WEIGHTS = ("uniform", "distance")
-CROWDED_CELL = 8
-LEAST_LEAF = 8
+#: Rows of a leaf at least; more where k is large, and where there are more rows than the most leaves hold.
+LEAST_LEAF, MOST_LEAVES = 8, 1 << 17
+#: Rows that the cuts are medians of, about, and queries that descend together.
+SAMPLE, TOGETHER = 1 << 20, 1024
 
 
 @dataclass(frozen=True)
 class KnnModel:
-    """Training rows with scaled features ``f0..``, the scaling, the range of the scaled rows and
-    the cell sizes of the grids."""
+    """Training rows with scaled features ``f0..`` and their ``leaf``, the scaling, and the tree: per node (the root is
+    1, the children of i are 2i and 2i + 1) the axis that is cut, -1 for a leaf, and where."""
 
     rows: DataFrame
     features: tuple[str, ...]
     means: tuple[float, ...]
     deviations: tuple[float, ...]
     k_max: int
-    lows: tuple[float, ...] = ()
-    highs: tuple[float, ...] = ()
-    sizes: tuple[float, ...] = ()
+    cut_axes: tuple[int, ...] = ()
+    cuts: tuple[float, ...] = ()
 
     @property
     def axes(self) -> list[str]:
@@ -65,7 +67,6 @@ def fit_knn(
     for a constant feature) and keep, per identical feature vector and fold, the ``k_max`` rows
     with the smallest ids. That loses nothing: neighbours are ranked by distance and id, so no
     query can use more of them. Rows without a number for every feature and the target are refused."""
-    d = len(features)
     scaler = fit_scaler(train, features)
     model = KnnModel(train, tuple(features), scaler.means, scaler.deviations, k_max)
     rows = train.select(
@@ -86,27 +87,55 @@ def fit_knn(
     kept = settle(
         rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k_max).drop("n"), "knn-rows"
     )
-    ends = kept.agg(*[F.min(a) for a in model.axes], *[F.max(a) for a in model.axes]).first()
-    lows, highs = tuple(ends[:d]), tuple(ends[d:])
-    span = max(max(h - l for l, h in zip(lows, highs)), 1e-6)
+    total = kept.count()
+    share = min(1.0, SAMPLE / max(total, 1))
+    place = F.pmod(F.xxhash64("id", *model.axes), F.lit(1 << 30)) / float(1 << 30)
+    sample = kept.where(place < share).select(*model.axes).toArrow()
+    points = np.column_stack([sample.column(a).to_numpy() for a in model.axes])
+    leaf_rows = max(LEAST_LEAF, k_max // 4, total / MOST_LEAVES)
+    axes, cuts = _grow(points, leaf_rows * share, math.ceil(math.log2(max(2.0, total / leaf_rows))) + 1)
+    model = replace(model, cut_axes=tuple(axes.tolist()), cuts=tuple(cuts.tolist()))
+    return replace(model, rows=settle(_with_leaf(kept, model), "knn-leaves"))
 
-    def fullest(size: float) -> int:
-        cells = [F.floor(F.col(a) / F.lit(size)).alias(a) for a in model.axes]
-        return kept.select(*cells).groupBy(*model.axes).count().agg(F.max("count")).first()[0]
 
-    finest = span * (k_max / sum(per_fold)) ** (1 / d) / 4
-    sizes = grid_sizes(finest, span, fullest, CROWDED_CELL * k_max)
-    return replace(model, rows=kept, lows=lows, highs=highs, sizes=tuple(sizes))
+def _grow(points: np.ndarray, leaf_rows: float, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axis and place of each node's cut: the median of the axis along which its points spread most. The lower side
+    holds what is not above the cut."""
+    axes, cuts = np.full(2 << depth, -1), np.zeros(2 << depth)
+    open_ = [(1, points)]
+    while open_:
+        node, own = open_.pop()
+        if len(own) <= leaf_rows or node >= 1 << depth:
+            continue
+        axis = int(np.argmax(np.ptp(own, axis=0)))
+        values = own[:, axis]
+        cut, largest = np.partition(values, (len(values) - 1) // 2)[(len(values) - 1) // 2], values.max()
+        if cut == largest:
+            lower = values[values < largest]
+            if not len(lower):
+                continue  # all points are equal
+            cut = lower.max()
+        axes[node], cuts[node] = axis, cut
+        above = values > cut
+        open_ += [(2 * node, own[~above]), (2 * node + 1, own[above])]
+    return axes, cuts
 
 
-def _with_cells(df: DataFrame, model: KnnModel, columns: Sequence[str]) -> DataFrame:
-    levels = F.array(
-        *[F.struct(F.lit(i).alias("level"), F.lit(s).alias("size")) for i, s in enumerate(model.sizes)]
-    )
-    listed = df.select("*", F.inline(levels))
-    return listed.withColumns(
-        {f"c{i}": F.floor(F.col(c) / F.col("size")).cast("long") for i, c in enumerate(columns)}
-    )
+def _with_leaf(rows: DataFrame, model: KnnModel) -> DataFrame:
+    axes, cuts = np.array(model.cut_axes), np.array(model.cuts)
+    names = model.axes
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = np.column_stack([batch.column(n).to_numpy() for n in names])
+            node = np.ones(len(points), np.int64)
+            while (inner := np.flatnonzero(axes[node] >= 0)).size:
+                own = node[inner]
+                node[inner] = 2 * own + (points[inner, axes[own]] > cuts[own])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], [*batch.schema.names, "leaf"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(assign, f"{fields}, leaf long")
 
 
 def _complete(columns: Sequence[str]) -> Column:
@@ -117,78 +146,91 @@ def _complete(columns: Sequence[str]) -> Column:
     return test
 
 
-def _tree(model: KnnModel) -> tuple[DataFrame, DataFrame]:
-    """Nodes (level, cell, total, rows per fold, the box of the rows, is it a leaf) and the rows by their leaf."""
-    axes, top = model.axes, len(model.sizes) - 1
-    cell = ["level", *[f"c{i}" for i in range(len(axes))]]
-    listed = _with_cells(model.rows, model, axes).drop("size")
-    ends = [f(a).alias(f"{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))]
-    bounds = [e for a in axes for e in (F.min(f"lo_{a}").alias(f"lo_{a}"), F.max(f"hi_{a}").alias(f"hi_{a}"))]
-    nodes = settle(
-        listed.groupBy(*cell, "fold").agg(F.count(F.lit(1)).alias("n"), *ends)
-        .groupBy(*cell).agg(
-            F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias("folds"), *bounds
-        )
-        .withColumn("leaf", (F.col("total") <= max(LEAST_LEAF, model.k_max // 4)) | (F.col("level") == 0)),
-        "knn-nodes",
-    )
-    # what lies below a leaf is not part of the tree
-    up = [F.col("level") + 1, *[F.shiftright(c, 1) for c in cell[1:]]]
-    split = nodes.where(~F.col("leaf")).select(*[F.col(c).alias(f"p_{c}") for c in cell])
-    parent = F.lit(True)
-    for mine, c in zip(up, cell):
-        parent = parent & (mine == F.col(f"p_{c}"))
-    tree = settle(
-        nodes.where(F.col("level") == top).unionByName(nodes.where(F.col("level") < top).join(split, parent, "left_semi")),
-        "knn-tree",
-    )
-    leaves = tree.where("leaf").select(*cell)
-    rows = listed.join(leaves, cell).select(
-        *cell, "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes]
-    )
-    return tree, settle(rows, "knn-leaves")
-
-
-def nearby_leaves(model: KnnModel, vectors: DataFrame, tree: DataFrame) -> DataFrame:
-    """(query vector, fold, cell, n): the leaves that may hold one of the ``k_max`` nearest rows."""
-    axes, d = model.axes, len(model.axes)
-    cell, key = ["level", *[f"c{i}" for i in range(d)]], [*model.axes, "fold"]
-    top, size = len(model.sizes) - 1, model.sizes[-1]
-    ranges = [range(math.floor(lo / size), math.floor(hi / size) + 1) for lo, hi in zip(model.lows, model.highs)]
-    corners = list(itertools.product(*ranges))  # the top cells are at least as wide as the rows spread: at most 2 an axis
-    wanted = vectors.select(*key, F.lit(top).alias("level"), F.inline(F.array(*[
-        F.struct(*[F.lit(c).cast("long").alias(f"c{i}") for i, c in enumerate(corner)]) for corner in corners
-    ])))
-    steps = F.array(*[
-        F.struct(*[F.lit(o).alias(f"o{i}") for i, o in enumerate(o)]) for o in itertools.product((0, 1), repeat=d)
-    ])
-    near2 = " + ".join(f"pow(greatest(0D, lo_{a} - {a}, {a} - hi_{a}), 2)" for a in axes)
-    far2 = " + ".join(f"pow(greatest(abs({a} - lo_{a}), abs({a} - hi_{a})), 2)" for a in axes)
-    by_far = Window.partitionBy(*key).orderBy("far2").rowsBetween(Window.unboundedPreceding, 0)
-    columns = [*key, *cell, "n", "near2", "far2", "leaf"]
-    held = None
-    for _ in model.sizes:
-        spread, copied = spread_hot_keys(wanted, tree, cell, key)
-        found = spread.join(copied, [*cell, "salt"]).withColumns({
-            "n": F.col("total") - F.coalesce(F.col("folds")[F.col("fold")], F.lit(0)),
-            "near2": F.expr(near2), "far2": F.expr(far2),
-        }).where("n > 0").select(*columns)
-        if held is not None:
-            found = found.unionByName(held.where("leaf"))
-        enough = F.when(F.sum("n").over(by_far) >= model.k_max, F.col("far2"))
-        bound = F.min("enough").over(Window.partitionBy(*key))
-        held = settle(
-            found.withColumn("enough", enough).withColumn("bound", bound)
-            .where("bound IS NULL OR near2 <= bound * (1 + 1e-9D)").select(*columns),
-            "knn-held",
-        )
-        inner = held.where(~F.col("leaf"))
-        if inner.isEmpty():
-            break
-        wanted = inner.select(*key, (F.col("level") - 1).alias("level"), *cell[1:], F.inline(steps)).select(
-            *key, "level", *[(F.col(f"c{i}") * 2 + F.col(f"o{i}")).alias(f"c{i}") for i in range(d)]
-        )
-    return held.select(*key, *cell, "n")
+@dataclass(frozen=True)
+class Nodes:
+    """Per node of the tree: the cut axis, the box of its rows, their number, and their number in each fold."""
+
+    axes: np.ndarray
+    lows: np.ndarray
+    highs: np.ndarray
+    total: np.ndarray
+    folds: dict[int, np.ndarray]
+
+
+def _tree(model: KnnModel) -> Nodes:
+    """The nodes from the rows of the leaves, of which there are ``MOST_LEAVES`` at most, twice that where medians
+    do not divide evenly."""
+    size, d = len(model.cut_axes), len(model.axes)
+    ends = [f(a).alias(f"{n}_{a}") for a in model.axes for n, f in (("lo", F.min), ("hi", F.max))]
+    found = model.rows.groupBy("leaf", "fold").agg(F.count(F.lit(1)).alias("n"), *ends).toArrow()
+    leaf, fold, n = (found.column(c).to_numpy() for c in ("leaf", "fold", "n"))
+    lows, highs, total = np.full((size, d), np.inf), np.full((size, d), -np.inf), np.zeros(size, np.int64)
+    for i, a in enumerate(model.axes):
+        np.minimum.at(lows[:, i], leaf, found.column(f"lo_{a}").to_numpy())
+        np.maximum.at(highs[:, i], leaf, found.column(f"hi_{a}").to_numpy())
+    folds = {}
+    for f in np.unique(fold).tolist():
+        folds[f] = np.zeros(size, np.int64)
+        np.add.at(folds[f], leaf[fold == f], n[fold == f])
+    np.add.at(total, leaf, n)
+    width = size // 4
+    while width:  # parents take what their children have, level by level
+        own, left, right = slice(width, 2 * width), slice(2 * width, 4 * width, 2), slice(2 * width + 1, 4 * width, 2)
+        lows[own] = np.minimum(lows[own], np.minimum(lows[left], lows[right]))
+        highs[own] = np.maximum(highs[own], np.maximum(highs[left], highs[right]))
+        for counts in (total, *folds.values()):
+            counts[own] += counts[left] + counts[right]
+        width //= 2
+    return Nodes(np.array(model.cut_axes), lows, highs, total, folds)
+
+
+def _descend(points: np.ndarray, folds: np.ndarray, nodes: Nodes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the query, leaf, rows of other folds in it): the leaves that may hold one of the k nearest rows."""
+    query, node = np.arange(len(points)), np.ones(len(points), np.int64)
+    while True:
+        usable = nodes.total[node]
+        for fold, counts in nodes.folds.items():
+            usable = usable - np.where(folds[query] == fold, counts[node], 0)
+        held = usable > 0
+        query, node, usable = query[held], node[held], usable[held]
+        own, low, high = points[query], nodes.lows[node], nodes.highs[node]
+        near = np.square(np.maximum(0, np.maximum(low - own, own - high))).sum(axis=1)
+        far = np.square(np.maximum(np.abs(own - low), np.abs(own - high))).sum(axis=1)
+        order = np.lexsort((far, query))
+        query, node, usable, near, far = (v[order] for v in (query, node, usable, near, far))
+        # the k-th neighbour is not beyond the far end of the nodes that hold k rows together
+        so_far = np.cumsum(usable)
+        first = np.searchsorted(query, query, "left")
+        so_far -= so_far[first] - usable[first]
+        bound = np.full(len(points), np.inf)
+        enough = so_far >= k
+        np.minimum.at(bound, query[enough], far[enough])
+        held = near <= bound[query] * (1 + 1e-9)
+        query, node, usable = query[held], node[held], usable[held]
+        inner = nodes.axes[node] >= 0
+        if not inner.any():
+            return query, node, usable
+        below = node[inner]
+        query = np.concatenate([query[~inner], query[inner], query[inner]])
+        node = np.concatenate([node[~inner], 2 * below, 2 * below + 1])
+
+
+def nearby_leaves(model: KnnModel, vectors: DataFrame, tree: Nodes) -> DataFrame:
+    """(query vector, fold, leaf, n): the leaves that may hold one of the ``k_max`` nearest rows."""
+    names, k = [*model.axes, "fold"], model.k_max
+    sent = vectors.sparkSession.sparkContext.broadcast(tree)  # bounded by MOST_LEAVES
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                points = np.column_stack([part.column(n).to_numpy() for n in names[:-1]])
+                query, leaf, n = _descend(points, part.column("fold").to_numpy(), sent.value, k)
+                columns = [c.take(pa.array(query)) for c in part.columns]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(leaf), pa.array(n)], [*names, "leaf", "n"])
+
+    fields = ", ".join(f"{a} double" for a in model.axes)
+    return vectors.select(*names).mapInArrow(find, f"{fields}, fold int, leaf long, n long")
 
 
 def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
@@ -198,15 +240,15 @@ def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
     number have no neighbours.
     """
     axes = model.axes
-    key, cell = [*axes, "fold"], ["level", *[f"c{i}" for i in range(len(axes))]]
-    tree, rows = _tree(model)
+    key = [*axes, "fold"]
+    rows = model.rows.select("leaf", "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes])
     vectors = queries.select(*key).where(_complete(axes)).distinct()
-    leaves = nearby_leaves(model, vectors, tree)
-    spread, copied = spread_hot_keys(leaves.drop("n"), rows, cell, key)
+    leaves = settle(nearby_leaves(model, vectors, _tree(model)).drop("n"), "knn-near")
+    spread, copied = spread_hot_keys(leaves, rows, ["leaf"], key)
     square = " + ".join(f"({a} - r_{a}) * ({a} - r_{a})" for a in axes)
     near = Window.partitionBy(*key).orderBy("distance", "id")
     return (
-        spread.join(copied, [*cell, "salt"])
+        spread.join(copied, ["leaf", "salt"])
         .where(F.col("row_fold") != F.col("fold"))
         .select(*key, "id", "y", F.expr(f"sqrt({square})").alias("distance"))
         .withColumn("rank", F.row_number().over(near))

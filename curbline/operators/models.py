@@ -314,7 +314,7 @@ def save_model(model: PipelineModel | StoredForest | knn.KnnModel, folder: str,
         model.rows.write.mode("overwrite").parquet(f"{path}/rows")
         meta = {
             "features": model.features, "means": model.means, "deviations": model.deviations,
-            "lows": model.lows, "highs": model.highs, "sizes": model.sizes, "k_max": model.k_max,
+            "cut_axes": model.cut_axes, "cuts": model.cuts, "k_max": model.k_max,
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
             "overwrite"

@@ -133,8 +133,7 @@ def test_knn_compares_a_small_multiple_of_k_rows(spark, where):
     queries = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(asked)], "id long, a double, b double, c double")
     fitted = knn.fit_knn(table, ["a", "b", "c"], "y", row_id="id", k_max=k)
     vectors = queries.select(*fitted.scaled(queries)).selectExpr("*", "-2 as fold").distinct()
-    tree, _ = knn._tree(fitted)
-    counts = knn.nearby_leaves(fitted, vectors, tree).groupBy("f0", "f1", "f2").sum("n").toPandas()["sum(n)"]
+    counts = knn.nearby_leaves(fitted, vectors, knn._tree(fitted)).groupBy("f0", "f1", "f2").sum("n").toPandas()["sum(n)"]
     assert len(counts) == 50 and counts.min() >= k and counts.mean() < 20 * k, counts.describe()
 
 
