@@ -1,42 +1,31 @@
-"""Registered queries against their SQL. Set TEST_ALL_QUERIES=1 to run every one."""
+"""Registered queries against their SQL."""
 
 import os
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from curbline.checks.registry import ORACLES
 from tests.oracle import connect, difference
 
-QUICK = [
-    "point_from_lat_long", "geometry_segments", "scan_dataset", "scan_geo_table", "sink_csv", "materialize",
-    "spatial_join_aggregate", "line_within_buffer_join_right", "interval_join", "validity_split",
-    "margin_window_filter", "cross_street_rows", "mode_value", "histogram", "describe", "column_profile",
-    "parse_date_time", "drop_duplicates_first", "stratified_split", "kfold", "standard_scale", "legacy_cleaning",
-    "crash_location_gaps", "load_hump_centroids", "hump_effect_pedestrians", "crashes_by_street_hour",
-    "mid_block_crashes", "point_feature_split_by_date", "street_collision_dataset",
-    "before_after_left_join", "residuals", "knn_regression", "model_leaderboard", "quadratic_regression_moments",
-    "lasso_path_optimality", "random_forest_stump", "gradient_boosting_stump", "grid_search_stump",
-    "hump_effect_model_moments", "hump_effect_holdout_line", "hump_effect_cv_line",
-]
-# asks for more neighbours than the smallest data set has rows
-NEEDS_MORE_ROWS = {"knn_grid_search", "cv_results_table"}
-
-
-def selected():
-    if os.environ.get("TEST_ALL_QUERIES"):
-        return [n for n in oracle_sql() if n not in NEEDS_MORE_ROWS]
-    return QUICK
+# models that the few rows of the smallest data set do not determine, and more neighbours than it has rows
+NEEDS_MORE_ROWS = {
+    "knn_grid_search", "cv_results_table", "hump_effect_coefficients", "hump_effect_holdout", "hump_effect_cv",
+    "cross_val_linear_all", "cross_val_quadratic", "linear_regression_all",
+}
 
 
 @pytest.fixture(scope="module")
-def duck(sf_dir):
-    return connect(sf_dir)
+def duck():
+    return {}
 
 
-@pytest.mark.parametrize("name", selected())
+@pytest.mark.parametrize("name", sorted(ORACLES, key=lambda n: n in NEEDS_MORE_ROWS))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    found = queries()[name](spark, sf_dir).toPandas()
-    assert difference(found, duck.execute(oracle_sql()[name]).df()) is None
+    folder = os.path.join(os.path.dirname(sf_dir), "sf0.01") if name in NEEDS_MORE_ROWS else sf_dir
+    found = queries()[name](spark, folder).toPandas()
+    tables = duck.setdefault(folder, connect(folder))
+    assert difference(found, tables.execute(oracle_sql()[name]).df()) is None
 
 
 def test_entry_and_registry(spark):
