@@ -38,6 +38,7 @@ TOLERANCE = 1e-7
 
 _CELL = ["cx", "cy"]
 _KEY = ["cx", "cy", "salt"]
+_SEGMENT = ["x0", "y0", "x1", "y1"]
 
 
 def cell_size(radius: float) -> float:
@@ -144,15 +145,27 @@ def broadcast_or_spread(
     """Both sides with ``salt``. If ``few``, measured up to the limits, has at most ``BROADCAST_ROWS``
     rows and ``BROADCAST_BYTES`` with all the columns it carries, it is broadcast and ``many`` needs
     neither shuffle nor salts; beyond that both are shuffled with hot keys spread."""
-    rows, size = few.limit(BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    ).first()
+    rows, size = few.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(few))).first()
     if rows > BROADCAST_ROWS or (size or 0) > BROADCAST_BYTES:
         return spread_hot_keys(many, few, key, salt_by)
     zero = F.lit(0)
     return many.withColumn("salt", zero), F.broadcast(few.withColumn("salt", zero))
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 for a number, the length of a text, and of anything nested written as text."""
+    total = F.lit(0)
+    for field in df.schema.fields:
+        kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
 def grid_sizes(finest: float, span: float, fullest, bound: int) -> list[float]:
     """Cell sizes doubling from ``finest`` to ``span``. While ``fullest(size)``, the rows of the
     fullest cell, exceeds ``bound``, the finest size is lowered: rows crowded in one spot get
@@ -196,8 +209,12 @@ def spatial_pairs(
     matches only when ``closed``. A point near several segments of one line is one pair: the
     grouping includes the cell, so it runs on the partitions of the join, without a shuffle.
     """
-    line_columns = [c for c in lines.columns if c != "geometry"]
     spread, copied, near = _point_cells(points, lines, radius, _as_list(point_id), closed, cell)
+    return _pairs(spread, copied, near, points, lines)
+
+
+def _pairs(spread: DataFrame, copied: DataFrame, near: Column, points: DataFrame, lines: DataFrame) -> DataFrame:
+    line_columns = [c for c in lines.columns if c != "geometry"]
     return (
         spread.join(copied, _KEY)
         .where(near)
@@ -224,22 +241,15 @@ def points_near(
     spread, copied, near = _point_cells(
         points, lines.select("geometry"), radius, _as_list(point_id), closed, cell
     )
+    return _settled_by_first(spread, copied, near, "left_anti" if negate else "left_semi")
+
+
+def _settled_by_first(spread: DataFrame, copied: DataFrame, near: Column, how: str) -> DataFrame:
     other = copied.withColumnsRenamed({c: f"_{c}" for c in _KEY})
     same = near
     for c in _KEY:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    return spread.join(other, same, "left_anti" if negate else "left_semi").drop(*_KEY)
-
-
-def _with_unmatched(matched: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """``matched`` and the ``rows`` without a match, as an outer join gives them.
-
-    An outer join on the key would gather all matches of one key in a task; here the matches stay
-    where they are and only the keys are compared.
-    """
-    matched = settle(matched, "matched")  # read twice: as result and for its keys
-    bare = rows.join(matched.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(bare, allowMissingColumns=True)
+    return spread.join(other, same, how).drop(*_KEY)
 
 
 def _attach(
@@ -254,12 +264,18 @@ def _attach(
 ) -> DataFrame:
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join type {how!r}")
-    pairs = spatial_pairs(points, lines, radius, point_id=point_id, closed=closed, cell=cell)
-    if how == "right":
-        return _with_unmatched(pairs, lines.drop("geometry"), line_id)
+    spread, copied, near = _point_cells(points, lines, radius, [point_id], closed, cell)
+    pairs = _pairs(spread, copied, near, points, lines)
+    if how == "inner":
+        return pairs
+    # Rows without a match are found by a pass of their own over the cells, which carries keys only. An outer join on
+    # the key would gather all matches of one key in a task, and storing the matches would write them with all columns.
     if how == "left":
-        return _with_unmatched(pairs, points, point_id)
-    return pairs
+        bare = _settled_by_first(spread, copied.select(*_KEY, *_SEGMENT), near, "left_anti")
+    else:
+        met = spread.select(*_KEY, "x", "y").join(copied.select(*_KEY, *_SEGMENT, line_id), _KEY).where(near)
+        bare = lines.drop("geometry").join(met.select(line_id).distinct(), line_id, "left_anti")
+    return pairs.unionByName(bare, allowMissingColumns=True)
 
 
 def point_within_buffer_join(
@@ -446,10 +462,12 @@ def line_within_buffer_join(
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unknown join type {how!r}")
     a, b = inner.drop("geometry"), outer.drop("geometry")
-    matched = pairs.join(a, inner_id).join(b, outer_id)
     if how == "inner":
-        return matched
-    return _with_unmatched(matched, *((a, inner_id) if how == "left" else (b, outer_id)))
+        return pairs.join(a, inner_id).join(b, outer_id)
+    pairs = settle(pairs, "inside")  # two keys a row, read for the matches and for the lines without one
+    rows, key = (a, inner_id) if how == "left" else (b, outer_id)
+    bare = rows.join(pairs.select(key).distinct(), key, "left_anti")
+    return pairs.join(a, inner_id).join(b, outer_id).unionByName(bare, allowMissingColumns=True)
 
 
 def spatial_join_aggregate(

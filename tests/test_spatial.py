@@ -272,10 +272,18 @@ def test_point_geometries_take_part_in_joins(spark):
     assert sorted((r.pid, r.lid) for r in pairs.collect()) == [(1, 1), (2, 2), (3, 2)]
 
 
-def test_outer_joins_evaluate_the_cell_join_once(spark):
-    spots = spark.createDataFrame([(1, [[(0.0, 0.0), (9.0, 0.0)]])], "lid int, geometry array<array<struct<x:double,y:double>>>")
-    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 500.0, 0.0)], "pid int, x double, y double")
-    joined = spatial_join.point_within_buffer_join(points, spots, 2.0, point_id="pid", line_id="lid", how="left")
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "Generate" not in plan.split("LeftAnti")[0]
-    assert sorted((r.pid, r.lid) for r in joined.collect()) == [(1, 1), (2, None)]
+def test_outer_joins_store_nothing(spark, monkeypatch):
+    spots = spark.createDataFrame(
+        [(1, [[(0.0, 0.0), (9.0, 0.0)]], "a"), (2, [[(90.0, 0.0), (99.0, 0.0)]], "b")],
+        "lid int, geometry array<array<struct<x:double,y:double>>>, wide string")
+    points = spark.createDataFrame([(1, 1.0, 1.0, "p"), (2, 500.0, 0.0, "q"), (3, None, None, "r")], "pid int, x double, y double, note string")
+    monkeypatch.setattr(spatial_join, "settle", None)  # nothing is written
+    for limit in (250_000, 0):  # lines broadcast, and both sides shuffled
+        monkeypatch.setattr(spatial_join, "BROADCAST_ROWS", limit)
+        left, right = (
+            spatial_join.point_within_buffer_join(points, spots, 2.0, point_id="pid", line_id="lid", how=how)
+            for how in ("left", "right")
+        )
+        assert sorted((r.pid, r.note, r.lid, r.wide) for r in left.collect()) == [
+            (1, "p", 1, "a"), (2, "q", None, None), (3, "r", None, None)]
+        assert sorted(((r.lid, r.wide, r.pid) for r in right.collect())) == [(1, "a", 1), (2, "b", None)]
