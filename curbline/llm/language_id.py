@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,38 +214,52 @@ def fit_language_model(
     return train(windows, names)
 
 
-def predicted(text: Column, net: Network) -> Column:
-    """The struct (lang_pred, score) of a text. Only the text is given to the network."""
+#: Texts classified together.
+TOGETHER = 128
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = Predictor(net)
-        for batch in batches:
-            names, scores = [], []
-            for at in range(0, len(batch), 128):
-                part = known.texts(batch.iloc[at : at + 128].tolist())
-                names += part[0]
-                scores += part[1]
-            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": pd.Series(scores, dtype=float)})
 
-    return predict(text)
+def _predicted(batch: pa.RecordBatch, text: int, known: Predictor) -> tuple[list[str], list[float]]:
+    """Language and score of each text in this column. Only the text is given to the network."""
+    names, scores = [], []
+    for at in range(0, batch.num_rows, TOGETHER):
+        part = known.texts(batch.column(text).slice(at, TOGETHER).to_pylist())
+        names += part[0]
+        scores += part[1]
+    return names, scores
 
 
 def identify_languages(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
+    net: Network | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: identifier, held_out, lang_pred, score."""
-    net = fit_language_model(docs, id_column, text_column, lang_column)
-    return docs.select(
-        F.col(id_column).alias(id_column), held_out(F.col(id_column)).alias("held_out"),
-        predicted(F.col(text_column), net).alias("p"),
-    ).select(id_column, "held_out", "p.lang_pred", "p.score")
+    """One row per row of ``docs``: identifier, held_out, lang_pred, score. Without a network, one is fitted."""
+    net = net or fit_language_model(docs, id_column, text_column, lang_column)
+    rows = docs.select(
+        F.col(id_column).alias("id"), held_out(F.col(id_column)).alias("held_out"), F.col(text_column).cast("string").alias("text")
+    )
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Predictor(net)
+        for batch in batches:
+            names, scores = _predicted(batch, 2, known)
+            columns = [*batch.columns[:2], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "lang_pred", "score"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(predict, f"id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_column)
 
 
 def keep_known_languages(
     docs: DataFrame, net: Network, text_column: str = "text", least_score: float = 0.0
 ) -> DataFrame:
     """The rows of ``docs`` whose language the network can tell, with a score of ``least_score`` or more."""
-    found = predicted(F.col(text_column), net)
-    rows = docs.select(F.struct("*").alias("row"), found.alias("p"))
-    return rows.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") >= least_score)).select("row.*")
+    text = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Predictor(net)
+        for batch in batches:
+            names, scores = _predicted(batch, text, known)
+            good = [name != UNKNOWN and score >= least_score for name, score in zip(names, scores)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

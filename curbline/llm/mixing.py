@@ -20,22 +20,21 @@ mix names a weight for each, so they are as many as its settings.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import cycle
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curbline.llm.common import WORD, partitions
+from curbline.llm.common import SPACES, WORD, partitions
 from curbline.session import settle
 
 BLOCK, SHARD, MOST, SEED = 64, 1024, 3, 17
 WEIGHTS = (1.0, 2.0, 3.0)
+SPACED_WORD = r"[\x20\x09-\x0D]*" + WORD
 
 
 @dataclass
@@ -218,14 +217,14 @@ class Mix:
         return self.spark.range(total, numPartitions=partitions(self.spark)).mapInArrow(deal, schema)
 
     def pieces(self) -> DataFrame:
-        """(shard, slot, pass, id, version, copy, number, first, last): words first to last - 1 of a document, taken by a slot."""
+        """(shard, slot, pass, id, version, copy, number, size, first, last): words first to last - 1 of a document, taken by a slot."""
         spans = self.documents.where("size > 0").withColumn(
             "block", F.explode(F.sequence(F.expr(f"start div {BLOCK}"), F.expr(f"(start + size - 1) div {BLOCK}"))))
         begin = F.greatest(F.col("block") * BLOCK, F.col("start"))
         end = F.least(F.col("block") * BLOCK + F.col("words"), F.col("start") + F.col("size"))
         return (
             spans.join(self.slots(), ["number", "block"]).where(begin < end)
-            .select("shard", "slot", "pass", "id", "version", "copy", "number",
+            .select("shard", "slot", "pass", "id", "version", "copy", "number", "size",
                     (begin - F.col("start")).alias("first"), (end - F.col("start")).alias("last"))
         )
 
@@ -249,37 +248,51 @@ def mixed_documents(
     """The mix as documents with the columns of ``docs``: a row for each pass that takes words of a document, its text
     being those words (the whole text where the pass takes them all). ``length_column`` is set to its length."""
     mix = Mix(docs, id_column=id_column, text_column=text_column, source_column=source_column, **settings)
-    keys = ["number", "key", "version"]  # without nulls, so that grouping and join share one shuffle of the texts
+    keys = ["number", "key", "version"]  # without nulls, so that rows of a key meet
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias("key")
     numbers = F.broadcast(mix._table([(s.number, s.source) for s in mix.shares], "number int, known string"))
-    text = F.col(text_column).cast("string")
+    text = F.col(f"`{text_column}`").cast("string")
     rows = (
-        docs.select(F.struct("*").alias("row"), key(id_column),
+        docs.select(F.struct("*").alias("row"), key(f"`{id_column}`"),
                     F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"),
-                    F.col(source_column).cast("string").alias("source"))
+                    F.col(f"`{source_column}`").cast("string").alias("source"))
         .join(numbers, F.col("source").eqNullSafe(F.col("known")))
-        .groupBy(*keys).agg(F.first("row").alias("row"))  # repeated rows: one of them, the pieces tell how often
+        .select(*keys, "row")
     )
+    # of repeated rows one is taken, the pieces tell how often; rows that are not repeated are not sorted for that
+    repeated = mix.documents.where("copy > 1").select("number", key("id"), "version").distinct()
+    if not repeated.isEmpty():
+        one = rows.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.first("row").alias("row"))
+        rows = rows.join(repeated, keys, "left_anti").unionByName(one)
     pieces = mix.pieces().groupBy("number", key("id"), "version", "copy", "pass").agg(
-        F.collect_list(F.struct("first", "last")).alias("spans"))
-    joined = rows.join(pieces, keys).withColumn("cut", F.pandas_udf(_words_of, "string")(F.col(f"row.`{text_column}`"), F.col("spans")))
+        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"),
+        (F.sum(F.col("last") - F.col("first")) == F.max("size")).alias("whole"),
+    )
+    text = F.col(f"row.`{text_column}`").cast("string")
+    joined = rows.join(pieces.hint("shuffle_hash"), keys).withColumn(
+        "cut", F.when(F.col("whole"), text).otherwise(words_of(text, F.col("spans")))
+    )
     changed = {text_column: F.col("cut")} | ({length_column: F.length("cut")} if length_column else {})
     return joined.select(*[
         (changed[c].cast(docs.schema[c].dataType) if c in changed else F.col(f"row.`{c}`")).alias(c) for c in docs.columns
     ])
 
 
-def _words_of(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    """The words in the spans with what stands between them; spans that touch are one, others get a new line between."""
-    out = []
-    for text, ranges in zip(texts, spans):
-        at = [m.span() for m in re.finditer(WORD, text)]
-        parts: list[list[int]] = []
-        for first, last in sorted((r["first"], r["last"]) for r in ranges):
-            if parts and parts[-1][1] == first:
-                parts[-1][1] = last
-            else:
-                parts.append([first, last])
-        whole = parts == [[0, len(at)]]
-        out.append(text if whole else "\n".join(text[at[a][0] : at[b - 1][1]] for a, b in parts))
-    return pd.Series(out, dtype=object)
+def words_of(text: Column, spans: Column) -> Column:
+    """The words in the spans (sorted, first to last - 1) with what stands between them; spans that touch are one, others
+    get a new line between."""
+
+    def joined(words: Column) -> Column:
+        def part(span: Column, place: Column) -> Column:
+            own = F.array_join(F.slice(words, span["first"].cast("int") + 1, (span["last"] - span["first"]).cast("int")), "")
+            bare = F.ltrim(own, F.lit(SPACES))
+            return (
+                F.when(place == 0, bare)
+                .when(F.get(spans, place - 1)["last"] == span["first"], own)
+                .otherwise(F.concat(F.lit("\n"), bare))
+            )
+
+        return F.array_join(F.transform(spans, part), "")
+
+    words = F.regexp_extract_all(text, F.lit(SPACED_WORD), F.lit(0))  # each with the white space before it
+    return F.get(F.transform(F.array(words), joined), F.lit(0))  # a variable, so that the text is split once

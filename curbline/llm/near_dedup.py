@@ -15,6 +15,9 @@
 4. A comparison estimates the similarity from the smallest values of the union of both sketches, and pairs
    that may reach the threshold are confirmed on their full sets, made from their texts again.
 
+Shingles are compared as 64-bit hashes. Documents whose sets agree in size and in two 64-bit sums of mixed hashes are one
+class without a comparison of the sets themselves.
+
 Defined cases: a null text counts as empty; texts without words have an empty set, are linked with nothing and
 are kept. Rows that repeat an identifier are one document; with different texts these are linked to each
 other. A row with a null identifier belongs to the documents with an equal set, but starts no comparison, and is
@@ -24,10 +27,9 @@ kept when there are none. An empty table gives an empty result. Other columns ar
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -188,11 +190,12 @@ def _open_pairs(
     return pairs.distinct().join(tested, ["a", "b"], "left_anti")
 
 
-def _may_be_similar(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Union-sketch estimate: common values among the smallest of the union. A sketch that is not full is a set."""
+def _may_be_similar(pairs: pa.RecordBatch) -> list[bool]:
+    """Union-sketch estimate for two columns of sketches: common values among the smallest of the union. A sketch
+    that is not full is a set."""
     out = []
-    for a, b in zip(left, right):
-        a, b = np.asarray(a).view(np.uint64), np.asarray(b).view(np.uint64)
+    for left, right in zip(*(pairs.column(i) for i in (2, 3))):
+        a, b = (side.values.to_numpy().view(np.uint64) for side in (left, right))
         union = np.sort(np.concatenate([a, b]))
         twice = union[1:] == union[:-1]
         whole = len(a) < SKETCH and len(b) < SKETCH
@@ -204,20 +207,30 @@ def _may_be_similar(left: pd.Series, right: pd.Series) -> pd.Series:
             seen = min(SKETCH, distinct)
             common = int((twice & (first <= seen)).sum())
             out.append(common >= SHARED * seen // SKETCH)
-    return pd.Series(out, dtype=bool)
+    return out
 
 
-def _is_similar(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Exact: 100 * intersection >= PERCENT * union of the full sets."""
+def _is_similar(pairs: pa.RecordBatch) -> list[bool]:
+    """Exact, for two columns of texts: 100 * intersection >= PERCENT * union of the full sets."""
     out = []
-    for at in range(0, len(left), 256):
-        pairs = list(zip(left.iloc[at : at + 256], right.iloc[at : at + 256]))
-        texts = list(dict.fromkeys(t for pair in pairs for t in pair))
+    for at in range(0, pairs.num_rows, 256):
+        part = list(zip(*(pairs.column(i).slice(at, 256).to_pylist() for i in (2, 3))))
+        texts = list(dict.fromkeys(t for pair in part for t in pair))
         sets = dict(zip(texts, column_sets(pa.array(texts, pa.string()))))
-        for a, b in pairs:
+        for a, b in part:
             common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
             out.append(100 * common >= PERCENT * (len(sets[a]) + len(sets[b]) - common) > 0)
-    return pd.Series(out, dtype=bool)
+    return out
+
+
+def _pairs_where(pairs: DataFrame, test: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """(a, b) of the rows (a, b, left, right) that pass the test."""
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["a", "b"]).filter(pa.array(test(batch), pa.bool_()))
+
+    return pairs.mapInArrow(passing, pairs.select("a", "b").schema)
 
 
 def _confirmed(
@@ -226,8 +239,10 @@ def _confirmed(
     """The pairs that are links. ``repeated``: some rows repeat identifier and text, and one of them is enough."""
     sketch = classes.select("node", "sketch")
     near = settle(
-        pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
-        .where(F.pandas_udf(_may_be_similar, "boolean")("sketch_a", "sketch_b")).select("a", "b"),
+        _pairs_where(
+            pairs.join(sketch.toDF("a", "left"), "a").join(sketch.toDF("b", "right"), "b").select("a", "b", "left", "right"),
+            _may_be_similar,
+        ),
         "near",
     )
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
@@ -239,13 +254,10 @@ def _confirmed(
         one = F.xxhash64("text").alias("version")
         members = members.groupBy("id", "b", one).agg(F.first("text").alias("text"))
         heads = heads.groupBy("id", one).agg(F.first("text").alias("text"))
-    members = members.select(F.col("id").alias("a"), "b", F.col("text").alias("text_a"))
-    heads = heads.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return settle(
-        members.join(heads, "b").where(F.pandas_udf(_is_similar, "boolean")("text_a", "text_b"))
-        .select("a", "b").distinct(),
-        "links",
-    )
+    members = members.select(F.col("id").alias("a"), "b", F.col("text").alias("left"))
+    heads = heads.select(F.col("id").alias("b"), F.col("text").alias("right"))
+    both = members.join(heads, "b").select("a", "b", "left", "right")
+    return settle(_pairs_where(both, _is_similar).distinct(), "links")
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -45,8 +45,9 @@ def test_language_cases(spark):
     kept = language_id.keep_known_languages(docs, net)
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
     # neither language nor source nor identifier is an input of a prediction
-    blind = docs.select("text", F.lit("zz").alias("lang")).select(language_id.predicted(F.col("text"), net).alias("p"))
-    assert Counter(r.p.lang_pred for r in blind.collect()) == Counter(r.lang_pred for r in found)
+    blind = docs.select(F.lit(7).alias("doc_id"), "text", F.lit("zz").alias("lang"), F.lit("s").alias("source"))
+    blind = language_id.identify_languages(blind, net=net)
+    assert Counter(r.lang_pred for r in blind.collect()) == Counter(r.lang_pred for r in found)
 
 
 def test_pair_tables_equal_the_plain_convolution():
@@ -247,6 +248,47 @@ def test_mix_with_a_hot_and_a_small_source(spark):
 # ---- URLs -----------------------------------------------------------------------------------------------------------
 
 
+def url_templates(leaves, max_children=50, z=1.96, depth=6):
+    """leaves: (host, segments) to (labelled, good)."""
+    template, closed = {leaf: () for leaf in leaves}, set()
+    for level in range(max(len(parts) for _, parts in leaves) if leaves else 0):
+        nodes = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+        for (host, parts), (n, g) in leaves.items():
+            if level < len(parts) and (host, parts) not in closed:
+                branch = nodes[host, template[host, parts]][parts[level]]
+                branch[0] += n
+                branch[1] += g
+        names, shut = {}, set()
+        for node, branches in nodes.items():
+            n, g = (sum(v[i] for v in branches.values()) for i in (0, 1))
+            if level >= depth and not 0 < g < n:
+                shut.add(node)
+                continue
+            if len(branches) > max_children:
+                continue
+            for labelled in (False, True):
+                groups = []
+                for _, s, n, g in sorted((g / n if n else 0, s, n, g) for s, (n, g) in branches.items() if (n > 0) == labelled):
+                    if groups:
+                        n0, g0, _ = groups[-1]
+                        p, p0 = (g + 1) / (n + 2), (g0 + 1) / (n0 + 2)
+                        noise = p * (1 - p) / (n + 2) + p0 * (1 - p0) / (n0 + 2)
+                    if not groups or labelled and abs(p - p0) > z * math.sqrt(noise):
+                        groups.append([0, 0, []])
+                    groups[-1][0] += n
+                    groups[-1][1] += g
+                    groups[-1][2].append(s)
+                for *_, group in groups:
+                    names.update({(node, s): "|".join(sorted(group)) for s in group})
+        for leaf in leaves:
+            if level < len(leaf[1]) and leaf not in closed:
+                node = leaf[0], template[leaf]
+                if node in shut:
+                    closed.add(leaf)
+                template[leaf] += ("**" if node in shut else names.get((node, leaf[1][level]), "*"),)
+    return template
+
+
 def brute_force_urls(pages, rules, labels=None, max_children=50, z=1.96, strength=2.0, least=0.5):
     def parsed(url):
         m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
@@ -254,7 +296,7 @@ def brute_force_urls(pages, rules, labels=None, max_children=50, z=1.96, strengt
 
     def lexical(path):
         parts = ["{id}" if re.fullmatch("[0-9a-f-]{16,}", p) else re.sub("[0-9]+", "{n}", p) for p in path.split("/") if p]
-        return tuple(parts[:5] + ["**"] if len(parts) > 6 else parts)
+        return tuple(parts)
 
     def rule_of(host, path):
         fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
@@ -272,36 +314,7 @@ def brute_force_urls(pages, rules, labels=None, max_children=50, z=1.96, strengt
         host, path = parsed(url)
         leaves[host, lexical(path)][0] += 1
         leaves[host, lexical(path)][1] += good
-    template = {leaf: () for leaf in leaves}
-    for level in range(6):
-        nodes = defaultdict(lambda: defaultdict(lambda: [0, 0]))
-        for (host, parts), (n, g) in leaves.items():
-            if level < len(parts):
-                branch = nodes[host, template[host, parts]][parts[level]]
-                branch[0] += n
-                branch[1] += g
-        names = {}
-        for node, branches in nodes.items():
-            if len(branches) > max_children:
-                continue
-            for labelled in (False, True):
-                part = sorted(((g / n if n else 0, s, n, g) for s, (n, g) in branches.items() if (n > 0) == labelled))
-                groups = []
-                for i, (rate, s, n, g) in enumerate(part):
-                    if i and labelled:
-                        _, _, n0, g0 = part[i - 1]
-                        both = (g + g0) / (n + n0)
-                        differs = abs(rate - g0 / n0) > z * math.sqrt(both * (1 - both) * (1 / n + 1 / n0))
-                    else:
-                        differs = i == 0
-                    if differs:
-                        groups.append([])
-                    groups[-1].append(s)
-                for group in groups:
-                    names.update({(node, s): "|".join(sorted(group)) for s in group})
-        for leaf in leaves:
-            if level < len(leaf[1]):
-                template[leaf] += (names.get(((leaf[0], template[leaf]), leaf[1][level]), "*"),)
+    template = url_templates(leaves, max_children, z)
     total, good = (sum(v[i] for v in leaves.values()) for i in (0, 1))
     prior, sums = good / total if total else 1.0, defaultdict(lambda: [0, 0])
     for (host, parts), (n, g) in leaves.items():
@@ -347,41 +360,68 @@ def test_url_verdicts_equal_brute_force(spark, labelled, max_children):
     assert url_filter.judge_urls(pages.limit(0), RULES).collect() == []
 
 
-def inherited_purity(by_template, prior, strength=2.0):
-    """by_template: (host, template) to (labelled, good)."""
-    out = {}
-    for host, template in by_template:
+def inherited_purity(leaves, strength=2.0):
+    """leaves: (host, segments) to (labelled, good)."""
+    def scopes(host):
         parts = host.split(".")
-        domains = [".".join(parts[i:]) for i in range(len(parts) - 1, 0, -1)] if len(host) <= 253 else []
-        nodes = [lambda h, t, d=d: len(h) <= 253 and (h == d or h.endswith("." + d)) for d in domains]
-        nodes += [lambda h, t, k=k: h == host and t[:k] == template[:k] for k in range(len(template) + 1)]
+        return ["", *(".".join(parts[-i:]) for i in range(1, min(8, len(parts) - 1) + 1)), "/" + host]
+
+    trees = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+    for (host, segments), (n, g) in leaves.items():
+        for scope in {*scopes(host), host}:
+            trees[scope][segments][0] += n
+            trees[scope][segments][1] += g
+    template = url_templates({(scope, segments): v for scope, tree in trees.items() for segments, v in tree.items()})
+    counts = defaultdict(lambda: [0, 0])
+    for scope, tree in trees.items():
+        for segments, (n, g) in tree.items():
+            for i in range(len(template[scope, segments]) + 1):
+                counts[scope, template[scope, segments][:i]][0] += n
+                counts[scope, template[scope, segments][:i]][1] += g
+    prior, out = sum(v[1] for v in leaves.values()) / sum(v[0] for v in leaves.values()), {}
+    for host, segments in leaves:
+        nodes = [(i, rank, scope) for rank, scope in enumerate(scopes(host)) for i in range(len(template[scope, segments]) + 1)]
         purity = prior
-        for inside in nodes:
-            counts = [v for (h, t), v in by_template.items() if inside(h, t)]
-            labelled, good = (sum(v[i] for v in counts) for i in (0, 1))
-            purity = (good + strength * purity) / (labelled + strength)
-        out[host, template] = purity
+        for i, _, scope in sorted(nodes):
+            n, g = counts[scope, template[scope, segments][:i]]
+            purity = (g + strength * purity) / (n + strength)
+        out[host, segments] = template["/" + host, segments], purity
     return out
 
 
-def test_purity_is_inherited_level_by_level(spark):
+def test_purity_is_inherited_from_the_same_path_elsewhere(spark):
     rng = random.Random(7)
     leaves = {}
-    for host in ["a.b.com", "b.com", "x.b.com", "c.com", "y.org", "org", "", "z.c.com.", "q." * 125 + "io", "q." * 126 + "io"]:
-        for _ in range(12):
-            segments = tuple(rng.choice("uvw") for _ in range(rng.randrange(4)))
+    for host in ["a.b.com", "b.com", "x.b.com", "c.com", "y.org", "org", "", "z.c.com.", "q." * 300 + "io", "com"]:
+        for _ in range(14):
+            segments = tuple(rng.choice("uvw") for _ in range(rng.choice([0, 1, 1, 2, 3, 9])))
             labelled = rng.choice([0, 0, 0, 1, 9])
             leaves[host, segments] = (labelled, rng.randint(0, labelled))
     table = spark.createDataFrame([(*k, *v) for k, v in leaves.items()], "host string, segments array<string>, labelled long, good long")
     found = url_filter.template_purity(table, inherit=True).collect()
     assert len(found) == len(leaves)
-    sums = defaultdict(lambda: (0, 0))
+    want = inherited_purity(leaves)
     for r in found:
-        labelled, good = sums[r.host, tuple(r.template)]
-        sums[r.host, tuple(r.template)] = (labelled + r.labelled, good + r.good)
-    prior = sum(v[1] for v in leaves.values()) / sum(v[0] for v in leaves.values())
-    want = inherited_purity(sums, prior)
-    assert all(math.isclose(r.purity, want[r.host, tuple(r.template)], abs_tol=1e-12) for r in found)
+        template, purity = want[r.host, tuple(r.segments)]
+        assert tuple(r.template) == template and math.isclose(r.purity, purity, abs_tol=1e-12)
+
+
+def test_branches_are_compared_with_the_whole_group(spark):
+    # neighbours differ little, the ends a lot
+    leaves = [("h", [f"s{i:02d}"], 100, 5 * i) for i in range(21)] + [("k", ["a"], 1, 0), ("k", ["b"], 1, 1)]
+    table = spark.createDataFrame(leaves, "host string, segments array<string>, labelled long, good long")
+    found = {(r.host, r.segments[0]): r.template[0] for r in url_filter.template_purity(table).collect()}
+    assert found["h", "s00"] != found["h", "s10"] != found["h", "s20"]
+    assert found["k", "a"] == found["k", "b"] == "a|b"  # one label each tells nothing
+
+
+def test_urls_of_one_host_get_two_verdicts(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = queries.op2_url_filter(spark, sf_dir).where("rule IS NULL").toPandas()
+    assert found.verdict.nunique() == 2 and len(found) < pages.count()
+    assert (found.groupby("host").verdict.nunique() == 2).any()
+    # the rules block /de/ below one domain and most of another, and no rule allows it anywhere
+    assert (found[found.path.str.startswith("/de/")].verdict == "block").all()
 
 
 def test_templates_next_to_rules_get_their_verdict(spark, tmp_path):
@@ -427,6 +467,33 @@ def test_probing_stops_only_when_covered():
     assert index.rings and max(radius for _, radius in index.rings) < 3  # found by probes, not by a scan
 
 
+def test_every_query_stops_when_its_neighbours_are_covered(monkeypatch):
+    rng = np.random.default_rng(8)
+    for count in (1, 9, 500, 3000, 1 << 17):
+        codes = rng.integers(0, 1 << 64, count, dtype=np.uint64)
+        index, radii = code_search.SegmentIndex(codes, np.arange(count)), []
+        inner = code_search.SegmentIndex._probe
+        monkeypatch.setattr(index, "_probe", lambda code, radius: radii.append(radius) or inner(index, code, radius))
+        for query in (codes[0], codes[-1], np.uint64(0), np.uint64(2**64 - 1)):
+            radii.clear()
+            ids, distance = index.nearest(query, 10)
+            every = np.bitwise_count(codes ^ query)
+            assert ids.tolist() == np.lexsort((np.arange(count), every))[:10].tolist()
+            if count >= 10:  # one ring less would not have covered the tenth distance
+                assert len(index.segments) * radii[-1] - 1 < distance[-1] <= len(index.segments) * (radii[-1] + 1) - 1
+        if count > 10000:
+            assert index.verified < 0.5 * count * index.queries  # even of random codes most are never looked at
+
+
+def test_index_blocks():
+    assert code_search.block_numbers(0, 0, 200) == (1, 1)
+    assert code_search.block_numbers(2000, 100, 8) == (1, 1)
+    for rows, codes, tasks in ((10**6, 5 * 10**4, 200), (10**9, 5 * 10**7, 2000), (10**7, 10**7, 200)):
+        a, b = code_search.block_numbers(rows, codes, tasks)
+        assert rows / a <= code_search.INDEX_BLOCK and codes / b <= code_search.QUERY_BLOCK
+        assert a * b <= max(2 * tasks, -(-rows // code_search.INDEX_BLOCK) * -(-codes // code_search.QUERY_BLOCK))
+
+
 def test_vector_cases(spark):
     rows = [(0, [1.0, -1.0] * 32), (20, None), (None, [1.0] * 64), (21, [1.0, None] * 32), (22, []), (40, [0.5] * 70)]
     vectors = spark.createDataFrame([r + (1, 2) for r in rows], "vec_id long, embedding array<float>, id long, code long")
