@@ -34,7 +34,7 @@ from curbline.llm.packing import token_ids
 from curbline.session import settle
 
 #: Elements merged by a piece, and bytes of text tokenised at once.
-PIECE, AT_ONCE = 1 << 16, 1 << 21
+PIECE, AT_ONCE = 1 << 16, 1 << 19
 #: Links of a group above which they are counted by distinct ids.
 CROWDED = 1 << 12
 #: Greatest number of pairs whose counts are sent to every task: 24 bytes each.
