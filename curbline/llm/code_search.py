@@ -2,11 +2,12 @@
 
 A 64-bit code is cut into segments. Two codes at distance d agree in some segment up to d // segments bits, so
 once all segments have been probed up to radius r, every code nearer than segments * (r + 1) has been verified. A query grows r
-until its k-th verified distance is covered; when the next ring of probes would cost more than verifying the
-rest of the block, the rest is verified, which covers everything.
+until its k-th verified distance is covered. The values of a segment at distance r are found by probing all of them, or,
+where those are more than the segment has distinct values, by comparing with these. Codes are verified only once.
 
-The index is cut into blocks of bounded size, the distinct query codes too, and every pair of blocks is one task; the
-results of a query code, at most k from each block, are merged. Of rows with equal codes only the k smallest
+The index is cut into blocks of bounded size, the distinct query codes too, and every pair of blocks is one task. There
+are about as many pairs as tasks, cut so that the fewest rows are copied. The results of a query code, at most
+k from each block, are merged. Of rows with equal codes only the k smallest
 identifiers can be in any result, so a vector that a third of all rows share is k rows of the index, and is asked once.
 
 Defined cases: rows with a null identifier or vector are neither indexed nor asked. Null elements and missing ones
@@ -27,7 +28,7 @@ from curbline.llm.common import partitions
 from curbline.session import settle
 
 BITS, NEAREST = 64, 10
-INDEX_BLOCK, QUERY_BLOCK, QUERIES_A_TASK = 1 << 20, 1 << 20, 256
+INDEX_BLOCK, QUERY_BLOCK, QUERIES_A_TASK, ROWS_A_TASK = 1 << 20, 1 << 20, 256, 1 << 14
 
 
 def sign_code(vector: Column) -> Column:
@@ -50,8 +51,10 @@ class SegmentIndex:
         for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
             values = (self.codes >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
             by_value = np.argsort(values, kind="stable")
-            self.segments.append((low, high - low, values[by_value], by_value))
+            distinct, first = np.unique(values[by_value], return_index=True)
+            self.segments.append((low, high - low, distinct, np.append(first, len(values)), by_value))
         self.rings: dict[tuple[int, int], np.ndarray] = {}
+        self.queries = self.verified = 0
 
     def _ring(self, width: int, radius: int) -> np.ndarray:
         """All values of ``width`` bits with ``radius`` of them set."""
@@ -62,34 +65,36 @@ class SegmentIndex:
 
     def _probe(self, code: np.uint64, radius: int) -> np.ndarray:
         """Positions whose value differs from the code's in exactly ``radius`` bits of some segment."""
-        found = []
-        for low, width, values, by_value in self.segments:
+        found = [np.zeros(0, np.int64)]
+        for low, width, distinct, first, by_value in self.segments:
             if radius > width:
                 continue
             own = (code >> np.uint64(low)) & np.uint64((1 << width) - 1)
-            wanted = own ^ self._ring(width, radius)
-            first, last = np.searchsorted(values, wanted, "left"), np.searchsorted(values, wanted, "right")
-            some = last > first
-            first, size = first[some], (last - first)[some]
-            at = np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-            found.append(by_value[at])
+            if _choose(width, radius) <= len(distinct):
+                wanted = own ^ self._ring(width, radius)
+                at = np.minimum(np.searchsorted(distinct, wanted), len(distinct) - 1)
+                at = at[distinct[at] == wanted]
+            else:
+                at = np.flatnonzero(np.bitwise_count(distinct ^ own) == radius)
+            begin, size = first[at], first[at + 1] - first[at]
+            found.append(by_value[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())])
         return np.concatenate(found)
 
     def nearest(self, code: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers and distances of the k nearest, by distance, then identifier."""
-        places = np.zeros(0, np.int64)
-        distance = np.zeros(0, np.int64)
-        for radius in range(BITS + 1):
-            probes = sum(_choose(width, radius) for _, width, _, _ in self.segments)
-            if 4 * probes > len(self.codes):
-                places = np.arange(len(self.codes))
-                distance = np.bitwise_count(self.codes ^ code).astype(np.int64)
-                break
-            places = np.union1d(places, self._probe(code, radius))
-            distance = np.bitwise_count(self.codes[places] ^ code).astype(np.int64)
+        seen = np.zeros(len(self.codes), bool)
+        places, distance = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for radius in range(max(width for _, width, *_ in self.segments) + 1):
+            new = self._probe(code, radius)
+            new = np.unique(new[~seen[new]])
+            seen[new] = True
+            places = np.concatenate([places, new])
+            distance = np.concatenate([distance, np.bitwise_count(self.codes[new] ^ code).astype(np.int64)])
             covered = len(self.segments) * (radius + 1) - 1
             if len(places) >= k and np.partition(distance, k - 1)[k - 1] <= covered:
                 break
+        self.queries += 1
+        self.verified += len(places)
         if len(places) > k:
             keep = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
             places, distance = places[keep], distance[keep]
@@ -104,6 +109,15 @@ def _choose(n: int, k: int) -> int:
     return out if k <= n else 0
 
 
+def block_numbers(rows: int, codes: int, tasks: int) -> tuple[int, int]:
+    """Blocks of the index and of the query codes: about ``tasks`` pairs, with few copies of either side, none too small
+    to be worth a task and none too large for one."""
+    fewest, most = -(-rows // INDEX_BLOCK), -(-rows // ROWS_A_TASK)
+    row_blocks = max(1, fewest, min(most, round((tasks * rows / max(1, codes)) ** 0.5)))
+    wanted = min(-(-tasks // row_blocks), -(-codes // QUERIES_A_TASK))
+    return row_blocks, max(1, wanted, -(-codes // QUERY_BLOCK))
+
+
 def nearest_codes(index: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
     """Both have id and code (64 bits as a long). Returns (query_id, rank, id, distance) for every query."""
     spark = index.sparkSession
@@ -116,8 +130,7 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int = NEAREST) -> Dat
     asked = settle(queries.where("id IS NOT NULL AND code IS NOT NULL").distinct(), "queries")
     codes = settle(asked.select(F.col("code").alias("query")).distinct(), "query_codes")
     n_rows, n_codes = rows.count(), codes.count()
-    row_blocks = max(1, -(-n_rows // INDEX_BLOCK))
-    code_blocks = max(-(-n_codes // QUERY_BLOCK), min(partitions(spark), -(-n_codes // QUERIES_A_TASK)), 1)
+    row_blocks, code_blocks = block_numbers(n_rows, n_codes, partitions(spark))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.withColumn("rows", F.pmod(F.xxhash64("id"), F.lit(row_blocks)).cast("int")).withColumn("asks", every(code_blocks))
     right = codes.withColumn("asks", F.pmod(F.xxhash64("query"), F.lit(code_blocks)).cast("int")).withColumn("rows", every(row_blocks))

@@ -10,6 +10,7 @@ Texts are read once, into a table of spans without text. Only counts per vote pa
 the driver; there are at most ``3**4`` patterns and a few hundred combinations, whatever the number of spans.
 
 Positions come from the pieces between matches: the lengths of the pieces and matches before a match add up to its start.
+Sums, neighbours and contexts are made chunk by chunk, so that a text with very many spans takes little more than its share.
 
 Defined cases: a null text counts as empty and has no spans. Positions are code points. Repeated rows and null
 identifiers each get their row. Without any candidate nothing is added. An empty table gives an empty result. Other
@@ -54,21 +55,53 @@ ANNOUNCING = (
     "telefon handy anruf kontakt ausweis courriel appeler portable nom teléfono móvil correo llamar nombre"
 ).split()
 
-SPAN = "array<struct<kind:string,start:int,end:int,text:string>>"
+SPAN = "array<struct<start:int,order:int,end:int,kind:string,text:string>>"
+#: Matches whose lengths are added up together, and code points of a block of text.
+CHUNK, BLOCK = 128, 512
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(pairs: Column) -> Column:
+    return F.aggregate(pairs, F.lit(0), lambda total, p: total + p["gap"] + p["size"])
+
+
+def _before_chunks(pairs: Column) -> Column:
+    """The length of all that comes before each chunk of ``CHUNK`` matches."""
+    chunks = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / CHUNK).cast("int"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(state: Column, length: Column) -> Column:
+        return F.struct((state["at"] + length).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    lengths = F.transform(chunks, lambda k: _total(F.slice(pairs, k * CHUNK + 1, F.lit(CHUNK))))
+    return F.aggregate(lengths, start, step, lambda s: s["out"])
 
 
 def _located(kind: str, matches: Column, pieces: Column) -> Column:
-    """Matches with their positions. ``pieces`` are the texts between them, one more than there are matches."""
-    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    """Matches with their positions. ``pieces`` are the texts between them, one more than there are matches.
+
+    Lengths are added up by chunks, so the work grows with the number of matches, not with its square.
+    """
+    pairs = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(
+        F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("m")))
+
+    def spans(pairs: Column, before: Column) -> Column:
+        def span(pair: Column, i: Column) -> Column:
+            chunk = F.floor(i / CHUNK).cast("int")
+            earlier = _total(F.slice(pairs, chunk * CHUNK + 1, i % CHUNK))
+            begin = F.get(before, chunk) + earlier + pair["gap"]
+            return _let(begin, lambda at: F.struct(
+                at.alias("start"), F.lit(KINDS.index(kind)).alias("order"), (at + pair["size"]).alias("end"),
+                F.lit(kind).alias("kind"), pair["m"].alias("text")))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
-        end = begin + F.length(pair["m"])
-        one = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), pair["m"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+        return F.transform(pairs, span)
 
-    return F.when(F.size(matches) == 0, F.array().cast(SPAN)).otherwise(F.aggregate(pairs, start, step, lambda s: s["out"]))
+    found = _let(pairs, lambda ps: _let(_before_chunks(ps), lambda before: spans(ps, before)))
+    return F.when(F.size(matches) == 0, F.array().cast(SPAN)).otherwise(found)
 
 
 def _luhn(match: Column) -> Column:
@@ -122,10 +155,39 @@ def _spans(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         for p in patterns
     ])
     valid = {p.kind: _valid(p) for p in patterns}
-    base = F.array_sort(F.concat(*[_ordered(valid[k], i) for i, k in enumerate(BASE_KINDS)]))
-    with_base = located.select("id", "text", *ADDED_KINDS, base.alias("base"))
-    clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return with_base.select("id", "text", "base", F.filter(F.concat(*ADDED_KINDS), clear).alias("weak"))
+    spans = located.select("id", "text", F.array_sort(F.concat(*[valid[k] for k in BASE_KINDS])).alias("base"),
+                           F.array_sort(F.concat(*ADDED_KINDS)).alias("weak"))
+    clear = _beside("weak", 0, lambda part, near: F.filter(part, lambda s: ~F.exists(near, lambda b: _within(b, s, 0))))
+    return spans.select("id", "text", "base", clear.alias("weak"))
+
+
+def _within(a: Column, b: Column, reach: int) -> Column:
+    """Whether there are fewer than ``reach`` code points between two spans, or they overlap."""
+    return (a["start"] < b["end"] + reach) & (b["start"] < a["end"] + reach)
+
+
+def _beside(spans: str, reach: int, body) -> Column:
+    """``body`` of sorted spans, a chunk at a time, and of the base spans within reach of the chunk; its arrays joined.
+
+    Chunks have about the square root of the number of spans, so that neither looking for a chunk's neighbours nor
+    comparing with them takes long.
+    """
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(spans)))).cast("int")
+    chunks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / width).cast("int"))
+
+    def chunk(k: Column) -> Column:
+        def with_part(part: Column) -> Column:
+            hull = F.struct(
+                F.array_min(F.transform(part, lambda s: s["start"])).alias("start"),
+                F.array_max(F.transform(part, lambda s: s["end"])).alias("end"),
+            )
+            near = _let(hull, lambda h: F.filter("base", lambda b: _within(b, h, reach)))
+            return _let(near, lambda found: body(part, found))
+
+        return _let(F.slice(spans, k * width + 1, width), with_part)
+
+    none = F.slice(body(F.col(spans), F.col("base")), 1, 0)  # of the same type
+    return F.when(F.size(spans) == 0, none).otherwise(F.flatten(F.transform(chunks, chunk)))
 
 
 def _valid(pattern: Pattern) -> Column:
@@ -134,20 +196,28 @@ def _valid(pattern: Pattern) -> Column:
     return F.filter(pattern.kind, lambda s: pattern.valid(s["text"]))
 
 
-def _ordered(spans: Column, order: int) -> Column:
-    """Spans as structs that sort by start, then kind."""
-    return F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), s["kind"].alias("kind")))
+LABELERS = ("strict", "announced", "alone", "company")
+
 
+def _context(blocks: Column, start: Column, end: Column) -> Column:
+    """What stands before a span, up to ``NEAR`` code points, and the one behind it, read from two blocks of the text."""
+    number = F.floor(start / BLOCK).cast("int")
+    both = F.concat(F.coalesce(F.get(blocks, number - 1), F.lit("")), F.coalesce(F.get(blocks, number), F.lit("")))
+    place = start - F.greatest(F.lit(0), number - 1) * BLOCK
+    return F.struct(
+        F.substring(both, F.greatest(F.lit(1), place - NEAR + 1), F.least(F.lit(NEAR), place)).alias("before"),
+        F.substring(F.coalesce(F.get(blocks, F.floor(end / BLOCK).cast("int")), F.lit("")), end % BLOCK + 1, F.lit(1)).alias("after"),
+    )
 
-LABELERS = ("strict", "announced", "alone", "company")
 
+def _judged(span: Column, near: Column, trusted: bool) -> Column:
+    """A span with its labelers' votes (1, 0, or null: no opinion) and its features. Uses the column blocks; ``near`` holds
+    the base spans around."""
+    return _let(_context(F.col("blocks"), span["start"], span["end"]), lambda c: _votes(span, near, c["before"], c["after"], trusted))
 
-def _judged(span: Column, order: Column | int, trusted: bool) -> Column:
-    """A span with its labelers' votes (1, 0, or null: no opinion) and its features. Uses columns text and base."""
-    before = F.substring(F.col("text"), F.greatest(F.lit(1), span["start"] - NEAR + 1), F.least(F.lit(NEAR), span["start"]))
-    after = F.substring(F.col("text"), span["end"] + 1, F.lit(1))
-    kind, text = span["kind"], F.substring(F.col("text"), span["start"] + 1, span["end"] - span["start"])
+
+def _votes(span: Column, near: Column, before: Column, after: Column, trusted: bool) -> Column:
+    kind, text = span["kind"], span["text"]
     strict = (
         F.when(kind == "local_phone", text.rlike(r"^\(?[2-9][0-9]{2}\)?([\x20.-])[2-9][0-9]{2}[.-][0-9]{4}$"))
         .when(kind == "identity", ~text.rlike(r"^(?:000|666|9)|-00-|-0000$"))
@@ -156,10 +226,9 @@ def _judged(span: Column, order: Column | int, trusted: bool) -> Column:
     )
     announced = before.rlike(r"(?i)(?<!\p{L})(?:" + "|".join(ANNOUNCING) + r")(?!\p{L})[^\p{L}]*(?:\p{L}+[^\p{L}]+)?$")
     alone = ((before == "") | before.rlike(r"[\s(:;,\"']$")) & ((after == "") | after.rlike(r"^[\s),;:.!?\"']"))
-    company = F.exists("base", lambda b: (b["start"] < span["end"] + 8 * NEAR) & (span["start"] < b["end"] + 8 * NEAR)
-                       & ((b["start"] != span["start"]) | (b["kind"] != kind)))
+    company = F.exists(near, lambda b: _within(b, span, 8 * NEAR) & ((b["start"] != span["start"]) | (b["kind"] != kind)))
     return F.struct(
-        span["start"].alias("start"), (F.lit(order) if isinstance(order, int) else order).alias("order"),
+        span["start"].alias("start"), span["order"].alias("order"),
         span["end"].alias("end"), kind.alias("kind"), F.lit(trusted).alias("trusted"),
         strict.cast("int").alias("strict"),
         F.when(announced, F.lit(1)).alias("announced"),  # silence says nothing
@@ -227,14 +296,15 @@ def fit_logistic(rows: list[tuple[tuple, float, float]], steps: int = 400, decay
 def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = 0.5) -> DataFrame:
     """One row per row of ``docs``: identifier, base and spans, both arrays of (start, order, end, kind) in order."""
     spans = _spans(docs, id_column, text_column)
-    order = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).cast("int") - 1
-    judged = settle(spans.select(
-        "id", "base",
-        F.concat(
-            F.transform("weak", lambda s: _judged(s, order(s), False)),
-            F.transform("base", lambda s: _judged(s, s["order"], True)),
-        ).alias("judged"),
-    ), "spans")
+    plain = lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))
+    # blocks of the text, so that reading around a span does not start from the text's beginning
+    any_span = (F.size("weak") > 0) | (F.size("base") > 0)
+    blocks = F.when(any_span, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    judge = lambda trusted: lambda part, near: F.transform(part, lambda s: _judged(s, near, trusted))
+    judged = settle(spans.select("id", "weak", "base", blocks.alias("blocks")).select(
+        "id", F.transform("base", plain).alias("shown"),
+        F.concat(_beside("weak", 8 * NEAR, judge(False)), _beside("base", 8 * NEAR, judge(True))).alias("judged"),
+    ), "spans").withColumnRenamed("shown", "base")
     votes = [F.when(F.col("trusted") & (F.lit(k) == "strict"), F.lit(1)).otherwise(F.col(k)).alias(f"vote_{k}") for k in LABELERS]
     counted = (
         judged.select(F.inline("judged"))
@@ -260,7 +330,6 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
                 z = z + F.when(s[name].eqNullSafe(F.lit(value)), F.lit(weight)).otherwise(0.0)
         return s["trusted"] | (F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) >= least)
 
-    plain = lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind"))
     return judged.select(
         F.col("id").alias(id_column), "base",
         F.array_sort(F.transform(F.filter("judged", accepted), plain)).alias("spans"),

@@ -35,8 +35,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_TOKEN = re.compile(r"([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
-_BLOCK = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+# Looked for at each start of a run, also behind a dotted word: both objects begin with an opening brace, so with e.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=((e[A-Za-z0-9_-]+)\.(e[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+))")
+# line ends may be written out, as in JSON; a few header lines may come first
+_BLOCK = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----(?:\s|\\[nr])*+((?:[A-Za-z0-9-]++: [^\n\\]*+(?:\\[nr]|\n)(?:\s|\\[nr])*+){0,4}+)"
+    r"((?:[A-Za-z0-9+/=\s]|\\[nr])++)-----END \1PRIVATE KEY-----"
+)
+_LINE_END = re.compile(r"\\[nr]|\s+")
+_INNER_START = re.compile(r"(?<=[+/_-])(?=M|b3Bl)")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]+")
 
 
@@ -75,11 +82,19 @@ def _items(data: bytes) -> list[tuple[int, bytes]] | None:
 INTEGER, BITS, OCTETS, OBJECT, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
 
 
+#: How the identifiers of the password-based encryption schemes begin.
+_ENCRYPTION = bytes.fromhex("2a864886f70d01")
+
+
 def _is_der_private_key(data: bytes) -> bool:
     outer = _items(data) if data[:1] == bytes([SEQUENCE]) else None
     if not outer or len(outer) != 1 or not (parts := _items(outer[0][1])):
         return False
     tags, version = [tag for tag, _ in parts], parts[0][1]
+    if tags == [SEQUENCE, OCTETS]:  # an encrypted key with its scheme
+        scheme = _items(parts[0][1])
+        return bool(scheme) and scheme[0][0] == OBJECT and scheme[0][1][:8] in (
+            _ENCRYPTION + b"\x05", _ENCRYPTION + b"\x0c") and len(parts[1][1]) >= 16
     if tags[0] != INTEGER or version not in (b"\0", b"\1"):
         return False
     if tags[1:3] == [SEQUENCE, OCTETS]:  # algorithm and wrapped key
@@ -111,6 +126,38 @@ def _is_key(data: bytes | None) -> bool:
     return data is not None and (_is_der_private_key(data) or _is_ssh_container(data))
 
 
+def _may_be_key(run: str, at: int) -> bool:
+    """Whether the length at the head of a DER sequence is that of the rest of the run; always for other containers."""
+    head = _decoded(run[at : at + 8])
+    if not head or head[0] != SEQUENCE:
+        return run.startswith("b3Bl", at)
+    wide = head[1] & 0x7F if head[1] & 0x80 else 0
+    if wide > 4:
+        return False
+    size = int.from_bytes(head[2 : 2 + wide], "big") if wide else head[1]
+    return 2 + wide + size == (len(run.rstrip("=")) - at) * 3 // 4
+
+
+def _key_start(run: str, after_escape: bool) -> int | None:
+    """Where in a base64 run a key begins that reaches to the run's end: at its start, or behind a sign that may
+    as well be a path's or a name's."""
+    starts = [0] if run[0] in "Mb" else []
+    if after_escape and run[0] in "nr":
+        starts.append(1)
+    for at in [*starts, *(m.start() for m in _INNER_START.finditer(run))]:
+        if _may_be_key(run, at) and _is_key(_decoded(run[at:])):
+            return at
+    return None
+
+
+def _is_block(headers: str, body: str) -> bool:
+    """An armoured key: its bytes parse, or its headers say that they are encrypted in whole cipher blocks."""
+    data = _decoded(_LINE_END.sub("", body))
+    if "ENCRYPTED" in headers:
+        return bool(data) and len(data) >= 16 and len(data) % 8 == 0
+    return _is_key(data)
+
+
 def _is_object(part: str, *names: str) -> bool:
     data = _decoded(part)
     if data is None or data.lstrip()[:1] != b"{":
@@ -131,19 +178,18 @@ def secret_spans(text: str) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     for m in _RUN.finditer(text):
-        run = m[0]
-        if _HEX_RUN.fullmatch(run) and len(run) % 2 == 0 and _is_key(bytes.fromhex(run)):
-            found.append(("key", *m.span()))
-        elif run[:1] in "Mb" and _is_key(_decoded(run)):  # a DER sequence or an OpenSSH container
+        run, start = m[0], m.start()
+        digits = run[2:] if run[:2] in ("0x", "0X") else run
+        if _HEX_RUN.fullmatch(digits) and len(digits) % 2 == 0 and _is_key(bytes.fromhex(digits)):
             found.append(("key", *m.span()))
-    if ".e" in text:  # the payload of a signed token is an object too, and so begins with e
+        elif (at := _key_start(run, text[start - 1 : start] == "\\")) is not None:
+            found.append(("key", start + at, m.end()))
+    if ".e" in text:
         for m in _TOKEN.finditer(text):
-            if m[1][:1] == "e" and _is_object(m[1], "alg") and _is_object(m[2]):
-                found.append(("token", *m.span()))
+            if _is_object(m[2], "alg") and _is_object(m[3]):
+                found.append(("token", *m.span(1)))
     if "-----BEGIN " in text:
-        found += [
-            ("block", *m.span()) for m in _BLOCK.finditer(text) if _is_key(_decoded("".join(m[2].split())))
-        ]
+        found += [("block", *m.span()) for m in _BLOCK.finditer(text) if _is_block(m[2], m[3])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -2,18 +2,20 @@
 
 Rules name a host with its subdomains and a path prefix. URLs that no rule fits are judged by their template:
 
-1. Digits in a segment become ``{n}``, long hexadecimal segments ``{id}``; empty segments are left out and
-   segments beyond ``depth`` are put together as ``**``.
+1. Digits in a segment become ``{n}``, long hexadecimal segments ``{id}``; empty segments are left out.
 2. Level by level, the segments below a node (host and template so far) become ``*`` where there are more
-   than ``max_children`` different ones.
-3. The other branches of a node are put in order of their good share among labelled URLs, and neighbours are
-   merged while a two-sided test of their shares finds no difference (``z``). Branches without any label
-   are merged among themselves.
+   than ``max_children`` different ones. From ``depth`` on only nodes that hold good and bad labels are cut any
+   further; what lies below the others is put together as ``**``.
+3. The other branches of a node are put in order of their good share among labelled URLs, and each is merged into the
+   group before it while a test of both shares finds no difference (``z``; one good and one bad URL are added to either
+   side, so that shares of 0 and 1 from few labels are not taken as certain). Branches without any label are
+   merged among themselves.
 4. A template is rejected when its purity, (good + strength * prior) / (labelled + strength) with the share of
-   good URLs among all labelled ones as prior, is below ``least_purity``. With ``inherit`` the prior of a
-   template is the purity of the node above it, from all URLs by way of the parent domains (each with the
-   hosts at and below it) and the host down to the template, so a template without labels has that of its nearest
-   ancestor with some. Hosts of more than 253 characters are no domain names and have no parent domains.
+   good URLs among all labelled ones as prior, is below ``least_purity``. With ``inherit`` such trees are also
+   built for each parent domain, from the hosts at and below it, and for all hosts together, and the prior of
+   a node is the purity of the one before it: from short templates to long ones, and of one length from all hosts by way of
+   the domains to the host. A template without labels of its own is thus judged by the same path elsewhere. A host has the
+   ``PARENTS`` widest of its parent domains.
 
 The tree is built on the distinct (host, segments) with their counts, combined on the map side, so a host
 with a third of all URLs is as large there as its number of different paths. The verdicts are joined back
@@ -28,14 +30,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import hot_limit, lower_ascii
 from curbline.session import settle
 
 DEPTH, MAX_CHILDREN, Z, STRENGTH, LEAST_PURITY = 6, 50, 1.96, 2.0, 0.5
-HOST_LENGTH = 253  # of a domain name
+PARENTS = 8
 
 
 @dataclass(frozen=True)
@@ -69,11 +71,10 @@ def fitting_rule(rules: list[Rule]) -> Column:
     return chosen
 
 
-def lexical_segments(path: Column, depth: int = DEPTH) -> Column:
+def lexical_segments(path: Column) -> Column:
     parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    parts = F.transform(parts, lambda s: F.when(
+    return F.transform(parts, lambda s: F.when(
         s.rlike("^[0-9a-f-]{16,}$"), F.lit("{id}")).otherwise(F.regexp_replace(s, "[0-9]+", "{n}")))
-    return F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth - 1), F.array(F.lit("**")))).otherwise(parts)
 
 
 def template_purity(
@@ -86,71 +87,111 @@ def template_purity(
     inherit: bool = False,
 ) -> DataFrame:
     """``leaves``: distinct (host, segments) with labelled and good counts. Adds template and purity."""
-    rows = leaves.withColumn("template", F.array().cast("array<string>"))
-    for level in range(depth):
-        rows = settle(_grow(rows, level, max_children, z), "level")
-        if rows.where(F.size("segments") > level + 1).isEmpty():
-            break
     sums = leaves.agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good")).first()
     prior = sums.good / sums.labelled if sums.labelled else 1.0
-    by_template = rows.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
     if inherit:
-        return rows.join(_inherited(settle(by_template, "sums"), prior, strength), ["host", "template"])
+        return _inherited(leaves, _templates(_by_scope(leaves), depth, max_children, z), prior, strength)
+    rows = _templates(leaves, depth, max_children, z)
+    by_template = rows.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
     purity = (F.col("g") + F.lit(strength * prior)) / (F.col("l") + F.lit(strength))
     return rows.join(by_template.select("host", "template", purity.alias("purity")), ["host", "template"])
 
 
-def _inherited(by_template: DataFrame, prior: float, strength: float) -> DataFrame:
-    """Host, template and the purity smoothed level by level; a node without labels has that of the one above."""
-    sums = [F.sum("l").alias("l"), F.sum("g").alias("g")]
-
-    def labelled_path(rows: DataFrame, key: list[str], node: list[str], asked: Column | None = None) -> DataFrame:
-        """Of each key the counts of its nodes that hold labels, from the top down; nodes not asked only count."""
-        labelled = rows.groupBy(*node).agg(*sums).where(F.col("l") > 0)
-        return rows.drop("l", "g").where(F.lit(True) if asked is None else asked).join(labelled, node).groupBy(*key).agg(
-            F.array_sort(F.collect_list(F.struct("level", "l", "g"))).alias("path"))
-
-    def smoothed(start: Column) -> Column:
-        down = F.aggregate("path", start, lambda above, n: (n["g"] + F.lit(strength) * above) / (n["l"] + F.lit(strength)))
-        return F.coalesce(down, start)
-
-    hosts = by_template.groupBy("host").agg(*sums)
-    parts = F.split("host", r"\.")
-    domains = F.when(F.length("host") <= HOST_LENGTH, F.transform(  # com, example.com, ... and the host itself
-        F.sequence(F.size(parts), F.lit(1)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")))
-    domains = labelled_path(
-        hosts.select("host", "l", "g", F.posexplode(domains).alias("level", "domain")), ["host"], ["domain"],
-        F.col("domain") != F.col("host"))
-    hosts = hosts.select("host").join(domains, "host", "left").select("host", smoothed(F.lit(float(prior))).alias("above"))
-    prefixes = F.transform(F.sequence(F.lit(0), F.size("template")), lambda i: F.slice("template", F.lit(1), i))
-    nodes = labelled_path(
-        by_template.select("*", F.posexplode(prefixes).alias("level", "prefix")), ["host", "template"], ["host", "prefix"])
-    return by_template.select("host", "template").join(nodes, ["host", "template"], "left").join(hosts, "host").select(
-        "host", "template", smoothed(F.col("above")).alias("purity"))
+def _templates(leaves: DataFrame, depth: int, max_children: int, z: float) -> DataFrame:
+    """The leaves with their template."""
+    rows = leaves.select("host", "segments", "labelled", "good", F.array().cast("array<string>").alias("template"), F.lit(True).alias("open"))
+    level = 0
+    while True:
+        rows = settle(_grow(rows, level, max_children, z, mixed_only=level >= depth), "level")
+        level += 1
+        if rows.where(F.col("open") & (F.size("segments") > level)).isEmpty():
+            return rows.drop("open")
+
 
+def _scopes(host: Column) -> Column:
+    """All hosts (the empty text), the widest parent domains, and last the host, marked by a slash, as none has one."""
+    parts = F.split(host, r"\.")
+    count = F.least(F.lit(PARENTS), F.size(parts) - 1)
+    parents = F.when(count > 0, F.transform(
+        F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(parts, -i, i), "."))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.array(F.lit("")), parents, F.array(F.concat(F.lit("/"), host)))
 
-def _grow(rows: DataFrame, level: int, max_children: int, z: float) -> DataFrame:
-    """Append to each template the generalised segment of this level."""
+
+def _by_scope(leaves: DataFrame) -> DataFrame:
+    """The leaves of every scope; a domain holds the hosts at and below it."""
+    own = F.array_union(_scopes(F.col("host")), F.array(F.col("host")))  # the host's leaves count for the domain of its name, too
+    listed = leaves.select("segments", "labelled", "good", F.explode(own).alias("host"))
+    return listed.groupBy("host", "segments").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good"))
+
+
+def _inherited(leaves: DataFrame, rows: DataFrame, prior: float, strength: float) -> DataFrame:
+    """The leaves with template and purity, smoothed along the nodes of all their scopes that hold labels."""
+    prefixes = F.transform(F.sequence(F.lit(0), F.size("template")), lambda i: F.slice("template", F.lit(1), i))
+    listed = settle(rows.select("host", "segments", "labelled", "good", F.posexplode(prefixes).alias("level", "prefix")), "prefixes")
+    nodes = listed.groupBy("host", "prefix").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g")).where("l > 0")
+    paths = listed.select("host", "segments", "level", "prefix").join(nodes, ["host", "prefix"]).groupBy("host", "segments").agg(
+        F.collect_list(F.struct("level", "l", "g")).alias("path"))
+    asked = leaves.select("host", "segments", F.posexplode(_scopes(F.col("host"))).alias("rank", "scope"))
+    found = asked.join(paths.withColumnRenamed("host", "scope"), ["scope", "segments"]).select("host", "segments", F.transform(
+        "path", lambda n: F.struct(n["level"].alias("level"), F.col("rank").alias("rank"), n["l"].alias("l"), n["g"].alias("g"))).alias("path"))
+    steps = found.groupBy("host", "segments").agg(F.array_sort(F.flatten(F.collect_list("path"))).alias("steps"))
+    down = F.aggregate("steps", F.lit(float(prior)), lambda above, n: (n["g"] + F.lit(strength) * above) / (n["l"] + F.lit(strength)))
+    own = rows.where(F.startswith("host", F.lit("/"))).select(F.substring("host", 2, 1 << 30).alias("host"), "segments", "template")
+    return leaves.join(own, ["host", "segments"]).join(steps, ["host", "segments"], "left").select(
+        *leaves.columns, "template", F.coalesce(down, F.lit(float(prior))).alias("purity"))
+
+
+def _differs(a: Column, b: Column, z: float) -> Column:
+    """Whether the good shares of two groups of labelled URLs differ, with one good and one bad URL added to each."""
+    share = lambda x: (x["g"] + 1) / (x["l"] + 2)
+    noise = lambda x: share(x) * (1 - share(x)) / (x["l"] + 2)
+    return F.abs(share(a) - share(b)) > z * F.sqrt(noise(a) + noise(b))
+
+
+def _merged(branches: Column, z: float) -> Column:
+    """Groups of branches. ``branches``: sorted (has labels, share, segment, l, g), at most ``max_children``."""
+    kind = "array<struct<l:bigint,g:bigint,names:array<string>>>"
+
+    def step(groups: Column, one: Column) -> Column:
+        last = F.element_at(groups, -1)
+        alike = (last["l"] > 0) == (one["l"] > 0)
+        joins = (F.size(groups) > 0) & alike & ~((one["l"] > 0) & _differs(last, one, z))
+        alone = F.struct(one["l"].alias("l"), one["g"].alias("g"), F.array(one["segment"]).alias("names"))
+        wider = F.struct(
+            (last["l"] + one["l"]).alias("l"), (last["g"] + one["g"]).alias("g"),
+            F.concat(last["names"], F.array(one["segment"])).alias("names"))
+        return F.when(joins, F.concat(F.slice(groups, 1, F.size(groups) - 1), F.array(wider))).otherwise(
+            F.concat(groups, F.array(alone)))
+
+    return F.aggregate(branches, F.array().cast(kind), step)
+
+
+def _grow(rows: DataFrame, level: int, max_children: int, z: float, mixed_only: bool) -> DataFrame:
+    """Append to each open template the generalised segment of this level; with ``mixed_only`` nodes without both kinds
+    of labels are closed instead."""
     node = ["host", "template"]
-    rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
+    rows = rows.withColumn("segment", F.when(F.col("open"), F.get("segments", F.lit(level))))
     branches = rows.where(F.col("segment").isNotNull()).groupBy(*node, "segment").agg(
         F.sum("labelled").alias("l"), F.sum("good").alias("g"))
-    few = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("children")).where(F.col("children") <= max_children)
-    few = branches.join(few.drop("children"), node, "left_semi")
+    sums = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("children"), F.sum("l").alias("all"), F.sum("g").alias("fine"))
+    mixed = (F.col("fine") > 0) & (F.col("fine") < F.col("all"))
+    cut = sums.where(mixed) if mixed_only else sums
+    few = branches.join(cut.where(F.col("children") <= max_children).select(*node), node, "left_semi")
     # at most max_children rows a node from here on
-    order = Window.partitionBy(*node, F.col("l") > 0).orderBy(F.try_divide("g", "l"), "segment")
-    before_l, before_g = F.lag("l").over(order), F.lag("g").over(order)
-    both = (F.col("g") + before_g) / (F.col("l") + before_l)
-    spread = F.sqrt(both * (1 - both) * (1 / F.col("l") + 1 / before_l))
-    differs = (F.col("l") > 0) & (F.abs(F.col("g") / F.col("l") - before_g / before_l) > z * spread)
-    few = few.withColumn("cut", F.coalesce(differs, F.lit(False)).cast("int"))
-    few = few.withColumn("part", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = Window.partitionBy(*node, F.col("l") > 0, "part")
-    few = few.select(*node, "segment", F.concat_ws("|", F.array_sort(F.collect_set("segment").over(merged))).alias("name"))
-    return rows.join(few, [*node, "segment"], "left").select(
+    kids = few.groupBy(*node).agg(F.array_sort(F.collect_list(F.struct(
+        (F.col("l") > 0).alias("labelled"), F.coalesce(F.try_divide("g", "l"), F.lit(0.0)).alias("share"), "segment", "l", "g",
+    ))).alias("kids"))
+    groups = kids.select(*node, F.explode(_merged(F.col("kids"), z)).alias("group"))
+    names = groups.select(*node, F.explode("group.names").alias("segment"), F.concat_ws("|", F.array_sort("group.names")).alias("name"))
+    rows = rows.join(names, [*node, "segment"], "left")
+    if mixed_only:
+        rows = rows.join(cut.select(*node, F.lit(True).alias("goes_on")), node, "left")
+    going = F.coalesce("goes_on", F.lit(False)) if mixed_only else F.lit(True)
+    added = F.when(going, F.coalesce("name", F.lit("*"))).otherwise(F.lit("**"))
+    return rows.select(
         "host", "segments", "labelled", "good",
-        F.when(F.col("segment").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.array(F.coalesce("name", F.lit("*"))))).alias("template"),
+        F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.array(added))).alias("template"),
+        (F.col("open") & (F.col("segment").isNull() | going)).alias("open"),
     )
 
 

@@ -5,8 +5,10 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from curbline.llm import personal_data, secret_scan
 from tests.llm.helpers import awkward, documents
@@ -85,6 +87,29 @@ def test_candidates_of_personal_data(spark):
         "local_phone:11:25", "identity:7:18,email:25:32", "masked_email:0:21", "name:0:14,local_phone:20:32"]
 
 
+def test_a_text_with_very_many_spans(spark):
+    lines = [f"call 212-555-{i % 10000:04d} or a{i}@b.de" if i % 2 else f"10.0.{i % 256}.7 é 📞 (415) 555-{i % 10000:04d}" for i in range(25000)]
+    text = "\n".join(lines)
+    start = time.time()
+    row = personal_data.personal_data_digest(documents(spark, [(1, text), (2, lines[1])], extra=False)).where("doc_id = 1").first()
+    assert time.time() - start < 60
+    spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row.spans.split(","))]
+    assert len(spans) >= 50000 - 1 and spans == sorted(spans, key=lambda s: (s[1], personal_data.KINDS.index(s[0])))
+    assert row.base_sha256 == hashlib.sha256(digest(personal(text)).encode()).hexdigest()
+    phones = [text[a:b] for k, a, b in spans if k == "local_phone"]
+    assert len(phones) == 25000 and all(re.fullmatch(r"[(]?\d{3}[)]?[ -]\d{3}-\d{4}", p) for p in phones)
+
+
+def test_contexts_come_from_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    text = "".join(rng.choices("ab é💥\n", k=900))
+    places = [(0, 5), (3, 3), (39, 41), (511, 512), (512, 530), (513, 600), (551, 552), (899, 900), (900, 900)]
+    df = spark.createDataFrame([(text, a, b) for a, b in places], "text string, a int, b int").withColumn(
+        "blocks", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{personal_data.BLOCK}}}"), F.lit(0)))
+    found = df.select("a", "b", personal_data._context(F.col("blocks"), F.col("a"), F.col("b")).alias("c")).collect()
+    assert [(r.c.before, r.c.after) for r in found] == [(text[max(0, r.a - 40) : r.a], text[r.b : r.b + 1]) for r in found]
+
+
 def test_expectation_maximisation_finds_the_reliable_labelers():
     rng, patterns = random.Random(4), {}
     for _ in range(4000):
@@ -130,6 +155,46 @@ def test_structure_decides(secret, kind):
         assert (kind, 7, 7 + len(secret)) in found
 
 
+PBES = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(5))), der(4, bytes(64)))
+DIGEST = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")), der(5)), der(4, bytes(32)))
+
+
+def armour(name, body, headers="", end="\n"):
+    lines = base64.encodebytes(body).decode().strip().replace("\n", end)
+    return f"-----BEGIN {name}PRIVATE KEY-----{end}{headers}{lines}{end}-----END {name}PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("text, kind, secret", [
+    (json.dumps({"private_key": armour("", KEY)}), "block", armour("", KEY, end="\\n")),
+    ("a " + armour("ENCRYPTED ", PBES) + " z", "block", armour("ENCRYPTED ", PBES)),
+    ("a " + armour("RSA ", bytes(64), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n"), "block",
+     armour("RSA ", bytes(64), "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n")),
+    ("key 0x" + KEY.hex() + " end", "key", "0x" + KEY.hex()),
+    ("path/to/" + base64.b64encode(KEY).decode(), "key", base64.b64encode(KEY).decode()),
+    ("my-key_" + base64.b64encode(SSH).decode(), "key", base64.b64encode(SSH).decode()),
+    ('"x\\n' + base64.b64encode(CURVE).decode() + '"', "key", base64.b64encode(CURVE).decode()),
+    ("the.example." + token({"alg": "HS256"}, {"sub": 1}), "token", token({"alg": "HS256"}, {"sub": 1})),
+    (base64.b64encode(DIGEST).decode(), None, None),
+    (armour("RSA ", bytes(61), "Proc-Type: 4,ENCRYPTED\n\n"), None, None),
+    (armour("ENCRYPTED ", DIGEST), None, None),
+])
+def test_usual_forms_of_keys(text, kind, secret):
+    found = [(k, text[a:b]) for k, a, b in secret_scan.secret_spans(text) if k not in secret_scan.BASE_KINDS]
+    assert (kind, secret) in found if kind else found == []
+
+
+def test_long_runs_take_linear_time():
+    head = "-----BEGIN PRIVATE KEY-----"
+    long = [
+        ".e" + "x" * 10**6, "e" * 10**6 + ".e", ".e" * 300000, head + " " * 10**6, (head + "\nA: b\n") * 30000, "/M" * 400000,
+        "/MIIE" * 200000, "A1" * 500000, head + "\\n" * 400000,
+    ]
+    start = time.process_time()
+    for text in long:
+        secret_scan.secret_spans(text)
+    assert time.process_time() - start < 20
+
+
 def test_empty_tables(spark):
     none = documents(spark, [(1, "a")]).limit(0)
     assert personal_data.personal_data_digest(none).collect() == []
