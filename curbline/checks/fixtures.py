@@ -86,6 +86,44 @@ def all_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Vertices of a path by its kind, the remainder of its key by 4. Part, and x and y as multiples of dx, dy and 1
+# from the street's start: a corner, a closed ring, two parts side by side, two parts meeting at an end.
+PATH_VERTICES = {
+    0: [(0, (0, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 1, 0))],
+    1: [(0, (0, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 1, 0)), (0, (0, 0, 0), (0, 1, 0)),
+        (0, (0, 0, 0), (0, 0, 0))],
+    2: [(0, (0, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 1, 0)), (1, (0, 0, 40), (0, 0, 40)), (1, (0, 1, 40), (-1, 0, 40))],
+    3: [(0, (0, 0, 0), (0, 0, 0)), (0, (1, 0, 0), (0, 1, 0)), (1, (1, 0, 0), (0, 1, 0)), (1, (1, -1, 0), (1, 1, 0))],
+}
+#: Where a third of the crowd stands; the first path begins next to it.
+HOT_SITE = (7953, 6172)
+
+
+def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of several segments and parts, some of them closed."""
+    def geometry(vertices: list) -> str:
+        parts: dict[int, list[str]] = {}
+        for part, x, y in vertices:
+            place = (f"{start} + {a} * dx + {b} * dy + {c}" for start, (a, b, c) in (("sx", x), ("sy", y)))
+            parts.setdefault(part, []).append("struct({} as x, {} as y)".format(*place))
+        return f"array({', '.join(f'array({chr(44).join(p)})' for p in parts.values())})"
+
+    kinds = " ".join(f"when {kind} then {geometry(v)}" for kind, v in PATH_VERTICES.items())
+    return _table(spark, sf_dir, "part").selectExpr("p_partkey as physicalid", *_ends("p_partkey")).selectExpr(
+        "physicalid", f"case physicalid % 4 {kinds} end as geometry"
+    )
+
+
+def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of which a third stand in one place and a tenth around it, in a cell or two."""
+    x, y = HOT_SITE
+    return _table(spark, sf_dir, "orders").selectExpr("o_orderkey as point_id", *_place("o_orderkey", BLOCK["orders"])).selectExpr(
+        "point_id",
+        f"case when point_id % 3 = 0 then {x}D when point_id % 7 = 0 then {x}D + point_id % 50 - 25 else x end as x",
+        f"case when point_id % 3 = 0 then {y}D when point_id % 7 = 0 then {y}D + point_id % 40 - 20 else y end as y",
+    )
+
+
 def crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey as collision_id",
@@ -256,6 +294,26 @@ SQL_LAYERS: dict[str, str] = {
                CAST(limit_id % 4 * 5 + 20 AS DOUBLE) AS postvz_sl
         FROM (SELECT p_partkey AS limit_id, {_sql_ends('p_partkey')}, p_partkey % 101 - 50 AS shift
               FROM part WHERE p_type IN ('ECONOMY', 'LARGE'))""",
+    "path_vertices": f"""
+        SELECT physicalid, part, pos, sx + xa * dx + xb * dy + xc AS x, sy + ya * dx + yb * dy + yc AS y
+        FROM (SELECT p_partkey AS physicalid, {_sql_ends('p_partkey')} FROM part)
+        JOIN (VALUES {", ".join(
+            f"({kind}, {part}, {pos}, {', '.join(map(str, x + y))})"
+            for kind, vertices in PATH_VERTICES.items() for pos, (part, x, y) in enumerate(vertices))})
+          v(kind, part, pos, xa, xb, xc, ya, yb, yc) ON physicalid % 4 = kind""",
+    "path_segments": """
+        SELECT * FROM (SELECT physicalid, part, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1
+                       FROM path_vertices WINDOW w AS (PARTITION BY physicalid, part ORDER BY pos)) WHERE x1 IS NOT NULL""",
+    "path_ends": """
+        SELECT physicalid, x, y FROM (
+            SELECT physicalid, arg_min(x, pos) AS x, arg_min(y, pos) AS y FROM path_vertices GROUP BY physicalid, part
+            UNION ALL SELECT physicalid, arg_max(x, pos), arg_max(y, pos) FROM path_vertices GROUP BY physicalid, part)
+        GROUP BY ALL HAVING count(*) % 2 = 1""",
+    "crowd": f"""
+        SELECT point_id,
+               CASE WHEN point_id % 3 = 0 THEN {HOT_SITE[0]} WHEN point_id % 7 = 0 THEN {HOT_SITE[0]} + point_id % 50 - 25 ELSE x END AS x,
+               CASE WHEN point_id % 3 = 0 THEN {HOT_SITE[1]} WHEN point_id % 7 = 0 THEN {HOT_SITE[1]} + point_id % 40 - 20 ELSE y END AS y
+        FROM (SELECT o_orderkey AS point_id, {_sql_place('o_orderkey', BLOCK['orders'])} FROM orders)""",
     "trees": f"SELECT event_id AS tree_id, {_sql_place('event_id', BLOCK['events'])} FROM events",
     "parking_meters": f"SELECT c_custkey AS meter_id, {_sql_place('c_custkey', BLOCK['customer'])} FROM customer",
     "traffic_volumes": f"""
@@ -265,7 +323,7 @@ SQL_LAYERS: dict[str, str] = {
         FROM lineitem""",
 }
 
-_NEEDS = {"streets": ["all_streets"]}
+_NEEDS = {"streets": ["all_streets"], "path_segments": ["path_vertices"], "path_ends": ["path_vertices"]}
 
 
 def with_layers(layers: str | list[str], body: str, **ctes: str) -> str:

@@ -378,3 +378,100 @@ def _(spark, sf_dir):
 def limit_points(spark, sf_dir):
     limits = fx.speedlimits(spark, sf_dir)
     return limits.select("limit_id", "postvz_sl", F.inline(F.array(geo.centroid(F.col("geometry")))))
+
+
+# --- lines of many segments and parts, a crowded cell and a hot site
+
+@query("boundary_points_of_paths", fx.with_layers("path_ends", "SELECT physicalid, x, y FROM path_ends"))
+def _(spark, sf_dir):
+    return fx.paths(spark, sf_dir).select("physicalid", F.inline(geo.boundary_points(F.col("geometry"))))
+
+
+@query("centroid_of_paths", fx.with_layers("path_vertices path_segments", """
+    SELECT v.physicalid, round(coalesce(s.x, v.x), 6) AS x, round(coalesce(s.y, v.y), 6) AS y
+    FROM (SELECT physicalid, avg(x) AS x, avg(y) AS y FROM path_vertices GROUP BY 1) v
+    LEFT JOIN (SELECT physicalid, sum(l * (x0 + x1) / 2) / nullif(sum(l), 0) AS x, sum(l * (y0 + y1) / 2) / nullif(sum(l), 0) AS y
+               FROM (SELECT *, sqrt(pow(x1 - x0, 2) + pow(y1 - y0, 2)) AS l FROM path_segments) GROUP BY 1) s
+      ON s.physicalid = v.physicalid"""))
+def _(spark, sf_dir):
+    rows = fx.paths(spark, sf_dir).select("physicalid", geo.centroid(F.col("geometry")).alias("c"))
+    return rows.select("physicalid", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+
+
+_CROWD_PAIRS = (
+    f"SELECT p.point_id, s.physicalid, sqrt(min({fx.sql_distance_squared('p', 's')})) AS distance FROM crowd p JOIN path_segments s "
+    f"ON {fx.sql_distance_squared('p', 's')} < {RADIUS * RADIUS} GROUP BY 1, 2"
+)
+
+
+def _crowd_join(how):
+    def run(spark, sf_dir):
+        pairs = spatial_join.point_within_buffer_join(
+            fx.crowd(spark, sf_dir), fx.paths(spark, sf_dir), RADIUS, point_id="point_id", line_id="physicalid", how=how)
+        return pairs.select("point_id", "physicalid", F.round("distance", 6).alias("distance"))
+
+    return run
+
+
+query("point_within_buffer_of_paths_left", fx.with_layers(
+    "crowd path_segments",
+    "SELECT c.point_id, p.physicalid, round(p.distance, 6) AS distance FROM crowd c LEFT JOIN pairs p ON c.point_id = p.point_id",
+    pairs=_CROWD_PAIRS))(_crowd_join("left"))
+query("point_within_buffer_of_paths_right", fx.with_layers(
+    "crowd path_segments",
+    "SELECT p.point_id, s.physicalid, round(p.distance, 6) AS distance FROM (SELECT DISTINCT physicalid FROM path_vertices) s "
+    "LEFT JOIN pairs p ON s.physicalid = p.physicalid",
+    pairs=_CROWD_PAIRS))(_crowd_join("right"))
+
+
+@query("nearest_join_of_paths", fx.with_layers(
+    "path_segments traffic_volumes",
+    "SELECT physicalid, site_id, round(distance, 6) AS distance FROM ranked WHERE n = 1",
+    sites=SITES_SQL,
+    measured=f"SELECT s.physicalid, p.site_id, greatest(0, sqrt(min({fx.sql_distance_squared('p', 's')})) - 25) AS distance "
+             "FROM path_segments s CROSS JOIN sites p GROUP BY 1, 2",
+    ranked="SELECT *, row_number() OVER (PARTITION BY physicalid ORDER BY distance, site_id) AS n FROM measured"))
+def _(spark, sf_dir):
+    sites = two_level_average(fx.traffic_volumes(spark, sf_dir), ["site_id", "x", "y"], ["yr", "m", "d"], "vol")
+    found = nearest.nearest_join(
+        fx.paths(spark, sf_dir), sites, line_id="physicalid", site_id="site_id", buffer=25.0
+    )
+    return found.select("physicalid", "site_id", F.round("distance", 6).alias("distance"))
+
+
+@query("intersection_components_of_paths", fx.with_layers(
+    "path_ends",
+    "SELECT l.x, l.y, r.x AS root_x, r.y AS root_y FROM labelled l JOIN nodes r ON l.root = r.node",
+    ends="SELECT DISTINCT x, y FROM path_ends",
+    **{k: v for k, v in COMPONENT_CTES.items() if k not in ("ends", "touching", "sizes")}))
+def _(spark, sf_dir):
+    labelled = intersections.intersection_components(fx.paths(spark, sf_dir), RADIUS)
+    roots = labelled.groupBy("component").agg(F.min(F.struct("x", "y")).alias("root"))
+    return labelled.join(roots, "component").select(
+        "x", "y", F.col("root.x").alias("root_x"), F.col("root.y").alias("root_y")
+    )
+
+
+@query("spatial_join_aggregate_of_paths", fx.with_layers(
+    "crowd path_segments",
+    "SELECT s.physicalid, count(p.point_id) AS point_id FROM (SELECT DISTINCT physicalid FROM path_vertices) s "
+    "LEFT JOIN pairs p ON s.physicalid = p.physicalid GROUP BY 1",
+    pairs=_CROWD_PAIRS.replace(" < ", " <= ")))
+def _(spark, sf_dir):
+    return spatial_join.spatial_join_aggregate(
+        fx.paths(spark, sf_dir), fx.crowd(spark, sf_dir), RADIUS, {"point_id": "count"}, street_id="physicalid", point_id="point_id",
+    ).select("physicalid", "point_id")
+
+
+@query("line_within_buffer_of_paths", fx.with_layers(
+    "path_vertices", "SELECT DISTINCT physicalid AS shifted_id, physicalid FROM path_vertices"))
+def _(spark, sf_dir):
+    """A path moved by less than the radius lies within its own buffer, whatever its corners, rings and parts."""
+    lines = fx.paths(spark, sf_dir)
+    by = (F.col("physicalid") % 3 * 12).cast("double")
+    moved = lines.select(
+        F.col("physicalid").alias("shifted_id"),
+        F.transform("geometry", lambda part: F.transform(part, lambda v: geo.vertex(v["x"] + by, v["y"] - by / 2))).alias("geometry"),
+    )
+    pairs = spatial_join.line_within_buffer_join(moved, lines, RADIUS, inner_id="shifted_id", outer_id="physicalid")
+    return pairs.where("shifted_id = physicalid").select("shifted_id", "physicalid")
