@@ -92,11 +92,14 @@ def train_and_compare(
     settings: SuiteSettings = SuiteSettings(),
 ) -> tuple[dict[str, FittedModel], DataFrame]:
     """From the street table to the leaderboard: streets with a volume are split, the five models are
-    trained on the larger part, stored in ``folder``, loaded again and scored on the smaller part."""
+    trained on the larger part, stored in ``folder``, loaded again and scored on the smaller part. Without such
+    streets there are no models and the leaderboard is empty."""
     spark = dataset.sparkSession
     train, test = train_test_split(settle(with_volume(dataset), "with-volume"), row_id, seed=seed)
-    loaded = {}
-    for kind, model in train_suite(settle(train, "train"), row_id=row_id, label=label, settings=settings).items():
+    train, loaded = settle(train, "train"), {}
+    if train.isEmpty():
+        return loaded, spark.createDataFrame([], "model string, mse double")
+    for kind, model in train_suite(train, row_id=row_id, label=label, settings=settings).items():
         models.save_model(model, folder, kind, spark)
         loaded[kind] = models.load_model(folder, kind, spark)
     return loaded, model_leaderboard(loaded, settle(test, "test"), row_id=row_id, label=label, weights=settings.knn_weights)

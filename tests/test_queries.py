@@ -11,7 +11,7 @@ from tests.oracle import connect, difference
 # models that the few rows of the smallest data set do not determine, and more neighbours than it has rows
 NEEDS_MORE_ROWS = {
     "knn_grid_search", "cv_results_table", "hump_effect_coefficients", "hump_effect_holdout", "hump_effect_cv",
-    "cross_val_linear_all", "cross_val_quadratic", "linear_regression_all",
+    "cross_val_quadratic",
 }
 
 
@@ -28,6 +28,10 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert difference(found, tables.execute(oracle_sql()[name]).df()) is None
 
 
+def test_no_measured_volume_gives_an_empty_leaderboard(spark, sf_dir):
+    assert queries()["model_comparison_measured"](spark, sf_dir).collect() == []
+
+
 def test_entry_and_registry(spark):
     named, sqls = queries(), oracle_sql()
     assert set(sqls) <= set(named) and len(named) > 120
