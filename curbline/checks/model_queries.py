@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -547,6 +549,30 @@ def _(spark, sf_dir):
     return rounded(table.select("k", "weights", "val_mse"), {"val_mse": 6})
 
 
+_TEST_KNN = {  # the neighbours of the test rows, beside those of the search
+    f"test_{name}": re.sub(r"\b(scale|kt|kq|kp|kr|ks|predicted)\b", r"test_\1", text)
+    for name, text in _knn_ctes("train", "test", "true", 495).items()
+}
+
+
+@query("best_knn", model_sql(
+    "SELECT p.row_id, b.k, b.weights, round(p.prediction, 6) AS prediction FROM test_predicted p JOIN best b "
+    "ON p.n = b.k AND p.weights = b.weights",
+    **_knn_ctes("model", "model", "q.fold <> t.fold", 495), **_TEST_KNN,
+    best="SELECT CAST(n AS INTEGER) AS k, weights FROM (SELECT n, weights, fold, avg(pow(truth - prediction, 2)) AS mse "
+         "FROM predicted WHERE n % 10 = 5 GROUP BY 1, 2, 3) GROUP BY 1, 2 ORDER BY avg(mse), k, weights LIMIT 1"))
+def _(spark, sf_dir):
+    """The best k and weighting of the search, refitted, stored, loaded again and applied to the test rows."""
+    train, test = train_and_test(spark, sf_dir)
+    results = models.grid_search_knn(model_table(spark, sf_dir), LABEL, row_id="row_id", fold="fold", ks=_KS)
+    chosen, fitted = models.best_knn(train, LABEL, results, row_id="row_id")
+    folder = scratch_path(spark, "models")
+    models.save_model(fitted, folder, "knn", spark)
+    loaded = models.load_model(folder, "knn", spark)
+    predicted = knn.knn_predict(loaded, test, query_id="row_id", ks=[chosen["k"]], weights=[chosen["weights"]])
+    return rounded(predicted, {"prediction": 6})
+
+
 _SIDE = "SELECT n AS k, weights, avg(mse) AS mse FROM (SELECT n, weights, {fold} AS fold, avg(pow(truth - prediction, 2)) AS mse " \
         "FROM {table} WHERE n % 10 = 5 GROUP BY 1, 2, 3) GROUP BY 1, 2"
 _SEEN_CTES = {
