@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from curbline.functions import geometry as geo
 from curbline.operators import intersections, nearest, spatial_join
