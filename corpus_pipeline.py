@@ -28,12 +28,20 @@ WITHIN = "corpus-stage"
 LEAST_SCORE = 0.5
 
 
+#: Rows handed to Python at once. A stage is evaluated after its function has returned, so the setting stays with the
+#: session; lower ones are kept. Whole texts in batches of the default 10,000 rows would fill an executor's memory.
+BATCH_ROWS = 1000
+
+
 def stage(function):
     """A stage that first lets go what the stage before has stored on its way."""
 
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, WITHIN, keep_for=docs)
+        batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+            spark.conf.set(batch, str(BATCH_ROWS))
         with settled_as(WITHIN):
             return function(spark, docs, sf_dir)
 
