@@ -29,10 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.operators.prep import vector_stages
-from curbline.session import release, scratch_path, settle, settled_as
+from curbline.session import copy_folder, release, scratch_path, settle, settled_as
 
 #: Trees of a part, parts fitted side by side, and bytes of feature values in a partition of training rows.
 PART, PARALLEL, PARTITION_BYTES = 25, 4, 8 << 20
+#: Training rows times trees, of a part and of all parts fitted side by side: the driver holds their nodes while they
+#: grow. Most parts at once, where that allows them.
+PART_ROWS, HELD_ROWS, MOST_PARALLEL = 400_000, 2_000_000, 5
 
 
 @dataclass(frozen=True)
@@ -52,27 +55,45 @@ class StoredForest:
         return StoredForest(self.paths[:count], self.trees[:count], self.expressions)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``prediction``. The sums are stored after each part, so that one part is held at a time."""
-        out, replace = df.withColumn("_sum", F.lit(0.0)), _replacing(df.sparkSession)
-        for number, (path, trees) in enumerate(zip(self.paths, self.trees), start=1):
-            out = _with_part(_vectors(out, self.expressions), RandomForestRegressionModel.load(path), trees)
+        """``df`` with ``prediction``. The sums are stored after each part, or a few small ones, so that no more than
+        these are held at a time."""
+        spark = df.sparkSession
+        out, replace = df.withColumn("_sum", F.lit(0.0)), _replacing(spark)
+        groups = self._held_together()
+        for number, group in enumerate(groups, start=1):
+            out = _vectors(out, self.expressions)
+            loaded = side_by_side(RandomForestRegressionModel.load, [self.paths[i] for i in group], PARALLEL, spark)
+            for i, model in zip(group, loaded):
+                out = _with_part(out, model, self.trees[i])
             out = out.select(*df.columns, "_sum")
-            if number < len(self.paths):
+            if number < len(groups):
                 out = replace(out)
         return out.withColumn("prediction", F.col("_sum") / sum(self.trees)).drop("_sum")
 
+    def _held_together(self) -> list[list[int]]:
+        """The numbers of the parts, in groups of ``PARALLEL`` parts and ``PART`` trees at most."""
+        groups: list[list[int]] = []
+        for i, trees in enumerate(self.trees):
+            last = groups[-1] if groups else []
+            if last and len(last) < PARALLEL and sum(self.trees[j] for j in last) + trees <= PART:
+                last.append(i)
+            else:
+                groups.append([i])
+        return groups
+
     def importances(self) -> np.ndarray:
         """Mean over the trees of each feature's share of the impurity removed."""
-        total = np.zeros(len(self.expressions))
-        for path in self.paths:
+        def grown(path: str) -> np.ndarray:
             model = RandomForestRegressionModel.load(path)
-            grown = sum(tree.numNodes > 1 for tree in model.trees)
-            total += grown * model.featureImportances.toArray()
+            return sum(tree.numNodes > 1 for tree in model.trees) * model.featureImportances.toArray()
+
+        spark = SparkSession.active()
+        total = sum(side_by_side(grown, self.paths, PARALLEL, spark), np.zeros(len(self.expressions)))
         return total / total.sum() if total.any() else total
 
     def save(self, folder: str, spark: SparkSession) -> None:
         for i, path in enumerate(self.paths):
-            RandomForestRegressionModel.load(path).write().overwrite().save(f"{folder}/part-{i}")
+            copy_folder(spark, path, f"{folder}/part-{i}")
         meta = {"trees": self.trees, "expressions": self.expressions}
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/meta")
 
@@ -115,11 +136,12 @@ def training_rows(train: DataFrame, label: str, features: dict[str, str], keep:
     rows = _vectors(train, list(features.values())).select(
         "features", F.col(label).alias("label"), *keep, F.xxhash64(label, *values).alias("_place")
     )
-    placed = rows.repartition(_partitions(train, len(features)), "_place").sortWithinPartitions("_place", *keep)
+    placed = rows.repartition(few_partitions(train, len(features)), "_place").sortWithinPartitions("_place", *keep)
     return settle(placed.drop("_place"), "training")
 
 
-def _partitions(rows: DataFrame, features: int) -> int:
+def few_partitions(rows: DataFrame, features: int) -> int:
+    """As many partitions as the size of the features asks for: the steps of a tree wait for each of them."""
     return max(1, math.ceil(rows.count() * features * 8 / PARTITION_BYTES))
 
 
@@ -129,6 +151,11 @@ def part_sizes(trees: int, part: int = PART) -> list[int]:
     return [part] * full + ([rest] if rest else [])
 
 
+def largest_part(rows: int) -> int:
+    """Trees of a part for so many training rows: ``PART``, fewer where there are many rows."""
+    return max(1, min(PART, PART_ROWS // max(1, rows)))
+
+
 def _fit_part(rows: DataFrame, number: int, trees: int, settings: dict) -> RandomForestRegressionModel:
     """The part of this number. Its seed depends on the number only, so equal beginnings give equal parts."""
     forest = RandomForestRegressor(
@@ -138,7 +165,7 @@ def _fit_part(rows: DataFrame, number: int, trees: int, settings: dict) -> Rando
     return forest.fit(rows)
 
 
-def _side_by_side(function: Callable, tasks: Iterable, parallelism: int, spark: SparkSession) -> list:
+def side_by_side(function: Callable, tasks: Iterable, parallelism: int, spark: SparkSession) -> list:
     tasks = list(tasks)
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
         return pool.map(inheritable_thread_target(spark)(function), tasks, chunksize=1)
@@ -150,10 +177,14 @@ def _settings(min_leaf: int, max_depth: int, bootstrap: bool, seed: int) -> dict
 
 def fit_forest(
     train: DataFrame, label: str, features: dict[str, str], *, trees: int = 100, min_leaf: int = 5, max_depth: int = 30,
-    bootstrap: bool = True, seed: int = 42, part: int = PART, parallelism: int = PARALLEL,
+    bootstrap: bool = True, seed: int = 42, part: int | None = None, parallelism: int | None = None,
 ) -> StoredForest:
-    """A forest over all features; every child of a split keeps ``min_leaf`` rows."""
+    """A forest over all features; every child of a split keeps ``min_leaf`` rows. Unless told otherwise, the size of
+    the parts and how many are fitted side by side follow from the number of rows."""
     spark, rows = train.sparkSession, training_rows(train, label, features)
+    count = max(1, rows.count())
+    part = part or largest_part(count)
+    parallelism = parallelism or max(1, min(MOST_PARALLEL, HELD_ROWS // (count * part)))
     settings, sizes = _settings(min_leaf, max_depth, bootstrap, seed), part_sizes(trees, part)
 
     def fit(number: int) -> str:
@@ -161,7 +192,7 @@ def fit_forest(
         _fit_part(rows, number, sizes[number], settings).write().save(path)
         return path
 
-    paths = _side_by_side(fit, range(len(sizes)), parallelism, spark)
+    paths = side_by_side(fit, range(len(sizes)), parallelism, spark)
     return StoredForest(tuple(paths), tuple(sizes), tuple(features.values()))
 
 
@@ -198,7 +229,7 @@ def forest_scores(
             if grown in ends:
                 scores[grown, least, left_out] = _errors(sums, F.col("_sum") / grown)
 
-    _side_by_side(score, itertools.product(min_leaf, folds), parallelism, spark)
+    side_by_side(score, itertools.product(min_leaf, folds), parallelism, spark)
     return scores
 
 
@@ -224,5 +255,5 @@ def boosting_scores(
         for count in trees:
             scores[count, depth, step, left_out] = {True: on_held[count - 1], False: on_seen[count - 1]}
 
-    _side_by_side(score, itertools.product(max_depth, rate, folds), parallelism, spark)
+    side_by_side(score, itertools.product(max_depth, rate, folds), parallelism, spark)
     return scores

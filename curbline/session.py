@@ -49,6 +49,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
 
 
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder of the shared file system, in place of what the target held."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    here, there = hadoop.Path(source), hadoop.Path(target)
+    files, others = here.getFileSystem(conf), there.getFileSystem(conf)
+    others.delete(there, True)
+    if not hadoop.FileUtil.copy(files, here, others, there, False, True, conf):
+        raise OSError(f"could not copy {source} to {target}")
+
+
 def _delete(folder: str) -> None:
     """Remove a folder of the shared file system, if the session is still there to do it."""
     spark = SparkSession.getActiveSession()
