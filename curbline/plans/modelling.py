@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.transforms import feature_preprocessor, log1p_columns, per_tree_ratios
 from curbline.operators import knn, models
-from curbline.operators.ensembles import StoredForest, fit_forest
+from curbline.operators.ensembles import StoredForest, few_partitions, fit_forest, side_by_side
 from curbline.operators.linear import cross_val_linear, lasso_path, least_squares
 from curbline.operators.prep import categories_of, fit_impute_mean
 from curbline.operators.relational import is_present_flag, positive_flag, street_type_flags
@@ -47,20 +47,22 @@ def with_volume(dataset: DataFrame) -> DataFrame:
 def train_suite(
     train: DataFrame, *, row_id: str = "row_id", label: str = LABEL, settings: SuiteSettings = SuiteSettings()
 ) -> dict[str, FittedModel]:
-    """The five kinds of models, fitted on the same rows."""
+    """The five kinds of models, fitted side by side on the same rows: boosting waits for its own steps most of the time."""
     s = settings
     boosted = models.boosted_trees(
         label, trees=s.boosting_trees, max_depth=s.boosting_depth, rate=s.boosting_rate
     )
-    return {
-        "baseline": models.fit_mean(train, label),
-        "linear": models.fit_linear(train, label),
-        "knn": knn.fit_knn(train, models.KNN_FEATURES, label, row_id=row_id, k_max=s.k),
-        "random_forest": fit_forest(
+    fits = {
+        "baseline": lambda: models.fit_mean(train, label),
+        "linear": lambda: models.fit_linear(train, label),
+        "knn": lambda: knn.fit_knn(train, models.KNN_FEATURES, label, row_id=row_id, k_max=s.k),
+        "random_forest": lambda: fit_forest(
             train, label, models.RAW_FEATURES, trees=s.forest_trees, min_leaf=s.forest_min_leaf, max_depth=s.forest_depth
         ),
-        "boosting": models.fit_trees(train, boosted),
+        "boosting": lambda: models.fit_trees(train.coalesce(few_partitions(train, len(models.RAW_FEATURES))), boosted),
     }
+    fitted = side_by_side(lambda kind: fits[kind](), fits, len(fits), train.sparkSession)
+    return dict(zip(fits, fitted))
 
 
 def predict(
