@@ -16,6 +16,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ WEIGHTS = ("uniform", "distance")
 LEAST_LEAF, MOST_LEAVES = 8, 1 << 17
 #: Rows that the cuts are medians of, about, and queries that descend together.
 SAMPLE, TOGETHER = 1 << 20, 1024
+#: Levels above the leaves at which query vectors form a block, and distances in memory at once.
+BLOCK_LEVELS, TOGETHER_CELLS = 2, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -184,14 +187,21 @@ def _tree(model: KnnModel) -> Nodes:
     return Nodes(np.array(model.cut_axes), lows, highs, total, folds)
 
 
-def _descend(points: np.ndarray, folds: np.ndarray, nodes: Nodes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of the query, leaf, rows of other folds in it): the leaves that may hold one of the k nearest rows."""
+def _descend(
+    points: np.ndarray, folds: np.ndarray | None, nodes: Nodes, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the query, leaf, rows of other folds in it): the leaves that may hold one of the k nearest rows.
+    Without ``folds``, one of the k nearest rows outside whichever fold; the rows are then those outside any one."""
     query, node = np.arange(len(points)), np.ones(len(points), np.int64)
     while True:
         usable = nodes.total[node]
-        for fold, counts in nodes.folds.items():
-            usable = usable - np.where(folds[query] == fold, counts[node], 0)
-        held = usable > 0
+        if folds is None:
+            held = usable > 0
+            usable = usable - np.max([counts[node] for counts in nodes.folds.values()], axis=0)
+        else:
+            for fold, counts in nodes.folds.items():
+                usable = usable - np.where(folds[query] == fold, counts[node], 0)
+            held = usable > 0
         query, node, usable = query[held], node[held], usable[held]
         own, low, high = points[query], nodes.lows[node], nodes.highs[node]
         near = np.square(np.maximum(0, np.maximum(low - own, own - high))).sum(axis=1)
@@ -304,3 +314,113 @@ def knn_predict(
         for k in ks for w in weights
     ])
     return answered.unionByName(asked.where(~_complete(axes)).select(query_id, F.inline(blanks)))
+
+
+def knn_fold_errors(
+    model: KnnModel, queries: DataFrame, target: str, *, fold: str, ks: Sequence[int], weights: Sequence[str] = WEIGHTS
+) -> DataFrame:
+    """``left_out k weights held n sse``: number and squared errors of the queries when the rows of one fold are left
+    out, for the queries of that fold (``held``) and for the others.
+
+    Vectors lying together form a block, which gets the rows of all leaves near one of them. Neighbours are ranked
+    within the block and only sums leave it, so no pair of query and neighbour is stored.
+    """
+    axes, tree, k_max = model.axes, _tree(model), model.k_max
+    sent = queries.sparkSession.sparkContext.broadcast(tree)  # bounded by MOST_LEAVES
+    truth = F.col(target).cast("double")
+    asked = queries.select(*model.scaled(queries), F.col(fold).cast("int").alias("fold"), truth.alias("y")).where(_complete(axes))
+    # equal vectors of a fold are searched once
+    vectors = asked.groupBy(*axes, "fold").agg(F.count("y").alias("n"), F.avg("y").alias("mean"), F.var_pop("y").alias("spread"))
+    placed = settle(_with_leaf(vectors, model).withColumn("block", F.shiftright("leaf", BLOCK_LEVELS)).drop("leaf"), "knn-asked")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                query, leaf, _ = _descend(np.column_stack([part.column(a).to_numpy() for a in axes]), None, sent.value, k_max)
+                pairs = np.unique(np.column_stack([part.column("block").to_numpy()[query], leaf]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["block", "leaf"])
+
+    near = placed.select("block", *axes).mapInArrow(find, "block long, leaf long").distinct()
+    rows = model.rows.withColumnsRenamed({"fold": "row_fold"}).join(near, "leaf").drop("leaf")
+    folds, wanted = sorted(tree.folds), np.array(sorted(set(ks)))
+
+    def errors(own: pa.Table, rows: pa.Table) -> pa.Table:
+        return _block_errors(own, rows, axes, folds, wanted, list(weights))
+
+    blocks = placed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
+        errors, "left_out int, k int, weights string, held boolean, n long, sse double"
+    )
+    return blocks.groupBy("left_out", "k", "weights", "held").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"))
+
+
+def _block_errors(
+    own: pa.Table, rows: pa.Table, axes: Sequence[str], folds: Sequence[int], ks: np.ndarray, weights: Sequence[str]
+) -> pa.Table:
+    """The sums of ``knn_fold_errors`` over one block of query vectors and the rows near them."""
+    order = pc.sort_indices(rows, sort_keys=[("id", "ascending")], null_placement="at_start")  # ties go by the id
+    rows = rows.take(order)
+    y, row_fold = rows.column("y").to_numpy(), rows.column("row_fold").to_numpy()
+    found: dict[tuple[int, str, bool], list[np.ndarray]] = {}
+    step = max(1, TOGETHER_CELLS // max(1, len(y)))
+    for at in range(0, own.num_rows, step):
+        part = own.slice(at, step)
+        square = np.zeros((part.num_rows, len(y)))
+        for a in axes:
+            square += np.square(part.column(a).to_numpy()[:, None] - rows.column(a).to_numpy()[None, :])
+        picked, distance = _nearest(np.sqrt(square), row_fold, folds, int(ks[-1]))
+        mine, n, mean, spread = (part.column(c).to_numpy() for c in ("fold", "n", "mean", "spread"))
+        for fold in folds:
+            for scheme, guess in _running_predictions(distance, y[picked], row_fold[picked] != fold, ks, weights).items():
+                wrong = n[:, None] * (spread[:, None] + np.square(mean[:, None] - guess))
+                for held in (True, False):
+                    asked = (mine == fold) == held
+                    sums = found.setdefault((fold, scheme, held), [np.zeros(len(ks), np.int64), np.zeros(len(ks))])
+                    sums[0] += n[asked].sum()
+                    sums[1] += wrong[asked].sum(axis=0)
+    keys = [key for key in found for _ in ks]
+    return pa.table({
+        "left_out": pa.array([key[0] for key in keys], pa.int32()), "k": pa.array([int(k) for _ in found for k in ks], pa.int32()),
+        "weights": pa.array([key[1] for key in keys], pa.string()), "held": pa.array([key[2] for key in keys], pa.bool_()),
+        "n": pa.array([int(v) for sums in found.values() for v in sums[0]], pa.int64()),
+        "sse": pa.array([float(v) for sums in found.values() for v in sums[1]], pa.float64()),
+    })
+
+
+def _nearest(distance: np.ndarray, row_fold: np.ndarray, folds: Sequence[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and distances of each query's nearest rows in order, so many that k lie outside every fold."""
+    total = distance.shape[1]
+    many = min(total, k + k // 2)
+    while True:
+        if many < total:
+            picked = np.sort(np.argpartition(distance, many - 1, axis=1)[:, :many], axis=1)
+        else:
+            picked = np.broadcast_to(np.arange(total), distance.shape)
+        chosen = np.take_along_axis(distance, picked, axis=1)
+        # rows as far as the last one may be among those not picked, with a smaller id
+        sure = chosen < chosen.max(axis=1, keepdims=True)
+        if many == total or all(((row_fold[picked] != f) & sure).sum(axis=1).min() >= k for f in folds):
+            order = np.argsort(chosen, axis=1, kind="stable")
+            return np.take_along_axis(picked, order, axis=1), np.take_along_axis(chosen, order, axis=1)
+        many = min(total, 2 * many)
+
+
+def _running_predictions(
+    distance: np.ndarray, y: np.ndarray, keep: np.ndarray, ks: np.ndarray, weights: Sequence[str]
+) -> dict[str, np.ndarray]:
+    """Per weighting, the predictions of each query (row) for each k, from its kept neighbours in order."""
+    at = np.nonzero(keep)[1]
+    first = np.concatenate([[0], np.cumsum(keep.sum(axis=1))[:-1]])
+    place = at[first[:, None] + ks - 1]
+
+    def so_far(values: np.ndarray) -> np.ndarray:
+        return np.take_along_axis(np.cumsum(np.where(keep, values, 0.0), axis=1), place, axis=1)
+
+    out = {}
+    if "uniform" in weights:
+        out["uniform"] = so_far(y) / ks
+    if "distance" in weights:
+        exact = np.take_along_axis(distance, at[first][:, None], axis=1) == 0
+        w = np.where(exact, distance == 0, 1 / np.where(distance == 0, 1.0, distance))
+        out["distance"] = so_far(w * y) / so_far(w)
+    return out

@@ -281,29 +281,22 @@ def grid_search_knn(
     train_scores: bool = False,
 ) -> DataFrame:
     """``k weights val_mse train_mse``: neighbours are ranked once for the largest k, and every
-    k and weighting follows from running sums over the rank."""
+    k and weighting follows from running sums over the rank. With train scores, each row is also asked for every
+    fold it does not belong to."""
     model = knn.fit_knn(train, features, label, row_id=row_id, k_max=max(ks), fold=fold)
-
-    def scores(queries: DataFrame, name: str) -> DataFrame:
-        predicted = knn.knn_predict(
-            model, queries, query_id="_q", ks=ks, weights=weights, fold="_left_out"
-        )
-        joined = predicted.join(queries.select("_q", F.col(label).alias("_y"), "_left_out"), "_q")
-        per_fold = joined.groupBy("k", "weights", "_left_out").agg(
-            F.avg((F.col("_y") - F.col("prediction")) ** 2).alias("mse")
+    if train_scores:
+        errors = knn.knn_fold_errors(model, train.where(F.col(row_id).isNotNull()), label, fold=fold, ks=ks, weights=weights)
+        mse = F.col("sse") / F.col("n")
+        return errors.where((F.col("n") > 0) & F.col("left_out").between(0, folds - 1)).groupBy("k", "weights").agg(
+            F.avg(F.when(F.col("held"), mse)).alias("val_mse"), F.avg(F.when(~F.col("held"), mse)).alias("train_mse")
         )
-        return per_fold.groupBy("k", "weights").agg(F.avg("mse").alias(name))
-
-    held = train.withColumns({"_q": F.col(row_id), "_left_out": F.col(fold)})
-    table = scores(held, "val_mse")
-    if not train_scores:
-        return table.withColumn("train_mse", F.lit(None).cast("double"))
-    seen = (
-        train.withColumn("_left_out", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-        .where(F.col("_left_out") != F.col(fold))
-        .withColumn("_q", F.col(row_id) * folds + F.col("_left_out"))
+    predicted = knn.knn_predict(
+        model, train.withColumns({"_q": F.col(row_id), "_left_out": F.col(fold)}),
+        query_id="_q", ks=ks, weights=weights, fold="_left_out",
     )
-    return table.join(scores(seen, "train_mse"), ["k", "weights"])
+    joined = predicted.join(train.select(F.col(row_id).alias("_q"), F.col(label).alias("_y"), F.col(fold).alias("_left_out")), "_q")
+    per_fold = joined.groupBy("k", "weights", "_left_out").agg(F.avg((F.col("_y") - F.col("prediction")) ** 2).alias("mse"))
+    return per_fold.groupBy("k", "weights").agg(F.avg("mse").alias("val_mse")).withColumn("train_mse", F.lit(None).cast("double"))
 
 
 def save_model(model: PipelineModel | StoredForest | knn.KnnModel, folder: str, kind: str, spark: SparkSession) -> str:
