@@ -3,9 +3,11 @@
 The tree's cuts are medians of a sample of the rows, and every row is assigned once to its leaf. Leaves keep the box and
 the number of their own rows, so the search is exact wherever the sample's medians lie. A query descends from the top:
 the nodes it holds bound the distance of the k-th neighbour from above, and nodes that begin beyond that bound are
-dropped before the rest is split. Only rows of the leaves left at the end meet the query, in a join by leaf: a small
-multiple of k wherever the query and the rows lie, as long as ``MOST_LEAVES`` leaves are enough. Neighbours
-are ranked once for the largest k; running sums over the rank give the prediction for every smaller k.
+dropped before the rest is split. Only rows of the leaves left at the end meet the query: a small
+multiple of k wherever the query and the rows lie, as long as ``MOST_LEAVES`` leaves are enough. Query vectors lying
+together form a block, which gets the rows of all leaves near one of them, so no pair of query and row is stored.
+Neighbours are ranked within the block, once for the largest k; running sums over the rank give the prediction for every
+smaller k.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ WEIGHTS = ("uniform", "distance")
 LEAST_LEAF, MOST_LEAVES = 8, 1 << 17
 #: Rows that the cuts are medians of, about, and queries that descend together.
 SAMPLE, TOGETHER = 1 << 20, 1024
-#: Levels above the leaves at which query vectors form a block, and distances in memory at once.
-BLOCK_LEVELS, TOGETHER_CELLS = 2, 1 << 20
+#: Training rows, about, below the node whose query vectors form a block, the bits of the most vectors of a block,
+#: vectors of a stored partition, and distances in memory at once.
+BLOCK_ROWS, BLOCK_BITS, PLACED_ROWS, TOGETHER_CELLS = 512, 9, 1 << 14, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -149,6 +152,11 @@ def _complete(columns: Sequence[str]) -> Column:
     return test
 
 
+def _neighbours(model: KnnModel) -> DataFrame:
+    """The rows that may be neighbours: a row without a fold lies outside none."""
+    return model.rows.where(F.col("fold").isNotNull())
+
+
 @dataclass(frozen=True)
 class Nodes:
     """Per node of the tree: the cut axis, the box of its rows, their number, and their number in each fold."""
@@ -165,7 +173,7 @@ def _tree(model: KnnModel) -> Nodes:
     do not divide evenly."""
     size, d = len(model.cut_axes), len(model.axes)
     ends = [f(a).alias(f"{n}_{a}") for a in model.axes for n, f in (("lo", F.min), ("hi", F.max))]
-    found = model.rows.groupBy("leaf", "fold").agg(F.count(F.lit(1)).alias("n"), *ends).toArrow()
+    found = _neighbours(model).groupBy("leaf", "fold").agg(F.count(F.lit(1)).alias("n"), *ends).toArrow()
     leaf, fold, n = (found.column(c).to_numpy() for c in ("leaf", "fold", "n"))
     lows, highs, total = np.full((size, d), np.inf), np.full((size, d), -np.inf), np.zeros(size, np.int64)
     for i, a in enumerate(model.axes):
@@ -225,8 +233,11 @@ def _descend(
         node = np.concatenate([node[~inner], 2 * below, 2 * below + 1])
 
 
-def nearby_leaves(model: KnnModel, vectors: DataFrame, tree: Nodes) -> DataFrame:
-    """(query vector, fold, leaf, n): the leaves that may hold one of the ``k_max`` nearest rows."""
+def nearby_leaves(
+    model: KnnModel, vectors: DataFrame, tree: Nodes, blocks: Sequence[str] = (), every_fold: bool = False
+) -> DataFrame:
+    """(query vector, fold, leaf, n): the leaves that may hold one of the ``k_max`` nearest rows. With ``blocks``, the
+    columns that name a query's block, only (block, leaf); ``every_fold`` leaves out each fold in turn, not the query's."""
     names, k = [*model.axes, "fold"], model.k_max
     sent = vectors.sparkSession.sparkContext.broadcast(tree)  # bounded by MOST_LEAVES
 
@@ -235,35 +246,38 @@ def nearby_leaves(model: KnnModel, vectors: DataFrame, tree: Nodes) -> DataFrame
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 points = np.column_stack([part.column(n).to_numpy() for n in names[:-1]])
-                query, leaf, n = _descend(points, part.column("fold").to_numpy(), sent.value, k)
+                query, leaf, n = _descend(points, None if every_fold else part.column("fold").to_numpy(), sent.value, k)
+                if blocks:
+                    found = np.unique(np.column_stack([*(part.column(b).to_numpy()[query] for b in blocks), leaf]), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], [*blocks, "leaf"])
+                    continue
                 columns = [c.take(pa.array(query)) for c in part.columns]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(leaf), pa.array(n)], [*names, "leaf", "n"])
 
+    if blocks:
+        return vectors.select(*names, *blocks).mapInArrow(find, f"{', '.join(f'{b} long' for b in blocks)}, leaf long").distinct()
     fields = ", ".join(f"{a} double" for a in model.axes)
     return vectors.select(*names).mapInArrow(find, f"{fields}, fold int, leaf long, n long")
 
 
-def knn_neighbours(model: KnnModel, queries: DataFrame) -> DataFrame:
-    """``f0.. fold rank distance y``: the ``k_max`` nearest training rows of every distinct
-    query vector, ranked by distance and id. ``queries`` has ``f0..`` and ``fold``; rows of the
-    query's own fold are not neighbours (fold -2 meets every row). Vectors with a missing
-    number have no neighbours.
+def _by_block(model: KnnModel, asked: DataFrame, tree: Nodes, every_fold: bool = False):
+    """``asked`` (query vectors, ``fold`` and more) cogrouped by block with the training rows near a vector of the block.
+
+    The vectors below one node form a block; where there are many, they form several.
     """
-    axes = model.axes
-    key = [*axes, "fold"]
-    rows = model.rows.select("leaf", "id", "y", F.col("fold").alias("row_fold"), *[F.col(a).alias(f"r_{a}") for a in axes])
-    vectors = queries.select(*key).where(_complete(axes)).distinct()
-    leaves = settle(nearby_leaves(model, vectors, _tree(model)).drop("n"), "knn-near")
-    spread, copied = spread_hot_keys(leaves, rows, ["leaf"], key)
-    square = " + ".join(f"({a} - r_{a}) * ({a} - r_{a})" for a in axes)
-    near = Window.partitionBy(*key).orderBy("distance", "id")
-    return (
-        spread.join(copied, ["leaf", "salt"])
-        .where(F.col("row_fold") != F.col("fold"))
-        .select(*key, "id", "y", F.expr(f"sqrt({square})").alias("distance"))
-        .withColumn("rank", F.row_number().over(near))
-        .where(F.col("rank") <= model.k_max)
+    leaves = np.count_nonzero((tree.axes < 0) & (tree.total > 0))
+    levels = max(0, round(math.log2(BLOCK_ROWS * leaves / max(1, tree.total[1]))))
+    placed = settle(_with_leaf(asked, model), "knn-asked")
+    order, blocks = ["leaf", *model.axes], ["block", "part"]
+    ordered = placed.repartitionByRange(max(1, math.ceil(placed.count() / PLACED_ROWS)), *order).sortWithinPartitions(*order)
+    placed = settle(
+        ordered.withColumns({
+            "block": F.shiftright("leaf", levels), "part": F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS),
+        }).drop("leaf"), "knn-blocks",
     )
+    near = nearby_leaves(model, placed, tree, blocks, every_fold)
+    rows = _neighbours(model).withColumnsRenamed({"fold": "row_fold"}).join(near, "leaf").drop("leaf")
+    return placed.groupBy(*blocks).cogroup(rows.groupBy(*blocks))
 
 
 def knn_predict(
@@ -287,26 +301,16 @@ def knn_predict(
     asked = queries.select(
         F.col(query_id), *model.scaled(queries), (F.col(fold) if fold else F.lit(-2)).cast("int").alias("fold")
     )
-    so_far = Window.partitionBy(*key).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    exact = F.min("distance").over(so_far) == 0
-    weight = F.when(exact, (F.col("distance") == 0).cast("double")).otherwise(
-        F.try_divide(F.lit(1.0), F.col("distance"))
-    )
-    sums = (
-        knn_neighbours(model, asked)
-        .withColumn("w", weight)
-        .withColumns(
-            {
-                "uniform": F.sum("y").over(so_far) / F.col("rank"),
-                "distance": F.sum(F.col("w") * F.col("y")).over(so_far) / F.sum("w").over(so_far),
-            }
-        )
-        .where(F.col("rank").isin(*ks))
+    wanted, schemes = np.array(ks), list(weights)
+
+    def predictions(own: pa.Table, rows: pa.Table) -> pa.Table:
+        return _block_predictions(own, rows, axes, wanted, schemes)
+
+    fields = ", ".join(f"{a} double" for a in axes)
+    vectors = asked.select(*key).where(_complete(axes) & F.col("fold").isNotNull()).distinct()
+    predicted = _by_block(model, vectors, _tree(model)).applyInArrow(
+        predictions, f"{fields}, fold int, k int, weights string, prediction double"
     )
-    schemes = [
-        F.struct(F.lit(w).alias("weights"), F.col(w).alias("prediction")) for w in weights
-    ]
-    predicted = sums.select(*key, F.col("rank").alias("k"), F.inline(F.array(*schemes)))
     spread, copied = spread_hot_keys(asked.where(_complete(axes)), predicted, key, [query_id])
     answered = spread.join(copied, [*key, "salt"]).select(query_id, "k", "weights", "prediction")
     blanks = F.array(*[
@@ -317,67 +321,83 @@ def knn_predict(
 
 
 def knn_fold_errors(
-    model: KnnModel, queries: DataFrame, target: str, *, fold: str, ks: Sequence[int], weights: Sequence[str] = WEIGHTS
+    model: KnnModel, queries: DataFrame, target: str, *, fold: str, ks: Sequence[int], weights: Sequence[str] = WEIGHTS,
+    scored: str | None = None,
 ) -> DataFrame:
     """``left_out k weights held n sse``: number and squared errors of the queries when the rows of one fold are left
     out, for the queries of that fold (``held``) and for the others.
 
-    Vectors lying together form a block, which gets the rows of all leaves near one of them. Neighbours are ranked
-    within the block and only sums leave it, so no pair of query and neighbour is stored.
+    With ``scored``, a column of folds, each query is only asked with its own ``fold`` left out, and its error counts as
+    ``held`` for the fold ``scored``. Only sums leave a block.
     """
-    axes, tree, k_max = model.axes, _tree(model), model.k_max
-    sent = queries.sparkSession.sparkContext.broadcast(tree)  # bounded by MOST_LEAVES
-    truth = F.col(target).cast("double")
-    asked = queries.select(*model.scaled(queries), F.col(fold).cast("int").alias("fold"), truth.alias("y")).where(_complete(axes))
+    axes, tree, every_fold = model.axes, _tree(model), scored is None
+    asked = queries.select(
+        *model.scaled(queries), F.col(fold).cast("int").alias("fold"), F.col(scored or fold).cast("int").alias("scored"),
+        F.col(target).cast("double").alias("y"),
+    ).where(_complete(axes) if every_fold else _complete(axes) & F.col("fold").isNotNull())
     # equal vectors of a fold are searched once
-    vectors = asked.groupBy(*axes, "fold").agg(F.count("y").alias("n"), F.avg("y").alias("mean"), F.var_pop("y").alias("spread"))
-    placed = settle(_with_leaf(vectors, model).withColumn("block", F.shiftright("leaf", BLOCK_LEVELS)).drop("leaf"), "knn-asked")
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                query, leaf, _ = _descend(np.column_stack([part.column(a).to_numpy() for a in axes]), None, sent.value, k_max)
-                pairs = np.unique(np.column_stack([part.column("block").to_numpy()[query], leaf]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["block", "leaf"])
-
-    near = placed.select("block", *axes).mapInArrow(find, "block long, leaf long").distinct()
-    rows = model.rows.withColumnsRenamed({"fold": "row_fold"}).join(near, "leaf").drop("leaf")
-    folds, wanted = sorted(tree.folds), np.array(sorted(set(ks)))
+    vectors = asked.groupBy(*axes, "fold", "scored").agg(
+        F.count("y").alias("n"), F.avg("y").alias("mean"), F.var_pop("y").alias("spread")
+    )
+    folds, wanted, schemes = sorted(tree.folds) if every_fold else None, np.array(sorted(set(ks))), list(weights)
 
     def errors(own: pa.Table, rows: pa.Table) -> pa.Table:
-        return _block_errors(own, rows, axes, folds, wanted, list(weights))
+        return _block_errors(own, rows, axes, folds, wanted, schemes)
 
-    blocks = placed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(
+    blocks = _by_block(model, vectors, tree, every_fold).applyInArrow(
         errors, "left_out int, k int, weights string, held boolean, n long, sse double"
     )
     return blocks.groupBy("left_out", "k", "weights", "held").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"))
 
 
-def _block_errors(
-    own: pa.Table, rows: pa.Table, axes: Sequence[str], folds: Sequence[int], ks: np.ndarray, weights: Sequence[str]
-) -> pa.Table:
-    """The sums of ``knn_fold_errors`` over one block of query vectors and the rows near them."""
+def _block_neighbours(
+    own: pa.Table, rows: pa.Table, axes: Sequence[str], folds: Sequence[int] | None, k: int
+) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some query vectors of a block at a time: these, the folds left out for each (its own, unless ``folds`` are given),
+    and of the rows near them in order the distance, the label and the fold."""
     order = pc.sort_indices(rows, sort_keys=[("id", "ascending")], null_placement="at_start")  # ties go by the id
     rows = rows.take(order)
     y, row_fold = rows.column("y").to_numpy(), rows.column("row_fold").to_numpy()
-    found: dict[tuple[int, str, bool], list[np.ndarray]] = {}
     step = max(1, TOGETHER_CELLS // max(1, len(y)))
     for at in range(0, own.num_rows, step):
         part = own.slice(at, step)
         square = np.zeros((part.num_rows, len(y)))
         for a in axes:
             square += np.square(part.column(a).to_numpy()[:, None] - rows.column(a).to_numpy()[None, :])
-        picked, distance = _nearest(np.sqrt(square), row_fold, folds, int(ks[-1]))
-        mine, n, mean, spread = (part.column(c).to_numpy() for c in ("fold", "n", "mean", "spread"))
-        for fold in folds:
-            for scheme, guess in _running_predictions(distance, y[picked], row_fold[picked] != fold, ks, weights).items():
+        left_out = part.column("fold").to_numpy()[:, None] if folds is None else np.tile(folds, (part.num_rows, 1))
+        picked, distance = _nearest(np.sqrt(square), row_fold, left_out, k)
+        yield part, left_out, distance, y[picked], row_fold[picked]
+
+
+def _block_predictions(own: pa.Table, rows: pa.Table, axes: Sequence[str], ks: np.ndarray, weights: Sequence[str]) -> pa.Table:
+    """The predictions of one block of query vectors, from the rows near them."""
+    key, parts = [*axes, "fold"], []
+    for part, left_out, distance, y, row_fold in _block_neighbours(own, rows, axes, None, int(ks[-1])):
+        asked = part.select(key).take(pa.array(np.repeat(np.arange(part.num_rows), len(ks))))
+        for scheme, guess in _running_predictions(distance, y, row_fold != left_out, ks, weights).items():
+            parts.append(asked.append_column("k", pa.array(np.tile(ks, part.num_rows), pa.int32())).append_column(
+                "weights", pa.array([scheme] * asked.num_rows, pa.string())).append_column("prediction", pa.array(guess.ravel())))
+    names = [("k", pa.int32()), ("weights", pa.string()), ("prediction", pa.float64())]
+    return pa.concat_tables(parts) if parts else pa.schema([*own.select(key).schema, *(pa.field(*n) for n in names)]).empty_table()
+
+
+def _block_errors(
+    own: pa.Table, rows: pa.Table, axes: Sequence[str], folds: Sequence[int] | None, ks: np.ndarray, weights: Sequence[str]
+) -> pa.Table:
+    """The sums of ``knn_fold_errors`` over one block of query vectors and the rows near them."""
+    found: dict[tuple[int, str, bool], list[np.ndarray]] = {}
+    for part, left_out, distance, y, row_fold in _block_neighbours(own, rows, axes, folds, int(ks[-1])):
+        scored, n, mean, spread = (part.column(c).to_numpy() for c in ("scored", "n", "mean", "spread"))
+        for without in left_out.T:
+            of = scored if folds is None else without
+            for scheme, guess in _running_predictions(distance, y, row_fold != without[:, None], ks, weights).items():
                 wrong = n[:, None] * (spread[:, None] + np.square(mean[:, None] - guess))
-                for held in (True, False):
-                    asked = (mine == fold) == held
-                    sums = found.setdefault((fold, scheme, held), [np.zeros(len(ks), np.int64), np.zeros(len(ks))])
-                    sums[0] += n[asked].sum()
-                    sums[1] += wrong[asked].sum(axis=0)
+                for fold in np.unique(of).tolist():
+                    for held in (True,) if folds is None else (True, False):
+                        asked = (of == fold) & ((scored == fold) == held)
+                        sums = found.setdefault((fold, scheme, held), [np.zeros(len(ks), np.int64), np.zeros(len(ks))])
+                        sums[0] += n[asked].sum()
+                        sums[1] += wrong[asked].sum(axis=0)
     keys = [key for key in found for _ in ks]
     return pa.table({
         "left_out": pa.array([key[0] for key in keys], pa.int32()), "k": pa.array([int(k) for _ in found for k in ks], pa.int32()),
@@ -387,8 +407,8 @@ def _block_errors(
     })
 
 
-def _nearest(distance: np.ndarray, row_fold: np.ndarray, folds: Sequence[int], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and distances of each query's nearest rows in order, so many that k lie outside every fold."""
+def _nearest(distance: np.ndarray, row_fold: np.ndarray, left_out: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and distances of each query's nearest rows in order, so many that k lie outside each fold left out."""
     total = distance.shape[1]
     many = min(total, k + k // 2)
     while True:
@@ -399,7 +419,7 @@ def _nearest(distance: np.ndarray, row_fold: np.ndarray, folds: Sequence[int], k
         chosen = np.take_along_axis(distance, picked, axis=1)
         # rows as far as the last one may be among those not picked, with a smaller id
         sure = chosen < chosen.max(axis=1, keepdims=True)
-        if many == total or all(((row_fold[picked] != f) & sure).sum(axis=1).min() >= k for f in folds):
+        if many == total or all(((row_fold[picked] != f[:, None]) & sure).sum(axis=1).min() >= k for f in left_out.T):
             order = np.argsort(chosen, axis=1, kind="stable")
             return np.take_along_axis(picked, order, axis=1), np.take_along_axis(chosen, order, axis=1)
         many = min(total, 2 * many)
