@@ -53,3 +53,37 @@ def test_train_scores_equal_brute_force_and_store_no_pairs(spark, monkeypatch):
     # ranking happens within the blocks: no window over stored pairs of query and neighbour
     assert len(errors) == 1 and "Window" not in errors[0]._jdf.queryExecution().optimizedPlan().toString()
     assert errors[0].where(F.col("held")).agg(F.sum("n")).first()[0] == 600 * len(ks) * 2
+
+
+def test_a_search_stores_no_pairs_and_asks_each_row_of_an_id_for_each_label(spark, monkeypatch):
+    rng = random.Random(6)
+    # five rows share the id 1000, three have none
+    keys = [1000 if i % 60 == 1 else None if i % 90 == 2 else i for i in range(300)]
+    rows = [(key, float(rng.randrange(12)), float(rng.randrange(9)), rng.random(), (key or i) % 5) for i, key in enumerate(keys)]
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0]))
+    train = spark.createDataFrame(rows, "id long, a double, b double, y double, fold int")
+    plans, fitted, whole = [], [], knn.knn_fold_errors
+
+    def kept(model, *args, **options):
+        fitted.append(model)
+        plans.append(whole(model, *args, **options))
+        return plans[-1]
+
+    monkeypatch.setattr(knn, "knn_fold_errors", kept)
+    found = models.grid_search_knn(train, "y", row_id="id", fold="fold", ks=[2, 31], features=("a", "b"))
+    got = {(r.k, r.weights): r for r in found.collect()}
+    values = np.array([(np.nan if r[0] is None else r[0], *r[1:]) for r in rows])
+    x = (values[:, 1:3] - np.array(fitted[0].means)) / np.array(fitted[0].deviations)
+    y, fold, pairs = values[:, 3], values[:, 4], [(i, j) for i, r in enumerate(rows) for j, s in enumerate(rows) if r[0] is not None and r[0] == s[0]]
+    assert len(pairs) > len(rows)
+    for (k, scheme), row in got.items():
+        errors = {f: [] for f in range(5)}
+        for i, j in pairs:
+            usable = np.flatnonzero(fold != fold[i])
+            distance = np.sqrt(((x[usable] - x[i]) ** 2).sum(axis=1))
+            near = np.lexsort((usable, distance))[:k]  # by distance, then by id, none first
+            d, v = distance[near], y[usable[near]]
+            w = np.ones(k) if scheme == "uniform" else (d == 0).astype(float) if d[0] == 0 else 1 / d
+            errors[int(fold[j])].append((y[j] - (w * v).sum() / w.sum()) ** 2)
+        assert row.val_mse == pytest.approx(np.mean([np.mean(e) for e in errors.values()]), rel=1e-9) and row.train_mse is None
+    assert len(got) == 4 and "Window" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
