@@ -477,10 +477,10 @@ def optimality(table, features, label, path):
         "step long, alpha double, w array<double>",
     )
     fitted = sum((F.col(z) * F.col("w")[i] for i, z in enumerate(zs)), F.lit(0.0))
+    # only numbers are aggregated: with the fit's array among them, every row of every step would be sorted
     sums = rows.join(F.broadcast(fits)).withColumn("e", F.col("y") - fitted).groupBy("step").agg(
-        F.first("alpha").alias("alpha"), F.first("w").alias("w"), F.count(F.lit(1)).alias("n"),
-        *[F.avg(F.col("e") * F.col(z)).alias(z) for z in zs],
-    )
+        F.count(F.lit(1)).alias("n"), *[F.avg(F.col("e") * F.col(z)).alias(z) for z in zs],
+    ).join(F.broadcast(fits), "step")
     gaps = [
         F.when(F.col("w")[i] == 0, F.greatest(F.abs(z) - F.col("alpha"), F.lit(0.0)))
         .otherwise(F.abs(F.col(z) - F.signum(F.col("w")[i]) * F.col("alpha"))) for i, z in enumerate(zs)
