@@ -28,6 +28,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, Ran
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbline.operators.grown_forest import TABLE_ROWS, GrownForest, grow_forest, prefix_errors
 from curbline.operators.prep import vector_stages
 from curbline.session import copy_folder, release, scratch_path, settle, settled_as
 
@@ -36,6 +37,8 @@ PART, PARALLEL, PARTITION_BYTES = 25, 4, 8 << 20
 #: Training rows times trees, of a part and of all parts fitted side by side: the driver holds their nodes while they
 #: grow. Most parts at once, where that allows them.
 PART_ROWS, HELD_ROWS, MOST_PARALLEL = 400_000, 2_000_000, 5
+#: Training rows above which a forest is not fitted in parts but grown where its rows are.
+GROWN_ROWS = 16_000
 
 
 @dataclass(frozen=True)
@@ -98,8 +101,10 @@ class StoredForest:
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/meta")
 
     @staticmethod
-    def load(folder: str, spark: SparkSession) -> StoredForest:
+    def load(folder: str, spark: SparkSession) -> StoredForest | GrownForest:
         meta = json.loads(spark.read.text(f"{folder}/meta").first()[0])
+        if "bounds" in meta:
+            return GrownForest.of(meta, folder)
         paths = tuple(f"{folder}/part-{i}" for i in range(len(meta["trees"])))
         return StoredForest(paths, tuple(meta["trees"]), tuple(meta["expressions"]))
 
@@ -178,11 +183,17 @@ def _settings(min_leaf: int, max_depth: int, bootstrap: bool, seed: int) -> dict
 def fit_forest(
     train: DataFrame, label: str, features: dict[str, str], *, trees: int = 100, min_leaf: int = 5, max_depth: int = 30,
     bootstrap: bool = True, seed: int = 42, part: int | None = None, parallelism: int | None = None,
-) -> StoredForest:
+) -> StoredForest | GrownForest:
     """A forest over all features; every child of a split keeps ``min_leaf`` rows. Unless told otherwise, the size of
-    the parts and how many are fitted side by side follow from the number of rows."""
+    the parts and how many are fitted side by side follow from the number of rows; on more than ``GROWN_ROWS`` it is
+    grown without parts."""
     spark, rows = train.sparkSession, training_rows(train, label, features)
     count = max(1, rows.count())
+    if count > GROWN_ROWS:
+        folder, binned = grow_forest(
+            rows, scratch_path(spark, "forest"), trees=trees, min_leaf=min_leaf, max_depth=max_depth, bootstrap=bootstrap, seed=seed
+        )
+        return GrownForest(folder, trees, binned.bounds, binned.mean, tuple(features.values()))
     part = part or largest_part(count)
     parallelism = parallelism or max(1, min(MOST_PARALLEL, HELD_ROWS // (count * part)))
     settings, sizes = _settings(min_leaf, max_depth, bootstrap, seed), part_sizes(trees, part)
@@ -213,6 +224,10 @@ def forest_scores(
     """
     spark, rows = train.sparkSession, training_rows(train, label, features, [fold])
     folds = [r[0] for r in rows.select(fold).distinct().orderBy(fold).collect()]
+    if (count := rows.count()) > GROWN_ROWS:
+        if count <= TABLE_ROWS:
+            return prefix_errors(rows, fold=fold, trees=trees, min_leaf=min_leaf, max_depth=max_depth, seed=seed)
+        return _grown_scores(train, label, features, fold, folds, trees, min_leaf, max_depth, seed)
     ends = sorted(trees)
     sizes = [size for low, high in zip([0, *ends], ends) for size in part_sizes(high - low, part)]
     scores: dict[tuple[int, int, int], dict[bool, float]] = {}
@@ -233,6 +248,20 @@ def forest_scores(
     return scores
 
 
+def _grown_scores(
+    train: DataFrame, label: str, features: dict[str, str], fold: str, folds: Sequence[int], trees: Sequence[int],
+    min_leaf: Sequence[int], max_depth: int, seed: int,
+) -> dict[tuple[int, int, int], dict[bool, float]]:
+    """The errors of the first trees of a forest for each ``min_leaf`` and fold, one forest after the other."""
+    scores: dict[tuple[int, int, int], dict[bool, float]] = {}
+    for least, left_out in itertools.product(min_leaf, folds):
+        forest = fit_forest(train.where(F.col(fold) != left_out), label, features, trees=max(trees), min_leaf=least, max_depth=max_depth, seed=seed)
+        for count in trees:
+            predicted = forest.first(count).transform(train).select(F.col(label).alias("label"), "prediction", (F.col(fold) == left_out).alias("held"))
+            scores[count, least, left_out] = _errors(predicted, F.col("prediction"))
+    return scores
+
+
 def boosting_scores(
     train: DataFrame, label: str, features: dict[str, str], *, fold: str, trees: Sequence[int], max_depth: Sequence[int],
     rate: Sequence[float], seed: int = 42, parallelism: int = PARALLEL,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from curbline.operators import knn
 from curbline.operators.ensembles import StoredForest, boosting_scores, fit_forest, forest_scores
+from curbline.operators.grown_forest import GrownForest
 from curbline.operators.prep import INPUT, fit_scaler, vector_stages
 from curbline.operators.stats import evaluate
 from curbline.session import exists
@@ -121,8 +122,8 @@ def coefficient_table(model: PipelineModel, features: dict[str, str], spark: Spa
     )
 
 
-def feature_importances(model: PipelineModel | StoredForest, features: dict[str, str], spark: SparkSession) -> DataFrame:
-    stored = isinstance(model, StoredForest)
+def feature_importances(model: PipelineModel | StoredForest | GrownForest, features: dict[str, str], spark: SparkSession) -> DataFrame:
+    stored = isinstance(model, StoredForest | GrownForest)
     values = model.importances() if stored else model.stages[-1].featureImportances.toArray()
     rows = [(n, float(v)) for n, v in zip(features, values)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
@@ -300,7 +301,7 @@ def grid_search_knn(
 
 def save_model(model: PipelineModel | StoredForest | knn.KnnModel, folder: str, kind: str, spark: SparkSession) -> str:
     path = model_path(folder, kind)
-    if isinstance(model, StoredForest):
+    if isinstance(model, StoredForest | GrownForest):
         model.save(path, spark)
     elif isinstance(model, knn.KnnModel):
         model.rows.write.mode("overwrite").parquet(f"{path}/rows")
