@@ -25,7 +25,7 @@ def table(spark):
 @pytest.fixture
 def grown(monkeypatch):
     monkeypatch.setattr(ensembles, "GROWN_ROWS", 1000)
-    for name, value in (("LOCAL_ROWS", 300), ("CHUNK_ROWS", 700), ("HELD_NODES", 900), ("SLAB_ROWS", 400)):
+    for name, value in (("LOCAL_ROWS", 300), ("CHUNK_ROWS", 700), ("HELD_NODES", 900), ("SLAB_ROWS", 400), ("TABLE_ROWS", 900)):
         monkeypatch.setattr(grown_forest, name, value)
 
 
@@ -55,8 +55,11 @@ def test_where_trees_are_cut_makes_no_difference(table, grown, monkeypatch):
     cut = ensembles.fit_forest(table, "y", FEATURES, **options)
     monkeypatch.setattr(grown_forest, "LOCAL_ROWS", 1 << 16)
     whole = ensembles.fit_forest(table.repartition(3), "y", FEATURES, **options)
-    assert predictions(cut, table) == pytest.approx(predictions(whole, table), abs=1e-9)
-    assert cut.importances() == pytest.approx(whole.importances(), abs=1e-9)
+    monkeypatch.setattr(grown_forest, "TABLE_ROWS", 1 << 16)
+    sent = ensembles.fit_forest(table.repartition(2), "y", FEATURES, **options)
+    for forest in (whole, sent):
+        assert predictions(cut, table) == pytest.approx(predictions(forest, table), abs=1e-9)
+        assert cut.importances() == pytest.approx(forest.importances(), abs=1e-9)
 
 
 def test_a_grown_forest_is_no_worse_than_fitted_parts(spark, table, grown, monkeypatch):
